@@ -56,20 +56,25 @@ EMBEDDING_HEADERS = {
 QWEN_MODELS = {"qwen3.7-max": "1m", "qwen3.7-plus": "256k", "qwen-flash": "256k"}
 CATALOG_UNIT = "1k tokens"
 
-PAGE = Window.partitionBy("page_id")
-TABLE = Window.partitionBy("page_id", "table_ord")
+
+def in_page():
+    return Window.partitionBy("page_id")
+
+
+def in_table():
+    return Window.partitionBy("page_id", "table_ord")
 
 
 def prev_heading(blocks: DataFrame, tags: Sequence[str] = SECTION_HEADINGS) -> DataFrame:
     """Nearest heading before each block, in document order."""
-    upto = PAGE.orderBy("block_ord", F.coalesce("row_ord", F.lit(-1))).rowsBetween(Window.unboundedPreceding, 0)
+    upto = in_page().orderBy("block_ord", F.coalesce("row_ord", F.lit(-1))).rowsBetween(Window.unboundedPreceding, 0)
     mine = F.when((F.col("kind") == "heading") & F.col("tag").isin(*tags), F.col("text"))
     return blocks.withColumn("heading", F.last(mine, ignorenulls=True).over(upto))
 
 
 def prev_label(column: str, options: Sequence[str]) -> Column:
     """Nearest text before a block that equals one of ``options``."""
-    upto = PAGE.orderBy("block_ord", F.coalesce("row_ord", F.lit(-1))).rowsBetween(Window.unboundedPreceding, 0)
+    upto = in_page().orderBy("block_ord", F.coalesce("row_ord", F.lit(-1))).rowsBetween(Window.unboundedPreceding, 0)
     return F.last(F.when(F.col(column).isin(*options), F.col(column)), ignorenulls=True).over(upto)
 
 
@@ -82,7 +87,7 @@ def table_rows(pages: DataFrame, labels: Mapping[str, Sequence[str]] | None = No
     for name, options in (labels or {}).items():
         marked = marked.withColumn(name, prev_label("text", options))
     rows = marked.filter(F.col("kind") == "row")
-    whole = TABLE.orderBy("row_ord").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    whole = in_table().orderBy("row_ord").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
 
     def lowered(n: int) -> Column:
         nth = F.nth_value("cells", n).over(whole)
@@ -91,7 +96,7 @@ def table_rows(pages: DataFrame, labels: Mapping[str, Sequence[str]] | None = No
     return rows.withColumns({
         "head": lowered(1),
         "head2": lowered(2),
-        "n_rows": F.count(F.lit(1)).over(TABLE),
+        "n_rows": F.count(F.lit(1)).over(in_table()),
     })
 
 
@@ -99,7 +104,7 @@ def fill_down(rows: DataFrame, width: Column, by: Window | None = None) -> DataF
     """Repeat the last first cell on rows that are exactly one cell short."""
     first = F.nullif(F.try_element_at("cells", F.lit(1)), F.lit(""))
     full = F.when(F.size("cells") != width - 1, first)
-    before = (by or TABLE).orderBy("row_ord").rowsBetween(Window.unboundedPreceding, -1)
+    before = (by or in_table()).orderBy("row_ord").rowsBetween(Window.unboundedPreceding, -1)
     carried = F.last(full, ignorenulls=True).over(before)
     short = (F.size("cells") == width - 1) & carried.isNotNull()
     # A short row with nothing to repeat keeps its own first cell as the last one.
@@ -258,7 +263,7 @@ def xai_prices(pages: DataFrame) -> DataFrame:
 def deepseek_prices(pages: DataFrame) -> DataFrame:
     """Models are columns: each labelled row is turned into one entry per model."""
     rows = table_rows(pages)
-    head_cells = F.first("cells").over(TABLE.orderBy("row_ord"))
+    head_cells = F.first("cells").over(in_table().orderBy("row_ord"))
     fits = (
         (F.col("n_rows") >= 3)
         & (F.size("head") >= 3)
@@ -266,7 +271,7 @@ def deepseek_prices(pages: DataFrame) -> DataFrame:
         & tx.starts_with_family(F.col("head")[1], "deepseek")
     )
     rows = rows.withColumn("names", head_cells).filter(fits)
-    first = rows.withColumn("__first", F.min("table_ord").over(PAGE)).filter(F.col("table_ord") == F.col("__first"))
+    first = rows.withColumn("__first", F.min("table_ord").over(in_page())).filter(F.col("table_ord") == F.col("__first"))
     label = F.lower(F.array_join(F.slice("cells", 1, 2), " "))
     kind = (
         F.when(label.contains("context length"), "context")
@@ -378,7 +383,7 @@ def vertex_prices(pages: DataFrame) -> DataFrame:
 
 
 def _vertex_model_tables(rows: DataFrame) -> DataFrame:
-    upto = TABLE.orderBy("row_ord").rowsBetween(Window.unboundedPreceding, 0)
+    upto = in_table().orderBy("row_ord").rowsBetween(Window.unboundedPreceding, 0)
     first = F.coalesce(cell(0), F.lit(""))
     is_model = F.lower(first).contains("gemini")
     banner = is_model & (F.size("cells") == 1)
@@ -427,7 +432,7 @@ def _vertex_model_tables(rows: DataFrame) -> DataFrame:
 
 
 def _vertex_token_tables(rows: DataFrame) -> DataFrame:
-    upto = TABLE.orderBy("row_ord").rowsBetween(Window.unboundedPreceding, 0)
+    upto = in_table().orderBy("row_ord").rowsBetween(Window.unboundedPreceding, 0)
     banner = (F.size("cells") == 1) & F.lower(cell(0)).contains("gemini")
     rows = body(rows.filter((F.col("n_rows") >= 2) & header_is(BATCH_TOKEN_HEADER))).withColumn(
         "model", F.last(F.when(banner, tx.norm(cell(0))), ignorenulls=True).over(upto)
@@ -455,7 +460,7 @@ def _vertex_token_tables(rows: DataFrame) -> DataFrame:
 
 def _vertex_embeddings(rows: DataFrame, unit: str, header: Sequence[str]) -> DataFrame:
     rows = fill_down(body(rows.filter((F.col("n_rows") >= 2) & header_is(header))), F.size("head"))
-    upto = TABLE.orderBy("row_ord").rowsBetween(Window.unboundedPreceding, 0)
+    upto = in_table().orderBy("row_ord").rowsBetween(Window.unboundedPreceding, 0)
     own = F.when(F.size("cells") >= 4, F.nullif(tx.norm(cell(0)), F.lit("")))
     rows = rows.withColumn("model", F.last(own, ignorenulls=True).over(upto)).filter(F.size("cells") >= 4)
     online, batch = tx.online_batch_prices(tx.norm(cell(3)))
@@ -527,7 +532,7 @@ def openai_prices(pages: DataFrame) -> DataFrame:
     out = shapes[0].withColumn("rule", F.lit(0))
     for i, shape in enumerate(shapes[1:], 1):
         out = out.unionByName(shape.withColumn("rule", F.lit(i)))
-    return out.withColumn("__first", F.min("rule").over(TABLE)).filter(F.col("rule") == F.col("__first")).drop(
+    return out.withColumn("__first", F.min("rule").over(in_table())).filter(F.col("rule") == F.col("__first")).drop(
         "rule", "__first"
     )
 

@@ -106,8 +106,8 @@ def replicate_median(
 
 def _task_mask(required: Sequence[str]) -> tuple[Column, int]:
     """Bit set of the required tasks seen; cheaper than counting distinct ones."""
-    bit = F.array_position(F.array(*[F.lit(t) for t in required]), F.col("task_id")) - 1
-    return F.bit_or(F.shiftleft(F.lit(1), bit.cast("int"))), (1 << len(required)) - 1
+    bits = F.create_map(*[x for i, t in enumerate(required) for x in (F.lit(t), F.lit(1 << i))])
+    return F.bit_or(F.try_element_at(bits, F.col("task_id"))), (1 << len(required)) - 1
 
 
 def complete_group_sum(

@@ -1,0 +1,6 @@
+"""All registered queries and their SQL."""
+
+from . import gates, history, panel, prices, runs, usage  # noqa: F401
+from .base import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES"]
