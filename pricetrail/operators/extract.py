@@ -2,14 +2,16 @@
 
 ``html_blocks`` gives table rows and the text before them. A *shape rule* says
 which tables it reads (by their header row) and which cells of a row carry
-which price; each rule is a projection of the row's cell array, so a rule costs
-one ``inline`` and no shuffle. Windows run within one page, and a page arrives
-as one input row, so their partitions are as small as a page.
+which price. All rules of a provider are branches of one projection, so they
+cost one pass and one ``posexplode``, and no shuffle beyond the one by page.
+Windows run within one page, and a page arrives as one input row, so their
+partitions are as small as a page.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -53,10 +55,12 @@ EMBEDDING_HEADERS = {
     "per_1K_tokens": ["model", "type", "region", "price per 1,000 input tokens"],
     "per_1K_characters": ["model", "type", "region", "price per 1,000 characters"],
 }
+LONG_CONTEXT_TAIL = r"(?i)\s+Long context.*$"
 QWEN_MODELS = {"qwen3.7-max": "1m", "qwen3.7-plus": "256k", "qwen-flash": "256k"}
 CATALOG_UNIT = "1k tokens"
 
 
+
 def in_page():
     return Window.partitionBy("page_id")
 
@@ -65,64 +69,88 @@ def in_table():
     return Window.partitionBy("page_id", "table_ord")
 
 
+def page_upto():
+    return in_page().orderBy("block_ord", F.coalesce("row_ord", F.lit(-1))).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+
+
+def rows_upto():
+    return in_table().orderBy("row_ord").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+
+def rows_before():
+    return in_table().orderBy("row_ord").rowsBetween(Window.unboundedPreceding, -1)
+
+
+def whole_table():
+    return in_table().orderBy("row_ord").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+
+
+def last_known(c: Column, over) -> Column:
+    return F.last(c, ignorenulls=True).over(over)
+
+
 def prev_heading(blocks: DataFrame, tags: Sequence[str] = SECTION_HEADINGS) -> DataFrame:
     """Nearest heading before each block, in document order."""
-    upto = in_page().orderBy("block_ord", F.coalesce("row_ord", F.lit(-1))).rowsBetween(Window.unboundedPreceding, 0)
     mine = F.when((F.col("kind") == "heading") & F.col("tag").isin(*tags), F.col("text"))
-    return blocks.withColumn("heading", F.last(mine, ignorenulls=True).over(upto))
+    return blocks.withColumn("heading", last_known(mine, page_upto()))
 
 
-def prev_label(column: str, options: Sequence[str]) -> Column:
+def prev_label(options: Sequence[str]) -> Column:
     """Nearest text before a block that equals one of ``options``."""
-    upto = in_page().orderBy("block_ord", F.coalesce("row_ord", F.lit(-1))).rowsBetween(Window.unboundedPreceding, 0)
-    return F.last(F.when(F.col(column).isin(*options), F.col(column)), ignorenulls=True).over(upto)
+    return last_known(F.when(F.col("text").isin(*options), F.col("text")), page_upto())
 
 
-def table_rows(pages: DataFrame, labels: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
-    """Table rows with their lower-cased header row and what stands before them.
+def fill_down(cells: Column, width: Column, counted: Column) -> Column:
+    """Cells with the last first cell repeated on rows exactly one cell short.
 
-    ``labels`` names columns for the nearest preceding text out of a list.
+    ``counted`` marks the rows below the header. Until a full row has set it,
+    the value to repeat is the first one seen; an empty first cell sets nothing.
     """
-    marked = prev_heading(html_blocks(pages))
-    for name, options in (labels or {}).items():
-        marked = marked.withColumn(name, prev_label("text", options))
-    rows = marked.filter(F.col("kind") == "row")
-    whole = in_table().orderBy("row_ord").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    first = F.when(counted, F.nullif(F.try_element_at(cells, F.lit(1)), F.lit("")))
+    short = F.size(cells) == width - 1
+    full = last_known(F.when(~short, first), rows_before())
+    earliest = F.first(first, ignorenulls=True).over(rows_before())
+    carried = F.coalesce(full, earliest)
+    return F.when(counted & short & carried.isNotNull(), F.concat(F.array(carried), cells)).otherwise(cells)
 
-    def lowered(n: int) -> Column:
-        nth = F.nth_value("cells", n).over(whole)
-        return F.transform(nth, lambda c: F.lower(c))
 
-    return rows.withColumns({
-        "head": lowered(1),
-        "head2": lowered(2),
+def table_rows(pages: DataFrame) -> DataFrame:
+    """Table rows with their header rows and the labels before their table.
+
+    One parse and one shuffle by page; every window here and in the rules shares
+    that partitioning.
+    """
+    marked = prev_heading(html_blocks(pages)).withColumns({
+        "group_text": prev_label(list(VERTEX_GROUPS)),
+        "vertex_tier_text": prev_label(VERTEX_TIERS),
+        "category_text": prev_label(list(OPENAI_CATEGORIES)),
+        "openai_tier_text": prev_label(OPENAI_TIERS),
+    })
+    rows = marked.filter(F.col("kind") == "row")
+    rows = rows.withColumns({
+        "names": F.nth_value("cells", 1).over(whole_table()),
+        "second": F.nth_value("cells", 2).over(whole_table()),
         "n_rows": F.count(F.lit(1)).over(in_table()),
     })
+    lower = lambda c: F.lower(c)
+    rows = rows.withColumns({
+        "head": F.transform("names", lower),
+        "head2": F.coalesce(F.transform("second", lower), F.array().cast("array<string>")),
+    })
+    width, below = F.size("head"), F.col("row_ord") >= 1
+    return rows.withColumn("filled", fill_down(F.col("cells"), width, below))
 
 
-def fill_down(rows: DataFrame, width: Column, by: Window | None = None) -> DataFrame:
-    """Repeat the last first cell on rows that are exactly one cell short."""
-    first = F.nullif(F.try_element_at("cells", F.lit(1)), F.lit(""))
-    full = F.when(F.size("cells") != width - 1, first)
-    before = (by or in_table()).orderBy("row_ord").rowsBetween(Window.unboundedPreceding, -1)
-    carried = F.last(full, ignorenulls=True).over(before)
-    short = (F.size("cells") == width - 1) & carried.isNotNull()
-    # A short row with nothing to repeat keeps its own first cell as the last one.
-    return rows.withColumn(
-        "cells", F.when(short, F.concat(F.array(carried), F.col("cells"))).otherwise(F.col("cells"))
-    )
-
-
-def cell(i: int | Column) -> Column:
+def cell(i: int | Column, of: str = "cells") -> Column:
     """Cell by 0-based position; null past the end of the row."""
-    at = F.lit(i + 1) if isinstance(i, int) else i + 1
-    return F.try_element_at(F.col("cells"), at)
+    return F.try_element_at(of, F.lit(i + 1) if isinstance(i, int) else i + 1)
 
 
 def column_with(test: Callable[[Column], Column]) -> Column:
     """0-based position of the first header that passes; null if none does."""
-    hits = F.transform("head", test)
-    return F.nullif(F.array_position(hits, True) - 1, F.lit(-1)).cast("int")
+    return F.nullif(F.array_position(F.transform("head", test), True) - 1, F.lit(-1)).cast("int")
 
 
 def at_column(position: Column) -> Column:
@@ -137,108 +165,105 @@ def header_is(*names: Sequence[str]) -> Column:
     return test
 
 
-FIELDS = ("component", "price", "unit", "service_tier", "context_window", "modality", "category", "billing_variant")
+FIELDS = ("component", "price_text", "unit", "service_tier", "context_window", "modality", "category", "billing_variant")
 
 
-def price(component, value: Column, unit: str = ms.PER_MILLION, **fields) -> Column:
-    """One component entry; ``fields`` may be text, Columns or None."""
-    given = {"component": component, "price": value, "unit": unit, **fields}
+def price(component, text: Column, unit: str = ms.PER_MILLION, **fields) -> Column:
+    """One component entry; ``fields`` may be text, Columns or None. The price is
+    read from its text after the entries are exploded."""
+    given = {"component": component, "price_text": text, "unit": unit, **fields}
 
     def as_column(v) -> Column:
         return v if isinstance(v, Column) else F.lit(v)
 
-    return F.struct(*[
-        as_column(given.get(n)).cast("double" if n == "price" else "string").alias(n) for n in FIELDS
-    ])
+    return F.struct(*[as_column(given.get(n)).cast("string").alias(n) for n in FIELDS])
 
 
-def emit(rows: DataFrame, provider: str, name: Column, *entries: Column, active: Column | None = None,
-         model_id: Column | None = None) -> DataFrame:
-    """Explode the entries that carry a price into component rows."""
-    listed = F.filter(F.array(*entries), lambda e: e["price"].isNotNull())
-    return emit_array(rows, provider, name, listed, active, model_id)
+@dataclass
+class Rule:
+    """Rows a shape reads, the name cell, and the entries of such a row."""
 
+    test: Column
+    name: Column
+    entries: Sequence[Column] | Column
+    retires: bool = True
 
-def emit_array(rows, provider, name, listed, active=None, model_id=None):
-    named = rows.withColumns({
-        "display_name": name,
-        "provider_id": F.lit(provider),
-        "is_active": active if active is not None else F.lit(True),
-    }).filter(F.coalesce("display_name", F.lit("")) != "")
-    return component_rows(
-        named.withColumn("model_id", model_id if model_id is not None else tx.slugify(F.col("display_name")))
-        .select(
-            "page_id", "table_ord", "row_ord", "display_name", "model_id", "provider_id", "is_active",
-            F.posexplode(F.filter(listed, lambda e: e["price"].isNotNull())).alias("entry_ord", "e"),
+    def array(self) -> Column:
+        listed = self.entries if isinstance(self.entries, Column) else F.array(*self.entries)
+        return F.transform(
+            listed,
+            lambda e: F.struct(self.name.alias("display_name"), F.lit(self.retires).alias("retires"), e.alias("e")),
         )
-        .select("*", "e.*")
-        .drop("e")
-    )
-
 
-def not_deprecated(name: Column) -> Column:
-    return ~F.lower(name).contains("deprecated")
 
-
-def body(rows: DataFrame, headers: int = 1) -> DataFrame:
-    return rows.filter(F.col("row_ord") >= headers)
+def apply_rules(rows: DataFrame, provider: str, rules: Sequence[Rule]) -> DataFrame:
+    """Component rows of all rules in one pass; rules of a provider exclude one
+    another by their header rows, so the first that fits is the only one."""
+    chosen = None
+    for rule in reversed(rules):
+        chosen = F.when(rule.test, rule.array()).otherwise(chosen) if chosen is not None else F.when(rule.test, rule.array())
+    entries = rows.select(
+        "page_id", "table_ord", "row_ord", F.posexplode(chosen).alias("entry_ord", "x")
+    ).select("page_id", "table_ord", "row_ord", "entry_ord", "x.display_name", "x.retires", "x.e.*")
+    priced = entries.withColumns({
+        "price": tx.money(F.col("price_text")),
+        "display_name": tx.norm(F.col("display_name")),
+    }).filter(F.col("price").isNotNull() & (F.col("display_name") != ""))
+    deprecated = F.lower("display_name").contains("deprecated")
+    return priced.select(
+        "page_id", "table_ord", "row_ord", "entry_ord", "display_name", "component", "price", "unit",
+        "service_tier", "context_window", "modality", "category", "billing_variant",
+        tx.slugify(F.col("display_name")).alias("model_id"),
+        F.lit(provider).alias("provider_id"),
+        ~(F.col("retires") & deprecated).alias("is_active"),
+    )
 
 
-def claude_prices(pages: DataFrame) -> DataFrame:
-    rows = table_rows(pages)
+def claude_rules(rows: DataFrame) -> tuple[DataFrame, list[Rule]]:
     joined = F.array_join("head", " ")
-    rows = body(rows.filter(joined.contains("base input") & joined.contains("output")))
-    name = tx.norm(cell(0))
 
     def has(*words: str) -> Column:
-        return tx.money(at_column(column_with(lambda h: h.rlike("|".join(words)))))
+        return at_column(column_with(lambda h: h.rlike("|".join(words))))
 
     same = {"category": "standard_api"}
-    return emit(
-        rows.filter(F.lower(name).contains("claude")),
-        "anthropic",
-        name,
-        price("input", has("base input"), **same),
-        price("output", has("output"), **same),
-        price("cache_write", has("cache writes"), billing_variant="5m", **same),
-        price("cache_write", has("1 hr cache writes", "1h cache writes"), billing_variant="1h", **same),
-        price("cache_read", has("cache hits"), **same),
-        active=not_deprecated(name),
-    )
-
-
-def xai_prices(pages: DataFrame) -> DataFrame:
-    rows = table_rows(pages)
-    head, head2 = F.col("head"), F.col("head2")
+    return rows, [Rule(
+        (F.col("n_rows") >= 2) & (F.col("row_ord") >= 1)
+        & joined.contains("base input") & joined.contains("output") & F.lower(cell(0)).contains("claude"),
+        cell(0),
+        [
+            price("input", has("base input"), **same),
+            price("output", has("output"), **same),
+            price("cache_write", has("cache writes"), billing_variant="5m", **same),
+            price("cache_write", has("1 hr cache writes", "1h cache writes"), billing_variant="1h", **same),
+            price("cache_read", has("cache hits"), **same),
+        ],
+    )]
+
+
+def xai_rules(rows: DataFrame) -> tuple[DataFrame, list[Rule]]:
+    head = F.col("head")
     two_rows = (
         (F.col("n_rows") >= 3)
-        & (F.size(head) >= 4)
-        & (head[0] == "model")
-        & (head[1] == "context")
-        & head[2].contains("short context")
-        & head[3].contains("long context")
-        & (F.size(head2) >= 6)
+        & (F.size("head") >= 4)
+        & (cell(0, "head") == "model")
+        & (cell(1, "head") == "context")
+        & cell(2, "head").contains("short context")
+        & cell(3, "head").contains("long context")
+        & (F.size("head2") >= 6)
     )
     rows = rows.withColumn("two_rows", F.coalesce(two_rows, F.lit(False)))
     same = {"service_tier": "standard", "modality": "text", "category": "text_api"}
     kinds = ("input", "cached_input", "output")
-
-    label = tx.norm(cell(0))
-    base = tx.strip_space(F.regexp_replace(label, r"(?i)\s+Long context.*$", ""))
     context = F.nullif(tx.norm(cell(1)), F.lit(""))
-    wide = emit(
-        rows.filter(
-            F.col("two_rows") & (F.col("row_ord") >= 2) & (F.size("cells") >= 8) & F.lower(label).contains("grok")
-        ),
-        "xai",
-        base,
-        *[price(k, tx.money(cell(2 + i)), context_window=context, billing_variant="lt-200k-prompt", **same)
-          for i, k in enumerate(kinds)],
-        *[price(k, tx.money(cell(5 + i)), context_window=context, billing_variant="gte-200k-prompt", **same)
-          for i, k in enumerate(kinds)],
-        active=not_deprecated(base),
+    wide = Rule(
+        F.col("two_rows") & (F.col("row_ord") >= 2) & (F.size("cells") >= 8) & F.lower(cell(0)).contains("grok"),
+        tx.strip_space(F.regexp_replace(cell(0), LONG_CONTEXT_TAIL, "")),
+        [
+            price(k, cell(start + i), context_window=context, billing_variant=variant, **same)
+            for start, variant in ((2, "lt-200k-prompt"), (5, "gte-200k-prompt"))
+            for i, k in enumerate(kinds)
+        ],
     )
-
     at = {
         "model": column_with(lambda h: h == "model"),
         "context": column_with(lambda h: h == "context"),
@@ -246,69 +271,74 @@ def xai_prices(pages: DataFrame) -> DataFrame:
         "cached_input": column_with(lambda h: h.contains("cached input / 1m tokens")),
         "output": column_with(lambda h: h.contains("output / 1m tokens")),
     }
-    found = at["model"].isNotNull() & at["input"].isNotNull() & at["output"].isNotNull()
-    label = tx.norm(at_column(at["model"]))
-    base = tx.threshold_base(label)
-    single = emit(
-        body(rows).filter(~F.col("two_rows") & (F.col("n_rows") >= 2) & found & F.lower(label).contains("grok")),
-        "xai",
-        base,
-        *[price(k, tx.money(at_column(at[k])), context_window=at_column(at["context"]),
-                billing_variant=tx.threshold_variant(label), **same) for k in kinds],
-        active=not_deprecated(base),
+    label = at_column(at["model"])
+    single = Rule(
+        ~F.col("two_rows") & (F.col("n_rows") >= 2) & (F.col("row_ord") >= 1) & (F.size(head) > 0)
+        & at["model"].isNotNull() & at["input"].isNotNull() & at["output"].isNotNull()
+        & F.lower(label).contains("grok"),
+        tx.threshold_base(label),
+        [
+            price(k, at_column(at[k]), context_window=at_column(at["context"]),
+                  billing_variant=tx.threshold_variant(label), **same)
+            for k in kinds
+        ],
     )
-    return wide.unionByName(single)
+    return rows, [wide, single]
 
 
-def deepseek_prices(pages: DataFrame) -> DataFrame:
-    """Models are columns: each labelled row is turned into one entry per model."""
-    rows = table_rows(pages)
-    head_cells = F.first("cells").over(in_table().orderBy("row_ord"))
-    fits = (
-        (F.col("n_rows") >= 3)
-        & (F.size("head") >= 3)
-        & (F.col("head")[0] == "model")
-        & tx.starts_with_family(F.col("head")[1], "deepseek")
+def deepseek_rules(rows: DataFrame) -> tuple[DataFrame, list[Rule]]:
+    """Models are columns: labelled rows are looked up over the whole table and
+    the entries of both models leave from its first row."""
+    fits = F.coalesce(
+        (F.col("n_rows") >= 3) & (F.size("head") >= 3) & (cell(0, "head") == "model")
+        & tx.starts_with_family(cell(1, "head"), "deepseek"),
+        F.lit(False),
     )
-    rows = rows.withColumn("names", head_cells).filter(fits)
-    first = rows.withColumn("__first", F.min("table_ord").over(in_page())).filter(F.col("table_ord") == F.col("__first"))
     label = F.lower(F.array_join(F.slice("cells", 1, 2), " "))
-    kind = (
+    kind = F.when(fits & (F.col("row_ord") >= 1), (
         F.when(label.contains("context length"), "context")
         .when(label.contains("cache hit"), "cached_input")
         .when(label.contains("cache miss"), "input")
         .when(label.contains("output"), "output")
-    )
+    ))
     # A priced row may carry a second label cell, which moves its values right.
-    moved = (kind == "cached_input") & (F.size("cells") > 2) & F.lower(F.col("cells")[0]).contains("pricing")
-    shift = F.when(moved, 2).otherwise(1)
-    values = body(first).withColumns({"kind": kind, "shift": shift}).filter(F.col("kind").isNotNull())
-    spread = values.select(
-        "page_id", "table_ord", "row_ord", "kind", "names",
-        F.posexplode(F.slice("names", 2, 2)).alias("idx", "display_name"),
-        "shift", "cells",
-    ).withColumn("value", F.try_element_at("cells", F.col("shift") + F.col("idx") + 1))
-
-    def last_of(k: str) -> Column:
-        return F.max_by("value", F.when((F.col("kind") == k) & F.col("value").isNotNull(), F.col("row_ord")))
-
-    per_model = spread.groupBy("page_id", "table_ord", "idx", "display_name").agg(
-        *[last_of(k).alias(f"v_{k}") for k in ("context", "input", "cached_input", "output")]
-    ).withColumn("row_ord", F.col("idx"))
-    name = tx.norm(F.col("display_name"))
-    owned = tx.starts_with_family(name, "deepseek") | tx.starts_with_family(tx.slugify(name), "deepseek")
-    same = {"service_tier": "standard", "modality": "text", "category": "text_api", "context_window": F.col("v_context")}
-    return emit(
-        per_model.filter(owned),
-        "deepseek",
-        name,
-        *[price(k, tx.money(F.col(f"v_{k}")), **same) for k in ("input", "cached_input", "output")],
-        active=not_deprecated(name),
-    )
+    moved = (kind == "cached_input") & (F.size("cells") > 2) & F.lower(cell(0)).contains("pricing")
+    values = F.slice("cells", F.when(F.coalesce(moved, F.lit(False)), 3).otherwise(2), 2)
+    rows = rows.withColumns({
+        "fits": fits,
+        "kind2": kind,
+        "v": values,
+        "first_fit": F.min(F.when(fits, F.col("table_ord"))).over(in_page()),
+    })
 
+    def found(k: str, i: int) -> Column:
+        has_value = (F.col("kind2") == k) & (F.size("v") > i)
+        return F.max_by(F.try_element_at("v", F.lit(i + 1)), F.when(has_value, F.col("row_ord"))).over(whole_table())
 
-def qwen_prices(pages: DataFrame) -> DataFrame:
-    rows = table_rows(pages)
+    kinds = ("input", "cached_input", "output")
+    rows = rows.withColumns({f"{k}_{i}": found(k, i) for k in ("context", *kinds) for i in (0, 1)})
+
+    def owned(i: int) -> Column:
+        name = cell(i + 1, "names")
+        return tx.starts_with_family(name, "deepseek") | tx.starts_with_family(tx.slugify(name), "deepseek")
+
+    at_first = F.col("fits") & (F.col("table_ord") == F.col("first_fit"))
+    rules = []
+    # Rows 0 and 1 always exist in a fitting table; each emits one model.
+    for i in (0, 1):
+        rules.append(Rule(
+            at_first & (F.col("row_ord") == i) & owned(i),
+            cell(i + 1, "names"),
+            [
+                price(k, F.col(f"{k}_{i}"), service_tier="standard", modality="text", category="text_api",
+                      context_window=F.col(f"context_{i}"))
+                for k in kinds
+            ],
+        ))
+    return rows, rules
+
+
+def qwen_rules(rows: DataFrame) -> tuple[DataFrame, list[Rule]]:
     at = {
         "scope": column_with(lambda h: h.contains("deployment scope")),
         "input": column_with(lambda h: h.contains("input price")),
@@ -316,225 +346,225 @@ def qwen_prices(pages: DataFrame) -> DataFrame:
         "mode": column_with(lambda h: h == "mode"),
         "range": column_with(lambda h: h.contains("input tokens per request")),
     }
-    found = at["scope"].isNotNull() & at["input"].isNotNull() & at["output"].isNotNull()
-    label = tx.norm(cell(0))
 
     def low(k: str) -> Column:
         return F.lower(tx.norm(at_column(at[k])))
 
-    name = tx.before_phrase(label, " Currently equivalent to ")
-    model = tx.slugify(name)
-    slug = tx.slugify(label)
-    listed = F.lit(False)
-    in_range = F.lit(True)
+    rows = rows.withColumns({
+        "name": tx.before_phrase(tx.norm(cell(0)), " Currently equivalent to "),
+        "label_slug": tx.slugify(cell(0)),
+        "range_text": low("range"),
+    }).withColumn("model", tx.slugify(F.col("name")))
+    listed, in_range = F.lit(False), F.lit(True)
     for prefix, size in reversed(QWEN_MODELS.items()):
-        listed = listed | slug.startswith(prefix)
+        listed = listed | F.col("label_slug").startswith(prefix)
         in_range = F.when(
-            model.startswith(prefix), (low("range") == "") | low("range").contains(size)
+            F.col("model").startswith(prefix), (F.col("range_text") == "") | F.col("range_text").contains(size)
         ).otherwise(in_range)
-    prices = {k: tx.money(at_column(at[k])) for k in ("input", "output")}
-    keep = (
-        (F.col("n_rows") >= 2)
-        & (F.col("head")[0] == "model id")
-        & found
-        & listed
-        & (low("scope") == "international")
-        & ~low("mode").contains("batch")
-        & prices["input"].isNotNull()
-        & prices["output"].isNotNull()
-        & ~tx.dated_suffix(model)
-        & in_range
+    test = (
+        (F.col("n_rows") >= 2) & (F.col("row_ord") >= 1) & (cell(0, "head") == "model id")
+        & at["scope"].isNotNull() & at["input"].isNotNull() & at["output"].isNotNull()
+        & listed & (low("scope") == "international") & ~low("mode").contains("batch")
+        & tx.money(at_column(at["input"])).isNotNull() & tx.money(at_column(at["output"])).isNotNull()
+        & ~tx.dated_suffix(F.col("model")) & in_range
     )
     same = {
         "service_tier": "standard",
         "modality": "text",
         "category": "text_api",
-        "context_window": F.when(model.contains("3.7"), ">200k"),
+        "context_window": F.when(F.col("model").contains("3.7"), ">200k"),
     }
-    return emit(
-        body(rows).filter(keep), "qwen", name,
-        *[price(k, p, **same) for k, p in prices.items()],
-        active=not_deprecated(name),
-    )
+    return rows, [Rule(test, F.col("name"), [price(k, at_column(at[k]), **same) for k in ("input", "output")])]
 
 
-def vertex_prices(pages: DataFrame) -> DataFrame:
+def vertex_rules(rows: DataFrame) -> tuple[DataFrame, list[Rule]]:
     """Three shapes: model/type tables of a model group, the four-column token
     table under its own heading, and embedding tables anywhere else."""
-    rows = table_rows(pages, {"group_text": list(VERTEX_GROUPS), "tier_text": list(VERTEX_TIERS)})
     groups = F.create_map(*[F.lit(x) for kv in VERTEX_GROUPS.items() for x in kv])
     group = F.coalesce("group_text", F.when(F.col("heading").isin(*VERTEX_GROUPS), F.col("heading")))
-    head_tier = tx.tier_of_headers(F.col("head"))
+    tier_text = F.nullif(tx.slugify(F.col("vertex_tier_text")), F.lit(""))
+    below = F.col("row_ord") >= 1
+    first = F.coalesce(cell(0), F.lit(""))
+    gemini = F.lower(first).contains("gemini")
+    alone = F.size("cells") == 1
+    region_at = column_with(lambda h: h == "region")
+    embedding = F.size("filled") >= 4
     rows = rows.filter(F.coalesce("heading", F.lit("")) != "Modality-based pricing").withColumns({
-        "category": F.try_element_at(groups, group),
-        "tier": F.coalesce(head_tier, F.nullif(tx.slugify(F.col("tier_text")), F.lit("")), F.lit("standard")),
+        "vertex_category": F.try_element_at(groups, group),
+        "tier": F.coalesce(tx.tier_of_headers(F.col("head")), tier_text, F.lit("standard")),
         "is_group": F.coalesce(
-            (F.col("head")[0] == "model") & (F.try_element_at("head", F.lit(2)) == "type") & group.isNotNull(),
-            F.lit(False),
+            (cell(0, "head") == "model") & (cell(1, "head") == "type") & group.isNotNull(), F.lit(False)
         ),
+        "is_token": F.coalesce(F.col("heading") == "Token-based pricing", F.lit(False)),
+        "banner": gemini & alone,
+        "model": last_known(F.when(below & gemini, tx.norm(first)), rows_upto()),
+        "banner_model": last_known(F.when(below & gemini & alone, tx.norm(first)), rows_upto()),
+        "filled_model": last_known(
+            F.when(below & embedding, F.nullif(tx.norm(cell(0, "filled")), F.lit(""))), rows_upto()
+        ),
+        "foreign": F.coalesce(F.lower(tx.norm(at_column(region_at))).contains("non-global"), F.lit(False)),
+        "region_at": region_at,
     })
-    token_table = F.coalesce(F.col("heading") == "Token-based pricing", F.lit(False))
-    grouped = rows.filter(F.col("is_group"))
-    others = rows.filter(~F.col("is_group"))
-    out = _vertex_model_tables(grouped).unionByName(_vertex_token_tables(others.filter(token_table)))
-    for unit, header in EMBEDDING_HEADERS.items():
-        out = out.unionByName(_vertex_embeddings(others.filter(~token_table), unit, header))
-    return out.filter(F.col("component").isin(*VERTEX_COMPONENTS))
-
-
-def _vertex_model_tables(rows: DataFrame) -> DataFrame:
-    upto = in_table().orderBy("row_ord").rowsBetween(Window.unboundedPreceding, 0)
-    first = F.coalesce(cell(0), F.lit(""))
-    is_model = F.lower(first).contains("gemini")
-    banner = is_model & (F.size("cells") == 1)
-    region_at = column_with(lambda h: h == "region")
-    rows = body(rows.filter(F.col("n_rows") >= 2)).withColumn(
-        "model", F.last(F.when(is_model, tx.norm(first)), ignorenulls=True).over(upto)
-    )
-    foreign = F.coalesce(F.lower(tx.norm(at_column(region_at))).contains("non-global"), F.lit(False))
-    rows = rows.filter(F.col("model").isNotNull()).withColumn("banner", banner).filter(~foreign | F.col("banner"))
     typed = F.when((cell(1) != "") & tx.money(cell(1)).isNull(), tx.norm(cell(1)))
     # Older tables keep the label in the first column.
-    legacy = F.when((first != "") & ~is_model & tx.money(first).isNull(), tx.norm(first))
-    own = F.coalesce(typed, legacy)
-    rows = rows.withColumn(
-        "label",
-        F.last(F.when(F.col("banner"), F.lit("")).otherwise(own), ignorenulls=True).over(upto),
-    )
-    low = F.lower("label")
-    skip = F.lit(False)
+    legacy = F.when((first != "") & ~gemini & tx.money(first).isNull(), tx.norm(first))
+    counted = below & F.col("model").isNotNull() & ~F.col("foreign")
+    own = F.when(below & F.col("banner"), F.lit("")).when(counted, F.coalesce(typed, legacy))
+    rows = rows.withColumn("label", last_known(own, rows_upto())).withColumns({
+        "component": tx.component_of_label(F.col("label")),
+        "label_modality": tx.infer_modality(F.col("label")),
+    })
+    skipped = F.lit(False)
     for mark in VERTEX_SKIPPED_LABELS:
-        skip = skip | low.contains(mark)
-    rows = rows.filter(~F.col("banner") & (F.coalesce("label", F.lit("")) != "") & ~skip)
+        skipped = skipped | F.lower("label").contains(mark)
     shifted = F.when(F.size("cells") == F.size("head") - 1, 1).otherwise(0)
-    start = F.greatest(F.lit(2), F.coalesce(region_at + 1, F.lit(0)))
+    start = F.greatest(F.lit(2), F.coalesce(F.col("region_at") + 1, F.lit(0)))
     columns = F.filter(F.sequence(F.lit(0), F.size("head") - 1), lambda i: i >= start)
-    component = tx.component_of_label(F.col("label"))
 
     def entry(i: Column) -> Column:
-        header = F.col("head")[i]
-        tier = (
-            F.when(header.contains("batch api"), "batch")
-            .when(header.contains("priority"), "priority")
-            .when(header.contains("flex/batch") | header.contains("with flex"), "flexbatch")
-            .otherwise(F.col("tier"))
-        )
+        header = F.try_element_at("head", i + 1)
         return price(
-            F.when(header.contains("cached input"), "cached_input").otherwise(component),
-            tx.money(F.try_element_at("cells", i - shifted + 1)),
-            service_tier=tier,
+            F.when(header.contains("cached input"), "cached_input").otherwise(F.col("component")),
+            F.try_element_at("cells", i - shifted + 1),
+            service_tier=(
+                F.when(header.contains("batch api"), "batch")
+                .when(header.contains("priority"), "priority")
+                .when(header.contains("flex/batch") | header.contains("with flex"), "flexbatch")
+                .otherwise(F.col("tier"))
+            ),
             context_window=tx.context_of_header(header),
-            modality=tx.infer_modality(F.col("label")),
-            category=F.col("category"),
+            modality=F.col("label_modality"),
+            category=F.col("vertex_category"),
         )
 
-    return emit_array(rows, "google", F.col("model"), F.transform(columns, entry))
-
-
-def _vertex_token_tables(rows: DataFrame) -> DataFrame:
-    upto = in_table().orderBy("row_ord").rowsBetween(Window.unboundedPreceding, 0)
-    banner = (F.size("cells") == 1) & F.lower(cell(0)).contains("gemini")
-    rows = body(rows.filter((F.col("n_rows") >= 2) & header_is(BATCH_TOKEN_HEADER))).withColumn(
-        "model", F.last(F.when(banner, tx.norm(cell(0))), ignorenulls=True).over(upto)
+    grouped = Rule(
+        F.col("is_group") & (F.col("n_rows") >= 2) & counted & ~F.col("banner")
+        & (F.coalesce("label", F.lit("")) != "") & ~skipped,
+        F.col("model"),
+        F.transform(columns, entry),
+        retires=False,
     )
-    label = F.lower(tx.norm(cell(0)))
+
+    low = F.lower(tx.norm(cell(0)))
     component = (
-        F.when(label.contains("input"), "input")
-        .when(label.contains("output"), "output")
-        .when(label.rlike("tuning|training"), "training")
+        F.when(low.contains("input"), "input")
+        .when(low.contains("output"), "output")
+        .when(low.rlike("tuning|training"), "training")
         .otherwise("price")
     )
     modality = F.lit(None).cast("string")
     for word in ("text", "video", "image", "audio"):
-        modality = F.when(label.contains(word), word).otherwise(modality)
-    grounding = label.startswith("grounding with") | label.startswith("web grounding")
+        modality = F.when(low.contains(word), word).otherwise(modality)
+    grounding = low.startswith("grounding with") | low.startswith("web grounding")
     same = {"modality": modality, "category": "gemini_2_0"}
-    return emit(
-        rows.filter(F.col("model").isNotNull() & (F.size("cells") >= 3) & ~grounding),
-        "google",
-        F.col("model"),
-        price(component, tx.money(cell(1)), service_tier="standard", **same),
-        price(component, tx.money(cell(2)), service_tier="batch", **same),
-    )
-
-
-def _vertex_embeddings(rows: DataFrame, unit: str, header: Sequence[str]) -> DataFrame:
-    rows = fill_down(body(rows.filter((F.col("n_rows") >= 2) & header_is(header))), F.size("head"))
-    upto = in_table().orderBy("row_ord").rowsBetween(Window.unboundedPreceding, 0)
-    own = F.when(F.size("cells") >= 4, F.nullif(tx.norm(cell(0)), F.lit("")))
-    rows = rows.withColumn("model", F.last(own, ignorenulls=True).over(upto)).filter(F.size("cells") >= 4)
-    online, batch = tx.online_batch_prices(tx.norm(cell(3)))
-    component = F.when(F.lower(tx.norm(cell(1))).contains("input"), "input").otherwise("output")
-    return emit(
-        rows,
-        "google",
-        F.col("model"),
-        price(component, online, unit, service_tier="online", category="embeddings"),
-        price(component, batch, unit, service_tier="batch", category="embeddings"),
+    plain = ~F.col("is_group") & (F.col("n_rows") >= 2) & below
+    token = Rule(
+        plain & F.col("is_token") & header_is(BATCH_TOKEN_HEADER) & F.col("banner_model").isNotNull()
+        & (F.size("cells") >= 3) & ~grounding,
+        F.col("banner_model"),
+        [price(component, cell(1), service_tier="standard", **same), price(component, cell(2), service_tier="batch", **same)],
+        retires=False,
     )
-
-
-def openai_prices(pages: DataFrame) -> DataFrame:
-    """Six shapes told apart by their header rows; a table yields through the
-    first shape that finds a price in it."""
-    rows = table_rows(pages, {"category_text": list(OPENAI_CATEGORIES), "tier_text": list(OPENAI_TIERS)})
+    rules = [grouped, token]
+    kind = F.when(F.lower(cell(1, "filled")).contains("input"), "input").otherwise("output")
+    for unit, header in EMBEDDING_HEADERS.items():
+        online, batch = tx.online_batch_prices(cell(3, "filled"))
+        rules.append(Rule(
+            plain & ~F.col("is_token") & header_is(header) & embedding & F.col("filled_model").isNotNull(),
+            F.col("filled_model"),
+            [
+                price(kind, online, unit, service_tier="online", category="embeddings"),
+                price(kind, batch, unit, service_tier="batch", category="embeddings"),
+            ],
+            retires=False,
+        ))
+    return rows, rules
+
+
+def openai_rules(rows: DataFrame) -> tuple[DataFrame, list[Rule]]:
+    """Six shapes told apart by their header rows."""
     names = F.create_map(*[F.lit(x) for kv in OPENAI_CATEGORIES.items() for x in kv])
     rows = rows.withColumns({
         "category": F.try_element_at(names, F.col("category_text")),
-        "tier": F.nullif(tx.slugify(F.col("tier_text")), F.lit("")),
+        "tier": F.nullif(tx.slugify(F.col("openai_tier_text")), F.lit("")),
     })
     category, tier = F.col("category"), F.col("tier")
-    slug = lambda c: F.nullif(tx.slugify(c), F.lit(""))
-    p = lambda i: tx.money(cell(i))
     prices3 = ("input", "cached_input", "output")
 
-    two_headers = F.exists("head", lambda h: h.contains("context")) & F.array_contains("head2", "model")
-    flagship = rows.filter((F.col("n_rows") >= 3) & F.coalesce(two_headers, F.lit(False)) & (F.size("cells") >= 4))
-    shapes = [
-        emit(
-            body(flagship, 2), "openai", tx.norm(cell(0)),
-            *[price(k, p(1 + i), service_tier=tier, context_window="short_context", category=category)
+    def slug(c: Column) -> Column:
+        return F.nullif(tx.slugify(c), F.lit(""))
+
+    def shape(*headers: Sequence[str], width: int, of: str) -> Column:
+        return (F.col("n_rows") >= 2) & (F.col("row_ord") >= 1) & header_is(*headers) & (F.size(of) >= width)
+
+    flagship = (
+        (F.col("n_rows") >= 3) & (F.col("row_ord") >= 2) & (F.size("cells") >= 4)
+        & F.exists("head", lambda h: h.contains("context")) & F.array_contains("head2", "model")
+    )
+    full = F.size("cells") >= 7
+    return rows, [
+        Rule(flagship, cell(0), [
+            *[price(k, cell(1 + i), service_tier=tier, context_window="short_context", category=category)
               for i, k in enumerate(prices3)],
-            *[price(k, F.when(F.size("cells") >= 7, p(4 + i)), service_tier=tier,
-                    context_window="long_context", category=category)
+            *[price(k, F.when(full, cell(4 + i)), service_tier=tier, context_window="long_context", category=category)
               for i, k in enumerate(prices3)],
-        )
+        ], retires=False),
+        Rule(shape(*MODALITY_HEADERS, width=5, of="filled"), cell(0, "filled"), [
+            price(k, cell(2 + i, "filled"), modality=slug(cell(1, "filled")), category=category)
+            for i, k in enumerate(prices3)
+        ], retires=False),
+        Rule(shape(VIDEO_HEADER, width=5, of="filled"), cell(0, "filled"), [
+            price("generation", cell(4, "filled"), "per_second", modality="video", category=category,
+                  billing_variant=slug(cell(1, "filled"))),
+        ], retires=False),
+        Rule(shape(TRANSCRIPTION_HEADER, width=4, of="cells"), cell(0), [
+            price(k, cell(2 + i), category=category, billing_variant=slug(cell(1)))
+            for i, k in enumerate(("input", "output"))
+        ], retires=False),
+        Rule(shape(CATEGORY_HEADER, width=5, of="filled"), cell(1, "filled"), [
+            price(k, cell(2 + i, "filled"), service_tier=tier, category=category, billing_variant=slug(cell(0, "filled")))
+            for i, k in enumerate(prices3)
+        ], retires=False),
+        Rule(shape(FINETUNING_HEADER, width=5, of="cells"), cell(0), [
+            price("training", cell(1), "per_hour", service_tier=tier, category=category),
+            *[price(k, cell(2 + i), service_tier=tier, category=category) for i, k in enumerate(prices3)],
+        ], retires=False),
     ]
 
-    def shaped(*headers: Sequence[str], filled: bool, width: int) -> DataFrame:
-        found = body(rows.filter((F.col("n_rows") >= 2) & header_is(*headers)))
-        out = fill_down(found, F.size("head")) if filled else found
-        return out.filter(F.size("cells") >= width)
 
-    shapes.append(emit(
-        shaped(*MODALITY_HEADERS, filled=True, width=5), "openai", tx.norm(cell(0)),
-        *[price(k, p(2 + i), modality=slug(cell(1)), category=category) for i, k in enumerate(prices3)],
-    ))
-    shapes.append(emit(
-        shaped(VIDEO_HEADER, filled=True, width=5), "openai", tx.norm(cell(0)),
-        price("generation", p(4), "per_second", modality="video", category=category, billing_variant=slug(cell(1))),
-    ))
-    shapes.append(emit(
-        shaped(TRANSCRIPTION_HEADER, filled=False, width=4), "openai", tx.norm(cell(0)),
-        price("input", p(2), category=category, billing_variant=slug(cell(1))),
-        price("output", p(3), category=category, billing_variant=slug(cell(1))),
-    ))
-    shapes.append(emit(
-        shaped(CATEGORY_HEADER, filled=True, width=5), "openai", tx.norm(cell(1)),
-        *[price(k, p(2 + i), service_tier=tier, category=category, billing_variant=slug(cell(0)))
-          for i, k in enumerate(prices3)],
-    ))
-    shapes.append(emit(
-        shaped(FINETUNING_HEADER, filled=False, width=5), "openai", tx.norm(cell(0)),
-        price("training", p(1), "per_hour", service_tier=tier, category=category),
-        *[price(k, p(2 + i), service_tier=tier, category=category) for i, k in enumerate(prices3)],
-    ))
-    out = shapes[0].withColumn("rule", F.lit(0))
-    for i, shape in enumerate(shapes[1:], 1):
-        out = out.unionByName(shape.withColumn("rule", F.lit(i)))
-    return out.withColumn("__first", F.min("rule").over(in_table())).filter(F.col("rule") == F.col("__first")).drop(
-        "rule", "__first"
-    )
+# The order in which providers arrive, for last-wins dedupe.
+PROVIDER_RULES: dict[str, Callable[[DataFrame], tuple[DataFrame, list[Rule]]]] = {
+    "anthropic": claude_rules,
+    "google": vertex_rules,
+    "openai": openai_rules,
+    "xai": xai_rules,
+    "deepseek": deepseek_rules,
+    "qwen": qwen_rules,
+}
+ARRIVAL = ("provider_ord", "page_id", "table_ord", "row_ord", "entry_ord")
+
+
+def provider_prices(pages: DataFrame, provider: str) -> DataFrame:
+    """Component rows of one provider's pages."""
+    rows, rules = PROVIDER_RULES[provider](table_rows(pages))
+    found = apply_rules(rows, provider, rules)
+    return found.filter(F.col("component").isin(*VERTEX_COMPONENTS)) if provider == "google" else found
+
+
+def extract_prices(pages: DataFrame, providers: Sequence[str] = tuple(PROVIDER_RULES), strict_ids: bool = False) -> DataFrame:
+    """Component rows of all pages; ``pages`` has provider_id, page_id, html.
+
+    A provider's pages are parsed once, by its own branch: the provider filter
+    sits below the parser. The arrival columns order rows for last-wins dedupe.
+    """
+    out = None
+    for place, provider in enumerate(PROVIDER_RULES):
+        if provider not in providers:
+            continue
+        mine = pages.filter(F.col("provider_id") == provider)
+        found = provider_prices(mine, provider).withColumn("provider_ord", F.lit(place))
+        out = found if out is None else out.unionByName(found)
+    return component_rows(out, strict_ids)
 
 
 def catalog_prices(products: DataFrame, terms: DataFrame) -> DataFrame:
@@ -566,27 +596,3 @@ def catalog_prices(products: DataFrame, terms: DataFrame) -> DataFrame:
         F.lit("bedrock").alias("category"),
         F.lit("text").alias("modality"),
     ))
-
-
-# The order in which providers arrive, for last-wins dedupe.
-PAGE_RULES: dict[str, Callable[[DataFrame], DataFrame]] = {
-    "anthropic": claude_prices,
-    "google": vertex_prices,
-    "openai": openai_prices,
-    "xai": xai_prices,
-    "deepseek": deepseek_prices,
-    "qwen": qwen_prices,
-}
-ARRIVAL = ("provider_ord", "page_id", "table_ord", "row_ord", "entry_ord")
-
-
-def extract_prices(pages: DataFrame) -> DataFrame:
-    """Component rows of all pages; ``pages`` has provider_id, page_id, html.
-
-    The arrival columns order rows for last-wins dedupe.
-    """
-    out = None
-    for place, (provider, rule) in enumerate(PAGE_RULES.items()):
-        found = rule(pages.filter(F.col("provider_id") == provider)).withColumn("provider_ord", F.lit(place))
-        out = found if out is None else out.unionByName(found)
-    return out

@@ -61,7 +61,7 @@ def extract_header_columns(spark, d):
         html_row("td", F.concat(F.lit("Claude "), F.col("p_name")), dollars(base), dollars(base * 2), hour, dollars(base * 4), dollars(base * 5)),
         html_row("td", "Someone else", "$1", "$1", "$1", "$1", "$1"),
     )
-    return extract.extract_prices(pages).select("page_id", "model_id", "component", "billing_variant", "price")
+    return extract.extract_prices(pages, ["anthropic"]).select("page_id", "model_id", "component", "billing_variant", "price")
 
 
 @query("extract_fill_down", """
@@ -79,7 +79,7 @@ def extract_fill_down(spark, d):
         html_row("td", F.col("p_name"), "Text", dollars(base), dollars(base * 2), dollars(base * 3)),
         html_row("td", "Image", dollars(base * 4), "-", dollars(base * 5)),
     )
-    return extract.extract_prices(pages).select("page_id", "model_id", "modality", "category", "component", "price")
+    return extract.extract_prices(pages, ["openai"]).select("page_id", "model_id", "modality", "category", "component", "price")
 
 
 @query("extract_model_type", """
@@ -97,7 +97,7 @@ def extract_model_type(spark, d):
         html_row("td", "", "", "Non-global *", "$0.01", "$0.02"),
         html_row("td", "", "Text output", "Global", dollars(base * 3), dollars(base * 4)),
     )
-    return extract.extract_prices(pages).select(
+    return extract.extract_prices(pages, ["google"]).select(
         "page_id", "model_id", "component", "modality", "category", "service_tier", "context_window", "price"
     )
 
@@ -120,4 +120,4 @@ def extract_transposed(spark, d):
         html_row("td", "1M INPUT TOKENS (CACHE MISS)", dollars(base * 2), dollars(base * 5)),
         html_row("td", "1M OUTPUT TOKENS", dollars(base * 3), dollars(base * 6)),
     )
-    return extract.extract_prices(pages).select("page_id", "model_id", "context_window", "component", "price")
+    return extract.extract_prices(pages, ["deepseek"]).select("page_id", "model_id", "context_window", "component", "price")

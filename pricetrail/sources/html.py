@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,6 +17,16 @@ BLOCKS = (
     "page_id bigint, block_ord int, kind string, tag string, text string, "
     "table_ord int, row_ord int, cells array<string>"
 )
+ARROW = pa.schema([
+    ("page_id", pa.int64()),
+    ("block_ord", pa.int32()),
+    ("kind", pa.string()),
+    ("tag", pa.string()),
+    ("text", pa.string()),
+    ("table_ord", pa.int32()),
+    ("row_ord", pa.int32()),
+    ("cells", pa.list_(pa.string())),
+])
 # Tags without an end, tags whose text is not page text, headings.
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 HIDDEN = {"script", "style", "template"}
@@ -112,16 +122,29 @@ def page_blocks(html: str) -> list[tuple]:
     return list(parser.blocks())
 
 
-def _parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    names = ["page_id", "block_ord", "kind", "tag", "text", "table_ord", "row_ord", "cells"]
+FLUSH_ROWS = 20_000
+
+
+def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks of a batch of pages, sent on whenever enough rows have gathered."""
+    rows: list[tuple] = []
     for batch in batches:
-        for page_id, html in zip(batch["page_id"], batch["html"]):
-            rows = [(page_id, *b) for b in page_blocks(html)]
-            if rows:
-                out = pd.DataFrame(rows, columns=names)
-                yield out.astype({"table_ord": "Int32", "row_ord": "Int32"})
+        ids, texts = batch.column("page_id"), batch.column("html")
+        for page_id, html in zip(ids, texts):
+            key = page_id.as_py()
+            rows.extend((key, *b) for b in page_blocks(html.as_py()))
+            if len(rows) >= FLUSH_ROWS:
+                yield _batch(rows)
+                rows = []
+    if rows:
+        yield _batch(rows)
+
+
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    columns = [pa.array(values, kind) for values, kind in zip(zip(*rows), ARROW.types)]
+    return pa.RecordBatch.from_arrays(columns, schema=ARROW)
 
 
 def html_blocks(pages: DataFrame) -> DataFrame:
     """Blocks of each page in document order; ``pages`` has page_id and html."""
-    return pages.select(F.col("page_id").cast("long").alias("page_id"), "html").mapInPandas(_parse, BLOCKS)
+    return pages.select(F.col("page_id").cast("long").alias("page_id"), "html").mapInArrow(_parse, BLOCKS)

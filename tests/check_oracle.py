@@ -30,7 +30,7 @@ def canonical(pdf):
     pdf = pdf[sorted(pdf.columns)]
 
     def cell(v):
-        if v is None or v is pd.NaT or (isinstance(v, float) and v != v):
+        if v is None or v is pd.NaT or v is pd.NA or (isinstance(v, float) and v != v):
             return "~"
         if isinstance(v, float):
             return f"{v:.9g}" if v else "0"
@@ -44,8 +44,10 @@ def canonical(pdf):
             pdf = pdf.assign(**{c: pdf[c].astype(float)})
     rows = []
     for row in pdf.itertuples(index=False):
-        rows.append(tuple(cell(float(v)) if kinds[c] in "iuf" and v == v and v is not None else cell(v)
-                          for c, v in zip(pdf.columns, row)))
+        rows.append(tuple(
+            cell(v) if v is None or v is pd.NA or kinds[c] not in "iuf" or v != v else cell(float(v))
+            for c, v in zip(pdf.columns, row)
+        ))
     return sorted(rows)
 
 
