@@ -215,7 +215,7 @@ def apply_rules(rows: DataFrame, provider: str, rules: Sequence[Rule]) -> DataFr
         "service_tier", "context_window", "modality", "category", "billing_variant",
         tx.slugify(F.col("display_name")).alias("model_id"),
         F.lit(provider).alias("provider_id"),
-        ~(F.col("retires") & deprecated).alias("is_active"),
+        (~(F.col("retires") & deprecated)).alias("is_active"),
     )
 
 

@@ -9,6 +9,7 @@ import uuid
 from pyspark.sql import SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+_local_roots: dict[str, str] = {}
 
 
 def build_session(app: str = "pricetrail", master: str | None = None, **extra: str) -> SparkSession:
@@ -43,9 +44,10 @@ def shared_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder shared by all executors")
-    root = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
-    spark.conf.set(CHECKPOINT_CONF, root)
-    return root
+    app = spark.sparkContext.applicationId
+    if app not in _local_roots:
+        _local_roots[app] = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+    return _local_roots[app]
 
 
 def work_path(spark: SparkSession, name: str) -> str:

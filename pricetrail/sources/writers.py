@@ -60,11 +60,18 @@ def insert_if_absent(new: DataFrame, path: str, order: str) -> None:
     absent_rows(new, existing, order).write.mode("append").parquet(path)
 
 
+def by_partition(rows: DataFrame, *partition: str) -> DataFrame:
+    """Bring the rows of a folder together for writing: few files for a small
+    day, and AQE splits a day that is too big for one task."""
+    return rows.hint("rebalance", *partition)
+
+
 def replace_days(rows: DataFrame, path: str, partition: str = "date") -> None:
     """Replace the days present in ``rows`` and leave all others alone."""
+    inner = [c for c in ("provider_id", "pricing_id") if c in rows.columns]
     (
-        rows.repartition(partition)
-        .sortWithinPartitions(*[c for c in ("provider_id", "pricing_id") if c in rows.columns])
+        by_partition(rows, partition)
+        .sortWithinPartitions(partition, *inner)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition)
@@ -83,9 +90,12 @@ def rebuild(artifacts: dict[str, DataFrame], root: str) -> dict[str, str]:
 def incidents_by_day(incidents: DataFrame, path: str) -> None:
     """Keep incidents that were not a success, one folder per finishing day."""
     (
-        incidents.filter(F.col("status").isin(*INCIDENT_STATUSES))
-        .withColumn("day", F.substring("finished_at", 1, 10))
-        .write.mode("append")
+        by_partition(
+            incidents.filter(F.col("status").isin(*INCIDENT_STATUSES)).withColumn(
+                "day", F.substring("finished_at", 1, 10)
+            ),
+            "day",
+        ).write.mode("append")
         .partitionBy("day")
         .json(path)
     )
@@ -135,7 +145,7 @@ def document_meta(run_at: Column) -> dict[str, Column]:
 
 def write_documents(docs: DataFrame, path: str) -> None:
     """One JSON document part per line, under ``date=``."""
-    docs.drop("doc_part").write.mode("append").partitionBy("date").json(path)
+    by_partition(docs.drop("doc_part"), "date").write.mode("append").partitionBy("date").json(path)
 
 
 def fingerprints(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
