@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 
 # Word lists, patterns and labels that results depend on.
 SPACE = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
+# The same characters in the form the JVM matches fastest, and the runs of them
+# that are not already one plain space.
+ANY_SPACE = r"[\s\x1c-\x1f]"
+SPACE_RUN = rf"(?U) {ANY_SPACE}+|[\s\x1c-\x1f&&[^ ]]{ANY_SPACE}*"
 BARE_NUMBER = r"\A-?[0-9]+(\.[0-9]+)?\z"
 DOLLAR_NUMBER = r"\$([0-9]+(?:\.[0-9]+)?)"
 MODALITIES = ("text", "image", "video", "audio")
@@ -61,19 +65,20 @@ FUTURE_BYLINE = r"\bstarting\s+[a-z]+ [0-9]{1,2}, [0-9]{4}"
 
 
 def strip_space(c: Column) -> Column:
-    return F.regexp_replace(F.regexp_replace(c, r"\A" + SPACE, ""), SPACE + r"\z", "")
+    return F.regexp_replace(F.regexp_replace(c, rf"(?U)\A{ANY_SPACE}+", ""), rf"(?U){ANY_SPACE}+\z", "")
 
 
 def norm(c: Column) -> Column:
     """Trim and collapse whitespace; null becomes the empty string."""
-    return F.trim(F.regexp_replace(F.coalesce(c, F.lit("")), SPACE, " "))
+    return F.trim(F.regexp_replace(F.coalesce(c, F.lit("")), SPACE_RUN, " "))
 
 
 def slugify(c: Column) -> Column:
     """Lower-case slug of letters, digits, dots and single dashes."""
-    dashed = F.translate(F.lower(norm(c)), "—–", "--")
+    dash = F.lit("-")
+    dashed = F.replace(F.replace(F.lower(norm(c)), F.lit("—"), dash), F.lit("–"), dash)
     kept = F.regexp_replace(dashed, r"[^a-z0-9.\- ]+", "")
-    return F.btrim(F.regexp_replace(F.translate(kept, " ", "-"), "-+", "-"), F.lit("-"))
+    return F.btrim(F.regexp_replace(kept, "[ -]+", "-"), dash)
 
 
 def joined_id(*parts: Column) -> Column:
@@ -348,7 +353,9 @@ def url_without_param(url: Column, drop: str, default: tuple[str, str], schemes:
 
 def words(c: Column) -> Column:
     """Number of whitespace-separated words."""
-    return F.size(F.filter(F.split(c, SPACE), lambda w: w != ""))
+    text = norm(c)
+    gaps = F.char_length(text) - F.char_length(F.replace(text, F.lit(" "), F.lit("")))
+    return F.when(c.isNotNull(), gaps + (text != "").cast("int"))
 
 
 def text_sizes(c: Column) -> dict[str, Column]:

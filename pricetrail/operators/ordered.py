@@ -47,18 +47,29 @@ def as_number(df: DataFrame, name: str) -> Column:
 
 
 def with_chunks(
-    df: DataFrame, keys: Sequence[str], order: str, rows_per_chunk: int = ROWS_PER_CHUNK
+    df: DataFrame,
+    keys: Sequence[str],
+    order: str,
+    rows_per_chunk: int = ROWS_PER_CHUNK,
+    shared: Sequence[str] = (),
 ) -> DataFrame:
     """Add ``__chunk``: 0 for ordinary keys, an order-preserving slice for hot ones.
 
     Slices are equal in width and ``OVERSPLIT`` times as many as the row count
     asks for, so uneven arrival still leaves each of them small. Rows with the
     same order value always share a chunk.
+
+    ``shared`` names columns the key statistics read too. When ``df`` is itself
+    an aggregate, its shuffle is then the same for the statistics as for the
+    rows and runs once; otherwise column pruning would set them apart.
     """
     value = as_number(df, order)
+    size = F.count(F.lit(1))
+    if shared:
+        size = F.greatest(size, *[F.count(c) for c in shared])
     stats = (
         df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("__n"), F.min(value).alias("__lo"), F.max(value).alias("__hi"))
+        .agg(size.alias("__n"), F.min(value).alias("__lo"), F.max(value).alias("__hi"))
         .filter(F.col("__n") > rows_per_chunk)
         .select(
             *[F.col(k).alias(f"__k_{k}") for k in keys],
@@ -104,12 +115,13 @@ def running_sum(
     out: str,
     rows_per_chunk: int = ROWS_PER_CHUNK,
     total: str | None = None,
+    shared: Sequence[str] = (),
 ) -> DataFrame:
     """Running sum per key; a null value stays null and adds nothing.
 
     With ``total`` the sum over the whole key is added too.
     """
-    cut = with_chunks(df, keys, order[0], rows_per_chunk)
+    cut = with_chunks(df, keys, order[0], rows_per_chunk, shared)
     before = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*keys)
     offsets = (
@@ -186,7 +198,7 @@ def exact_quantiles(
         .groupBy(*keys, F.col(value).cast("double").alias("__v"))
         .agg(F.count(F.lit(1)).alias("__c"))
     )
-    ranked = running_sum(counts, keys, ["__v"], "__c", "__upto", rows_per_chunk, total="__n")
+    ranked = running_sum(counts, keys, ["__v"], "__c", "__upto", rows_per_chunk, total="__n", shared=["__c"])
     picks = []
     for name, p in probs.items():
         rank = (F.col("__n") - 1) * F.lit(float(p))

@@ -38,8 +38,10 @@ def dollars(c):
 
 def part_pages(spark, d, provider, before, *rows):
     """One page per part with a price table of the given rows."""
+    # Rows are spread while they are narrow; the pages made of them are costly to parse.
+    parts = load(spark, d, "part").repartition(spark.sparkContext.defaultParallelism, "p_partkey")
     html = F.concat(F.lit("<html><body>" + before + "<table>"), *rows, F.lit("</table></body></html>"))
-    return load(spark, d, "part").select(
+    return parts.select(
         F.col("p_partkey").alias("page_id"), F.lit(provider).alias("provider_id"), html.alias("html")
     )
 

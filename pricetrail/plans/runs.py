@@ -27,7 +27,7 @@ def meter_runs(spark, d):
     items = load(spark, d, "lineitem")
     tax, off = F.col("l_tax"), F.col("l_discount")
     return items.select(
-        F.date_format("l_shipdate", "yyyy-MM-01").alias("run_date"),
+        F.to_date(F.date_trunc("month", "l_shipdate")).cast("string").alias("run_date"),
         F.lit(None).cast("string").alias("run_week"),
         F.col("l_returnflag").alias("provider_id"),
         F.when(F.col("l_linestatus") == "F", "flagship").otherwise("workhorse").alias("tier"),
