@@ -555,7 +555,8 @@ def extract_prices(pages: DataFrame, providers: Sequence[str] = tuple(PROVIDER_R
     """Component rows of all pages; ``pages`` has provider_id, page_id, html.
 
     A provider's pages are parsed once, by its own branch: the provider filter
-    sits below the parser. The arrival columns order rows for last-wins dedupe.
+    sits below the parser, and prunes folders when pages are stored by provider.
+    The arrival columns order rows for last-wins dedupe.
     """
     out = None
     for place, provider in enumerate(PROVIDER_RULES):

@@ -222,7 +222,9 @@ def collection_health(panel: DataFrame, attempts: DataFrame, sources: Sequence[s
     api_model, run_at and ``ord``. It is reduced to one row per (source,
     provider, tier, date) before anything else happens.
     """
-    tried = attempts.filter(F.col("run_status").isNotNull() & (F.col("run_status") != "dry_run"))
+    tried = attempts.filter(
+        F.col("run_status").isNotNull() & (F.col("run_status") != "dry_run") & F.col("source").isin(*sources)
+    )
     ok = F.col("run_status") == "ok"
     newest = F.struct(F.coalesce("run_at", F.lit("")).alias("at"), (-F.col("ord")).alias("o"))
     daily = tried.groupBy("source", "provider_id", "tier", "date").agg(
@@ -368,6 +370,21 @@ def latest_slice(rows: DataFrame, date: str = "date") -> DataFrame:
     return rows.filter(F.col(date) == global_value(rows, F.max(date)))
 
 
+def latest_runs(rows: DataFrame, date: str = "date") -> DataFrame:
+    """One row: newest date, its rows, all rows, and its workhorse replicates.
+
+    Counts per date come first, so the newest date is picked from one row per day.
+    """
+    replicate = F.when(F.col("tier") == "workhorse", F.coalesce("replicate", F.lit(1)))
+    per_day = rows.groupBy(date).agg(F.count(F.lit(1)).alias("n"), F.max(replicate).alias("reps"))
+    return per_day.agg(
+        F.max(date).alias("latest_date"),
+        F.max_by("n", date).alias("latest_row_count"),
+        F.sum("n").alias("total_row_count"),
+        F.coalesce(F.max_by(F.struct("reps"), date)["reps"], F.lit(1)).alias("workhorse_replicates"),
+    )
+
+
 def alternation_checks(turns: DataFrame, user_words: tuple[int, int], assistant_words: tuple[int, int]) -> DataFrame:
     """Per conversation: even turns are the user's, odd ones the assistant's, and
     each message keeps its word budget. Needs no window: a turn knows its place."""

@@ -117,7 +117,7 @@ def needs_context(rows: DataFrame) -> DataFrame:
 def lifecycle(series: DataFrame, schemas: DataFrame, order: Sequence[str] = ("date",)) -> DataFrame:
     """One row per id: first and last sight, deprecation, and latest prices.
 
-    ``schemas`` maps each date to its document version; ids last seen under a
+    ``schemas`` holds the document version of each date, one row per date; ids last seen under a
     1.x version are renames, not retirements, and are left out.
     """
     at = F.struct(*order)
@@ -133,10 +133,10 @@ def lifecycle(series: DataFrame, schemas: DataFrame, order: Sequence[str] = ("da
         F.min(F.when(flagged, F.col("date"))).alias("deprecated_on"),
         F.max_by(F.struct(*last_fields), at).alias("__last"),
     )
-    current = F.coalesce(F.col("schema_version"), F.lit("")).startswith("1.")
-    dated = per_id.join(
-        schemas.select(F.col("date").alias("last_seen"), "schema_version"), "last_seen", "left"
-    ).filter(~current)
+    old = F.coalesce(F.col("schema_version"), F.lit("")).startswith("1.")
+    # One row per date of the record, whatever the number of ids.
+    by_date = F.broadcast(schemas.select(F.col("date").alias("last_seen"), "schema_version"))
+    dated = per_id.join(by_date, "last_seen", "left").filter(~old)
     latest = global_value(series, F.max("date"))
     present = F.col("last_seen") == F.col("__latest")
     return dated.withColumn("__latest", latest).select(

@@ -32,15 +32,15 @@ def cycle_position(rows: DataFrame, key: str, time: str) -> DataFrame:
     like any skewed join instead of filling one window partition.
     """
     starts = rows.groupBy(key).agg(F.date_trunc("day", F.min(time)).alias("cycle_start"))
-    seconds = _seconds(F.col(time)) - _seconds(F.col("cycle_start"))
-    return rows.join(starts, key).withColumn("day_of_cycle", seconds / F.lit(86400.0))
+    micros = _micros(F.col(time)) - _micros(F.col("cycle_start"))
+    return rows.join(starts, key).withColumn("day_of_cycle", micros / F.lit(1e6) / F.lit(86400.0))
 
 
-def _seconds(c: Column) -> Column:
-    """Seconds since 1970 from calendar fields, independent of any zone."""
-    day = F.unix_date(F.to_date(c)).cast("double") * 86400
-    micros = F.date_format(c, "SSSSSS").cast("double") / 1e6
-    return day + F.hour(c) * 3600 + F.minute(c) * 60 + F.second(c) + micros
+def _micros(c: Column) -> Column:
+    """Whole microseconds since 1970 from calendar fields, independent of any zone."""
+    minutes = (F.unix_date(F.to_date(c)).cast("long") * 24 + F.hour(c)) * 60 + F.minute(c)
+    second = F.date_part(F.lit("SECOND"), c)
+    return minutes * 60_000_000 + (second * 1_000_000).cast("long")
 
 
 def cumulative(

@@ -235,6 +235,20 @@ def latest_slice(spark, d):
     return gates.latest_slice(attempts(spark, d)).select("ord", "source", "provider_id", "tier")
 
 
+@query("latest_runs", """
+  WITH r AS (SELECT l_shipdate::DATE AS date, CASE l_linestatus WHEN 'F' THEN 'flagship' ELSE 'workhorse' END AS tier,
+    CASE WHEN l_linenumber > 2 THEN l_linenumber::BIGINT END AS replicate FROM lineitem)
+  SELECT max(date) AS latest_date, count(*) FILTER (date = (SELECT max(date) FROM r)) AS latest_row_count, count(*) AS total_row_count,
+    coalesce(max(coalesce(replicate, 1)) FILTER (tier = 'workhorse' AND date = (SELECT max(date) FROM r)), 1) AS workhorse_replicates FROM r""")
+def latest_runs(spark, d):
+    rows = load(spark, d, "lineitem").select(
+        F.to_date("l_shipdate").alias("date"),
+        F.when(F.col("l_linestatus") == "F", "flagship").otherwise("workhorse").alias("tier"),
+        F.when(F.col("l_linenumber") > 2, F.col("l_linenumber").cast("long")).alias("replicate"),
+    )
+    return gates.latest_runs(rows)
+
+
 @query("conversation_checks", f"""
   WITH t AS (SELECT *, len([x for x in regexp_split_to_array(text, '{tx.SPACE}') if x <> '']) AS words FROM conversations)
   SELECT conv_id, count(*) AS turns, count(*) FILTER (role = 'user') AS user_turns,

@@ -17,7 +17,7 @@ from .base import OBS, SERIES, TIER, day_of, flag, load, observations, query, r4
       WINDOW w AS (PARTITION BY pricing_id ORDER BY date))
   SELECT pricing_id, 'value' AS field, prev_date, date, from_value, value AS to_value,
     round(value - from_value, 4) AS delta,
-    round((value - from_value) / nullif(from_value, 0) * 100, 1) AS pct
+    round(((value - from_value) / nullif(from_value, 0) * 100)::DECIMAL(38, 15), 1)::DOUBLE AS pct
   FROM l WHERE from_value <> value""")
 def change_events(spark, d):
     events = h.change_events(observations(spark, d), ["value"])

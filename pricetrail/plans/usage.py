@@ -44,7 +44,7 @@ def cumulative_after_dedupe(spark, d):
 
 
 @query("cycle_position", """
-  SELECT user_id, event_id, round((epoch_us(ts) - epoch_us(date_trunc('day', min(ts) OVER (PARTITION BY user_id))::TIMESTAMP)) / 86400e6, 6) AS day_of_cycle
+  SELECT user_id, event_id, round((epoch_us(ts) - epoch_us(date_trunc('day', min(ts) OVER (PARTITION BY user_id))::TIMESTAMP)) / 1e6 / 86400, 6) AS day_of_cycle
   FROM events""")
 def cycle_position(spark, d):
     out = u.cycle_position(tokens(spark, d), "user_id", "ts")

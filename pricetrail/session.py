@@ -27,6 +27,8 @@ def build_session(app: str = "pricetrail", master: str | None = None, **extra: s
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # Bounds what a Python task holds when pages are large.
+        "spark.sql.execution.arrow.maxBytesPerBatch": "67108864",
         **extra,
     }
     for key, value in settings.items():

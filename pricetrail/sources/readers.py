@@ -125,6 +125,12 @@ def read_datasets(
     return out, spark.createDataFrame(report, "dataset_id string, status string")
 
 
+def staging_views(pricing: DataFrame, usage: DataFrame) -> None:
+    """Name the staged tables for SQL; like a view, they are computed when read."""
+    pricing.createOrReplaceTempView("stg_pricing")
+    usage.createOrReplaceTempView("stg_usage")
+
+
 def stage_usage(raw: DataFrame) -> DataFrame:
     """Typed session columns from a raw usage table (dataset_id, payload text).
 

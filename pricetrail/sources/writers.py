@@ -47,10 +47,13 @@ def absent_rows(new: DataFrame, existing: DataFrame, order: str) -> DataFrame:
 
     ``new`` has ``content_sha256`` and a unique ``order``. Copies are thinned to
     one order value per hash before any join, so payloads of a heavily copied
-    document are never brought together.
+    document are never brought together. The table is only ever the streamed
+    side of a semi join: with a batch small enough to broadcast it is scanned
+    for its hashes and not shuffled.
     """
     first = new.groupBy("content_sha256").agg(F.min(order).alias(order))
-    fresh = first.join(existing.select("content_sha256"), "content_sha256", "left_anti")
+    known = existing.select("content_sha256").join(first, "content_sha256", "left_semi")
+    fresh = first.join(known, "content_sha256", "left_anti")
     return new.join(fresh.select(order), order, "left_semi")
 
 
@@ -113,7 +116,7 @@ def build_documents(
     A day with many rows becomes several parts of about ``rows_per_part`` rows,
     each a complete document; readers explode them alike. ``ord`` inside each
     element keeps the order across parts. The table of part counts has one row
-    per day.
+    per day, so it is broadcast.
     """
     sizes = rows.groupBy("date").agg(
         F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / rows_per_part)).cast("long").alias("__parts")
@@ -121,7 +124,7 @@ def build_documents(
     part = F.pmod(F.xxhash64(order), F.col("__parts"))
     body = [c for c in rows.columns if c != "date"]
     return (
-        rows.join(sizes, "date")
+        rows.join(F.broadcast(sizes), "date")
         .withColumn("doc_part", part)
         .groupBy("date", "doc_part")
         .agg(F.sort_array(F.collect_list(F.struct(F.col(order).alias("ord"), F.struct(*body).alias("row")))).alias("__r"))

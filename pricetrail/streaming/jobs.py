@@ -92,8 +92,9 @@ def upsert_days(
     def merge(batch: DataFrame, _: int) -> None:
         new = last_wins(batch, list(keys), list(order))
         existing = writers.table_or_empty(batch.sparkSession, target, batch.schema)
-        days = new.select(partition).distinct()
-        touched = existing.join(days, partition, "left_semi")
+        # The days of a batch are few, and as literals they prune the table's folders.
+        days = [r[0] for r in new.select(partition).distinct().collect()]
+        touched = existing.filter(F.col(partition).isin(days))
         writers.replace_days(checkpointed(upsert(touched, new, keys), "upsert"), target, partition)
 
     return _start(stream, merge, checkpoint)

@@ -67,6 +67,8 @@ def test_usage_staging(spark, rows):
     raw = spark.createDataFrame([("d", json.dumps(doc)), (None, json.dumps(doc))], "dataset_id string, payload string")
     (r,) = rows(readers.stage_usage(raw).withColumn("messages", F.to_json("messages")))
     assert (r["start_time"], r["input_tokens"], r["output_tokens"], r["messages"]) == (dt.datetime(2026, 1, 1, 10), 5, None, "[1,2]")
+    readers.staging_views(spark.range(2), readers.stage_usage(raw))
+    assert spark.sql("SELECT count(*) AS n FROM stg_usage WHERE session_id IS NOT NULL").first().n == 1
 
 
 def payloads(spark, *pairs):
