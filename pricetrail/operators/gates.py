@@ -75,43 +75,35 @@ def sanity_issues(
     total_floor: int = TOTAL_FLOOR,
 ) -> DataFrame:
     """Rule violations of a new snapshot: (scope, rule, current, bound, detail)."""
-    counts = provider_counts(new, old, floors)
-    ratio_on = F.lit(old_schema == CURRENT_SCHEMA)
+    return issues_of(provider_counts(new, old, floors), old_schema, total_floor)
+
+
+def issues_of(counts: DataFrame, old_schema: str | None, total_floor: int = TOTAL_FLOOR) -> DataFrame:
+    """Rule violations of provider counts; the total is a rollup of the same rows."""
+    rolled = counts.rollup("provider_id").agg(
+        F.grouping("provider_id").alias("is_total"),
+        F.sum("current").alias("current"),
+        F.sum("previous").alias("previous"),
+        F.max("floor").alias("floor"),
+    )
+    total = F.col("is_total") == 1
+    listed = ~total & F.col("floor").isNotNull()
+    known = F.lit(old_schema == CURRENT_SCHEMA) & (F.col("previous") > 0)
     share = F.greatest(F.lit(1), F.floor(F.col("previous") * PROVIDER_RATIO))
     percent = int(PROVIDER_RATIO * 100)
-    per_provider = counts.filter(F.col("floor").isNotNull()).select(
-        F.col("provider_id").alias("scope"),
-        F.inline(F.array_compact(F.array(
-            F.when(
-                F.col("current") < F.col("floor"),
-                _issue("provider_floor", F.col("floor"), F.format_string(
-                    "%s rows %d below provider floor %d", "provider_id", "current", "floor")),
-            ),
-            F.when(
-                ratio_on & (F.col("previous") > 0) & (F.col("current") < share),
-                _issue("provider_ratio", share, F.format_string(
-                    f"%s rows %d below {percent}%% of previous snapshot (%d)",
-                    "provider_id", "current", "previous")),
-            ),
-        ))),
-    )
-    totals = counts.agg(F.sum("current").alias("current"), F.sum("previous").alias("previous"))
-    overall = totals.select(
-        F.lit("total").alias("scope"),
-        F.inline(F.array_compact(F.array(
-            F.when(
-                F.col("current") < total_floor,
-                _issue("total_floor", F.lit(total_floor), F.format_string(
-                    f"total rows %d below minimum floor {total_floor}", "current")),
-            ),
-            F.when(
-                ratio_on & (F.col("previous") > 0) & (F.col("current") < F.col("previous") * TOTAL_RATIO),
-                _issue("total_ratio", F.col("previous"), F.format_string(
-                    "total rows %d dropped below 50%% of previous snapshot (%d)", "current", "previous")),
-            ),
-        ))),
-    )
-    return overall.unionByName(per_provider)
+    current = F.col("current")
+    found = F.array_compact(F.array(
+        F.when(total & (current < total_floor), _issue("total_floor", F.lit(total_floor), F.format_string(
+            f"total rows %d below minimum floor {total_floor}", current))),
+        F.when(total & known & (current < F.col("previous") * TOTAL_RATIO), _issue("total_ratio", F.col("previous"), F.format_string(
+            "total rows %d dropped below 50%% of previous snapshot (%d)", current, "previous"))),
+        F.when(listed & (current < F.col("floor")), _issue("provider_floor", F.col("floor"), F.format_string(
+            "%s rows %d below provider floor %d", "provider_id", current, "floor"))),
+        F.when(listed & known & (current < share), _issue("provider_ratio", share, F.format_string(
+            f"%s rows %d below {percent}%% of previous snapshot (%d)", "provider_id", current, "previous"))),
+    ))
+    scope = F.when(total, "total").otherwise(F.col("provider_id"))
+    return rolled.select(scope.alias("scope"), F.inline(found))
 
 
 def _issue(rule: str, bound: Column, detail: Column) -> Column:
@@ -123,16 +115,25 @@ def _issue(rule: str, bound: Column, detail: Column) -> Column:
     )
 
 
+def _collapsed(old_schema: str | None) -> tuple[Column, Column]:
+    """(whether a provider's rows collapsed, the rows expected of it)."""
+    expected = F.greatest(F.col("floor"), F.floor(F.col("previous") * PROVIDER_RATIO))
+    weak = (
+        F.lit(old_schema == CURRENT_SCHEMA)
+        & F.col("floor").isNotNull()
+        & (F.col("previous") > 0)
+        & (F.col("current") < expected)
+    )
+    return weak, expected
+
+
 def fallback_providers(
     new: DataFrame, old: DataFrame, old_schema: str | None, floors: Mapping[str, int] = TIER_FLOORS
 ) -> DataFrame:
     """Providers whose rows collapsed: at most one row per entry of ``floors``."""
-    expected = F.greatest(F.col("floor"), F.floor(F.col("previous") * PROVIDER_RATIO))
-    return (
-        provider_counts(new, old, floors)
-        .filter(F.lit(old_schema == CURRENT_SCHEMA))
-        .filter(F.col("floor").isNotNull() & (F.col("previous") > 0) & (F.col("current") < expected))
-        .select("provider_id", "current", "previous", expected.cast("long").alias("expected"))
+    weak, expected = _collapsed(old_schema)
+    return provider_counts(new, old, floors).filter(weak).select(
+        "provider_id", "current", "previous", expected.cast("long").alias("expected")
     )
 
 
@@ -149,16 +150,35 @@ def carry_forward(
     return kept.unionByName(carried)
 
 
-def run_status(issues_after: DataFrame, fallbacks: DataFrame) -> DataFrame:
-    """One row: failed with any issue left, degraded after a fallback, else success."""
-    n_issues = issues_after.agg(F.count(F.lit(1)))
-    n_fallbacks = fallbacks.agg(F.count(F.lit(1)))
-    spark = issues_after.sparkSession
-    return spark.range(1).select(
-        F.when(n_issues.scalar() > 0, "failed")
-        .when(n_fallbacks.scalar() > 0, "degraded")
-        .otherwise("success")
-        .alias("status")
+def run_outcome(
+    new: DataFrame,
+    old: DataFrame,
+    old_schema: str | None,
+    floors: Mapping[str, int] = TIER_FLOORS,
+    total_floor: int = TOTAL_FLOOR,
+) -> DataFrame:
+    """One row: status after remediation, carried providers, issues left.
+
+    Failed with any issue left, degraded after a fallback, else success. The
+    counts after remediation follow from the counts before it, so the rows are
+    read once and never merged.
+    """
+    counts = provider_counts(new, old, floors)
+    weak, _ = _collapsed(old_schema)
+    after = counts.withColumn("weak", F.coalesce(weak, F.lit(False))).withColumn(
+        "current", F.when(F.col("weak"), F.col("previous")).otherwise(F.col("current"))
+    )
+    carried = after.filter("weak").select(
+        F.lit(1).alias("is_carried"), F.lit(0).alias("is_issue"), F.col("provider_id").alias("what")
+    )
+    issues = issues_of(after, old_schema, total_floor).select(
+        F.lit(0).alias("is_carried"), F.lit(1).alias("is_issue"), F.lit(None).cast("string").alias("what")
+    )
+    # Both sides are no longer than the list of floors.
+    return carried.unionByName(issues).agg(
+        F.when(F.sum("is_issue") > 0, "failed").when(F.sum("is_carried") > 0, "degraded").otherwise("success").alias("status"),
+        F.array_join(F.sort_array(F.collect_list("what")), ",").alias("carried_providers"),
+        F.coalesce(F.sum("is_issue"), F.lit(0)).alias("issues_left"),
     )
 
 

@@ -181,10 +181,11 @@ def active_only(series: DataFrame, models: DataFrame) -> DataFrame:
     return series.join(live.select("pricing_id"), "pricing_id", "left_semi")
 
 
-def archive_view(models: DataFrame, flagged: bool = False) -> DataFrame:
+def archive_view(models: DataFrame, first_date: Column, flagged: bool = False) -> DataFrame:
     """Models that left or are leaving, newest end first.
 
-    ``days_floor`` marks a run that began before the record did.
+    ``first_date`` is the first date of the record (a constant or a scalar
+    subquery); ``days_floor`` marks a run that may have begun before it.
     """
     ended = F.col("deprecated_on").isNotNull() | F.col("name_marks_deprecation")
     if flagged:
@@ -194,9 +195,8 @@ def archive_view(models: DataFrame, flagged: bool = False) -> DataFrame:
     retired = F.coalesce(
         F.col("deprecated_on"), F.when(~F.col("currently_present"), F.col("last_seen"))
     )
-    start = global_value(models, F.min("first_seen"))
     return (
-        models.withColumn("__start", start)
+        models.withColumn("__start", first_date)
         .filter(keep)
         .select(
             "pricing_id",

@@ -54,19 +54,25 @@ def carry_forward(spark, d):
     return merged.select("pricing_id", "provider_id", "value", flag(F.col("carried")).alias("carried"))
 
 
+OUTCOME_FLOORS = {"click": 10, "view": 10, "purchase": 60, "signup": 5}
+
+
 @query("run_status", f"""
-  WITH {CARRIED}, merged AS (SELECT provider_id FROM new WHERE provider_id NOT IN (SELECT * FROM weak)
-      UNION ALL SELECT provider_id FROM old WHERE provider_id IN (SELECT * FROM weak)),
-  left_over AS (SELECT f.provider_id FROM floors f WHERE f.provider_id IN ('click', 'view')
-      AND (SELECT count(*) FROM merged m WHERE m.provider_id = f.provider_id) < f.floor)
-  SELECT CASE WHEN (SELECT count(*) FROM left_over) > 0 THEN 'failed'
-    WHEN (SELECT count(*) FROM weak) > 0 THEN 'degraded' ELSE 'success' END AS status""")
+  WITH {OBS}, f AS (SELECT * FROM (VALUES ('click', 10), ('view', 10), ('purchase', 60), ('signup', 5)) t(p, floor)),
+  c AS (SELECT event_type AS p, count(*) FILTER (date = DATE '2024-01-11') AS cur, count(*) FILTER (date = DATE '2024-01-10') AS prev
+    FROM obs WHERE date IN (DATE '2024-01-10', DATE '2024-01-11') GROUP BY 1),
+  a AS (SELECT coalesce(c.p, f.p) AS p, f.floor, coalesce(prev, 0) AS prev,
+      coalesce(prev > 0 AND cur < greatest(floor, floor(prev * 0.45)), false) AS weak,
+      CASE WHEN coalesce(prev > 0 AND cur < greatest(floor, floor(prev * 0.45)), false) THEN prev ELSE coalesce(cur, 0) END AS cur
+    FROM c FULL JOIN f ON c.p = f.p),
+  i AS (SELECT p FROM a WHERE cur < floor UNION ALL SELECT p FROM a WHERE floor IS NOT NULL AND prev > 0 AND cur < greatest(1, floor(prev * 0.45))
+    UNION ALL SELECT 'total' FROM (SELECT sum(cur) AS n, sum(prev) AS m FROM a) WHERE n < 100
+    UNION ALL SELECT 'total' FROM (SELECT sum(cur) AS n, sum(prev) AS m FROM a) WHERE m > 0 AND n < m * 0.5)
+  SELECT CASE WHEN (SELECT count(*) FROM i) > 0 THEN 'failed' WHEN (SELECT bool_or(weak) FROM a) THEN 'degraded' ELSE 'success' END AS status,
+    coalesce((SELECT string_agg(p, ',' ORDER BY p) FROM a WHERE weak), '') AS carried_providers, (SELECT count(*) FROM i) AS issues_left""")
 def run_status(spark, d):
     old, new = two_days(spark, d)
-    merged = gates.carry_forward(new, old, "2.1.0", FLOORS)
-    low = {k: FLOORS[k] for k in ("click", "view")}
-    left_over = gates.sanity_issues(merged, old, None, low, 0)
-    return gates.run_status(left_over, gates.fallback_providers(new, old, "2.1.0", FLOORS))
+    return gates.run_outcome(new, old, "2.1.0", OUTCOME_FLOORS, 100)
 
 
 @query("gate_checks", f"""

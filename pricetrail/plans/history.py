@@ -8,6 +8,7 @@ from ..functions import text as tx
 from ..operators import history as h
 from ..operators import panel
 from ..operators.gates import counts_by_key as count_rows
+from ..operators.ordered import global_value
 from ..sources.readers import limited
 from .base import OBS, SERIES, TIER, day_of, flag, load, observations, query, r4, schemas, series, tiers
 
@@ -86,13 +87,14 @@ ARCHIVE = """
     coalesce(deprecated_on, CASE WHEN NOT currently_present THEN last_seen END) AS retired_on,
     greatest(0, date_diff('day', first_seen,
       coalesce(deprecated_on, CASE WHEN NOT currently_present THEN last_seen END)))::BIGINT AS days_active,
-    (first_seen = (SELECT min(first_seen) FROM models))::BIGINT AS days_floor,
+    (first_seen = (SELECT min(date) FROM series))::BIGINT AS days_floor,
     latest_input, latest_output
   FROM models WHERE """
 
 
 def archive(spark, d, flagged):
-    out = h.archive_view(models(spark, d), flagged)
+    first = global_value(series(spark, d), F.min("date"))
+    out = h.archive_view(models(spark, d), first, flagged)
     return out.select(
         "pricing_id", "provider_id", "first_seen", "deprecated_on", "last_listed", "retired_on",
         F.col("days_active").cast("long").alias("days_active"), flag(F.col("days_floor")).alias("days_floor"),

@@ -35,9 +35,11 @@ def test_sanity_text_and_version_rule(spark, rows):
     assert rows(gates.sanity_issues(new, old, "1.0", {"google": 50}, 10)) == []
     fallback = gates.fallback_providers(new, old, "2.1.0", {"google": 50})
     assert [r["expected"] for r in rows(fallback)] == [90]
-    none = gates.sanity_issues(new, old, "1.0", {"google": 50}, 10)
-    assert rows(gates.run_status(none, fallback)) == [{"status": "degraded"}]
-    assert rows(gates.run_status(none, fallback.filter("false"))) == [{"status": "success"}]
+    outcome = lambda *a: tuple(rows(gates.run_outcome(*a))[0].values())
+    assert outcome(new, old, "2.1.0", {"google": 50}, 10) == ("degraded", "google", 0)
+    assert outcome(new, old, "1.0", {"google": 50}, 10) == ("success", "", 0)
+    assert outcome(new, old, "2.1.0", {"google": 50, "xai": 1}, 10) == ("failed", "google", 1)
+    assert outcome(old, old, "2.1.0", {"google": 50}, 10) == ("success", "", 0)
 
 
 def test_gate_checks(spark, rows):

@@ -59,11 +59,11 @@ def test_lifecycle_of_gone_inactive_and_renamed_ids(spark, make, rows):
     assert out["gone"]["disappeared_after"] == day("2026-07-02") and not out["gone"]["currently_active"]
     assert out["off"]["last_active"] == day("2026-07-01") and out["off"]["deprecated_on"] == day("2026-07-03")
     assert out["off"]["currently_present"] and not out["off"]["currently_active"] and out["off"]["latest_input"] is None
-    archive = rows(h.archive_view(h.lifecycle(s, v)))
+    archive = rows(h.archive_view(h.lifecycle(s, v), F.lit("2026-07-01").cast("date")))
     assert [(a["pricing_id"], a["retired_on"], a["days_active"], a["days_floor"]) for a in archive] == [
         ("off", day("2026-07-03"), 2, True), ("gone", day("2026-07-02"), 1, True),
     ]
-    assert [a["pricing_id"] for a in rows(h.archive_view(h.lifecycle(s, v), flagged=True))] == ["off"]
+    assert [a["pricing_id"] for a in rows(h.archive_view(h.lifecycle(s, v), F.lit("2026-07-02").cast("date"), flagged=True))] == ["off"]
 
 
 def test_lifecycle_of_an_empty_series(spark, make, rows):
