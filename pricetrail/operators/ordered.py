@@ -43,6 +43,8 @@ def as_number(df: DataFrame, name: str) -> Column:
         return F.unix_micros(c) / F.lit(1e6)
     if isinstance(kind, T.DateType):
         return F.unix_date(c).cast("double")
+    if not isinstance(kind, T.NumericType):
+        raise TypeError(f"order column {name} must be a number, date or timestamp")
     return c.cast("double")
 
 
@@ -101,7 +103,7 @@ def _join_offsets(df: DataFrame, offsets: DataFrame, keys: Sequence[str]) -> Dat
         F.col(CHUNK).alias("__o_chunk"),
         *[c for c in offsets.columns if c not in (*keys, CHUNK)],
     )
-    condition = F.col(CHUNK) == F.col("__o_chunk")
+    condition = F.col(CHUNK).eqNullSafe(F.col("__o_chunk"))
     for k in keys:
         condition = condition & F.col(k).eqNullSafe(F.col(f"__o_{k}"))
     return df.join(renamed, condition, "left").drop("__o_chunk", *[f"__o_{k}" for k in keys])

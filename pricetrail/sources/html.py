@@ -88,7 +88,7 @@ class PageBlocks(HTMLParser):
                 return
 
     def handle_data(self, data):
-        text = data.strip()
+        text = " ".join(data.split())
         if not text or any(n.tag in HIDDEN for n in self.open):
             return
         for node in self.open:

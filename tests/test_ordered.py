@@ -18,7 +18,7 @@ def skewed(spark):
     for i in range(4000):
         hot = rnd.random() < 0.7
         key = 0 if hot else rnd.choice([None, 1, 2, 3, 4])
-        t = int(rnd.random() ** 3 * 10_000) if rnd.random() < 0.8 else rnd.randrange(10)
+        t = int(rnd.random() ** 3 * 10_000) if rnd.random() < 0.8 else rnd.choice([None, *range(9)])
         data.append((key, t, i, None if rnd.random() < 0.3 else rnd.randrange(50)))
     return spark.createDataFrame(data, "k int, t int, id int, v int").cache()
 
@@ -81,3 +81,27 @@ def test_first_and_last_wins(spark):
     df = spark.createDataFrame([("a", 1, "x"), ("a", 3, "y"), (None, 2, "z"), (None, 5, "w")], "k string, ord int, v string")
     assert {(r.k, r.v) for r in o.last_wins(df, ["k"], ["ord"]).collect()} == {("a", "y"), (None, "w")}
     assert {(r.k, r.v) for r in o.first_wins(df, ["k"], ["ord"]).collect()} == {("a", "x"), (None, "z")}
+
+
+def test_timestamps_and_dates_keep_their_order(spark):
+    df = spark.sql("""
+        SELECT 1 AS k, id, timestamp_ntz'2024-03-31 00:00:00' + make_interval(0, 0, 0, 0, 0, 0, CAST(id * 977.5 AS DECIMAL(18, 6))) AS ts,
+          date_add(date'2024-01-01', CAST(id AS INT)) AS day FROM range(500)""")
+    for order in ("ts", "day"):
+        got = o.running_sum(df, ["k"], [order, "id"], "id", "s", 20).collect()
+        assert all(r.s == r.id * (r.id + 1) // 2 for r in got)
+    with pytest.raises(TypeError):
+        o.running_sum(df.withColumn("x", F.col("id").cast("string")), ["k"], ["x"], "id", "s")
+
+
+def test_results_do_not_depend_on_the_session_zone(spark):
+    df = spark.sql("""
+        SELECT 0 AS k, id, timestamp_ntz'2024-10-27 00:00:00' + make_interval(0, 0, 0, 0, 0, CAST(id AS INT)) AS ts FROM range(300)""")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for name in ("UTC", "Europe/Berlin", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", name)
+            got = o.running_sum(df, ["k"], ["ts", "id"], "id", "s", 10).collect()
+            assert all(r.s == r.id * (r.id + 1) // 2 for r in got)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
