@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import measures as ms
 from ..functions import text as tx
-from ..schemas import PRICE_COLUMNS, SERIES, SERIES_PRICES, TRACKED_FIELDS
+from ..schemas import PRICE_COLUMNS, SERIES_PRICES, TRACKED_FIELDS
 from .ordered import ROWS_PER_CHUNK, carry_last, global_value, last_wins
 from .tiers import any_column_equals
 

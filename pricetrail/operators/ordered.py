@@ -68,7 +68,8 @@ def with_chunks(
     value = as_number(df, order)
     size = F.count(F.lit(1))
     if shared:
-        size = F.greatest(size, *[F.count(c) for c in shared])
+        # Never more than the row count; the nullable argument keeps the column in the plan.
+        size = F.greatest(size, *[F.count(F.nullif(F.hash(c), F.lit(0))) for c in shared])
     stats = (
         df.groupBy(*keys)
         .agg(size.alias("__n"), F.min(value).alias("__lo"), F.max(value).alias("__hi"))
