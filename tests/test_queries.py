@@ -7,6 +7,7 @@ import pytest
 
 import __spark_entry__ as entry
 from check_oracle import compare, connect
+from pricetrail.plans import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
 needs_data = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
@@ -20,16 +21,16 @@ def duck():
 
 
 @needs_data
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, duck, name):
-    status, detail = compare(spark, duck, SF, name, entry.queries()[name], entry.oracle_sql().get(name))
+    status, detail = compare(spark, duck, SF, name, QUERIES[name], ORACLES.get(name))
     assert status in ("ok", "rows-only", "EMPTY"), detail
 
 
 @needs_data
-@pytest.mark.parametrize("name", sorted(n for n in entry.queries() if not n.startswith("stream_")))
+@pytest.mark.parametrize("name", sorted(n for n in QUERIES if not n.startswith("stream_")))
 def test_plan_has_no_products_or_row_udfs(spark, name):
-    plan = entry.queries()[name](spark, SF)._jdf.queryExecution().toString()
+    plan = QUERIES[name](spark, SF)._jdf.queryExecution().toString()
     assert not re.search(r"CartesianProduct|BatchEvalPython|ArrowEvalPython|FlatMapGroupsInPandas", plan)
     assert "BroadcastNestedLoopJoin" not in plan
 
