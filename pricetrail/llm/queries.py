@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import mixing  # noqa: F401
+from . import linededup, mixing  # noqa: F401
 from .common import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
