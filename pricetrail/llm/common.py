@@ -39,6 +39,20 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+#: Arrow batches of whole texts, so that a Python task holds a few MB at a time.
+BATCH_ROWS = 512
+BATCH_BYTES = 8 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lower the session's Arrow batch sizes to what texts need; never raise them."""
+    for key, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        key = f"spark.sql.execution.arrow.{key}"
+        now = "".join(c for c in spark.conf.get(key, "0") if c.isdigit())
+        if not 0 < int(now or 0) <= most:
+            spark.conf.set(key, str(most))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontam, linededup, mixing  # noqa: F401
+from . import decontam, langid, linededup, mixing  # noqa: F401
 from .common import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
