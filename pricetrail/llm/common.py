@@ -48,7 +48,7 @@ def small_batches(spark: SparkSession) -> None:
     """Lower the session's Arrow batch sizes to what texts need; never raise them."""
     for key, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
         key = f"spark.sql.execution.arrow.{key}"
-        now = "".join(c for c in spark.conf.get(key, "0") if c.isdigit())
+        now = "".join(c for c in spark.conf.get(key) if c.isdigit())
         if not 0 < int(now or 0) <= most:
             spark.conf.set(key, str(most))
 
