@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import query, table, utf8, words_of
+from .common import query, small_batches, table, utf8, words_of
 from .fmindex import FMIndex
 
 WINDOW = 10
@@ -179,6 +179,7 @@ def contamination(docs: DataFrame, items: DataFrame, width: int = WINDOW) -> Dat
     repeated items count once; empty tables give empty spans or no rows. Other
     columns are not read.
     """
+    small_batches(docs.sparkSession)
     spark = docs.sparkSession
     own = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     kind = own.schema["doc_id"].dataType.simpleString()

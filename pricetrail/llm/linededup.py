@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import checkpointed
-from .common import doc_key, query, table, utf8
+from .common import doc_key, query, small_batches, table, utf8
 
 MIN_CHARS = 10
 #: Sizes of a shard: repeated keys in its arrays, probes that one slot takes.
@@ -265,6 +265,7 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     are one document, after all others; a line repeated inside its first document
     stays there as often; an empty table stays empty.
     """
+    small_batches(docs.sparkSession)
     docs = docs.drop("n_lines", "n_dropped")
     drops = dropped_lines(docs.select("doc_id", "text")).groupBy("doc").agg(F.collect_set("h1").alias("_drops"))
     names = docs.columns
