@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontam, langid, licenses, linededup, mixing, neardup, quality, secrets  # noqa: F401
+from . import decontam, langid, licenses, linededup, mixing, neardup, pii, quality, secrets  # noqa: F401
 from .common import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
