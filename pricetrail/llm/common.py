@@ -79,3 +79,11 @@ def utf8(column) -> list[bytes | None]:
 def doc_key(c: Column) -> Column:
     """Identity of a document: its id; rows without an id are one document, after all others."""
     return F.coalesce(c.cast("long"), F.lit(2**63 - 1))
+
+
+def free_name(df: DataFrame, base: str) -> str:
+    """A column name that ``df`` does not use, whatever its case."""
+    taken = {c.lower() for c in df.columns}
+    while base in taken:
+        base += "_"
+    return base

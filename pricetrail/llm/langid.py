@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import query, small_batches, table, utf8
+from .common import free_name, query, small_batches, table, utf8
 
 BUCKET_BITS = 15
 BUCKETS = 1 << BUCKET_BITS
@@ -150,8 +150,9 @@ def identify(docs: DataFrame) -> DataFrame:
     small_batches(docs.sparkSession)
     docs = docs.drop("held_out", "lang_pred", "score")
     model = train(docs.filter(~held_out()).select("text", "lang"))
-    rows = docs.withColumn("_language", language(docs, model)).withColumn("held_out", held_out())
-    return rows.select(*docs.columns, "held_out", "_language.lang_pred", "_language.score")
+    found = free_name(docs, "found")
+    rows = docs.withColumn(found, language(docs, model)).withColumn("held_out", held_out())
+    return rows.select(*docs.columns, "held_out", f"{found}.lang_pred", f"{found}.score")
 
 
 @query("op4_language_id")

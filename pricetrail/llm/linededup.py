@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import checkpointed
-from .common import doc_key, query, small_batches, table, utf8
+from .common import doc_key, free_name, query, small_batches, table, utf8
 
 MIN_CHARS = 10
 #: Sizes of a shard: repeated keys in its arrays, probes that one slot takes.
@@ -203,11 +203,10 @@ def line_index(docs: DataFrame) -> tuple[DataFrame, DataFrame, int]:
         .filter("first < last").drop("last")
     )
     repeated = checkpointed(counted, "line_counts")
-    probes = seen.get["n"]
+    keys = repeated.count()
+    probes = seen.get["n"] if keys else 0
     n_shards = max(
-        int(spark.conf.get("spark.sql.shuffle.partitions")),
-        math.ceil(repeated.count() / SHARD_KEYS), math.ceil(probes / SLOT_PROBES),
-    )
+        int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(keys / SHARD_KEYS), math.ceil(probes / SLOT_PROBES))
     keyed = repeated.withColumn("shard", F.pmod("h1", F.lit(n_shards)))
     shards = checkpointed(keyed.groupBy("shard").applyInPandas(_build_shard, "shard long, arrays binary"), "line_shards")
     slots = keyed.groupBy("shard").agg(F.ceil(F.sum("n") / SLOT_PROBES).cast("int").alias("slots")).filter("slots > 1")
@@ -267,10 +266,9 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     """
     small_batches(docs.sparkSession)
     docs = docs.drop("n_lines", "n_dropped")
-    drops = dropped_lines(docs.select("doc_id", "text")).groupBy("doc").agg(F.collect_set("h1").alias("_drops"))
-    names = docs.columns
-    packed = docs.select(*[docs[c] for c in names], doc_key(docs["doc_id"]).alias("_line_doc"))
-    joined = packed.join(drops, packed["_line_doc"] == drops["doc"], "left").select(*[packed[c] for c in names], drops["_drops"])
+    names, own, drop = docs.columns, free_name(docs, "own"), free_name(docs, "drops")
+    drops = dropped_lines(docs.select("doc_id", "text")).groupBy(F.col("doc").alias(own)).agg(F.collect_set("h1").alias(drop))
+    joined = docs.withColumn(own, doc_key(F.col("doc_id"))).join(drops, own, "left").select(*names, drop)
     fields = [T.StructField("text", T.StringType()) if f.name == "text" else f for f in docs.schema.fields]
     out = T.StructType([*fields, T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())])
     return joined.mapInArrow(_rewrite(names.index("text")), out)

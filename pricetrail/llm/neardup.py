@@ -331,8 +331,8 @@ def distinct_documents(docs: DataFrame) -> DataFrame:
     Rows repeating that doc_id all stay.
     """
     classes = near_duplicates(docs.select("doc_id", "text")).filter("doc_id <> class_id").select(
-        F.col("doc_id").alias("_copy")).distinct()
-    return docs.join(classes, docs["doc_id"].cast("long") == classes["_copy"], "left_anti")
+        F.col("doc_id").alias("copy")).distinct()
+    return docs.alias("docs").join(classes.alias("copies"), F.col("docs.doc_id").cast("long") == F.col("copies.copy"), "left_anti")
 
 
 @query("op1_near_dedup")
