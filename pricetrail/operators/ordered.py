@@ -2,99 +2,104 @@
 
 A plain ``Window.partitionBy(key)`` sends a whole key to one task. The operators
 here cut only the *hot* keys (more than ``rows_per_chunk`` rows) into chunks that
-follow the order column, run the window inside each chunk, and add what came
+follow the order columns, run the window inside each chunk, and add what came
 before from a table with one row per chunk:
 
     rows --(keys, chunk)--> window ---+
                                       +--> result
     rows --partial agg--> one row per chunk --window over chunks--+
 
-The table of hot keys has at most ``rows / rows_per_chunk`` entries, so it is
-safe to broadcast; its size does not depend on how many keys there are. Keys
-that are not hot keep chunk 0 and pay for nothing but one extra column.
+Chunks are of equal depth: their bounds are quantiles of the key's own order
+values. A value so frequent that it fills chunks alone gets a chunk of its own,
+which is cut again by the next order column, and so on; only rows that tie in
+every order column stay together. Bounds are found once and written, so both
+branches see the same chunks.
+
+Without hot keys (one narrow count finds out) nothing is cut and the plan is the
+plain window. Lists of hot keys and cells have at most ``rows / rows_per_chunk``
+entries, whatever the number of keys, so they are broadcast.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import checkpointed
+
 ROWS_PER_CHUNK = 2_000_000
-OVERSPLIT = 8
 CHUNK = "__chunk"
 HOT = "__hot"
 
 
-def as_number(df: DataFrame, name: str) -> Column:
-    """The order column as a double; exact enough to place a row in a chunk.
+def _orderable(df: DataFrame, name: str) -> bool:
+    """Whether quantiles of a column can bound chunks."""
+    kinds = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)
+    return isinstance(df.schema[name].dataType, kinds)
 
-    Timestamps go through calendar fields, so the session zone (and its
-    daylight-saving jumps) cannot reorder zone-less timestamps.
-    """
-    kind = df.schema[name].dataType
-    c = F.col(name)
-    if isinstance(kind, T.TimestampNTZType):
-        days = F.unix_date(F.to_date(c)) * F.lit(86400.0)
-        return days + F.hour(c) * 3600.0 + F.minute(c) * 60.0 + F.second(c)
-    if isinstance(kind, T.TimestampType):
-        return F.unix_micros(c) / F.lit(1e6)
-    if isinstance(kind, T.DateType):
-        return F.unix_date(c).cast("double")
-    if not isinstance(kind, T.NumericType):
-        raise TypeError(f"order column {name} must be a number, date or timestamp")
-    return c.cast("double")
+
+def _match(names: Sequence[str], prefix: str) -> Column:
+    """Null-safe equality of columns with their renamed copies."""
+    same = F.lit(True)
+    for n in names:
+        same = same & F.col(n).eqNullSafe(F.col(f"{prefix}{n}"))
+    return same
+
+
+def _big(df: DataFrame, by: Sequence[str], least: int) -> tuple[DataFrame, int]:
+    """Groups of more than ``least`` rows as renamed columns, and the largest size."""
+    sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > least)
+    big = checkpointed(sizes.select(*[F.col(c).alias(f"__g_{c}") for c in by], "__n"), "hot_keys")
+    return big.drop("__n"), big.agg(F.max("__n")).first()[0] or 0
 
 
 def with_chunks(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: str,
-    rows_per_chunk: int = ROWS_PER_CHUNK,
-    shared: Sequence[str] = (),
+    df: DataFrame, keys: Sequence[str], order: str | Sequence[str], rows_per_chunk: int = ROWS_PER_CHUNK
 ) -> DataFrame:
-    """Add ``__chunk``: 0 for ordinary keys, an order-preserving slice for hot ones.
-
-    Slices are equal in width and ``OVERSPLIT`` times as many as the row count
-    asks for, so uneven arrival still leaves each of them small. Rows with the
-    same order value always share a chunk.
+    """Add ``__hot`` and ``__chunk``: 0 for ordinary keys, an order-preserving slice for hot ones.
 
-    ``shared`` names columns the key statistics read too. When ``df`` is itself
-    an aggregate, its shuffle is then the same for the statistics as for the
-    rows and runs once; otherwise column pruning would set them apart.
+    A level numbers the cells of one order column: 0 for nulls, even for a value
+    that is itself a bound, odd for what lies between two bounds. Only cells of
+    one value may be cut by the next column.
     """
-    value = as_number(df, order)
-    size = F.count(F.lit(1))
-    if shared:
-        # Never more than the row count; the nullable argument keeps the column in the plan.
-        size = F.greatest(size, *[F.count(F.nullif(F.hash(c), F.lit(0))) for c in shared])
-    stats = (
-        df.groupBy(*keys)
-        .agg(size.alias("__n"), F.min(value).alias("__lo"), F.max(value).alias("__hi"))
-        .filter(F.col("__n") > rows_per_chunk)
-        .select(
-            *[F.col(k).alias(f"__k_{k}") for k in keys],
-            "__lo",
-            (F.ceil(F.col("__n") / rows_per_chunk) * OVERSPLIT).alias("__parts"),
-            (F.col("__hi") - F.col("__lo")).alias("__span"),
-        )
-    )
-    same_key = [F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in keys]
-    condition = same_key[0]
-    for term in same_key[1:]:
-        condition = condition & term
-    part = F.floor((value - F.col("__lo")) / F.col("__span") * F.col("__parts"))
-    return (
-        df.join(F.broadcast(stats), condition, "left")
-        .withColumn(HOT, F.col("__parts").isNotNull())
-        .withColumn(
-            CHUNK,
-            F.when(F.col(HOT) & (F.col("__span") > 0), part).otherwise(F.lit(0)).cast("long"),
-        )
-        .drop("__lo", "__parts", "__span", *[f"__k_{k}" for k in keys])
-    )
+    keys, order = list(keys), [order] if isinstance(order, str) else list(order)
+    if not _orderable(df, order[0]):
+        raise TypeError(f"order column {order[0]} must be a number, date or timestamp")
+    hot, most = _big(df.select(*keys), keys, rows_per_chunk)
+    if not most:
+        return df.withColumns({HOT: F.lit(False), CHUNK: F.lit(0).cast("long")})
+    marked = hot.withColumn("__g_hot", F.lit(True))
+    out = df.join(F.broadcast(marked), _match(keys, "__g_"), "left")
+    out = out.withColumns({HOT: F.coalesce("__g_hot", F.lit(False)), CHUNK: F.lit(0).cast("long")})
+    out = out.drop("__g_hot", *[f"__g_{k}" for k in keys])
+    cells, by = hot.withColumn(f"__g_{CHUNK}", F.lit(0).cast("long")), [*keys, CHUNK]
+    for level, column in enumerate(order):
+        if not _orderable(df, column):
+            break
+        if level:
+            inside = out.filter(F.col(HOT) & (F.col(CHUNK) % 2 == 0))
+            cells, most = _big(inside.select(*by), by, 2 * rows_per_chunk)
+            if not most:
+                break
+        parts = 2 * math.ceil(most / rows_per_chunk)
+        probs = [i / parts for i in range(1, parts)]
+        inside = out.select(*by, column).join(F.broadcast(cells), _match(by, "__g_"), "left_semi")
+        bounds = inside.groupBy(*by).agg(
+            F.array_distinct(F.percentile_approx(column, probs, max(10_000, 20 * parts))).alias("__b"))
+        bounds = checkpointed(bounds.select(*[F.col(c).alias(f"__g_{c}") for c in by], "__b"), "chunk_bounds")
+        value = F.col(column)
+        upto = F.size(F.filter("__b", lambda b: b <= value))
+        cell = F.when(value.isNull(), 0).otherwise(1 + 2 * upto - F.array_contains("__b", value).cast("int"))
+        out = out.join(F.broadcast(bounds), _match(by, "__g_"), "left")
+        # Every level makes room below each chunk; a cell that is not cut keeps its parity.
+        room = 2 * (parts + 1)
+        out = out.withColumn(CHUNK, F.col(CHUNK) * room + F.coalesce(F.when(F.col("__b").isNotNull(), cell), F.col(CHUNK) % 2))
+        out = out.drop("__b", *[f"__g_{c}" for c in by])
+    return out
 
 
 def _join_offsets(df: DataFrame, offsets: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -118,13 +123,12 @@ def running_sum(
     out: str,
     rows_per_chunk: int = ROWS_PER_CHUNK,
     total: str | None = None,
-    shared: Sequence[str] = (),
 ) -> DataFrame:
     """Running sum per key; a null value stays null and adds nothing.
 
     With ``total`` the sum over the whole key is added too.
     """
-    cut = with_chunks(df, keys, order[0], rows_per_chunk, shared)
+    cut = with_chunks(df, keys, order, rows_per_chunk)
     before = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*keys)
     offsets = (
@@ -160,7 +164,7 @@ def carry_last(
     rows_per_chunk: int = ROWS_PER_CHUNK,
 ) -> DataFrame:
     """Last non-null ``value`` at or before each row, within its key."""
-    cut = with_chunks(df, keys, order[0], rows_per_chunk)
+    cut = with_chunks(df, keys, order, rows_per_chunk)
     known = F.col(value).isNotNull()
     before = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
@@ -201,7 +205,7 @@ def exact_quantiles(
         .groupBy(*keys, F.col(value).cast("double").alias("__v"))
         .agg(F.count(F.lit(1)).alias("__c"))
     )
-    ranked = running_sum(counts, keys, ["__v"], "__c", "__upto", rows_per_chunk, total="__n", shared=["__c"])
+    ranked = running_sum(checkpointed(counts, "value_counts"), keys, ["__v"], "__c", "__upto", rows_per_chunk, total="__n")
     picks = []
     for name, p in probs.items():
         rank = (F.col("__n") - 1) * F.lit(float(p))

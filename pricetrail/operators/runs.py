@@ -211,27 +211,34 @@ def upsert(existing: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFram
     return existing.join(marks, same, "left_anti").unionByName(new, allowMissingColumns=True)
 
 
-def transcript_prefixes(turns: DataFrame, max_exchanges: int = 10) -> DataFrame:
+def transcript_prefixes(turns: DataFrame, max_exchanges: int | None = None) -> DataFrame:
     """Size and text of the first n exchanges of each conversation.
 
-    A prefix never reaches past ``max_exchanges`` exchanges, so the rows that
-    can matter are cut by turn number first and each group is that short.
+    All exchanges, or as many as ``max_exchanges`` asks for. The text of a
+    conversation is put together once; its prefixes are cut from it by offsets.
     """
-    head = turns.filter(F.col("turn") < 2 * max_exchanges)
-    upto = Window.partitionBy("conv_id").orderBy("turn").rowsBetween(Window.unboundedPreceding, 0)
+    head = turns if max_exchanges is None else turns.filter(F.col("turn") < 2 * max_exchanges)
     line = F.concat(F.upper("role"), F.lit(": "), F.col("text"))
-    return (
-        head.withColumns({
-            "prefix_chars": F.sum(F.char_length("text")).over(upto),
-            "prefix_text": F.array_join(F.collect_list(line).over(upto), "\n\n"),
-        })
-        .filter(F.col("turn") % 2 == 1)
-        .select(
-            "conv_id",
-            F.floor((F.col("turn") + 1) / 2).cast("int").alias("exchanges"),
-            "prefix_chars",
-            "prefix_text",
-        )
+    held = head.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct(
+        "turn", F.coalesce(F.char_length("text"), F.lit(0)).cast("long").alias("chars"), line.alias("line")))).alias("turns"))
+    start = F.struct(
+        F.lit(0).cast("long").alias("chars"), F.lit(0).alias("at"),
+        F.array().cast("array<struct<turn:bigint,chars:bigint,at:int>>").alias("ends"))
+
+    def step(acc, t):
+        chars = acc["chars"] + t["chars"]
+        gap = F.when(acc["at"] > 0, 2).otherwise(0)
+        at = F.when(t["line"].isNull(), acc["at"]).otherwise(acc["at"] + gap + F.char_length(t["line"]))
+        end = F.struct(t["turn"].cast("long").alias("turn"), chars.alias("chars"), at.alias("at"))
+        return F.struct(chars.alias("chars"), at.alias("at"), F.concat(acc["ends"], F.array(end)).alias("ends"))
+
+    ends = F.filter(F.aggregate("turns", start, step, lambda acc: acc["ends"]), lambda e: e["turn"] % 2 == 1)
+    whole = F.array_join(F.transform("turns", lambda t: t["line"]), "\n\n")
+    return held.select("conv_id", whole.alias("whole"), F.explode(ends).alias("e")).select(
+        "conv_id",
+        F.floor((F.col("e.turn") + 1) / 2).cast("int").alias("exchanges"),
+        F.col("e.chars").alias("prefix_chars"),
+        F.substring("whole", F.lit(1), F.col("e.at")).alias("prefix_text"),
     )
 
 

@@ -19,7 +19,7 @@ RUNS = """runs AS (
     'm' || l_partkey AS model_id, (l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS ord FROM lineitem),
   corpus AS (SELECT chr(65 + (item_id % 4)::INT) AS task_id, sum(length(text))::BIGINT AS chars FROM benchmark GROUP BY 1),
   ok AS (SELECT r.* REPLACE (coalesce(r.input_chars, c.chars) AS input_chars) FROM runs r LEFT JOIN corpus c USING (task_id)
-    WHERE run_status = 'ok' AND date >= '1997-01-01')"""
+    WHERE run_status = 'ok')"""
 ORDER = ["o1", "o2", "o3", "o4", "o5"]
 
 
@@ -67,7 +67,7 @@ def corpus(spark, d):
     '1.0.0' AS output_policy_version
   FROM ok GROUP BY ALL""")
 def replicate_median(spark, d):
-    good = runs.usable_runs(meter_runs(spark, d), corpus(spark, d), "1997-01-01")
+    good = runs.usable_runs(meter_runs(spark, d), corpus(spark, d))
     out = runs.replicate_median(good, ORDER)
     return out.select(
         "date", "provider_id", "tier", "task_id", "model_id", "tokens_in", "tokens_out", "tokens_total", "input_chars",
@@ -262,7 +262,7 @@ def coalesce_fallback(spark, d):
 @query("transcript_prefix", """
   WITH t AS (SELECT conv_id, turn, sum(length(text)) OVER w AS prefix_chars,
       string_agg(upper(role) || ': ' || text, chr(10) || chr(10)) OVER w AS prefix_text
-    FROM conversations WHERE turn < 20 WINDOW w AS (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING))
+    FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING))
   SELECT conv_id, ((turn + 1) // 2)::BIGINT AS exchanges, prefix_chars::BIGINT AS prefix_chars, sha256(prefix_text) AS prefix_hash
   FROM t WHERE turn % 2 = 1""")
 def transcript_prefix(spark, d):

@@ -49,11 +49,13 @@ def absent_rows(new: DataFrame, existing: DataFrame, order: str) -> DataFrame:
     one order value per hash before any join, so payloads of a heavily copied
     document are never brought together. The table is only ever the streamed
     side of a semi join: with a batch small enough to broadcast it is scanned
-    for its hashes and not shuffled.
+    for its hashes and not shuffled. A null payload has a null hash, which is a
+    content like any other: the first such row enters once.
     """
-    first = new.groupBy("content_sha256").agg(F.min(order).alias(order))
-    known = existing.select("content_sha256").join(first, "content_sha256", "left_semi")
-    fresh = first.join(known, "content_sha256", "left_anti")
+    none = F.lit("")
+    first = new.groupBy(F.coalesce("content_sha256", none).alias("__hash")).agg(F.min(order).alias(order))
+    known = existing.select(F.coalesce("content_sha256", none).alias("__hash")).join(first, "__hash", "left_semi")
+    fresh = first.join(known, "__hash", "left_anti")
     return new.join(fresh.select(order), order, "left_semi")
 
 

@@ -8,6 +8,7 @@ after a lost driver does no harm.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
@@ -21,6 +22,7 @@ from ..operators.runs import upsert
 from ..session import checkpointed
 from ..sources import writers
 
+SEEN = "run string, batch long, date date"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -69,17 +71,43 @@ def ingest_once_bounded(stream: DataFrame, time: str, delay: str) -> DataFrame:
 
 
 def replace_days(stream: DataFrame, target: str, keys: Sequence[str], order: Sequence[str], checkpoint: str) -> StreamingQuery:
-    """Each batch replaces the days it holds.
+    """Each batch replaces the days it holds; a later file for a day wins.
 
-    A day arrives whole, as one file does; a later file for a day wins.
+    A day that one run of the stream brings in two batches is not replaced by its
+    second part: within a run, later rows of a day win by key over the earlier ones.
+    The days a run has written are kept beside its checkpoint.
     """
-
-    def merge(batch: DataFrame, _: int) -> None:
-        writers.replace_days(last_wins(batch, list(keys), list(order)), target)
+    seen = f"{checkpoint.rstrip('/')}-days"
+    run = uuid.uuid4().hex
+
+    def merge(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        new = checkpointed(last_wins(batch, list(keys), list(order)), "replace-batch")
+        days = new.select("date").distinct()
+        known = writers.table_or_empty(spark, seen, SEEN).filter((F.col("run") == run) & (F.col("batch") < number))
+        again = days.join(known.select(F.col("date").alias("__day")), F.col("date").eqNullSafe(F.col("__day")), "left_semi")
+        existing = writers.table_or_empty(spark, target, batch.schema)
+        merged = checkpointed(upsert(_rows_of_days(existing, again, "date"), new, keys), "replace-merged")
+        writers.replace_days(merged, target)
+        days.select(F.lit(run).alias("run"), F.lit(number).cast("long").alias("batch"), F.col("date").cast("date")).write.mode("append").parquet(seen)
 
     return _start(stream, merge, checkpoint)
 
 
+def _rows_of_days(table: DataFrame, batch: DataFrame, partition: str) -> DataFrame:
+    """Rows of ``table`` in the days of ``batch``, rows without a day among them.
+
+    The equality prunes the table's folders at run time; the folder of rows
+    without a day is read only if the batch has such rows.
+    """
+    day = F.col(partition)
+    days = batch.select(partition).distinct()
+    dated = table.filter(day.isNotNull()).join(days.filter(day.isNotNull()), partition, "left_semi")
+    blank = days.filter(day.isNull()).select(F.lit(True).alias("__blank"))
+    undated = table.filter(day.isNull()).withColumn("__blank", F.lit(True)).join(blank, "__blank", "left_semi").drop("__blank")
+    return dated.unionByName(undated.select(*dated.columns))
+
+
 def upsert_days(
     stream: DataFrame, target: str, keys: Sequence[str], order: Sequence[str], checkpoint: str, partition: str = "date"
 ) -> StreamingQuery:
@@ -90,16 +118,41 @@ def upsert_days(
     """
 
     def merge(batch: DataFrame, _: int) -> None:
-        new = last_wins(batch, list(keys), list(order))
+        new = checkpointed(last_wins(batch, list(keys), list(order)), "upsert-batch")
         existing = writers.table_or_empty(batch.sparkSession, target, batch.schema)
-        # The days of a batch are few, and as literals they prune the table's folders.
-        days = [r[0] for r in new.select(partition).distinct().collect()]
-        touched = existing.filter(F.col(partition).isin(days))
+        touched = _rows_of_days(existing, new, partition)
         writers.replace_days(checkpointed(upsert(touched, new, keys), "upsert"), target, partition)
 
     return _start(stream, merge, checkpoint)
 
 
+def closable(stream: DataFrame, folder: str) -> DataFrame:
+    """``stream`` together with the closing rows of a folder (see ``close``)."""
+    session = stream.sparkSession
+    session.createDataFrame([], stream.schema).write.mode("append").parquet(folder)
+    return stream.unionByName(session.readStream.schema(stream.schema).parquet(folder))
+
+
+def close(spark: SparkSession, folder: str, schema: T.StructType, time: str, at: str) -> None:
+    """Put a row into ``folder`` that has nothing but the event time ``at``.
+
+    A job over ``closable`` rows that is started again on its checkpoint then sees
+    its watermark pass all earlier days and reports them; the day of the closing
+    row itself stays open, so the row shows in no result. ``at`` must lie at least
+    a day and the watermark's delay after the last row.
+    """
+    blank = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema if f.name != time]
+    row = spark.range(1).select(F.lit(at).cast(schema[time].dataType).alias(time), *blank)
+    row.select(*schema.names).write.mode("append").parquet(folder)
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Rows that the progress kept of a query counts as dropped behind the watermark."""
+    return sum(
+        state.get("numRowsDroppedByWatermark", 0) if isinstance(state, dict) else state.numRowsDroppedByWatermark
+        for progress in query.recentProgress for state in progress["stateOperators"])
+
+
 def event_time(c: Column) -> Column:
     """A zone-less UTC time as the instant that watermarks need."""
     return F.convert_timezone(F.lit("UTC"), F.current_timezone(), c).cast("timestamp")

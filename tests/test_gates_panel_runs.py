@@ -245,7 +245,8 @@ def test_upsert_is_idempotent_and_null_safe(spark, rows):
 
 def test_transcripts(spark, rows):
     turns = spark.createDataFrame([(1, i, "user" if i % 2 == 0 else "assistant", "é" * (i + 1)) for i in range(24)], "conv_id int, turn int, role string, text string")
-    out = rows(runs.transcript_prefixes(turns).orderBy("exchanges"))
+    assert len(rows(runs.transcript_prefixes(turns))) == 12
+    out = rows(runs.transcript_prefixes(turns, 10).orderBy("exchanges"))
     assert len(out) == 10 and out[2]["prefix_chars"] == sum(range(1, 7))
     assert out[0]["prefix_text"] == "USER: é\n\nASSISTANT: éé"
     (size,) = rows(runs.transcript_sizes(turns))

@@ -60,6 +60,22 @@ def test_hot_keys_are_cut(skewed):
     assert all(r[o.CHUNK] == 0 for r in o.with_chunks(skewed, ["k"], "t").select(o.CHUNK).distinct().collect())
 
 
+def test_chunks_are_even_whatever_the_order_values(spark):
+    """An outlier, a log-normal measure and a single value: no chunk is far above its size."""
+    rnd = random.Random(2)
+    data = [(0, 0.5 if i else 1e12, rnd.lognormvariate(0, 3), 7.0, i) for i in range(6000)]
+    df = spark.createDataFrame(data, "k int, outlier double, skewed double, same double, id int").cache()
+    for order in ("outlier", "skewed", "same"):
+        cut = o.with_chunks(df, ["k"], [order, "id"], 500)
+        sizes = [r["count"] for r in cut.groupBy(o.CHUNK).count().collect()]
+        assert sum(sizes) == 6000 and max(sizes) <= 1000, (order, sorted(sizes)[-3:])
+        got = o.running_sum(df, ["k"], [order, "id"], "id", "s", 500).select(order, "id", "s").collect()
+        total = 0
+        for r in sorted(got, key=lambda r: (r[order], r.id)):
+            total += r.id
+            assert r.s == total
+
+
 @pytest.mark.parametrize("chunk", [5, 10_000])
 def test_asof_join_against_brute_force(spark, chunk):
     rnd = random.Random(11)

@@ -85,6 +85,13 @@ def test_insert_if_absent_is_idempotent(spark, tmp_path, rows):
     assert sorted((r["ord"], r["payload"]) for r in rows(spark.read.parquet(path))) == [(1, "a"), (2, "b"), (9, "c")]
 
 
+def test_insert_if_absent_takes_a_null_payload_once(spark, tmp_path, rows):
+    path = str(tmp_path / "t")
+    for _ in range(3):
+        writers.insert_if_absent(payloads(spark, (2, None), (1, None), (3, "a")), path, "ord")
+    assert sorted((r["ord"], r["payload"]) for r in rows(spark.read.parquet(path))) == [(1, None), (3, "a")]
+
+
 def test_log_appends_with_new_ids(spark, tmp_path, rows):
     docs = spark.createDataFrame([("x", "2026-01-01T00:00:00Z"), ("x", None)], "payload string, scraped_at string")
     for run in ("r1", None):
@@ -164,6 +171,44 @@ def test_streamed_upsert_touches_only_its_days(spark, tmp_path, rows):
     assert got[(d1, "a")] == 1 and got[(d2, "a")] == 3 and got[(d1, "c")] == 4 and got[(d1, "b")] in (2, 20, 30) and len(got) == 4
 
 
+def test_streamed_upsert_keeps_stored_rows_without_a_day(spark, tmp_path, rows):
+    kind, day = "date date, k string, ord int, v int", dt.date(2026, 1, 1)
+    writers.replace_days(spark.createDataFrame([(None, "a", 0, 1), (None, "b", 1, 2), (day, "c", 2, 3)], kind), str(tmp_path / "out"))
+    spark.createDataFrame([(None, "a", 5, 10)], kind).write.parquet(str(tmp_path / "in"))
+    stream = jobs.read_files(spark, str(tmp_path / "in"), spark.read.parquet(str(tmp_path / "in")).schema)
+    for n in range(2):
+        jobs.finish(jobs.upsert_days(stream, str(tmp_path / "out"), ["date", "k"], ["ord"], str(tmp_path / f"ck{n}")))
+    got = {(r["date"], r["k"]): r["v"] for r in rows(spark.read.schema(kind).parquet(str(tmp_path / "out")))}
+    assert got == {(None, "a"): 10, (None, "b"): 2, (day, "c"): 3}
+
+
+def test_a_day_in_two_batches_keeps_both_parts(spark, tmp_path, rows):
+    kind, day = "date date, k string, ord int, v int", dt.date(2026, 1, 1)
+    for batch in ([(day, "a", 0, 1), (day, "b", 1, 2)], [(day, "c", 2, 3)]):
+        spark.createDataFrame(batch, kind).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    out, ck = str(tmp_path / "out"), str(tmp_path / "ck")
+    stream = jobs.read_files(spark, str(tmp_path / "in"), spark.read.parquet(str(tmp_path / "in")).schema, files_per_batch=1)
+    jobs.finish(jobs.replace_days(stream, out, ["date", "k"], ["ord"], ck))
+    assert sorted(r["k"] for r in rows(spark.read.parquet(out))) == ["a", "b", "c"]
+    # A later run brings the day anew and replaces it.
+    spark.createDataFrame([(day, "d", 9, 9)], kind).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    jobs.finish(jobs.replace_days(stream, out, ["date", "k"], ["ord"], ck))
+    assert [r["k"] for r in rows(spark.read.parquet(out))] == ["d"]
+
+
+def test_a_closed_stream_reports_its_last_day(spark, tmp_path, rows):
+    stream = events(spark, tmp_path / "in", [("a", "2026-01-01T01:00", 0, 1.0), ("a", "2026-01-02T01:00", 1, 2.0)])
+    folder, target, ck = (str(tmp_path / n) for n in ("closing", "out", "ck"))
+    whole = jobs.price_alerts(jobs.closable(stream, folder), "0 seconds")
+    jobs.finish(jobs.to_table(whole, target, ck))
+    assert spark.read.schema(jobs.ALERTS).parquet(target).count() == 0
+    jobs.close(stream.sparkSession, folder, stream.schema, "ts", "2030-01-01 00:00:00")
+    query = jobs.to_table(whole, target, ck)
+    jobs.finish(query)
+    assert [(r["from_value"], r["to_value"]) for r in rows(spark.read.schema(jobs.ALERTS).parquet(target))] == [(1.0, 2.0)]
+    assert jobs.late_rows(query) == 0
+
+
 def test_alerts_keep_state_between_batches_and_drop_late_days(spark, tmp_path, rows):
     stream = events(
         spark, tmp_path / "in",
