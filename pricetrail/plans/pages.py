@@ -9,12 +9,21 @@ from ..sources.html import html_blocks as blocks_of
 from .base import load, query
 
 
-@query("html_blocks", """
-  SELECT page_id, len(regexp_extract_all(html, '<h[1-6][ >]')) AS headings FROM pages""")
+@query("html_blocks", r"""
+  WITH parts AS (SELECT page_id, html, list_transform(string_split(string_split(html, '</article>')[1], '<p>')[2:],
+      lambda x: trim(regexp_replace(regexp_replace(x, '<[^>]*>', ' ', 'g'), '\s+', ' ', 'g'))) AS p FROM pages),
+  texts AS (SELECT page_id, html, list_filter(list_transform(p, lambda x: replace(replace(replace(replace(x,
+      '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&')), lambda x: x <> '') AS p FROM parts)
+  SELECT page_id, len(regexp_extract_all(html, '<h[1-6][ >]')) AS headings, len(p)::BIGINT AS paragraphs,
+    sha256(array_to_string(p, chr(10))) AS text_hash FROM texts""")
 def html_blocks(spark, d):
+    """Headings of each page, and its paragraphs whole and in order."""
+    texts = F.transform(F.array_sort(F.collect_list(F.when(
+        (F.col("kind") == "label") & (F.col("tag") == "p"), F.struct("block_ord", "text")))), lambda b: b["text"])
     return blocks_of(load(spark, d, "pages")).groupBy("page_id").agg(
-        F.count_if(F.col("kind") == "heading").alias("headings")
-    )
+        F.count_if(F.col("kind") == "heading").alias("headings"),
+        F.size(texts).cast("long").alias("paragraphs"),
+        F.sha2(F.array_join(texts, "\n"), 256).alias("text_hash"))
 
 
 @query("prev_heading")

@@ -31,16 +31,19 @@ ARROW = pa.schema([
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 HIDDEN = {"script", "style", "template"}
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
-LABEL_CHARS = 80
+# Tags that begin a block; one inside another ends an open paragraph.
+BLOCK_TAGS = HEADINGS | set(
+    "address article aside blockquote body button center dd details dialog div dl dt fieldset figcaption figure footer "
+    "form head header hr html li main nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
 
 
 class _Node:
-    __slots__ = ("tag", "ord", "parts", "size", "rows", "cells")
+    __slots__ = ("tag", "ord", "parts", "outer", "rows", "cells")
 
     def __init__(self, tag: str, order: int):
         self.tag, self.ord = tag, order
         self.parts: list[str] = []
-        self.size = 0
+        self.outer = False
         self.rows: list[_Node] = []
         self.cells: list[_Node] = []
 
@@ -50,11 +53,12 @@ class _Node:
 
 
 class PageBlocks(HTMLParser):
-    """Collects headings, short labels and table rows in document order.
+    """Collects headings, text blocks and table rows in document order.
 
     An end tag closes up to its nearest open match; one without a match is
-    ignored. Text belongs to every open element. Short elements become labels:
-    an element longer than ``LABEL_CHARS`` cannot equal a section label.
+    ignored; a new block closes an open paragraph. Text belongs to every open
+    element. An element that holds no block is a label with its whole text, be it
+    a paragraph or a word; one that holds blocks is told by these.
     """
 
     def __init__(self) -> None:
@@ -63,6 +67,8 @@ class PageBlocks(HTMLParser):
         self.nodes: list[_Node] = []
 
     def handle_starttag(self, tag, attrs):
+        if tag in BLOCK_TAGS:
+            self._begin_block()
         node = _Node(tag, len(self.nodes))
         self.nodes.append(node)
         if tag == "tr":
@@ -76,6 +82,18 @@ class PageBlocks(HTMLParser):
         if tag not in VOID:
             self.open.append(node)
 
+    def _begin_block(self):
+        for i in range(len(self.open) - 1, -1, -1):
+            if self.open[i].tag == "p":
+                del self.open[i:]
+                break
+            if self.open[i].tag in BLOCK_TAGS:
+                break
+        for node in self.open:
+            node.outer = True
+            if node.tag not in ("td", "th") and node.tag not in HEADINGS:
+                node.parts.clear()
+
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
         if tag not in VOID:
@@ -92,10 +110,9 @@ class PageBlocks(HTMLParser):
         if not text or any(n.tag in HIDDEN for n in self.open):
             return
         for node in self.open:
-            # Cells and headings keep their whole text; others only while short.
-            if node.tag in ("td", "th") or node.tag in HEADINGS or node.size <= LABEL_CHARS:
+            # Cells and headings keep the text of blocks inside them too.
+            if not node.outer or node.tag in ("td", "th") or node.tag in HEADINGS:
                 node.parts.append(text)
-            node.size += len(text) + 1
 
     def blocks(self) -> Iterator[tuple]:
         tables = 0
@@ -106,7 +123,7 @@ class PageBlocks(HTMLParser):
                 tables += 1
             elif node.tag in HEADINGS:
                 yield (node.ord, "heading", node.tag, node.text, None, None, None)
-            elif node.size <= LABEL_CHARS + 1 and node.text:
+            elif not node.outer and node.parts:
                 yield (node.ord, "label", node.tag, node.text, None, None, None)
 
     @staticmethod
