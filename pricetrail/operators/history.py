@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import measures as ms
 from ..functions import text as tx
 from ..schemas import PRICE_COLUMNS, SERIES_PRICES, TRACKED_FIELDS
+from ..session import checkpointed
 from .ordered import ROWS_PER_CHUNK, carry_last, global_value, last_wins
 from .tiers import any_column_equals
 
@@ -89,6 +90,14 @@ def change_events(
     )
 
 
+def newest_first(events: DataFrame) -> DataFrame:
+    """Change events by date, newest first, then provider, model, name, id and field."""
+    blank = F.lit("")
+    names = [F.coalesce(c, blank) for c in ("provider_id", "model_id", "display_name")]
+    order = [F.col("date").desc(), *names, F.col("pricing_id"), F.col("field")]
+    return events.orderBy(*order)
+
+
 def changed_ids(series: DataFrame, field: str) -> DataFrame:
     """Ids with more than one distinct non-null value of ``field``."""
     return (
@@ -118,7 +127,9 @@ def lifecycle(series: DataFrame, schemas: DataFrame, order: Sequence[str] = ("da
     """One row per id: first and last sight, deprecation, and latest prices.
 
     ``schemas`` holds the document version of each date, one row per date; ids last seen under a
-    1.x version are renames, not retirements, and are left out.
+    1.x version are renames, not retirements, and are left out. ``record_start``
+    is the first date of the whole record. The series is read once: the facts of
+    each id are written, and the record's bounds are theirs.
     """
     at = F.struct(*order)
     flagged = ~F.col("is_active") | tx.marks_deprecation(F.col("display_name"))
@@ -126,20 +137,21 @@ def lifecycle(series: DataFrame, schemas: DataFrame, order: Sequence[str] = ("da
         "provider_id", "model_id", "display_name", "category", "is_active",
         "input_price", "output_price", "cached_input_price", "currency",
     ]
-    per_id = series.groupBy("pricing_id").agg(
+    per_id = checkpointed(series.groupBy("pricing_id").agg(
         F.min("date").alias("first_seen"),
         F.max("date").alias("last_seen"),
         F.max(F.when(F.col("is_active"), F.col("date"))).alias("last_active"),
         F.min(F.when(flagged, F.col("date"))).alias("deprecated_on"),
         F.max_by(F.struct(*last_fields), at).alias("__last"),
-    )
+    ), "lifecycle")
     old = F.coalesce(F.col("schema_version"), F.lit("")).startswith("1.")
     # One row per date of the record, whatever the number of ids.
     by_date = F.broadcast(schemas.select(F.col("date").alias("last_seen"), "schema_version"))
     dated = per_id.join(by_date, "last_seen", "left").filter(~old)
-    latest = global_value(series, F.max("date"))
+    latest = global_value(per_id, F.max("last_seen"))
+    start = global_value(per_id, F.min("first_seen"))
     present = F.col("last_seen") == F.col("__latest")
-    return dated.withColumn("__latest", latest).select(
+    return dated.withColumns({"__latest": latest, "__start": start}).select(
         "pricing_id",
         F.col("__last.provider_id").alias("provider_id"),
         F.col("__last.model_id").alias("model_id"),
@@ -157,9 +169,16 @@ def lifecycle(series: DataFrame, schemas: DataFrame, order: Sequence[str] = ("da
         F.col("__last.output_price").alias("latest_output"),
         F.col("__last.cached_input_price").alias("latest_cached_input"),
         F.coalesce(F.col("__last.currency"), F.lit("USD")).alias("currency"),
+        F.col("__start").alias("record_start"),
     )
 
 
+def by_model(models: DataFrame) -> DataFrame:
+    """Models in the order of their provider, model and id; empty names first."""
+    blank = F.lit("")
+    return models.orderBy(F.coalesce("provider_id", blank), F.coalesce("model_id", blank), "pricing_id")
+
+
 def index_summary(series: DataFrame, schemas: DataFrame) -> DataFrame:
     """One row: dates, bounds, counts and the version of each date."""
     days = series.groupBy("date").agg(F.count(F.lit(1)).alias("n"))

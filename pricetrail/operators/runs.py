@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -16,6 +16,7 @@ GROUP = ("date", "provider_id", "tier", "task_id")
 STORED_ORDER = ("replicate",)
 DEFAULT_POLICY = "1.0.0"
 METER_KEY = ("run_date", "mode", "task_id", "provider_id", "tier", "replicate")
+UNSET = {"replicate": 1}
 LEDGER_KEY = ("date", "provider_id", "tier", "task_id")
 WRAPPER_KEY = ("run_date", "provider_id", "tier", "turn")
 LAST_TURN = 10
@@ -198,15 +199,21 @@ def ledger_filter(
     return out
 
 
-def upsert(existing: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
+def upsert(
+    existing: DataFrame, new: DataFrame, keys: Sequence[str], unset: Mapping[str, object] = UNSET
+) -> DataFrame:
     """Existing rows whose key is not rewritten, plus the new rows.
 
-    The join is null-safe, so an unset key part is a value like any other.
+    The join is null-safe, so an unset key part is a value like any other, but for
+    those with a default in ``unset``: a run without a replicate is replicate 1.
     """
-    marks = new.select(*[F.col(k).alias(f"__{k}") for k in keys]).distinct()
+    def part(k: str) -> Column:
+        return F.coalesce(F.col(k), F.lit(unset[k])) if k in unset else F.col(k)
+
+    marks = new.select(*[part(k).alias(f"__{k}") for k in keys]).distinct()
     same = None
     for k in keys:
-        term = F.col(k).eqNullSafe(F.col(f"__{k}"))
+        term = part(k).eqNullSafe(F.col(f"__{k}"))
         same = term if same is None else same & term
     return existing.join(marks, same, "left_anti").unionByName(new, allowMissingColumns=True)
 

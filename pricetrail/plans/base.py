@@ -121,10 +121,10 @@ SERIES = OBS + """, series AS (
   FROM obs)"""
 
 
-def schemas(rows: DataFrame) -> DataFrame:
+def schemas(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Document version of each date: the first days are of the old kind."""
     old = F.col("date") < F.lit("2024-01-04").cast("date")
-    return rows.select("date").distinct().withColumn(
+    return load(spark, sf_dir, "events").select(F.to_date("ts").alias("date")).distinct().withColumn(
         "schema_version", F.when(old, "1.2.0").otherwise("2.1.0")
     )
 

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..operators import history as h
 from ..operators import panel
 from ..operators.gates import counts_by_key as count_rows
-from ..operators.ordered import global_value
 from ..sources.readers import limited
+from ..session import checkpointed
 from .base import OBS, SERIES, TIER, day_of, flag, load, observations, query, r4, schemas, series, tiers
 
 
@@ -25,6 +26,24 @@ def change_events(spark, d):
     return events.withColumn("delta", r4(F.col("delta")))
 
 
+@query("events_newest_first", f"""
+  WITH {SERIES}, l AS (SELECT *, lag(input_price) OVER w AS from_value FROM series WINDOW w AS (PARTITION BY pricing_id ORDER BY date)),
+  e AS (SELECT * FROM l WHERE from_value <> input_price)
+  SELECT pricing_id, provider_id, model_id, date, from_value, input_price AS to_value,
+    dense_rank() OVER (ORDER BY date DESC)::BIGINT AS day_place,
+    row_number() OVER (PARTITION BY date ORDER BY provider_id, model_id, display_name, pricing_id)::BIGINT AS place FROM e""")
+def events_newest_first(spark, d):
+    """Places come from the order of the sorted rows, so a wrong order shows."""
+    keep = ["provider_id", "model_id", "display_name"]
+    events = h.newest_first(h.change_events(series(spark, d), ["input_price"], keep))
+    rows = checkpointed(events.withColumn("at", F.monotonically_increasing_id()), "sorted_events")
+    days = rows.groupBy("date").agg(F.min("at").alias("first"))
+    days = days.withColumn("day_place", F.row_number().over(Window.orderBy("first")).cast("long"))
+    place = F.row_number().over(Window.partitionBy("date").orderBy("at")).cast("long")
+    return rows.join(days, "date").select(
+        "pricing_id", "provider_id", "model_id", "date", "from_value", "to_value", "day_place", place.alias("place"))
+
+
 @query("change_events_wide", f"""
   WITH {TIER}, u AS (UNPIVOT tier ON click_price, view_price, purchase_price INTO NAME field VALUE v),
   l AS (SELECT *, lag(v) OVER w AS from_value, lag(date) OVER w AS prev_date FROM u
@@ -64,8 +83,7 @@ models AS (
 
 
 def models(spark, d):
-    rows = series(spark, d)
-    return h.lifecycle(rows, schemas(rows))
+    return h.lifecycle(series(spark, d), schemas(spark, d))
 
 
 @query("lifecycle", f"""
@@ -76,7 +94,7 @@ def models(spark, d):
     name_marks_deprecation::BIGINT AS name_marks_deprecation, latest_input, latest_output,
     latest_cached_input, 'USD' AS currency, 'standard_api' AS category FROM models""")
 def lifecycle(spark, d):
-    out = models(spark, d)
+    out = h.by_model(models(spark, d)).drop("record_start")
     flags = ("currently_present", "currently_active", "name_marks_deprecation")
     return out.withColumns({c: flag(F.col(c)) for c in flags})
 
@@ -93,8 +111,7 @@ ARCHIVE = """
 
 
 def archive(spark, d, flagged):
-    first = global_value(series(spark, d), F.min("date"))
-    out = h.archive_view(models(spark, d), first, flagged)
+    out = h.archive_view(models(spark, d), F.col("record_start"), flagged)
     return out.select(
         "pricing_id", "provider_id", "first_seen", "deprecated_on", "last_listed", "retired_on",
         F.col("days_active").cast("long").alias("days_active"), flag(F.col("days_floor")).alias("days_floor"),
@@ -123,8 +140,7 @@ def archive_flagged(spark, d):
     string_agg(date::VARCHAR, ',' ORDER BY date) AS dates,
     string_agg(date::VARCHAR || '=' || v, ',' ORDER BY date) AS schema_versions FROM days""")
 def index_summary(spark, d):
-    rows = series(spark, d)
-    out = h.index_summary(rows, schemas(rows))
+    out = h.index_summary(series(spark, d), schemas(spark, d))
     pairs = F.transform(F.map_entries("schema_versions"), lambda e: F.concat_ws("=", e["key"].cast("string"), e["value"]))
     return out.select(
         "first_date", "last_date", "snapshot_count", "row_count",

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import measures as ms
 from ..schemas import CURRENT_SCHEMA
+from ..session import checkpointed
 
 # Statuses that keep an incident, and the document description.
 INCIDENT_STATUSES = ("failed", "degraded", "escalated")
@@ -93,19 +94,38 @@ def rebuild(artifacts: dict[str, DataFrame], root: str) -> dict[str, str]:
 
 
 def incidents_by_day(incidents: DataFrame, path: str) -> None:
-    """Keep incidents that were not a success, one folder per finishing day."""
+    """Keep incidents that were not a success, one folder per finishing day.
+
+    An incident is known by its ``run_id``: one that is written again replaces
+    itself in its day.
+    """
+    spark = incidents.sparkSession
+    new = incidents.filter(F.col("status").isin(*INCIDENT_STATUSES)).withColumn("day", F.substring("finished_at", 1, 10))
+    new = checkpointed(new, "incidents")
+    try:
+        held = spark.read.schema(new.schema).json(path)
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        held = spark.createDataFrame([], new.schema)
+    held = held.join(new.select("day").distinct(), "day", "left_semi").select(*new.columns)
+    kept = held.join(new.select("run_id").distinct(), "run_id", "left_anti").select(*new.columns)
     (
-        by_partition(
-            incidents.filter(F.col("status").isin(*INCIDENT_STATUSES)).withColumn(
-                "day", F.substring("finished_at", 1, 10)
-            ),
-            "day",
-        ).write.mode("append")
+        by_partition(checkpointed(kept.unionByName(new), "incidents-merged"), "day")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
         .partitionBy("day")
         .json(path)
     )
 
 
+def latest_incident(incidents: DataFrame) -> DataFrame:
+    """The run that finished last, whatever its status; of a tie the larger run_id."""
+    rest = [c for c in incidents.columns]
+    last = F.max_by(F.struct(*rest), F.struct("finished_at", "run_id")).alias("last")
+    return incidents.agg(last).filter("last IS NOT NULL").select("last.*")
+
+
 def build_documents(
     rows: DataFrame,
     meta: dict[str, Column],

@@ -236,6 +236,11 @@ def test_upsert_is_idempotent_and_null_safe(spark, rows):
     kind = "run_date string, tier string, v int"
     old = spark.createDataFrame([("d", None, 1), ("d", "t", 2), ("e", "t", 3)], kind)
     new = spark.createDataFrame([("d", None, 9)], kind)
+    kind = "run_date string, mode string, task_id string, provider_id string, tier string, replicate int, v int"
+    key = ("d", "m", "t", "p", "f")
+    merged = runs.upsert(
+        spark.createDataFrame([(*key, None, 1), (*key, 2, 2)], kind), spark.createDataFrame([(*key, 1, 3)], kind), runs.METER_KEY)
+    assert sorted((r["replicate"], r["v"]) for r in rows(merged)) == [(1, 3), (2, 2)]
     once = runs.upsert(old, new, ["run_date", "tier"])
     twice = runs.upsert(once, new, ["run_date", "tier"])
     want = [("d", None, 9), ("d", "t", 2), ("e", "t", 3)]

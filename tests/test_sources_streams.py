@@ -133,6 +133,10 @@ def test_incidents_and_versions(spark, tmp_path, rows):
     kind = "run_id string, status string, finished_at string"
     df = spark.createDataFrame([("a", "failed", "2026-01-01T10"), ("b", "success", "2026-01-01T11"), ("c", "escalated", "2026-01-02T10")], kind)
     writers.incidents_by_day(df, str(tmp_path / "i"))
+    writers.incidents_by_day(df.filter("run_id <> 'c'").withColumn("status", F.lit("degraded")), str(tmp_path / "i"))
+    back = spark.read.json(str(tmp_path / "i"))
+    assert sorted((r["run_id"], r["status"]) for r in rows(back)) == [("a", "degraded"), ("b", "degraded"), ("c", "escalated")]
+    assert [r["run_id"] for r in rows(writers.latest_incident(df))] == ["c"] and rows(writers.latest_incident(df.limit(0))) == []
     assert sorted(p.name for p in (tmp_path / "i").iterdir() if p.is_dir()) == ["day=2026-01-01", "day=2026-01-02"]
     v = spark.createDataFrame([("v1", dt.datetime(2026, 1, 1, 9)), ("v2", dt.datetime(2026, 1, 1, 23)), ("v3", dt.datetime(2026, 1, 2, 1))], "id string, at timestamp")
     assert sorted(r["id"] for r in rows(writers.latest_per_day(v, "at", ["id"], ["id"]))) == ["v2", "v3"]
