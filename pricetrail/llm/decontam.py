@@ -8,8 +8,8 @@ through wavelet-tree ranks; occurrences are located by sampled suffix positions
 merged to spans per document.
 
 Documents are never shuffled. The phrases travel to the tasks in blocks of a
-bounded number of words, a block for each pass over the documents; one pass
-serves 4 million words of phrases.
+bounded number of words; one pass over the documents serves all blocks, with an
+index of the shard for each.
 """
 
 from __future__ import annotations
@@ -29,8 +29,6 @@ WINDOW = 10
 BLOCK_WORDS = 4_000_000
 SHARD_WORDS = 4_000_000
 
-_SPANS = "spans array<struct<start:long,end:long>>"
-
 
 class Phrases:
     """The windows of a block of items as symbols, and the items of each window."""
@@ -114,33 +112,34 @@ def _search_shard(docs: list[np.ndarray], phrases: Phrases) -> list[tuple[list,
     return out
 
 
-def _searcher(shared, text_at: int, width: int):
+def _searcher(shared, width: int, keep_text: bool):
+    """Rows (doc_id, text, ...) of a task, shard by shard, with n_words, spans and items added."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         phrases = Phrases(shared.value, width)
         get, zero = phrases.alphabet.get, 0
         held, docs, words = [], [], 0
 
         def flush():
-            found = iter(_search_shard(docs, phrases))
-            sizes = iter(docs)
+            found, at = _search_shard(docs, phrases), 0
             for batch in held:
-                n = batch.num_rows
-                rows = [next(found) for _ in range(n)]
+                rows = found[at:at + batch.num_rows]
                 extra = [
-                    pa.array([len(next(sizes)) for _ in range(n)], pa.int64()),
+                    pa.array([len(d) for d in docs[at:at + batch.num_rows]], pa.int64()),
                     pa.array([r[0] for r in rows], pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
                     pa.array([r[1] for r in rows], pa.list_(pa.string())),
                 ]
-                yield pa.RecordBatch.from_arrays(
-                    [*batch.columns, *extra], names=[*batch.schema.names, "n_words", "spans", "items"])
+                at += batch.num_rows
+                names = [*batch.schema.names, *(f"{x}{batch.num_columns}" for x in ("n_words", "spans", "items"))]
+                yield pa.RecordBatch.from_arrays([*batch.columns, *extra], names=names)
 
         for batch in batches:
-            for text in utf8(batch.column(text_at)):
+            for text in utf8(batch.column(1)):
                 found = words_of(text)
                 docs.append(np.array([get(w, zero) for w in found], np.int32))
                 words += len(found)
-            # The text has been read; it is not held for the shard.
-            held.append(batch.drop_columns([batch.schema.names[text_at]]))
+            # Without a next block the text has been read; it is not held for the shard.
+            text = batch.column(1) if keep_text else pa.nulls(batch.num_rows, pa.string())
+            held.append(batch.set_column(1, batch.schema.names[1], text))
             if words >= SHARD_WORDS:
                 yield from flush()
                 held, docs, words = [], [], 0
@@ -152,7 +151,7 @@ def _searcher(shared, text_at: int, width: int):
 
 def item_blocks(items: DataFrame, block_words: int = BLOCK_WORDS) -> Iterator[list[tuple[str | None, bytes]]]:
     """The items in blocks of about ``block_words`` words, streamed to the driver."""
-    block, words = [], 0
+    block, words, full = [], 0, False
     for row in items.select(F.col("item_id").cast("string"), F.col("text").cast("string")).toLocalIterator():
         text = row[1]
         if text is None:
@@ -162,8 +161,9 @@ def item_blocks(items: DataFrame, block_words: int = BLOCK_WORDS) -> Iterator[li
         words += len(text) // 2 + 1
         if words >= block_words:
             yield block
-            block, words = [], 0
-    yield block
+            block, words, full = [], 0, True
+    if block or not full:
+        yield block
 
 
 def contamination(docs: DataFrame, items: DataFrame, width: int = WINDOW) -> DataFrame:
@@ -180,23 +180,18 @@ def contamination(docs: DataFrame, items: DataFrame, width: int = WINDOW) -> Dat
     columns are not read.
     """
     small_batches(docs.sparkSession)
-    spark = docs.sparkSession
-    own = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    kind = own.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, n_words long, {_SPANS}, items array<string>"
-    out = None
-    for n, block in enumerate(item_blocks(items)):
-        if n and not block:
-            break
-        part = own.mapInArrow(_searcher(spark.sparkContext.broadcast(block), 1, width), schema)
-        out = part if out is None else out.unionByName(part)
-        blocks = n + 1
-    if blocks == 1:
-        return out
-    every = out.groupBy("doc_id", "n_words").agg(
-        F.sort_array(F.flatten(F.collect_list("spans"))).alias("spans"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
-    return every.withColumn("spans", _union(F.col("spans")))
+    rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    schema = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, text string"
+    blocks = list(item_blocks(items))
+    at = [2 + 3 * n for n in range(len(blocks))]
+    for n, block in zip(at, blocks):
+        schema += f", n_words{n} long, spans{n} array<struct<start:long,end:long>>, items{n} array<string>"
+        shared = docs.sparkSession.sparkContext.broadcast(block)
+        rows = rows.mapInArrow(_searcher(shared, width, n < at[-1]), schema)
+    spans, found = (F.concat(*[F.col(f"{x}{n}") for n in at]) for x in ("spans", "items"))
+    if len(blocks) > 1:
+        spans, found = _union(F.array_sort(spans)), F.array_sort(F.array_distinct(found))
+    return rows.select("doc_id", F.col(f"n_words{at[0]}").alias("n_words"), spans.alias("spans"), found.alias("items"))
 
 
 def _union(spans: Column) -> Column:

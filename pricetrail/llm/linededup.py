@@ -32,7 +32,7 @@ from .common import doc_key, free_name, query, small_batches, table, utf8
 MIN_CHARS = 10
 #: Sizes of a shard: repeated keys in its arrays, probes that one slot takes.
 SHARD_KEYS = 1 << 18
-SLOT_PROBES = 1 << 16
+SLOT_PROBES = 1 << 13
 #: Bits of a level for each key that reaches it, and the number of levels.
 LEVEL_BITS = 2
 LEVELS = 40
@@ -209,7 +209,7 @@ def line_index(docs: DataFrame) -> tuple[DataFrame, DataFrame, int]:
         int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(keys / SHARD_KEYS), math.ceil(probes / SLOT_PROBES))
     keyed = repeated.withColumn("shard", F.pmod("h1", F.lit(n_shards)))
     shards = checkpointed(keyed.groupBy("shard").applyInPandas(_build_shard, "shard long, arrays binary"), "line_shards")
-    slots = keyed.groupBy("shard").agg(F.ceil(F.sum("n") / SLOT_PROBES).cast("int").alias("slots")).filter("slots > 1")
+    slots = keyed.groupBy("shard").agg(F.ceil(2 * F.sum("n") / SLOT_PROBES).cast("int").alias("slots")).filter("slots > 1")
     return shards, checkpointed(slots, "line_slots"), n_shards
 
 

@@ -117,7 +117,7 @@ def scan_secrets(files: DataFrame, repo: str = "doc_id", owner: str = "source")
     found = found.select("doc_id", "repo", "owner", F.transform("c", lambda c: F.struct(
         c["start"].alias("start"), c["end"].alias("end"), c["order"].alias("order"), c["kind"].alias("kind"),
         F.sha2(c["value"], 256).alias("hash"),
-        F.size(F.array_distinct(F.split(c["value"], ""))).alias("chars"))).alias("c"), F.expr("uuid()").alias("row"))
+        F.size(F.array_distinct(F.regexp_extract_all(c["value"], F.lit("(?s)."), F.lit(0)))).alias("chars"))).alias("c"), F.expr("uuid()").alias("row"))
     found = checkpointed(found, "secret_candidates")
     spans = found.select("row", "repo", "owner", F.explode("c").alias("c")).select("row", "repo", "owner", "c.*")
     spans = spans.join(ownership(spans), "hash", "left")
@@ -138,7 +138,36 @@ def listed(spans: Column) -> Column:
     return F.concat_ws(",", F.transform(order, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))))
 
 
-@query("op7_secrets")
+def _sql() -> str:
+    kinds = [("assign", ASSIGN, 2, MIN_ASSIGN), ("access", ACCESS, 0, MIN_ACCESS), ("hex", HEX, 0, MIN_HEX)]
+    kinds += [(k, p, 0, 1) for k, p in ADDED]
+    scans = "\n  UNION ALL ".join(
+        f"SELECT doc_id, source, {i} AS ord, '{k}' AS kind, {least} AS least, regexp_extract_all(x, {q}) AS m, "
+        f"regexp_extract_all(x, {q}, {group}) AS v, string_split_regex(x, {q}) AS g FROM docs WHERE regexp_matches(x, {q})"
+        for i, (k, pattern, group, least) in enumerate(kinds) for q in ["'" + pattern.replace("'", "''") + "'"])
+    return rf"""
+WITH docs AS (SELECT doc_id, source, coalesce(text, '') AS x FROM documents),
+scans AS ({scans}),
+spans AS (SELECT doc_id, source, ord, kind, v[i] AS value, length(m[i]) AS n,
+    (list_sum(list_transform(g[1:i], lambda z: length(z))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda z: length(z))), 0))::BIGINT AS s
+  FROM (SELECT *, unnest(range(1, len(m) + 1)) AS i FROM scans) WHERE length(v[i]) >= least),
+owners AS (SELECT value, count(DISTINCT coalesce(source, '~')) AS n_owners FROM spans GROUP BY value),
+judged AS (SELECT s.*, CASE WHEN n_owners >= {EXAMPLE_OWNERS} THEN 'example'
+    WHEN n_owners = 1 AND len(list_distinct(string_split(s.value, ''))) >= {LIVE_CHARS} THEN 'live' ELSE 'unsure' END AS verdict,
+    kind || ':' || s || ':' || (s + n) AS told FROM spans s JOIN owners o ON s.value = o.value),
+kept AS (SELECT * FROM judged WHERE ord < {len(BASE_KINDS)} OR verdict = 'live'),
+sums AS (SELECT doc_id, count(*) FILTER (WHERE kind = 'assign') AS n_assign, count(*) FILTER (WHERE kind = 'access') AS n_access,
+    count(*) FILTER (WHERE kind = 'hex') AS n_hex, string_agg(told, ',' ORDER BY s, ord) FILTER (WHERE ord < {len(BASE_KINDS)}) AS base,
+    string_agg(told, ',' ORDER BY s, ord) AS spans, count(*) FILTER (WHERE verdict = 'live') AS n_live,
+    count(*) FILTER (WHERE verdict = 'example') AS n_example FROM kept GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0)::BIGINT AS n_access, coalesce(n_hex, 0)::BIGINT AS n_hex,
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_live, 0)::BIGINT AS n_live,
+  coalesce(n_example, 0)::BIGINT AS n_example
+FROM docs d LEFT JOIN sums USING (doc_id)
+"""
+
+
+@query("op7_secrets", _sql())
 def op7_secrets(spark, sf_dir):
     """Secrets of all documents; a document is a repository, its source the owner."""
     found = scan_secrets(table(spark, sf_dir, "documents"))
