@@ -14,6 +14,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -59,14 +60,31 @@ _SPLIT = re.compile(r"[^A-Za-z]+|(?<=[a-z])(?=[A-Z])")
 _CLOSE = {tag: re.compile(rf"</{tag}[\s/>]", re.I) for tag in RAW}
 
 
+def _key(above: int, step: str) -> int:
+    """Identity of a path, chained from the path above it."""
+    return xxhash.xxh64_intdigest(f"{above}>{step}".encode())
+
+
 class Node:
-    __slots__ = ("tag", "parent", "path", "out", "depth", "chars", "links", "h1", "marked")
+    """An element that begins a block. Its path is kept as a chained hash, so that
+    deep nesting costs no more than wide."""
 
-    def __init__(self, tag, parent, path, out, marked):
-        self.tag, self.parent, self.path, self.out, self.marked = tag, parent, path, out, marked
+    __slots__ = ("tag", "parent", "step", "key", "out", "article", "depth", "chars", "links", "h1", "marked")
+
+    def __init__(self, tag: str, parent: "Node | None", step: str, out: bool):
+        self.tag, self.parent, self.step, self.out = tag, parent, step, out
+        self.key = _key(parent.key if parent else 0, step)
+        self.article = tag in ("article", "main") or (parent is not None and parent.article)
         self.depth = parent.depth + 1 if parent else 0
         self.chars = self.links = 0
-        self.h1 = False
+        self.h1 = self.marked = False
+
+    def path(self) -> str:
+        steps, node = [], self
+        while node is not None:
+            steps.append(node.step)
+            node = node.parent
+        return ">".join(reversed(steps))
 
 
 def _attributes(raw: str) -> dict[str, str]:
@@ -77,9 +95,7 @@ def _left_out(tag: str, attrs: dict[str, str], parent: Node) -> bool:
     """Whether an element is no part of an article."""
     if tag in LEFT_OUT:
         return True
-    node, inside = parent, False
-    while node is not None and not inside:
-        inside, node = node.tag in ("article", "main"), node.parent
+    inside = parent.article
     if tag == "header" and not inside:
         return True
     if not attrs or tag in ("html", "body"):
@@ -95,7 +111,7 @@ def _left_out(tag: str, attrs: dict[str, str], parent: Node) -> bool:
 
 def _step(tag: str, attrs: dict[str, str]) -> str:
     """One step of a generalised path: the tag and its classes, digits as one sign."""
-    classes = sorted({re.sub(r"\d+", "#", c.lower()) for c in attrs.get("class", "").split()})
+    classes = sorted({re.sub(r"\d+", "#", c.lower()) for c in attrs.get("class", "").replace(">", "").split()})
     return ".".join([tag, *classes])
 
 
@@ -103,7 +119,7 @@ class Page:
     """Containers and text blocks of one page, in page order."""
 
     def __init__(self, source: str):
-        root = Node("html", None, "html", False, False)
+        root = Node("html", None, "html", False)
         self.nodes = [root]
         self.blocks: list[tuple[Node, str]] = []
         self._text: list[str] = []
@@ -112,7 +128,9 @@ class Page:
         at, links, heading = 0, 0, ""
         n = len(source)
         low_end = 0
-        for m in _TOKEN.finditer(source):
+        # No tag ends behind the last >, so what opens there is text and isn't tried.
+        last = source.rfind(">") + 1
+        for m in _TOKEN.finditer(source, 0, last):
             if m.start() < low_end:
                 continue
             if m.start() > at:
@@ -151,7 +169,7 @@ class Page:
                     continue
                 parent, own = stack[-1], _attributes(attrs)
                 out = parent.out or parent.marked or _left_out(tag, own, parent)
-                node = Node(tag, parent, f"{parent.path}>{_step(tag, own)}", out, False)
+                node = Node(tag, parent, _step(tag, own), out)
                 self.nodes.append(node)
                 stack.append(node)
                 heading = ""
@@ -173,7 +191,7 @@ class Page:
                         if len(stack) > 1:
                             stack[-1].marked = True
         if at < n:
-            self._add(source[at:], links)
+            self._add(source[at:].partition("<!--")[0], links)
         self._flush(stack[-1])
         self._sum()
 
@@ -213,7 +231,7 @@ class Page:
                 continue
             score = (node.chars - node.links) / total + 0.01 * min(node.depth, 20)
             score += 0.3 * (node.tag == "article") + 0.2 * (node.tag == "main") + 0.2 * node.h1
-            names = {w for w in _SPLIT.split(node.path.rsplit(">", 1)[-1].partition(".")[2]) if w}
+            names = {w for w in _SPLIT.split(node.step.partition(".")[2]) if w}
             score += 0.1 * bool(names & ARTICLE)
             if found is None or score > found[1]:
                 found = (node, score)
@@ -222,15 +240,19 @@ class Page:
     def text(self, path: str | None) -> str:
         """The blocks inside the containers of ``path``, or of the best container."""
         def collect(good) -> list[str]:
-            out = []
-            for node, text in self.blocks:
-                while node is not None and not good(node):
-                    node = node.parent
-                if node is not None:
-                    out.append(text)
-            return out
-
-        rows = collect(lambda x: x.path == path and not x.out) if path else []
+            # Parents come before their children.
+            inside = set()
+            for node in self.nodes:
+                if id(node.parent) in inside or good(node):
+                    inside.add(id(node))
+            return [text for node, text in self.blocks if id(node) in inside]
+
+        rows = []
+        if path:
+            key = 0
+            for step in path.split(">"):
+                key = _key(key, step)
+            rows = collect(lambda x: x.key == key and not x.out)
         if not rows:
             best = self.best()
             rows = collect(lambda x: x is best[0]) if best else []
@@ -241,7 +263,7 @@ def _votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         best = [Page(t).best() if t else None for t in batch.column(1).to_pylist()]
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array([b and b[0].path for b in best], pa.string()), pa.array([b and b[1] for b in best], pa.float64())],
+            [batch.column(0), pa.array([b and b[0].path() for b in best], pa.string()), pa.array([b and b[1] for b in best], pa.float64())],
             names=["host", "path", "score"])
 
 

@@ -121,9 +121,9 @@ def _iban(value: str) -> bool:
 
 
 def _shape(value: str) -> str:
-    """Runs of letters, digits and others as one sign each."""
-    short = re.sub(r"[0-9]+", "9", re.sub(r"[A-Za-z]+", "a", value[:64]))
-    return short[:12]
+    """Runs of letters, digits and others as one sign each; eight signs, so 384 shapes at most."""
+    short = re.sub(r"[A-Za-z]+", "a", value[:64])
+    return re.sub(r"[^a9]+", ".", re.sub(r"[0-9]+", "9", short))[:8]
 
 
 _WORDS = re.compile(r"[\w-]+")
@@ -239,9 +239,9 @@ class SpanClassifier:
 def train(spans: DataFrame) -> SpanClassifier:
     """EM on the vote patterns of ``spans`` (kind, votes, features), then the classifier.
 
-    A vote pattern is one of 27; a feature value is one of a bounded set, shapes being
-    at most twelve signs of a few kinds and only those of the corpus; rare shapes
-    (fewer than ten spans) are left to the prior.
+    A vote pattern is one of 27 and a feature value one of a fixed set, so what comes
+    to the driver has a fixed bound; values of fewer than ten spans are left to the
+    prior.
     """
     counts = spans.groupBy("kind", "votes").agg(F.count("*").alias("n")).collect()
     shares, posts = {}, []
