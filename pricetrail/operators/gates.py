@@ -303,6 +303,17 @@ def health_summary(status: DataFrame) -> DataFrame:
     )
 
 
+def failing_rows(health: DataFrame, sources: Sequence[str] = SOURCES) -> DataFrame:
+    """The panel rows that keep a source from passing, one row each.
+
+    ``kind`` is dark (only failures) or silent (never tried). The gate's details put
+    the same rows into one text per source; this is the form for large panels.
+    """
+    kind = F.when(F.col("ok_count") > 0, None).when(F.col("error_count") > 0, "dark").otherwise("silent")
+    rows = health.filter(F.col("source").isin(*sources)).withColumn("kind", kind).filter("kind IS NOT NULL")
+    return rows.select("source", "provider_id", "tier", "kind", "error_count", "last_error_model", "last_error")
+
+
 def gate_collection(health: DataFrame, sources: Sequence[str] = SOURCES) -> DataFrame:
     """Per source: no row that only failed, and no row that was never tried.
 

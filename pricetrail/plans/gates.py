@@ -193,6 +193,14 @@ def health_summary(spark, d):
     return gates.health_summary(gates.panel_status(health(spark, d)))
 
 
+@query("gate_failing_rows", f"""
+  WITH {HEALTH}
+  SELECT source, provider_id, tier, CASE WHEN error_count > 0 THEN 'dark' ELSE 'silent' END AS kind,
+    error_count::BIGINT AS error_count, last_error_model, last_error FROM health WHERE ok_count = 0""")
+def gate_failing_rows(spark, d):
+    return gates.failing_rows(health(spark, d))
+
+
 @query("gate_collection", f"""
   WITH {HEALTH}, s AS (SELECT source,
     string_agg(provider_id || '·' || tier || ' (' || coalesce(last_error_model, 'None') || '): ' || coalesce(last_error, 'None'), '; '
