@@ -207,3 +207,12 @@ def test_best_by_score_first_wins_ties(spark, rows):
     ], "provider_id string, model_id string, ord int, is_active boolean, input_price double, output_price double")
     out = {r["model_id"]: r["ord"] for r in rows(tiers.best_by_score(df, ["provider_id", "model_id"], "ord"))}
     assert out == {"m": 0, "n": 3}
+
+
+def test_events_and_models_in_order(spark, rows):
+    kind = "date date, provider_id string, model_id string, display_name string, pricing_id string, field string"
+    day = [dt.date(2026, 1, d) for d in (1, 2)]
+    events = spark.createDataFrame(
+        [(day[0], "a", "m", "x", "1", "f"), (day[1], "b", "m", "x", "2", "f"), (day[1], None, "z", "x", "4", "f"), (day[1], "b", "l", "x", "3", "f")], kind)
+    assert [r["pricing_id"] for r in rows(h.newest_first(events))] == ["4", "3", "2", "1"]
+    assert [r["pricing_id"] for r in rows(h.by_model(events))] == ["4", "1", "3", "2"]
