@@ -128,7 +128,8 @@ def language(docs: DataFrame, model: LanguageModel) -> Column:
             rows = [own.predict(None if t is None else t.encode("utf-8", "replace")) for t in texts]
             yield pd.DataFrame({"lang_pred": [r[0] for r in rows], "score": [r[1] for r in rows]})
 
-    return predict(docs["text"].cast("string"))
+    # A filter on the result must not have it computed a second time below.
+    return predict.asNondeterministic()(docs["text"].cast("string"))
 
 
 def held_out() -> Column:
