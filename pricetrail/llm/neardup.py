@@ -246,7 +246,8 @@ def _compare_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 def _leader_links(buckets: DataFrame, seqs: DataFrame) -> DataFrame:
     """Links of step 2, from ``buckets`` (sig, doc, leader) and ``seqs`` (doc, seq)."""
     pairs = checkpointed(buckets.filter("doc <> leader").select("leader", "doc").distinct(), "leader_pairs")
-    slots = pairs.groupBy("leader").agg(F.ceil(F.count("*") / SLOT_TEXTS).cast("int").alias("slots"))
+    slots = checkpointed(
+        pairs.groupBy("leader").agg(F.ceil(F.count("*") / SLOT_TEXTS).cast("int").alias("slots")), "leader_slots")
     n = F.coalesce("slots", F.lit(1))
     member = pairs.join(slots.filter("slots > 1"), "leader", "left").select(
         "leader", F.pmod(F.xxhash64("doc"), n).cast("int").alias("salt"), "doc")
@@ -268,7 +269,7 @@ def _block_links(buckets: DataFrame, seqs: DataFrame, parts: DataFrame) -> DataF
         "sig", F.col("most.component").alias("main"),
         F.ceil((F.col("n") - F.col("most.n")) / BLOCK_TEXTS).cast("int").alias("n_rest"),
         F.ceil(F.col("most.n") / BLOCK_TEXTS).cast("int").alias("n_main"))
-    rows = rows.join(main, "sig").withColumn("is_main", F.col("component") == F.col("main"))
+    rows = rows.join(checkpointed(main, "bucket_parts"), "sig").withColumn("is_main", F.col("component") == F.col("main"))
     own = F.pmod(F.xxhash64("doc"), F.when(F.col("is_main"), F.col("n_main")).otherwise(F.col("n_rest"))).cast("int")
     rows = rows.withColumn("own", own)
     # Blocks of the rest are numbered from 0, those of the main component after them.
@@ -303,13 +304,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     rows = checkpointed(own.mapInArrow(
         _sketch, "doc long, n long, e1 long, e2 long, sketches array<long>, seq binary"), "sketches")
     texts = rows.filter("n > 0")
-    first = texts.groupBy("e1", "e2").agg(F.min("doc").alias("rep"))
+    # What is joined back to the rows it was counted from is written first: the join
+    # then has shuffles of its own, which can be split where one key is hot.
+    first = checkpointed(texts.groupBy("e1", "e2").agg(F.min("doc").alias("rep")), "first_copies")
     member = checkpointed(texts.select("doc", "e1", "e2").join(first, ["e1", "e2"]).select("doc", "rep"), "members")
     reps = texts.join(member.filter("doc = rep").select("doc").distinct(), "doc", "left_semi")
     sigs = checkpointed(
         reps.select("doc", F.explode(F.array_distinct("sketches")).alias("sig")).distinct(), "buckets")
     shared = sigs.groupBy("sig").agg(F.min("doc").alias("leader"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    buckets = checkpointed(sigs.join(shared, "sig"), "shared_buckets")
+    buckets = checkpointed(sigs.join(checkpointed(shared, "bucket_leaders"), "sig"), "shared_buckets")
     seqs = checkpointed(
         reps.join(buckets.select("doc").distinct(), "doc", "left_semi").select("doc", "seq"), "sequences")
     stars = checkpointed(_leader_links(buckets, seqs), "leader_links")
