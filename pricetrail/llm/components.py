@@ -33,16 +33,16 @@ def components(edges: DataFrame) -> DataFrame:
     def tidy(rows: DataFrame) -> DataFrame:
         return checkpointed(rows.filter("u <> v").distinct(), "stars")
 
-    def mark(rows: DataFrame):
-        return rows.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-
-    stars = tidy(edges.select("u", "v"))
-    before = mark(stars)
-    while before[0]:
+    def settled(rows: DataFrame) -> bool:
+        """Whether every node has one edge, to a node that has none of its own."""
+        ends = rows.select(F.col("u").alias("n"), F.lit(1).alias("own"), F.lit(0).alias("root")).union(
+            rows.select("v", F.lit(0), F.lit(1)))
+        nodes = ends.groupBy("n").agg(F.sum("own").alias("own"), F.max("root").alias("root"))
+        return nodes.filter("own > 1 OR own + root > 1").isEmpty()
+
+    # Edges point to the smaller node, so the root of a star is its smallest.
+    stars = tidy(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")))
+    while not settled(stars):
         stars = tidy(_small_star(tidy(_large_star(stars))))
-        now = mark(stars)
-        if now == before:
-            break
-        before = now
     roots = stars.select("v").distinct().select(F.col("v").alias("node"), F.col("v").alias("component"))
     return stars.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots)
