@@ -120,7 +120,8 @@ def scan_secrets(files: DataFrame, repo: str = "doc_id", owner: str = "source")
         F.size(F.array_distinct(F.regexp_extract_all(c["value"], F.lit("(?s)."), F.lit(0)))).alias("chars"))).alias("c"), F.expr("uuid()").alias("row"))
     found = checkpointed(found, "secret_candidates")
     spans = found.select("row", "repo", "owner", F.explode("c").alias("c")).select("row", "repo", "owner", "c.*")
-    spans = spans.join(ownership(spans), "hash", "left")
+    # Written, so that the join has shuffles of its own, which can be split for a hot value.
+    spans = spans.join(checkpointed(ownership(spans), "secret_owners"), "hash", "left")
     verdict = (
         F.when(F.col("n_owners") >= EXAMPLE_OWNERS, "example")
         .when((F.col("n_owners") == 1) & (F.col("chars") >= LIVE_CHARS), "live").otherwise("unsure"))
