@@ -3,8 +3,9 @@
 Every text is scanned for candidates; their hashes are counted over the distinct
 repositories and owners that hold them. A value many owners hold is a copied
 example, a value of one owner that looks random is a live-looking credential. The
-base kinds are always reported; the method adds spans of further kinds where their
-value is live-looking.
+base kinds are always reported; the method adds spans of further kinds unless their
+value is a copied example or has too few distinct characters for a credential. The
+value of a private key is its body, so keys of one type are told apart.
 
 The hashes are counted in two steps (distinct holders first), both with partial
 sums before the shuffle, so a value copied into a third of all files is no hot task.
@@ -26,12 +27,19 @@ HEX = r"[0-9a-f]+"
 MIN_ASSIGN, MIN_ACCESS, MIN_HEX = 6, 20, 24
 BASE_KINDS = ("assign", "access", "hex")
 
-# Shapes of further credentials, added where one owner holds the value.
+# A key up to its END line; of one that is cut off, the header and the
+# runs of key characters after it. No '-----' is inside, so a text is read once.
+PEM_BEGIN, PEM_END = r"-----BEGIN (?:[A-Z]+ )?PRIVATE KEY-----", r"-----END (?:[A-Z]+ )?PRIVATE KEY-----"
+PEM = rf"{PEM_BEGIN}(?:[^-]*+(?:-(?!----)[^-]*+)*+{PEM_END}|(?:(?:\s|\\[nr])*+[A-Za-z0-9+/=]{{16,}}+)*+)"
+#: What is not the body of a key: its lines of dashes, white space, escaped or not.
+NOT_BODY = rf"{PEM_BEGIN}|{PEM_END}|\s|\\[nr]"
+
+# Shapes of further credentials, added unless their value is a copied example.
 ADDED = [
     ("github", r"\bgh[opsur]_[A-Za-z0-9]{36,}"),
     ("google", r"\bAIza[0-9A-Za-z_-]{35}"),
     ("jwt", r"\beyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}"),
-    ("pem", r"-----BEGIN (?:[A-Z]+ )?PRIVATE KEY-----"),
+    ("pem", PEM),
     ("slack", r"\bxox[abprs]-[A-Za-z0-9-]{10,}"),
     ("url", r"\b[a-z][a-z0-9+]{1,15}://[^\s:/@]{1,64}:[^\s:/@]{3,64}@"),
 ]
@@ -50,6 +58,8 @@ def _spans(text: Column, pattern: str, least: int, kind: str, order: int) -> Col
     """
     match = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     value = F.regexp_extract_all(text, F.lit(pattern), F.lit(2)) if kind == "assign" else match
+    if kind == "pem":
+        value = F.transform(match, lambda m: F.regexp_replace(m, NOT_BODY, ""))
     gap = F.transform(F.split(text, pattern, -1), F.length)
     whole = F.transform(match, F.length)
     start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("spans"))
@@ -105,11 +115,13 @@ def scan_secrets(files: DataFrame, repo: str = "doc_id", owner: str = "source")
     verdict) by start and order of the kind, code points with the end exclusive. The
     verdict is ``example`` (``EXAMPLE_OWNERS`` owners or more hold the value),
     ``live`` (one owner does and it has ``LIVE_CHARS`` distinct characters) or
-    ``unsure``. Spans of added kinds are kept where the verdict is live.
+    ``unsure``. Spans of added kinds are kept where fewer than ``EXAMPLE_OWNERS`` owners
+    hold the value and it has ``LIVE_CHARS`` distinct characters.
 
     Defined cases: null and empty texts have no spans; a null repository or owner is
-    one of its own; repeated rows get equal spans and count once per repository;
-    empty tables give no rows. Other columns are not read.
+    one of its own; repeated rows get equal spans and count once per repository; a key
+    without an END line counts by what it has, a header without a key is no span; empty
+    tables give no rows. Other columns are not read.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = files.select("doc_id", F.col(repo).cast("string").alias("repo"), F.col(owner).cast("string").alias("owner"), text.alias("text"))
@@ -125,7 +137,8 @@ def scan_secrets(files: DataFrame, repo: str = "doc_id", owner: str = "source")
     verdict = (
         F.when(F.col("n_owners") >= EXAMPLE_OWNERS, "example")
         .when((F.col("n_owners") == 1) & (F.col("chars") >= LIVE_CHARS), "live").otherwise("unsure"))
-    spans = spans.withColumn("verdict", verdict).filter((F.col("order") < len(BASE_KINDS)) | (F.col("verdict") == "live"))
+    added = (F.col("n_owners") < EXAMPLE_OWNERS) & (F.col("chars") >= LIVE_CHARS)
+    spans = spans.withColumn("verdict", verdict).filter((F.col("order") < len(BASE_KINDS)) | added)
     spans = spans.groupBy("row").agg(F.array_sort(F.collect_list(
         F.struct("start", "end", "order", "kind", "hash", "n_repos", "n_owners", "verdict"))).alias("spans"))
     none = F.array().cast(spans.schema["spans"].dataType)
@@ -141,7 +154,9 @@ def listed(spans: Column) -> Column:
 
 def _sql() -> str:
     kinds = [("assign", ASSIGN, 2, MIN_ASSIGN), ("access", ACCESS, 0, MIN_ACCESS), ("hex", HEX, 0, MIN_HEX)]
-    kinds += [(k, p, 0, 1) for k, p in ADDED]
+    # The SQL knows a key by its header and keeps added kinds of one owner only: it is
+    # equal where no table holds a key, nor a token of several owners.
+    kinds += [(k, PEM_BEGIN if k == "pem" else p, 0, 1) for k, p in ADDED]
     scans = "\n  UNION ALL ".join(
         f"SELECT doc_id, source, {i} AS ord, '{k}' AS kind, {least} AS least, regexp_extract_all(x, {q}) AS m, "
         f"regexp_extract_all(x, {q}, {group}) AS v, string_split_regex(x, {q}) AS g FROM docs WHERE regexp_matches(x, {q})"

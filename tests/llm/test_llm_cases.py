@@ -200,6 +200,30 @@ def test_secrets_by_owner(spark):
     assert got[12]["spans"] == [] and got[13]["spans"] == [] and got[14]["spans"] == []
 
 
+def test_private_keys_count_by_their_body(spark):
+    """Keys of one type are told apart, and a document copied into few sources keeps its spans."""
+    def pem(n, end="-----END RSA PRIVATE KEY-----"):
+        body = "\n".join(f"MIIEow{n}{'aB3+/x' * 9}{i}Q9" for i in range(5))
+        return f"-----BEGIN RSA PRIVATE KEY-----\n{body}\n{end}"
+
+    token = "ghp_" + "aB3dE6" * 7
+    texts = [(i, f"key: {pem(i)} end", f"o{i}") for i in range(8)]
+    texts += [(20 + i, pem("x").replace("\n", "\r\n" if i % 2 else "\\n"), f"o{i}") for i in range(5)]
+    texts += [(30 + i, pem("y"), f"o{i}") for i in range(3)] + [(40 + i, token, f"o{i}") for i in range(4)]
+    texts += [(50, pem("cut", ""), "o1"), (51, f"{pem('a', '')}{pem('b')}", "o1"), (52, "-----BEGIN PRIVATE KEY----- is its header", "o1")]
+    texts += [(60 + i, "ghp_" + "x" * 40, "o1") for i in range(2)]
+    rows = spark.createDataFrame(texts, "doc_id long, text string, source string")
+    got = {i: [(s["kind"], s["start"], s["end"], s["verdict"], s["n_owners"]) for s in r["spans"]] for i, r in by_id(secrets.scan_secrets(rows)).items()}
+    assert all(got[i] == [("pem", 5, 5 + len(pem(i)), "live", 1)] for i in range(8))
+    # Five owners of one key, however its lines end, hold an example.
+    assert all(got[20 + i] == [] for i in range(5))
+    assert all(got[30 + i] == [("pem", 0, len(pem("y")), "unsure", 3)] for i in range(3))
+    assert all(got[40 + i] == [("github", 0, 46, "unsure", 4)] for i in range(4))
+    # A key that is cut off counts by what it has; a header alone is no key.
+    assert got[50] == [("pem", 0, len(pem("cut", "").rstrip()), "live", 1)]
+    assert [s[0] for s in got[51]] == ["pem", "pem"] and got[52] == [] and got[60] == []
+
+
 def test_quality_rules(spark):
     good = [" ".join(f"word{i * j % 97}" for i in range(40)) for j in range(1, 60)]
     bad = [g.replace(" ", " # ") for g in good]
