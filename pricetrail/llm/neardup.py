@@ -4,7 +4,15 @@ Shingles are five consecutive words; the c-th occurrence of a shingle in a text
 labelled c, so shingles of one text are distinct. For each of ``SKETCHES`` hash
 functions the ``MINIMA`` smallest labelled shingles, kept in text order, make one
 sketch. Two texts of similarity s share a sketch with probability about
-s ** MINIMA, so at s = 0.8 a pair is missed with probability 6e-5.
+s ** MINIMA; minima are drawn without replacement, so it is less for short texts.
+At s = 0.8 a pair is missed with probability 1.4e-4 at most where the longer text
+has more than ``SHORT`` shingles, and 6e-5 for long texts.
+
+Texts of at most ``SHORT`` shingles also meet by single shingles, and no pair of
+them is missed: in one order of all shingles, the rarest first, two texts of
+similarity 0.8 share one of the first n // 5 + 1 of their n shingles, since each of
+them lacks at most n // 5 of its own in the other. These are buckets like the
+sketches.
 
 1. Equal word sequences are one text: the smallest doc_id stands for all.
 2. In every bucket (texts with an equal sketch) all texts are aligned with the
@@ -38,6 +46,8 @@ SHINGLE = 5
 SIMILARITY = 0.8
 SKETCHES = 32
 MINIMA = 6
+#: Texts of so many shingles at most are compared by single shingles as well.
+SHORT = 50
 #: Texts aligned with one leader in one slot; texts of a block in full comparison.
 SLOT_TEXTS = 2048
 BLOCK_TEXTS = 256
@@ -133,7 +143,7 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     import xxhash
 
     for batch in batches:
-        n, e1, e2, sigs, seqs = [], [], [], [], []
+        n, e1, e2, sigs, seqs, few = [], [], [], [], [], []
         for text in utf8(batch.column(1)):
             words = words_of(text)
             h = labelled_shingles(words)
@@ -143,10 +153,11 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             e2.append(int(digest[1]))
             sigs.append(sketches(h).astype(np.int64) if len(h) else [])
             seqs.append((h >> np.uint64(32)).astype(np.uint32).tobytes())
+            few.append(h.astype(np.int64) if len(h) <= SHORT else [])
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), pa.array(n, pa.int64()), pa.array(e1, pa.int64()), pa.array(e2, pa.int64()),
-             pa.array(sigs, pa.list_(pa.int64())), pa.array(seqs, pa.binary())],
-            names=["doc", "n", "e1", "e2", "sketches", "seq"])
+             pa.array(sigs, pa.list_(pa.int64())), pa.array(seqs, pa.binary()), pa.array(few, pa.list_(pa.int64()))],
+            names=["doc", "n", "e1", "e2", "sketches", "seq", "few"])
 
 
 def _seq(raw) -> np.ndarray:
@@ -243,6 +254,22 @@ def _compare_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     yield links()
 
 
+def _prefixes(reps: DataFrame) -> DataFrame:
+    """(doc, sig) of the rarest shingles of short texts, from ``reps`` (doc, n, few).
+
+    A shingle of one text only meets no other; such ones come first in the order and
+    are only counted.
+    """
+    each = reps.select("doc", "n", F.explode("few").alias("shingle"))
+    shared = each.groupBy("shingle").agg(F.count("*").alias("texts")).filter("texts > 1")
+    each = each.join(checkpointed(shared, "shared_shingles"), "shingle")
+    # At most SHORT shingles of a text come together.
+    own = each.groupBy("doc", "n").agg(F.array_sort(F.collect_list(F.struct("texts", "shingle"))).alias("own"))
+    take = F.expr("greatest(0, n div 5 + 1 - (n - size(own)))").cast("int")
+    sig = F.transform(F.slice("own", F.lit(1), take), lambda x: F.xxhash64(F.lit("short"), x["shingle"]))
+    return own.select("doc", F.explode(sig).alias("sig"))
+
+
 def _leader_links(buckets: DataFrame, seqs: DataFrame) -> DataFrame:
     """Links of step 2, from ``buckets`` (sig, doc, leader) and ``seqs`` (doc, seq)."""
     pairs = checkpointed(buckets.filter("doc <> leader").select("leader", "doc").distinct(), "leader_pairs")
@@ -302,15 +329,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     small_batches(docs.sparkSession)
     own = docs.select(doc_key(F.col("doc_id")).alias("doc"), F.col("text").cast("string").alias("text"))
     rows = checkpointed(own.mapInArrow(
-        _sketch, "doc long, n long, e1 long, e2 long, sketches array<long>, seq binary"), "sketches")
+        _sketch, "doc long, n long, e1 long, e2 long, sketches array<long>, seq binary, few array<long>"), "sketches")
     texts = rows.filter("n > 0")
     # What is joined back to the rows it was counted from is written first: the join
     # then has shuffles of its own, which can be split where one key is hot.
     first = checkpointed(texts.groupBy("e1", "e2").agg(F.min("doc").alias("rep")), "first_copies")
     member = checkpointed(texts.select("doc", "e1", "e2").join(first, ["e1", "e2"]).select("doc", "rep"), "members")
     reps = texts.join(member.filter("doc = rep").select("doc").distinct(), "doc", "left_semi")
-    sigs = checkpointed(
-        reps.select("doc", F.explode(F.array_distinct("sketches")).alias("sig")).distinct(), "buckets")
+    sigs = reps.select("doc", F.explode(F.array_distinct("sketches")).alias("sig")).distinct()
+    sigs = checkpointed(sigs.union(_prefixes(reps)), "buckets")
     shared = sigs.groupBy("sig").agg(F.min("doc").alias("leader"), F.count("*").alias("n")).filter("n > 1").drop("n")
     buckets = checkpointed(sigs.join(checkpointed(shared, "bucket_leaders"), "sig"), "shared_buckets")
     seqs = checkpointed(

@@ -92,6 +92,37 @@ def test_near_copies_chain_and_blocks(spark, monkeypatch):
     assert set(got.values()) == {0}
 
 
+def test_short_near_copies_equal_all_pairs(spark):
+    """One-word edits of texts of 8 to 20 words, none of which may be missed."""
+    from pricetrail.llm.common import words_of
+
+    texts = []
+    for n in range(8, 21):
+        for k in range(4):
+            words = [f"a{n}x{k}x{i}" for i in range(n)]
+            other = words[:]
+            other[-1 - k % 2] = "edited"
+            texts += [" ".join(x) for x in (words, ["first", *words], [*words, "last"], ["first", *words, "last"], words[1:], other)]
+    # Beginnings common to texts that are unlike otherwise.
+    texts += ["one common beginning of some words then " + " ".join(f"z{i}y{j}" for j in range(i % 4 * 10)) for i in range(40)]
+    seqs = [(neardup.labelled_shingles(words_of(t)) >> 32).astype("uint32") for t in texts]
+    parent = list(range(len(texts)))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i, seq in enumerate(seqs):
+        whole = neardup.Sequence(seq)
+        for j in range(i + 1, len(seqs)):
+            if whole.similarity(seqs[j]) >= neardup.SIMILARITY:
+                a, b = sorted((root(i), root(j)))
+                parent[b] = a
+    got = {i: r["class_id"] for i, r in by_id(neardup.near_duplicates(docs(spark, texts))).items()}
+    assert got == {i: root(i) for i in range(len(texts))}
+
+
 def test_chain_is_ordered():
     import numpy as np
 
