@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricetrail.llm.common import NOT_SPACE, doc_key, table
+from pricetrail.llm.common import NOT_SPACE, table
 from pricetrail.llm.decontam import contamination
 from pricetrail.llm.langid import UNKNOWN, identify
 from pricetrail.llm.linededup import dedup_lines
@@ -39,16 +39,14 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near copies."""
+    """One row of each class of near copies."""
     return distinct_documents(docs.select(*COLUMNS))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no benchmark phrase occurs."""
-    found = contamination(docs, table(spark, sf_dir, "benchmark")).filter(F.size("spans") > 0)
-    bad = checkpointed(found.select(doc_key(F.col("doc_id")).alias("_bad")).distinct(), "contaminated")
-    docs = docs.select(*COLUMNS)
-    return docs.join(bad, doc_key(docs["doc_id"]) == bad["_bad"], "left_anti")
+    found = contamination(docs, table(spark, sf_dir, "benchmark"), keep=COLUMNS[1:])
+    return found.filter(F.size("spans") == 0).select(*COLUMNS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -14,7 +14,7 @@ index of the shard for each.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -166,13 +166,14 @@ def item_blocks(items: DataFrame, block_words: int = BLOCK_WORDS) -> Iterator[li
         yield block
 
 
-def contamination(docs: DataFrame, items: DataFrame, width: int = WINDOW) -> DataFrame:
+def contamination(docs: DataFrame, items: DataFrame, width: int = WINDOW, keep: Sequence[str] = ()) -> DataFrame:
     """Where the phrases of ``items`` (item_id, text) occur in ``docs`` (doc_id, text).
 
     A phrase is a window of ``width`` consecutive words of an item; an item with
     fewer words is one phrase. Columns: doc_id, n_words, spans (merged word ranges
     to remove, end exclusive) and items (ids with occurring phrases, as sorted
-    strings); one row per input row.
+    strings), then the columns of the row named by ``keep``, which are not any of
+    these; one row per input row.
 
     Defined cases: null and wordless texts have no words and no spans; an item
     without words has no phrase; a null item_id marks spans but is not listed;
@@ -181,17 +182,24 @@ def contamination(docs: DataFrame, items: DataFrame, width: int = WINDOW) -> Dat
     """
     small_batches(docs.sparkSession)
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    others = [c for c in keep if c != "text"]
+    if others:
+        rows = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.struct(*others).alias("kept"))
     schema = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, text string"
+    if others:
+        schema += f", kept {rows.schema['kept'].dataType.simpleString()}"
     blocks = list(item_blocks(items))
-    at = [2 + 3 * n for n in range(len(blocks))]
+    at = [len(rows.columns) + 3 * n for n in range(len(blocks))]
     for n, block in zip(at, blocks):
         schema += f", n_words{n} long, spans{n} array<struct<start:long,end:long>>, items{n} array<string>"
         shared = docs.sparkSession.sparkContext.broadcast(block)
-        rows = rows.mapInArrow(_searcher(shared, width, n < at[-1]), schema)
+        rows = rows.mapInArrow(_searcher(shared, width, "text" in keep or n < at[-1]), schema)
     spans, found = (F.concat(*[F.col(f"{x}{n}") for n in at]) for x in ("spans", "items"))
     if len(blocks) > 1:
         spans, found = _union(F.array_sort(spans)), F.array_sort(F.array_distinct(found))
-    return rows.select("doc_id", F.col(f"n_words{at[0]}").alias("n_words"), spans.alias("spans"), found.alias("items"))
+    return rows.select(
+        "doc_id", F.col(f"n_words{at[0]}").alias("n_words"), spans.alias("spans"), found.alias("items"),
+        *[F.col("text") if c == "text" else F.col("kept")[c].alias(c) for c in keep])
 
 
 def _union(spans: Column) -> Column:

@@ -14,7 +14,9 @@ similarity 0.8 share one of the first n // 5 + 1 of their n shingles, since each
 them lacks at most n // 5 of its own in the other. These are buckets like the
 sketches.
 
-1. Equal word sequences are one text: the smallest doc_id stands for all.
+0. Every row gets a number, written once; rows are linked by number, whatever their
+   doc_id. Below, doc is that number.
+1. Equal word sequences are one text: the smallest number stands for all.
 2. In every bucket (texts with an equal sketch) all texts are aligned with the
    smallest one; linked texts form components. A bucket of near copies so costs
    one alignment a text, not one a pair.
@@ -39,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import checkpointed
-from .common import doc_key, query, small_batches, table, utf8, words_of
+from .common import free_name, query, small_batches, table, utf8, words_of
 from .components import components
 
 SHINGLE = 5
@@ -155,9 +157,9 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             seqs.append((h >> np.uint64(32)).astype(np.uint32).tobytes())
             few.append(h.astype(np.int64) if len(h) <= SHORT else [])
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(n, pa.int64()), pa.array(e1, pa.int64()), pa.array(e2, pa.int64()),
+            [batch.column(0), batch.column(2), pa.array(n, pa.int64()), pa.array(e1, pa.int64()), pa.array(e2, pa.int64()),
              pa.array(sigs, pa.list_(pa.int64())), pa.array(seqs, pa.binary()), pa.array(few, pa.list_(pa.int64()))],
-            names=["doc", "n", "e1", "e2", "sketches", "seq", "few"])
+            names=["doc", "doc_id", "n", "e1", "e2", "sketches", "seq", "few"])
 
 
 def _seq(raw) -> np.ndarray:
@@ -317,19 +319,29 @@ def _block_links(buckets: DataFrame, seqs: DataFrame, parts: DataFrame) -> DataF
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, class_id, n_shingles): one row per row of ``docs`` (doc_id, text).
 
-    A class is a connected component of the links of similarity 0.8 or more; its id
-    is its smallest doc_id. Words are as in the other operators (A-Z lower-cased).
+    A class is a connected component of the links of similarity 0.8 or more between
+    rows; its id is its smallest doc_id. Words are as in the other operators (A-Z
+    lower-cased).
 
     Defined cases: null, empty and wordless texts have no shingle and are a class
-    each; a text of fewer than five words is one shingle; rows repeating a doc_id
-    are one document whose class holds the texts of all of them; rows without a
-    doc_id are one document after all others (class id null if they are alone);
-    an empty table gives no rows. Other columns are not read.
+    each; a text of fewer than five words is one shingle; rows that repeat a doc_id
+    or have none are in the class of their own text, so unlike classes may have an
+    equal id; a class of rows without a doc_id has the id null; an empty table gives
+    no rows. Other columns are not read.
+    """
+    rows = docs.select(F.monotonically_increasing_id().alias("doc"), "text", "doc_id")
+    return _classes(rows).select("doc_id", "class_id", "n_shingles")
+
+
+def _classes(docs: DataFrame) -> DataFrame:
+    """(doc, doc_id, class_id, n_shingles, kept) of ``docs`` (doc, text, doc_id), doc being
+    the number of the row; the row with the smallest doc_id of a class is kept, of
+    several the one with the smallest number.
     """
     small_batches(docs.sparkSession)
-    own = docs.select(doc_key(F.col("doc_id")).alias("doc"), F.col("text").cast("string").alias("text"))
+    own = docs.select("doc", F.col("text").cast("string").alias("text"), F.col("doc_id").cast("long").alias("doc_id"))
     rows = checkpointed(own.mapInArrow(
-        _sketch, "doc long, n long, e1 long, e2 long, sketches array<long>, seq binary, few array<long>"), "sketches")
+        _sketch, "doc long, doc_id long, n long, e1 long, e2 long, sketches array<long>, seq binary, few array<long>"), "sketches")
     texts = rows.filter("n > 0")
     # What is joined back to the rows it was counted from is written first: the join
     # then has shuffles of its own, which can be split where one key is hot.
@@ -347,22 +359,30 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     more = _block_links(buckets, seqs, parts)
     copies = member.filter("doc <> rep").select(F.col("rep").alias("u"), F.col("doc").alias("v"))
     links = checkpointed(stars.union(more), "links").union(copies)
-    classes = components(links)
-    named = F.coalesce("component", "doc")
-    out = rows.select("doc", "n").join(classes.withColumnRenamed("node", "doc"), "doc", "left").select(
-        F.nullif("doc", F.lit(2**63 - 1)).alias("doc_id"), F.nullif(named, F.lit(2**63 - 1)).alias("class_id"),
-        F.col("n").alias("n_shingles"))
-    return out
+    classes = components(links).withColumnRenamed("node", "doc")
+    out = rows.select("doc", "doc_id", F.col("n").alias("n_shingles")).join(classes, "doc", "left")
+    out = checkpointed(out, "row_components")
+    # Rows without an id come after all others.
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "doc")
+    best = out.filter("component IS NOT NULL").groupBy("component").agg(F.min(order).alias("best"))
+    out = out.join(checkpointed(best, "class_names"), "component", "left")
+    alone = F.col("component").isNull()
+    return out.select(
+        "doc", "doc_id", F.when(alone, F.col("doc_id")).otherwise(F.col("best.doc_id")).alias("class_id"), "n_shingles",
+        (alone | (F.col("doc") == F.col("best.doc"))).alias("kept"))
 
 
 def distinct_documents(docs: DataFrame) -> DataFrame:
-    """``docs`` with one document of each class: the one with the smallest doc_id.
+    """``docs`` with one row of each class: the one with the smallest doc_id.
 
-    Rows repeating that doc_id all stay.
+    Rows without a doc_id come after all others; of several rows with the smallest
+    doc_id in one class any one stays.
     """
-    classes = near_duplicates(docs.select("doc_id", "text")).filter("doc_id <> class_id").select(
-        F.col("doc_id").alias("copy")).distinct()
-    return docs.alias("docs").join(classes.alias("copies"), F.col("docs.doc_id").cast("long") == F.col("copies.copy"), "left_anti")
+    row = free_name(docs, "row")
+    # Written, so that a row keeps its number until it is filtered.
+    numbered = checkpointed(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    copies = _classes(numbered.select(F.col(row).alias("doc"), "text", "doc_id")).filter(~F.col("kept"))
+    return numbered.join(copies.select(F.col("doc").alias(row)), row, "left_anti").select(*docs.columns)
 
 
 @query("op1_near_dedup")

@@ -79,6 +79,17 @@ def test_near_copies(spark):
     assert kept == {0, 3, 4, 5, 6}
 
 
+def test_near_copies_by_row(spark):
+    """Rows that share an id or have none are judged by their own text."""
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = docs(spark, [a, b, f"{a} more", f"{b} more", c, f"{c} more", "lone text", a, c], [1, 2, None, None, None, None, None, 7, 7])
+    got = sorted((r["doc_id"] or 0, r["class_id"] or 0, r["n_shingles"]) for r in neardup.near_duplicates(rows).collect())
+    assert got == [(0, 0, 1), (0, 1, 57), (0, 2, 57), (0, 7, 56), (0, 7, 57), (1, 1, 56), (2, 2, 56), (7, 1, 56), (7, 7, 56)]
+    kept = neardup.distinct_documents(rows)
+    assert kept.columns == rows.columns
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in kept.collect()) == [(0, "lone text"), (1, a), (2, b), (7, c)]
+
+
 def test_near_copies_chain_and_blocks(spark, monkeypatch):
     """A large group of edits of edits: links across blocks of one bucket are found."""
     monkeypatch.setattr(neardup, "SLOT_TEXTS", 7)

@@ -40,6 +40,14 @@ def test_stages_take_awkward_and_empty_tables(spark, docs, folder, name):
     assert kept == {0, 1, 2, 3, 4, 5, 7, 8, None} - gone
 
 
+def test_contaminated_rows_without_an_id(spark, docs, folder):
+    """Only the contaminated row goes, whatever ids rows share."""
+    texts = [(None, f"x {ITEM}"), (None, "clean words"), (1, f"{ITEM} y"), (1, "clean too")]
+    rows = spark.createDataFrame([(i, t, None, "s", 3, "x", 1, "y") for i, t in texts], KIND)
+    out = cp.drop_contaminated(spark, rows, folder).collect()
+    assert sorted(map(tuple, out), key=str) == [(1, "clean too", None, "s", 3), (None, "clean words", None, "s", 3)]
+
+
 def test_whole_run(spark, docs, folder):
     docs.write.parquet(f"{folder}/documents.parquet")
     rows = cp.run(spark, folder).collect()
