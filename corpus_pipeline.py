@@ -19,7 +19,7 @@ from pricetrail.llm.neardup import distinct_documents
 from pricetrail.session import checkpointed
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
-#: A document whose language is less sure than this is rejected.
+#: A document whose language has a smaller posterior than this is rejected.
 MIN_LANGUAGE_SCORE = 0.5
 
 
@@ -27,7 +27,7 @@ def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """Documents with a letter whose language is recognised; a missing lang is filled in."""
     rows = identify(docs.select(*COLUMNS))
     known = F.col("lang_pred") != UNKNOWN
-    rows = rows.filter(F.col("text").rlike(r"\p{L}") & (~known | (F.col("score") >= MIN_LANGUAGE_SCORE)))
+    rows = rows.filter(F.col("text").rlike(r"\p{L}") & (~known | (F.col("posterior") >= MIN_LANGUAGE_SCORE)))
     return rows.withColumn("lang", F.coalesce("lang", F.when(known, F.col("lang_pred")))).select(*COLUMNS)
 
 

@@ -23,8 +23,8 @@ ORDERS = (1, 2, 3)
 ALPHA = 0.5
 #: More distinct labels than this are taken for an error in the label column.
 MAX_LANGUAGES = 1000
-#: Evidence of a text counts as that of so many n-grams at most, so that the score
-#: of a long text stays a usable confidence.
+#: In the score, a text and the prior count as so many n-grams at most, so that the
+#: score of a long text stays a usable confidence. The language is that of all n-grams.
 EVIDENCE = 30
 #: Characters handled at once.
 CHUNK = 1 << 20
@@ -81,15 +81,18 @@ class LanguageModel:
     def __init__(self, languages: list[str], prior: np.ndarray, logp: np.ndarray):
         self.languages, self.prior, self.logp = languages, prior, logp
 
-    def predict(self, raw: bytes | None) -> tuple[str, float]:
+    def predict(self, raw: bytes | None) -> tuple[str, float, float]:
+        """The language of a text, its score and its posterior."""
         if raw is None or not self.languages or not has_letter(raw):
-            return UNKNOWN, 0.0
+            return UNKNOWN, 0.0, 0.0
         counts = gram_counts(raw)
         at = np.flatnonzero(counts)
         n = counts[at]
-        loglik = n @ self.logp[at].astype(np.float64) * min(1.0, EVIDENCE / n.sum()) + self.prior
+        loglik = n @ self.logp[at].astype(np.float64) + self.prior
         best = int(loglik.argmax())
-        return self.languages[best], float(1 / np.exp(loglik - loglik[best]).sum())
+        below = loglik - loglik[best]
+        share = lambda x: float(1 / np.exp(x).sum())
+        return self.languages[best], share(below * min(1.0, EVIDENCE / n.sum())), share(below)
 
 
 def train(docs: DataFrame) -> LanguageModel:
@@ -118,15 +121,15 @@ def train(docs: DataFrame) -> LanguageModel:
 
 
 def language(docs: DataFrame, model: LanguageModel) -> Column:
-    """The (lang_pred, score) of the texts of ``docs``, by the broadcast model."""
+    """The (lang_pred, score, posterior) of the texts of ``docs``, by the broadcast model."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("lang_pred string, score double")
+    @F.pandas_udf("lang_pred string, score double, posterior double")
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         own = shared.value
         for texts in batches:
             rows = [own.predict(None if t is None else t.encode("utf-8", "replace")) for t in texts]
-            yield pd.DataFrame({"lang_pred": [r[0] for r in rows], "score": [r[1] for r in rows]})
+            yield pd.DataFrame(rows, columns=["lang_pred", "score", "posterior"])
 
     # A filter on the result must not have it computed a second time below.
     return predict.asNondeterministic()(docs["text"].cast("string"))
@@ -138,22 +141,23 @@ def held_out() -> Column:
 
 
 def identify(docs: DataFrame) -> DataFrame:
-    """``docs`` with held_out, lang_pred and score; a model of the rows not held out.
+    """``docs`` with held_out, lang_pred, score and posterior; a model of the rows not held out.
 
-    The score is the posterior of the predicted language, its evidence scaled to
-    ``EVIDENCE`` n-grams. Input columns of these three names are replaced.
+    The posterior of the predicted language is that of all n-grams; for the score,
+    evidence and prior are scaled to ``EVIDENCE`` n-grams. Input columns of these four
+    names are replaced.
 
-    Defined cases: null text, or text without a letter, is ``und`` with score 0; so
+    Defined cases: null text, or text without a letter, is ``und`` with both 0; so
     is every text if no row can be learned from; ties go to the first language in
     code-point order; repeated rows count each; n-grams of long texts are counted
     in pieces, over the whole text.
     """
     small_batches(docs.sparkSession)
-    docs = docs.drop("held_out", "lang_pred", "score")
+    docs = docs.drop("held_out", "lang_pred", "score", "posterior")
     model = train(docs.filter(~held_out()).select("text", "lang"))
     found = free_name(docs, "found")
     rows = docs.withColumn(found, language(docs, model)).withColumn("held_out", held_out())
-    return rows.select(*docs.columns, "held_out", f"{found}.lang_pred", f"{found}.score")
+    return rows.select(*docs.columns, "held_out", f"{found}.lang_pred", f"{found}.score", f"{found}.posterior")
 
 
 @query("op4_language_id")

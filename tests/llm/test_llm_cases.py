@@ -173,6 +173,27 @@ def test_language_without_letters_or_labels(spark):
     assert [some[i]["lang_pred"] for i in ids] == ["und", "und", "und", "xx", "xx"]
 
 
+def test_long_text_of_a_rare_language(spark):
+    """All n-grams of a long text outweigh the prior of a frequent, related language."""
+    usual = "the old house by the river had a red door and ten small windows".split()
+    rare = lambda n: " ".join("zjq" if i % 9 == 4 else usual[i * 5 % 14] for i in range(n))
+    ids = [i for i in range(6000) if zlib.crc32(str(i).encode()) % 3 != 1][:3001]
+    held = next(i for i in range(9000, 9100) if zlib.crc32(str(i).encode()) % 3 == 1)
+    texts = [(i, " ".join(usual[(i + k) * 5 % 14] for k in range(14)), "often") for i in ids[:-1]]
+    texts += [(ids[-1], rare(40_000), "rare"), (held, rare(2000), None)]
+    rows = spark.createDataFrame(texts, "doc_id long, text string, lang string")
+    got = langid.identify(rows).filter(F.col("doc_id") == held).first()
+    assert got["lang_pred"] == "rare" and got["posterior"] > 0.99 and 0.5 <= got["score"] < got["posterior"]
+    # Among close languages the score of a long text may be low, its posterior is not.
+    import numpy as np
+
+    names = [f"l{i}" for i in range(8)]
+    near = np.tile(np.log(np.full(langid.BUCKETS, 1 / langid.BUCKETS)), (8, 1)).T.copy()
+    near[:, 3] += 0.02
+    lang, score, posterior = langid.LanguageModel(names, np.log(np.full(8, 1 / 8)), near).predict(b"some words " * 500)
+    assert lang == "l3" and score < 0.5 < posterior
+
+
 def test_language_pieces_are_whole():
     import numpy as np
 
