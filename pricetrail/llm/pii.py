@@ -11,6 +11,7 @@ Base kinds are always reported; the classifier decides on candidates of added ki
 """
 
 import re
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,10 +30,22 @@ IP = re.compile(r"(?<![0-9])[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
-# Shapes of added candidates.
+def _letters(*categories: str) -> str:
+    """The characters of Unicode categories, as the inside of a character class.
+
+    Of the scripts with case beyond the first 65536 characters all letters are taken,
+    as one range: a class of many such characters is searched one by one.
+    """
+    return "".join(c for c in map(chr, range(1 << 16)) if unicodedata.category(c) in categories) + "\U00010400-\U0001e943"
+
+
+# A word of a name, a capital and letters with their accents.
+CAPITAL, TAIL = f"[{_letters('Lu', 'Lt')}]", f"[{_letters('Ll', 'Mn')}]{{1,20}}"
+
+# Shapes of added candidates. Names overlap: every adjacent pair is one.
 ADDED = {
     "iban": re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"),
-    "name": re.compile(r"(?<!\w)[A-Z][a-z]{1,20} [A-Z][a-z]{1,20}(?!\w)"),
+    "name": re.compile(rf"{CAPITAL}(?<!\w.)(?=({TAIL} {CAPITAL}{TAIL})(?!\w))"),
     "ssn": re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"),
     "user": re.compile(r"(?<![\w@.])@[A-Za-z][A-Za-z0-9_]{2,30}(?![\w@.])"),
 }
@@ -112,7 +125,7 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 
 def added_spans(text: str) -> list[tuple[str, int, int]]:
-    return [(kind, *m.span()) for kind, pattern in ADDED.items() for m in pattern.finditer(text)]
+    return [(kind, m.start(), m.end(pattern.groups)) for kind, pattern in ADDED.items() for m in pattern.finditer(text)]
 
 
 def _iban(value: str) -> bool:
@@ -122,13 +135,18 @@ def _iban(value: str) -> bool:
 
 def _shape(value: str) -> str:
     """Runs of letters, digits and others as one sign each; eight signs, so 384 shapes at most."""
-    short = re.sub(r"[A-Za-z]+", "a", value[:64])
+    short = re.sub(r"[^\W\d_]+", "a", value[:64])
     return re.sub(r"[^a9]+", ".", re.sub(r"[0-9]+", "9", short))[:8]
 
 
 _WORDS = re.compile(r"[\w-]+")
 
 
+def _plain(name: str) -> str:
+    """A name without accents, as the gazetteer has it."""
+    return name if name.isascii() else "".join(c for c in unicodedata.normalize("NFKD", name) if not unicodedata.combining(c))
+
+
 def vote(kind: str, value: str, before: str) -> tuple[tuple[int, int, int], tuple[str, ...]]:
     """The votes of the labelers (1 yes, -1 no, 0 abstain) and the features of a span."""
     near = [w.lower() for w in _WORDS.findall(before)]
@@ -150,7 +168,7 @@ def vote(kind: str, value: str, before: str) -> tuple[tuple[int, int, int], tupl
     if kind == "email":
         gazetteer = -1 if value.lower().endswith(RESERVED) else 0
     elif kind == "name":
-        gazetteer = 1 if value.split()[0] in GIVEN_NAMES else -1
+        gazetteer = 1 if _plain(value.split()[0]) in GIVEN_NAMES else -1
     else:
         gazetteer = 0
     if any(w in CONTEXT[kind] for w in near):
@@ -240,8 +258,7 @@ def train(spans: DataFrame) -> SpanClassifier:
     """EM on the vote patterns of ``spans`` (kind, votes, features), then the classifier.
 
     A vote pattern is one of 27 and a feature value one of a fixed set, so what comes
-    to the driver has a fixed bound; values of fewer than ten spans are left to the
-    prior.
+    to the driver has a fixed bound; smoothing holds back values of few spans.
     """
     counts = spans.groupBy("kind", "votes").agg(F.count("*").alias("n")).collect()
     shares, posts = {}, []
@@ -255,7 +272,7 @@ def train(spans: DataFrame) -> SpanClassifier:
     named = F.arrays_zip(F.array(*map(F.lit, FEATURES)).alias("feature"), F.col("features").alias("value"))
     each = spans.join(F.broadcast(table_), ["kind", "votes"]).select("kind", "p", F.explode(named).alias("x"))
     sums = each.groupBy("kind", F.col("x.feature").alias("feature"), F.col("x.value").alias("value")).agg(
-        F.sum("p").alias("yes"), F.sum(1 - F.col("p")).alias("no"), F.count("*").alias("n")).filter("n >= 10")
+        F.sum("p").alias("yes"), F.sum(1 - F.col("p")).alias("no"))
     weights = {(r["kind"], r["feature"], r["value"]): (r["yes"], r["no"]) for r in sums.collect()}
     return SpanClassifier(shares, weights)
 
@@ -265,7 +282,8 @@ def find_pii(docs: DataFrame) -> DataFrame:
 
     ``spans`` is an array of (kind, start, end, score) by kind as listed, then start,
     in code points with the end exclusive. Base kinds are all there with their score;
-    spans of added kinds where the score is ``THRESHOLD`` or more.
+    spans of added kinds where the score is ``THRESHOLD`` or more; of overlapping names
+    the one with the highest score, then the first.
 
     Defined cases: null and empty texts have no spans; repeated rows get equal spans
     and count each in training; a corpus without candidates trains nothing; empty
@@ -295,8 +313,31 @@ def _decide(found: DataFrame, odds: Column) -> DataFrame:
         F.array_position(order, s["kind"]).alias("order"), s["start"].alias("start"), s["end"].alias("end"),
         s["kind"].alias("kind"), score(s).alias("score")))
     good = F.filter(F.array_sort(spans), lambda s: (s["order"] <= len(BASE_KINDS)) | (s["score"] >= THRESHOLD))
-    return found.select("doc_id", F.transform(good, lambda s: F.struct(
+    rows = found.select("doc_id", F.transform(good, lambda s: F.struct(
         s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"), s["score"].alias("score"))).alias("spans"))
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    return rows.mapInArrow(_choose, f"doc_id {kind}, spans array<struct<kind:string,start:long,end:long,score:double>>")
+
+
+def disjoint(names: list[dict]) -> list[dict]:
+    """Spans in order of their start without those that overlap a better one that stays."""
+    stays = [False] * len(names)
+    # Adjacent pairs of words: a span overlaps at most the one before and the one after.
+    for i in sorted(range(len(names)), key=lambda i: -names[i]["score"]):
+        before = i > 0 and stays[i - 1] and names[i - 1]["end"] > names[i]["start"]
+        after = i + 1 < len(names) and stays[i + 1] and names[i]["end"] > names[i + 1]["start"]
+        stays[i] = not before and not after
+    return [s for s, stay in zip(names, stays) if stay]
+
+
+def _choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        out = []
+        for spans in batch.column(1).to_pylist():
+            at = [i for i, s in enumerate(spans) if s["kind"] == "name"]
+            # The spans of a kind stand together.
+            out.append(spans[:at[0]] + disjoint(spans[at[0]:at[-1] + 1]) + spans[at[-1] + 1:] if at else spans)
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, batch.schema.field(1).type)], names=["doc_id", "spans"])
 
 
 def listed(spans: Column) -> Column:

@@ -380,6 +380,20 @@ def test_pii_votes_and_kinds(spark):
     assert all(got[i] == [("ssn", 7, 18)] for i in range(7, 19))
 
 
+def test_names_after_a_capitalised_word(spark):
+    """Every adjacent pair is a candidate, accents included, and the better one is chosen."""
+    texts = ["Dear Anna Weber, hello", "to Mr John Smith of here", "so The Peter Miller came", "Dear José Müller, hello"] * 10
+    texts += ["Green House stands there", "see New York City now"] * 20
+    rows = docs(spark, texts)
+    got = {i: [(s["kind"], s["start"], s["end"]) for s in r["spans"]] for i, r in by_id(pii.find_pii(rows)).items()}
+    assert got[0] == [("name", 5, 15)] and got[1] == [("name", 6, 16)]
+    assert got[2] == [("name", 7, 19)] and got[3] == [("name", 5, 16)]
+    assert all(got[i] == [] for i in range(40, 80))
+    value = lambda *xs: [{"start": 5 * i, "end": 5 * i + 9, "score": x} for i, x in enumerate(xs)]
+    assert [s["score"] for s in pii.disjoint(value(0.7, 0.8, 0.9))] == [0.7, 0.9]
+    assert [s["start"] for s in pii.disjoint(value(0.8, 0.8))] == [0]
+
+
 def test_em_tells_good_labelers_from_bad():
     patterns = [((1, 1, 0), 90.0), ((-1, -1, 0), 90.0), ((1, 0, 1), 30.0), ((1, 0, -1), 30.0), ((-1, 0, 1), 30.0), ((-1, 0, -1), 30.0)]
     share, rely, post = pii.reliabilities(patterns, 0.5)
