@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontam, langid, licenses, linededup, mixing, neardup, pages, pii, quality, secrets  # noqa: F401
+from . import bpe, decontam, langid, licenses, linededup, mixing, neardup, pages, pii, quality, secrets, vafile, walsh  # noqa: F401
 from .common import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
