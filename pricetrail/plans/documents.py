@@ -15,7 +15,7 @@ from ..operators import history as h
 from ..operators import tiers as price_tiers
 from ..schemas import DOCUMENT, PROVIDER, SERIES as SERIES_SCHEMA
 from ..session import work_path
-from ..sources import readers, writers
+from ..sources import datasets, readers, writers
 from .base import OBS, SERIES, TIER, load, observations, query, series, tiers
 
 
@@ -264,19 +264,29 @@ def csv_roundtrip_typed(spark, d):
     return readers.cast_columns(text, casts).withColumn("c_acctbal", F.col("c_acctbal").cast("double"))
 
 
-def dataset_paths(spark, d):
-    root = work_path(spark, "datasets")
+def loaded_datasets(spark, d):
+    """Five datasets, one with a file that can't be read, and one that is not there."""
+    root, target = work_path(spark, "datasets"), work_path(spark, "loaded")
     events = load(spark, d, "events").select("event_id", "user_id", "value", "event_type")
     events.write.partitionBy("event_type").parquet(root)
-    names = ("click", "view", "purchase", "signup", "error")
-    return {**{n: f"{root}/event_type={n}" for n in names}, "gone": f"{root}/event_type=gone"}
+    load(spark, d, "region").select(F.col("r_name").alias("value")).write.mode("append").text(f"{root}/event_type=error")
+    names = ("click", "view", "purchase", "signup", "error", "gone")
+    schema = events.drop("event_type").schema
+    report = datasets.load_datasets(spark, {n: f"{root}/event_type={n}" for n in names}, target, schema)
+    return report, datasets.read_committed(spark, target, schema)
 
 
-@query("multi_dataset_union", "SELECT event_type AS dataset_id, event_id, user_id, value FROM events")
+@query("multi_dataset_union", "SELECT event_type AS dataset_id, event_id, user_id, value FROM events WHERE event_type <> 'error'")
 def multi_dataset_union(spark, d):
-    schema = load(spark, d, "events").select("event_id", "user_id", "value").schema
-    rows, _ = readers.read_datasets(spark, dataset_paths(spark, d), schema)
-    return rows.select("dataset_id", "event_id", "user_id", "value")
+    return loaded_datasets(spark, d)[1]
+
+
+@query("dataset_report", """
+  SELECT event_type AS dataset_id, CASE WHEN event_type = 'error' THEN 'FAILED_READ_FILE' ELSE 'loaded' END AS status,
+    count(*) FILTER (event_type <> 'error') AS n_rows FROM events GROUP BY 1
+  UNION ALL SELECT 'gone', 'PATH_NOT_FOUND', 0""")
+def dataset_report(spark, d):
+    return loaded_datasets(spark, d)[0]
 
 
 @query("append_log", """
@@ -352,23 +362,52 @@ def rebuild_equals_append(spark, d):
     )
 
 
-@query("incidents_by_day", r"""
-  WITH i AS (SELECT event_id, ts::DATE AS d, CASE event_type WHEN 'error' THEN 'failed' WHEN 'signup' THEN 'degraded' ELSE 'success' END AS status FROM events)
-  SELECT d::VARCHAR AS day, status, count(*) AS n, min('r' || event_id) AS first_run FROM i WHERE status <> 'success' GROUP BY ALL""")
-def incidents_by_day(spark, d):
-    path = work_path(spark, "incidents")
+INCIDENTS = """i AS (SELECT event_id, ts, CASE event_type WHEN 'error' THEN 'failed' WHEN 'signup' THEN 'degraded' ELSE 'success' END AS status FROM events),
+  ended AS (SELECT event_id, CASE WHEN event_id % 7 = 0 THEN ts + INTERVAL 1 DAY ELSE ts END AS stop,
+    CASE WHEN event_id % 21 = 0 THEN 'success' ELSE status END AS status FROM i)"""
+
+
+def incident_rows(spark, d):
+    """Runs as they first ended, and as some of them ended again a day later."""
     kind = F.col("event_type")
     signature, category = tx.classify_error(F.concat(F.lit("timeout in "), kind))
+    stamp = "yyyy-MM-dd'T'HH:mm:ss'Z'"
     rows = load(spark, d, "events").select(
+        "event_id", "ts",
         F.concat(F.lit("r"), F.col("event_id").cast("string")).alias("run_id"),
         F.when(kind == "error", "failed").when(kind == "signup", "degraded").otherwise("success").alias("status"),
-        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("finished_at"),
+        F.date_format("ts", stamp).alias("finished_at"),
         signature.alias("error_signature"), category.alias("error_category"),
     )
-    for _ in range(2):
+    again = rows.filter(F.col("event_id") % 7 == 0).withColumns({
+        "finished_at": F.date_format(F.col("ts") + F.expr("INTERVAL 1 DAY"), stamp),
+        "status": F.when(F.col("event_id") % 21 == 0, "success").otherwise(F.col("status")),
+    })
+    return rows.drop("event_id", "ts"), again.drop("event_id", "ts")
+
+
+def incident_log(spark, d):
+    path = work_path(spark, "incidents")
+    first, again = incident_rows(spark, d)
+    for rows in (first, again, again):
         writers.incidents_by_day(rows, path)
-    back = spark.read.schema("run_id string, status string, day string").json(path)
-    return back.groupBy("day", "status").agg(F.count(F.lit(1)).alias("n"), F.min("run_id").alias("first_run"))
+    return spark.read.schema("run_id string, status string, finished_at string, error_category string, day string").json(path)
+
+
+@query("incidents_by_day", f"""
+  WITH {INCIDENTS} SELECT stop::DATE::VARCHAR AS day, status, count(*) AS n, min('r' || event_id) AS first_run
+  FROM ended WHERE status <> 'success' GROUP BY ALL""")
+def incidents_by_day(spark, d):
+    return incident_log(spark, d).groupBy("day", "status").agg(F.count(F.lit(1)).alias("n"), F.min("run_id").alias("first_run"))
+
+
+@query("latest_incident", f"""
+  WITH {INCIDENTS} SELECT 'r' || event_id AS run_id, status, strftime(stop, '%Y-%m-%dT%H:%M:%SZ') AS finished_at FROM ended
+  ORDER BY strftime(stop, '%Y-%m-%dT%H:%M:%SZ') DESC, 'r' || event_id DESC LIMIT 1""")
+def latest_incident(spark, d):
+    """The run that finished last, a success or not, of all reports of runs."""
+    first, again = incident_rows(spark, d)
+    return writers.latest_incident(first.unionByName(again)).select("run_id", "status", "finished_at")
 
 
 @query("latest_per_day", """

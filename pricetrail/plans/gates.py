@@ -2,28 +2,30 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import measures as ms
 from ..functions import text as tx
 from ..operators import gates, ordered
-from ..sources import writers
-from .base import OBS, day_of, flag, load, observations, query
+from ..sources import store, writers
+from .base import OBS, flag, load, observations, query
 
 # Floors for the benchmark's providers (its event types); one has no rows.
 FLOORS = {"click": 10, "view": 10, "purchase": 500, "signup": 5, "absent": 3}
 FLOOR_ROWS = "floors AS (SELECT * FROM (VALUES ('click', 10), ('view', 10), ('purchase', 500), ('signup', 5), ('absent', 3)) t(provider_id, floor))"
 
-TWO_DAYS = OBS + f""", {FLOOR_ROWS},
-  old AS (SELECT *, event_type AS provider_id FROM obs WHERE date = DATE '2024-01-10'),
-  new AS (SELECT *, event_type AS provider_id FROM obs WHERE date = DATE '2024-01-11'),
+TWO_DAYS = OBS + f""", {FLOOR_ROWS}, days AS (SELECT DISTINCT date FROM obs ORDER BY date DESC LIMIT 2),
+  old AS (SELECT *, event_type AS provider_id FROM obs WHERE date = (SELECT min(date) FROM days)),
+  new AS (SELECT *, event_type AS provider_id FROM obs WHERE date = (SELECT max(date) FROM days)),
   c AS (SELECT f.provider_id, f.floor, (SELECT count(*) FROM new n WHERE n.provider_id = f.provider_id) AS cur,
       (SELECT count(*) FROM old o WHERE o.provider_id = f.provider_id) AS prev FROM floors f)"""
 
 
 def two_days(spark, d):
+    """The newest two snapshots of the stored history, each read from its own folder."""
     obs = observations(spark, d).withColumnRenamed("event_type", "provider_id")
-    return day_of(obs, "2024-01-10"), day_of(obs, "2024-01-11")
+    return store.last_days(spark, *store.stored(obs))
 
 
 ISSUES = """
@@ -59,8 +61,9 @@ OUTCOME_FLOORS = {"click": 10, "view": 10, "purchase": 60, "signup": 5}
 
 @query("run_status", f"""
   WITH {OBS}, f AS (SELECT * FROM (VALUES ('click', 10), ('view', 10), ('purchase', 60), ('signup', 5)) t(p, floor)),
-  c AS (SELECT event_type AS p, count(*) FILTER (date = DATE '2024-01-11') AS cur, count(*) FILTER (date = DATE '2024-01-10') AS prev
-    FROM obs WHERE date IN (DATE '2024-01-10', DATE '2024-01-11') GROUP BY 1),
+  days AS (SELECT DISTINCT date FROM obs ORDER BY date DESC LIMIT 2),
+  c AS (SELECT event_type AS p, count(*) FILTER (date = (SELECT max(date) FROM days)) AS cur, count(*) FILTER (date = (SELECT min(date) FROM days)) AS prev
+    FROM obs WHERE date IN (SELECT date FROM days) GROUP BY 1),
   a AS (SELECT coalesce(c.p, f.p) AS p, f.floor, coalesce(prev, 0) AS prev,
       coalesce(prev > 0 AND cur < greatest(floor, floor(prev * 0.45)), false) AS weak,
       CASE WHEN coalesce(prev > 0 AND cur < greatest(floor, floor(prev * 0.45)), false) THEN prev ELSE coalesce(cur, 0) END AS cur
@@ -100,23 +103,52 @@ def gate_checks(spark, d):
     return out.select("name", flag(F.col("passed")).alias("passed"), "detail", flag(F.col("all_passed")).alias("all_passed"))
 
 
+LISTED = OBS + """, days AS (SELECT min(date) AS d0, max(date) AS d1 FROM obs),
+  spans AS (SELECT *, lead(date) OVER (PARTITION BY pricing_id ORDER BY date) AS until FROM obs),
+  doc AS (SELECT unnest(generate_series(s.date, coalesce(s.until - 1, d.d1)::DATE, INTERVAL 1 DAY))::DATE AS date,
+    'u' || user_id AS provider_id, pricing_id, value AS input_price, user_id FROM spans s, days d),
+  packed AS (SELECT date, provider_id, sha256('{"pricing_id":"' || pricing_id || '","input_price":' || input_price || '}') AS h FROM doc
+    UNION ALL SELECT DISTINCT date, provider_id, sha256('{"provider_id":"' || provider_id || '","name":"User ' || user_id
+      || CASE WHEN user_id % 5 = 0 AND date >= DATE '2024-01-20' THEN ' Inc' ELSE '' END || '"}') FROM doc),
+  prints AS (SELECT date, provider_id, count(*) AS n_rows, sum(('0x' || substr(h, 1, 15))::BIGINT) AS h1,
+      sum(('0x' || substr(h, 16, 15))::BIGINT) AS h2 FROM packed GROUP BY ALL),
+  after AS (SELECT date, lead(date) OVER (ORDER BY date) AS next FROM (SELECT DISTINCT date FROM prints)),
+  old AS (SELECT a.next AS date, p.provider_id, p.n_rows, p.h1, p.h2 FROM prints p JOIN after a USING (date) WHERE a.next IS NOT NULL),
+  pairs AS (SELECT date, provider_id, n.n_rows, n.h1, CASE WHEN o.n_rows IS NULL THEN 'added' WHEN n.n_rows IS NULL THEN 'removed'
+      WHEN n.n_rows = o.n_rows AND n.h1 = o.h1 AND n.h2 = o.h2 THEN 'same' ELSE 'changed' END AS change
+    FROM prints n FULL JOIN old o USING (date, provider_id))"""
+
+
+def listed_prints(spark, d):
+    """Prints of daily documents: every line at its last known price, by provider."""
+    obs = observations(spark, d)
+    last = ordered.global_value(obs, F.max("date"))
+    until = F.lead("date").over(Window.partitionBy("pricing_id").orderBy("date"))
+    days = F.sequence("date", F.coalesce(F.date_sub("until", 1), "__last"))
+    user = F.col("user_id").cast("string")
+    doc = obs.withColumns({"until": until, "__last": last}).select(
+        F.explode(days).alias("date"), F.concat(F.lit("u"), user).alias("provider_id"), "pricing_id",
+        F.col("value").alias("input_price"), "user_id")
+    renamed = (F.col("user_id") % 5 == 0) & (F.col("date") >= F.lit("2024-01-20").cast("date"))
+    name = F.concat(F.lit("User "), user, F.when(renamed, " Inc").otherwise(""))
+    providers = doc.select("date", "provider_id", name.alias("name")).distinct()
+    return writers.document_prints(doc, ["pricing_id", "input_price"], providers, ["provider_id", "name"])
+
+
 @query("snapshot_if_changed", f"""
-  WITH {OBS}, doc AS (SELECT date, event_type AS provider_id, count(*) // 15 AS level FROM obs GROUP BY ALL),
-  p AS (SELECT date, sha256('{{"provider_id":"' || provider_id || '","level":' || level || '}}') AS h FROM doc),
-  f AS (SELECT date, count(*) AS n_rows, sum(('0x' || substr(h, 1, 15))::BIGINT) AS h1,
-      sum(('0x' || substr(h, 16, 15))::BIGINT) AS h2 FROM p GROUP BY 1)
-  SELECT date, n_rows, h1::VARCHAR AS h1, (lag(date) OVER w IS NULL OR n_rows <> lag(n_rows) OVER w
-    OR h1 <> lag(h1) OVER w OR h2 <> lag(h2) OVER w)::BIGINT AS changed FROM f WINDOW w AS (ORDER BY date)""")
+  WITH {LISTED} SELECT date, sum(n_rows)::BIGINT AS n_rows, sum(h1)::VARCHAR AS h1, bool_or(change <> 'same')::BIGINT AS changed
+  FROM pairs GROUP BY 1""")
 def snapshot_if_changed(spark, d):
-    doc = observations(spark, d).groupBy("date", F.col("event_type").alias("provider_id")).agg(
-        F.floor(F.count(F.lit(1)) / 15).alias("level")
-    )
-    prints = writers.fingerprints(doc, ["provider_id", "level"])
-    return writers.snapshots_to_write(prints).select(
+    return writers.snapshots_to_write(listed_prints(spark, d)).select(
         "date", "n_rows", F.col("h1").cast("string").alias("h1"), flag(F.col("changed")).alias("changed")
     )
 
 
+@query("snapshot_providers_changed", f"WITH {LISTED} SELECT date, provider_id, change FROM pairs WHERE change <> 'same'")
+def snapshot_providers_changed(spark, d):
+    return writers.provider_changes(listed_prints(spark, d)).filter("change <> 'same'")
+
+
 ATTEMPTS = """att AS (
   SELECT CASE user_id % 3 WHEN 0 THEN 'meter' WHEN 1 THEN 'ledger' ELSE 'wrapper' END AS source,
     'p' || (user_id % 7) AS provider_id, CASE WHEN user_id % 2 = 0 THEN 'flagship' ELSE 'workhorse' END AS tier,

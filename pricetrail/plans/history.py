@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..operators import history as h
-from ..operators import panel
+from ..operators import ordered, panel
 from ..operators.gates import counts_by_key as count_rows
+from ..sources import store
 from ..sources.readers import limited
 from ..session import checkpointed
-from .base import OBS, SERIES, TIER, day_of, flag, load, observations, query, r4, schemas, series, tiers
+from .base import OBS, SERIES, TIER, flag, load, observations, query, r4, schemas, series, tiers
 
 
 @query("change_events", f"""
@@ -168,7 +169,21 @@ def latest_per_line(spark, d):
 @query("prune_by_date", f"""
   WITH {SERIES} SELECT pricing_id, date, input_price FROM series WHERE date >= DATE '2024-01-15'""")
 def prune_by_date(spark, d):
-    return h.from_epoch(series(spark, d), "2024-01-15").select("pricing_id", "date", "input_price")
+    """The record from its epoch on, from a history in day folders."""
+    history = store.read_history(spark, *store.stored(series(spark, d)))
+    return h.from_epoch(history, "2024-01-15").select("pricing_id", "date", "input_price")
+
+
+@query("prune_by_days", f"""
+  WITH {SERIES} SELECT pricing_id, date, input_price FROM series WHERE date IN
+    (SELECT ts::DATE FROM events WHERE event_type = 'error' AND value > (SELECT 0.9 * max(value) FROM events))""")
+def prune_by_days(spark, d):
+    """The record on the days of the dearest failures: the days come from a query."""
+    events = load(spark, d, "events")
+    dear = events.withColumn("__top", ordered.global_value(events, F.max("value")))
+    days = dear.filter((F.col("event_type") == "error") & (F.col("value") > 0.9 * F.col("__top"))).select(F.to_date("ts").alias("date"))
+    history = store.read_history(spark, *store.stored(series(spark, d)))
+    return store.rows_on_days(history, days).select("pricing_id", "date", "input_price")
 
 
 @query("asof_price", f"""
@@ -206,9 +221,10 @@ def asof_usage_cost(spark, d):
     return priced.select("user_id", "event_id", "price", usd.alias("usd"))
 
 
-# Snapshot pair: two days as two documents, ids by user.
-SNAPSHOTS = TIER + """, old AS (SELECT user_id, click_price, view_price FROM tier WHERE date = DATE '2024-01-10'),
-  new AS (SELECT user_id, click_price, view_price FROM tier WHERE date = DATE '2024-01-11'),
+# Snapshot pair: the newest two days as two documents, ids by user.
+SNAPSHOTS = TIER + """, days AS (SELECT DISTINCT date FROM tier ORDER BY date DESC LIMIT 2),
+  old AS (SELECT user_id, click_price, view_price FROM tier WHERE date = (SELECT min(date) FROM days)),
+  new AS (SELECT user_id, click_price, view_price FROM tier WHERE date = (SELECT max(date) FROM days)),
   diff AS (SELECT CASE WHEN o.user_id IS NULL THEN 'NEW_TIER' WHEN n.user_id IS NULL THEN 'REMOVED_TIER'
       ELSE 'PRICE_CHANGED' END AS kind, coalesce(n.user_id, o.user_id)::VARCHAR AS pricing_id,
       o.user_id IS NOT NULL AND n.user_id IS NOT NULL AS in_both,
@@ -225,10 +241,7 @@ def snapshot_pair(spark, d):
         F.lit("per_1M_tokens").alias("click_unit"), F.lit("per_1M_tokens").alias("view_unit"),
         "date", "click_price", "view_price", F.lit(0).alias("ord"),
     )
-    return (
-        day_of(rows, "2024-01-10").drop("date"),
-        day_of(rows, "2024-01-11").drop("date"),
-    )
+    return [day.drop("date") for day in store.last_days(spark, *store.stored(rows))]
 
 
 @query("snapshot_diff", f"""

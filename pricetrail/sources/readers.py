@@ -102,29 +102,6 @@ def limited(df: DataFrame, n: int, *order: str) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
-def read_datasets(
-    spark: SparkSession, paths: Mapping[str, str], schema: T.StructType
-) -> tuple[DataFrame, DataFrame]:
-    """Union of datasets tagged with ``dataset_id``, and a report per dataset.
-
-    A dataset that cannot be opened is left out and reported; the others load.
-    """
-    good: list[DataFrame] = []
-    report: list[tuple[str, str]] = []
-    for name, path in paths.items():
-        try:
-            rows = spark.read.schema(schema).parquet(path)
-        except AnalysisException as problem:
-            report.append((name, problem.getCondition() or "error"))
-            continue
-        good.append(rows.withColumn("dataset_id", F.lit(name)))
-        report.append((name, "loaded"))
-    out = spark.createDataFrame([], T.StructType([*schema.fields, T.StructField("dataset_id", T.StringType())]))
-    for rows in good:
-        out = out.unionByName(rows)
-    return out, spark.createDataFrame(report, "dataset_id string, status string")
-
-
 def staging_views(pricing: DataFrame, usage: DataFrame) -> None:
     """Name the staged tables for SQL; like a view, they are computed when read."""
     pricing.createOrReplaceTempView("stg_pricing")

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import measures as ms
 from ..schemas import CURRENT_SCHEMA
@@ -15,7 +16,10 @@ from ..session import checkpointed
 # Statuses that keep an incident, and the document description.
 INCIDENT_STATUSES = ("failed", "degraded", "escalated")
 DESCRIPTION = "Tier-aware pricing rows with explicit input and output token prices."
-ROWS_PER_PART = 10_000
+INCIDENT_INDEX = "run_id string, day string"
+# Folders of a content table.
+PREFIX = "prefix"
+PREFIX_DIGITS = 2
 
 
 def content_hash(c: Column) -> Column:
@@ -60,10 +64,35 @@ def absent_rows(new: DataFrame, existing: DataFrame, order: str) -> DataFrame:
     return new.join(fresh.select(order), order, "left_semi")
 
 
-def insert_if_absent(new: DataFrame, path: str, order: str) -> None:
-    """Append rows with unknown hashes; running it twice changes nothing."""
-    existing = table_or_empty(new.sparkSession, path, new.schema)
-    absent_rows(new, existing, order).write.mode("append").parquet(path)
+def hash_prefix(c: Column, digits: int = PREFIX_DIGITS) -> Column:
+    """The folder of a content hash: its first hex digits; a null hash has one of its own."""
+    return F.concat(F.lit("h"), F.substring(F.coalesce(c, F.lit("")), 1, digits))
+
+
+def known_hashes(batch: DataFrame, path: str, digits: int = PREFIX_DIGITS) -> DataFrame:
+    """Hashes that the content table holds in the folders of ``batch``.
+
+    Folders are an index: only those whose prefix occurs in the batch are listed as
+    wanted and read, and of these only the hash column. A batch has at most
+    16 ** digits + 1 prefixes, so their list is bounded whatever its size.
+    """
+    wanted = batch.select(hash_prefix(F.col("content_sha256"), digits).alias("p")).distinct()
+    prefixes = [r["p"] for r in wanted.collect()]
+    schema = T.StructType([*batch.schema.fields, T.StructField(PREFIX, T.StringType())])
+    table = table_or_empty(batch.sparkSession, path, schema)
+    return table.filter(F.col(PREFIX).isin(prefixes)).select("content_sha256")
+
+
+def insert_if_absent(new: DataFrame, path: str, order: str, digits: int = PREFIX_DIGITS) -> None:
+    """Append rows with unknown hashes; running it twice changes nothing.
+
+    The table is kept in one folder per hash prefix (column ``prefix``), so a small
+    batch reads and writes only the folders of its own hashes. ``digits`` must be the
+    same for the life of a table: 2 make 256 folders, 3 make 4,096.
+    """
+    rows = absent_rows(new, known_hashes(new, path, digits), order)
+    rows = rows.withColumn(PREFIX, hash_prefix(F.col("content_sha256"), digits))
+    by_partition(rows, PREFIX).write.mode("append").partitionBy(PREFIX).parquet(path)
 
 
 def by_partition(rows: DataFrame, *partition: str) -> DataFrame:
@@ -96,27 +125,45 @@ def rebuild(artifacts: dict[str, DataFrame], root: str) -> dict[str, str]:
 def incidents_by_day(incidents: DataFrame, path: str) -> None:
     """Keep incidents that were not a success, one folder per finishing day.
 
-    An incident is known by its ``run_id``: one that is written again replaces
-    itself in its day.
+    An incident is known by its ``run_id``, of several rows of a run the one that
+    finished last counts: one that is written again, on the same day or another,
+    replaces itself; a run that ends in success leaves the log. ``<path>-index`` holds
+    the day of every run ever written, so a batch reads the days it brings and the
+    days its runs were in before, and no others.
     """
     spark = incidents.sparkSession
-    new = incidents.filter(F.col("status").isin(*INCIDENT_STATUSES)).withColumn("day", F.substring("finished_at", 1, 10))
-    new = checkpointed(new, "incidents")
+    day = F.substring("finished_at", 1, 10)
+    rest = F.struct(*incidents.columns)
+    last = incidents.groupBy(F.col("run_id").alias("__run")).agg(F.max_by(rest, F.struct("finished_at", "status")).alias("row"))
+    new = checkpointed(last.select("row.*").withColumn("day", day), "incidents")
+    index = f"{path.rstrip('/')}-index"
+    runs = new.select("run_id").distinct()
+    before = table_or_empty(spark, index, INCIDENT_INDEX).join(runs, "run_id", "left_semi")
+    # Days are as many as the calendar has.
+    days = sorted({r["day"] for r in before.select("day").union(new.select("day")).distinct().collect() if r["day"]})
     try:
         held = spark.read.schema(new.schema).json(path)
     except AnalysisException as problem:
         if problem.getCondition() != "PATH_NOT_FOUND":
             raise
         held = spark.createDataFrame([], new.schema)
-    held = held.join(new.select("day").distinct(), "day", "left_semi").select(*new.columns)
-    kept = held.join(new.select("run_id").distinct(), "run_id", "left_anti").select(*new.columns)
+    held = held.filter(F.col("day").isin(days)).join(runs, "run_id", "left_anti").select(*new.columns)
+    failed = new.filter(F.col("status").isin(*INCIDENT_STATUSES))
+    # The index is written first: run again after a loss, the job still finds every day.
+    failed.select("run_id", "day").write.mode("append").parquet(index)
+    merged = checkpointed(held.unionByName(failed), "incidents-merged")
     (
-        by_partition(checkpointed(kept.unionByName(new), "incidents-merged"), "day")
+        by_partition(merged, "day")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("day")
         .json(path)
     )
+    # A day that lost its last incident has no rows to overwrite it with: an empty file does.
+    left = {r["day"] for r in merged.select("day").distinct().collect()}
+    for gone in days:
+        if gone not in left:
+            merged.limit(0).drop("day").write.mode("overwrite").json(f"{path}/day={gone}")
 
 
 def latest_incident(incidents: DataFrame) -> DataFrame:
@@ -131,12 +178,13 @@ def build_documents(
     meta: dict[str, Column],
     providers: Column,
     order: str,
-    rows_per_part: int = ROWS_PER_PART,
+    rows_per_part: int,
 ) -> DataFrame:
     """Snapshot documents of ``rows``: meta, providers and a pricing array.
 
-    A day with many rows becomes several parts of about ``rows_per_part`` rows,
-    each a complete document; readers explode them alike. ``ord`` inside each
+    A day with more than ``rows_per_part`` rows becomes several parts of about so many,
+    each a complete document; readers explode them alike. The caller names the size, as
+    it decides how many documents a day is. ``ord`` inside each
     element keeps the order across parts. The table of part counts has one row
     per day, so it is broadcast.
     """
@@ -173,29 +221,76 @@ def write_documents(docs: DataFrame, path: str) -> None:
     by_partition(docs.drop("doc_part"), "date").write.mode("append").partitionBy("date").json(path)
 
 
-def fingerprints(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Content fingerprint per date: row count and two sums of row hashes.
+def _packed(columns: Sequence[str]) -> Column:
+    return F.sha2(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}), 256)
 
-    Sums combine map-side and do not depend on row order, so the whole document
-    is never gathered; each sum takes 60 bits of a SHA-256.
-    """
-    packed = F.sha2(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}), 256)
 
+def _print_of(packed: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Row count and two sums of row hashes per key, from rows with a hash ``__h``.
+
+    Sums combine map-side and do not depend on row order, so a document is never
+    gathered; each sum takes 60 bits of a SHA-256.
+    """
     def word(start: int) -> Column:
-        return F.sum(F.conv(F.substring(packed, start, 15), 16, 10).cast("decimal(20,0)"))
+        return F.sum(F.conv(F.substring("__h", start, 15), 16, 10).cast("decimal(20,0)"))
 
-    return rows.groupBy("date").agg(
-        F.count(F.lit(1)).alias("n_rows"), word(1).alias("h1"), word(16).alias("h2")
+    return packed.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"), word(1).alias("h1"), word(16).alias("h2"))
+
+
+def fingerprints(rows: DataFrame, columns: Sequence[str], keys: Sequence[str] = ("date",)) -> DataFrame:
+    """Content fingerprint per date, or per date and provider."""
+    return _print_of(rows.select(*keys, _packed(columns).alias("__h")), keys)
+
+
+def document_prints(
+    pricing: DataFrame, pricing_columns: Sequence[str], providers: DataFrame, provider_columns: Sequence[str]
+) -> DataFrame:
+    """Fingerprint of each provider's share of each day's document: its pricing rows and
+    its own entry. ``pricing`` and ``providers`` have date and provider_id; what is not
+    listed, such as the time of the run, does not count."""
+    keys = ("date", "provider_id")
+    both = pricing.select(*keys, _packed(pricing_columns).alias("__h")).unionByName(
+        providers.select(*keys, _packed(provider_columns).alias("__h")))
+    return _print_of(both, keys)
+
+
+def _with_previous(prints: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Fingerprints beside those of the day before: the last earlier day of the record.
+
+    The record's days are as many as the calendar has; each knows the next by a list.
+    """
+    days = sorted(r["date"] for r in prints.select("date").distinct().collect())
+    after = prints.sparkSession.createDataFrame(list(zip(days, days[1:])), "date date, next date")
+    marks = ("n_rows", "h1", "h2")
+    earlier = prints.join(F.broadcast(after), "date").select(
+        F.col("next").alias("date"), *[k for k in keys if k != "date"], F.struct(*marks).alias("old"))
+    return prints.withColumn("new", F.struct(*marks)).join(earlier, list(keys), "full_outer")
+
+
+def provider_changes(prints: DataFrame) -> DataFrame:
+    """(date, provider_id, change) of ``document_prints``: added, removed, changed or same
+    since the day before."""
+    change = (
+        F.when(F.col("old").isNull(), "added").when(F.col("new").isNull(), "removed")
+        .when(F.col("old") == F.col("new"), "same").otherwise("changed")
     )
+    return _with_previous(checkpointed(prints, "prints"), ("date", "provider_id")).select("date", "provider_id", change.alias("change"))
 
 
 def snapshots_to_write(prints: DataFrame) -> DataFrame:
-    """Dates whose content differs from the date before; one row per date."""
-    by = Window.partitionBy(F.lit(0)).orderBy("date")
-    same = F.lit(True)
-    for c in ("n_rows", "h1", "h2"):
-        same = same & F.col(c).eqNullSafe(F.lag(c).over(by))
-    return prints.withColumn("changed", ~same)
+    """Days with ``changed``: whether the content differs from that of the day before.
+
+    ``prints`` is one row per day, or per day and provider: a day has changed when any
+    of its providers has, has come or has gone.
+    """
+    prints = checkpointed(prints, "prints")
+    if "provider_id" in prints.columns:
+        rows = _with_previous(prints, ("date", "provider_id"))
+        return rows.groupBy("date").agg(
+            F.sum("n_rows").alias("n_rows"), F.sum("h1").alias("h1"), F.sum("h2").alias("h2"),
+            F.bool_or(~F.col("old").eqNullSafe(F.col("new"))).alias("changed"))
+    rows = _with_previous(prints, ("date",)).filter(F.col("new").isNotNull())
+    return rows.select("date", "n_rows", "h1", "h2", (~F.col("old").eqNullSafe(F.col("new"))).alias("changed"))
 
 
 def latest_per_day(versions: DataFrame, time: str, order: Sequence[str], keep: Sequence[str]) -> DataFrame:

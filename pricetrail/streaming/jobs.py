@@ -20,7 +20,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, St
 from ..operators.ordered import last_wins
 from ..operators.runs import upsert
 from ..session import checkpointed
-from ..sources import writers
+from ..sources import store, writers
 
 SEEN = "run string, batch long, date date"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -102,7 +102,7 @@ def _rows_of_days(table: DataFrame, batch: DataFrame, partition: str) -> DataFra
     """
     day = F.col(partition)
     days = batch.select(partition).distinct()
-    dated = table.filter(day.isNotNull()).join(days.filter(day.isNotNull()), partition, "left_semi")
+    dated = store.rows_on_days(table.filter(day.isNotNull()), batch, partition)
     blank = days.filter(day.isNull()).select(F.lit(True).alias("__blank"))
     undated = table.filter(day.isNull()).withColumn("__blank", F.lit(True)).join(blank, "__blank", "left_semi").drop("__blank")
     return dated.unionByName(undated.select(*dated.columns))

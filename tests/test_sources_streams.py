@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from pricetrail import schemas
 from pricetrail.session import shared_root, work_path
-from pricetrail.sources import readers, writers
+from plans import files_read, scans
+from pricetrail.sources import datasets, readers, store, writers
 from pricetrail.streaming import jobs
 
 
@@ -55,11 +56,35 @@ def test_csv_is_text_until_cast(spark, tmp_path, rows):
     assert rows(readers.cast_columns(bad, schemas.DONOR_CASTS, lenient=True))[0]["monthly_budget"] is None
 
 
-def test_missing_dataset_is_reported(spark, tmp_path, rows):
-    spark.range(3).write.parquet(str(tmp_path / "a"))
-    out, report = readers.read_datasets(spark, {"a": str(tmp_path / "a"), "b": str(tmp_path / "b")}, spark.range(1).schema)
-    assert {r["dataset_id"] for r in rows(out)} == {"a"} and out.count() == 3
-    assert {r["dataset_id"]: r["status"] for r in rows(report)} == {"a": "loaded", "b": "PATH_NOT_FOUND"}
+def test_a_broken_dataset_leaves_the_others(spark, tmp_path, rows):
+    """One scan loads all; a missing one, one with an unreadable file and an empty one are told apart."""
+    schema, target = spark.range(1).schema, str(tmp_path / "out")
+    paths = {n: str(tmp_path / n) for n in ("a", "b", "c", "d", "none", "gone")}
+    for n, size in zip(("a", "b", "c", "d"), (3, 4, 5, 6)):
+        spark.range(size).write.parquet(paths[n])
+    spark.range(0).write.parquet(paths["none"])
+    write(tmp_path / "c/part-broken.parquet", "no parquet file at all")
+    got = {r["dataset_id"]: (r["status"], r["n_rows"]) for r in rows(datasets.load_datasets(spark, paths, target, schema))}
+    assert got == {
+        "a": ("loaded", 3), "b": ("loaded", 4), "c": ("FAILED_READ_FILE", 0), "d": ("loaded", 6),
+        "none": ("loaded", 0), "gone": ("PATH_NOT_FOUND", 0)}
+    seen = lambda: {r["dataset_id"]: r["count"] for r in rows(datasets.read_committed(spark, target, schema).groupBy("dataset_id").count())}
+    assert seen() == {"a": 3, "b": 4, "d": 6}
+    # A later load replaces a dataset; one that breaks now keeps its last good load.
+    spark.range(9).write.mode("overwrite").parquet(paths["a"])
+    write(tmp_path / "b/part-broken.parquet", "x")
+    datasets.load_datasets(spark, {n: paths[n] for n in ("a", "b")}, target, schema)
+    assert seen() == {"a": 9, "b": 4, "d": 6}
+
+
+def test_malformed_records_break_their_dataset_only(spark, tmp_path, rows):
+    schema = spark.createDataFrame([], "id int, name string").schema
+    write(tmp_path / "good.json", '{"id": 1, "name": "x"}\n{"id": 2}\n')
+    write(tmp_path / "bad.json", '{"id": 1}\n{"id": \n')
+    paths = {n: str(tmp_path / f"{n}.json") for n in ("good", "bad")}
+    report = {r["dataset_id"]: r["status"] for r in rows(datasets.load_datasets(spark, paths, str(tmp_path / "out"), schema, "json"))}
+    assert report["good"] == "loaded" and report["bad"] != "loaded"
+    assert sorted((r["dataset_id"], r["id"]) for r in rows(datasets.read_committed(spark, str(tmp_path / "out"), schema))) == [("good", 1), ("good", 2)]
 
 
 def test_usage_staging(spark, rows):
@@ -92,6 +117,42 @@ def test_insert_if_absent_takes_a_null_payload_once(spark, tmp_path, rows):
     assert sorted((r["ord"], r["payload"]) for r in rows(spark.read.parquet(path))) == [(1, None), (3, "a")]
 
 
+def test_a_small_batch_reads_only_its_hash_folders(spark, tmp_path):
+    path = str(tmp_path / "t")
+    many = payloads(spark, *[(i, f"text {i}") for i in range(2000)])
+    writers.insert_if_absent(many, path, "ord")
+    whole = files_read(writers.known_hashes(many, path))
+    batch = payloads(spark, (5, "text 5"), (9001, "new"), (9002, "newer"))
+    few = files_read(writers.known_hashes(batch, path))
+    assert whole >= 256 and few <= 3 * whole / 256 + 3
+    for _ in range(2):
+        writers.insert_if_absent(batch, path, "ord")
+    assert spark.read.parquet(path).count() == 2002
+    # Digits that look like a number stay text.
+    assert all(r["prefix"].startswith("h") for r in spark.read.parquet(path).select("prefix").distinct().collect())
+
+
+def test_history_reads_only_the_days_it_needs(spark, rows):
+    day = F.date_add(F.lit("2026-01-01").cast("date"), (F.col("id") % 20).cast("int"))
+    path, schema = store.stored(spark.range(200).select(day.alias("date"), "id"))
+    every = store.read_history(spark, path, schema)
+    assert files_read(every) == 20
+    assert scans(store.read_history(spark, path, schema, "2026-01-15", "2026-01-16")) == [(2, 20)]
+    days = spark.range(3).select(F.date_add(F.lit("2026-01-01").cast("date"), (F.col("id") * 2).cast("int")).alias("date"))
+    assert scans(store.rows_on_days(every, days)) == [(3, 30)]
+    assert [len(rows(d)) for d in store.last_days(spark, path, schema, 2)] == [10, 10]
+    assert [str(d) for d in store.history_days(spark, path, schema)][-1] == "2026-01-20"
+    short = store.last_days(spark, str(path) + "-none", schema, 2)
+    assert [d.count() for d in short] == [0, 0]
+
+
+def test_upserts_read_only_the_days_of_a_batch(spark):
+    day = F.date_add(F.lit("2026-01-01").cast("date"), (F.col("id") % 20).cast("int"))
+    path, schema = store.stored(spark.range(200).select(day.alias("date"), "id"))
+    batch = spark.range(2).select(day.alias("date"), "id")
+    assert sum(f for f, _ in scans(jobs._rows_of_days(store.read_history(spark, path, schema), batch, "date"))) == 2
+
+
 def test_log_appends_with_new_ids(spark, tmp_path, rows):
     docs = spark.createDataFrame([("x", "2026-01-01T00:00:00Z"), ("x", None)], "payload string, scraped_at string")
     for run in ("r1", None):
@@ -129,15 +190,44 @@ def test_document_parts_and_fingerprints(spark, tmp_path, rows):
     assert [r["changed"] for r in rows(out)] == [True, False, True]
 
 
-def test_incidents_and_versions(spark, tmp_path, rows):
-    kind = "run_id string, status string, finished_at string"
-    df = spark.createDataFrame([("a", "failed", "2026-01-01T10"), ("b", "success", "2026-01-01T11"), ("c", "escalated", "2026-01-02T10")], kind)
-    writers.incidents_by_day(df, str(tmp_path / "i"))
-    writers.incidents_by_day(df.filter("run_id <> 'c'").withColumn("status", F.lit("degraded")), str(tmp_path / "i"))
-    back = spark.read.json(str(tmp_path / "i"))
-    assert sorted((r["run_id"], r["status"]) for r in rows(back)) == [("a", "degraded"), ("b", "degraded"), ("c", "escalated")]
+def test_document_prints_name_the_provider_that_changed(spark, rows):
+    days = [dt.date(2026, 1, d) for d in (1, 2, 3, 5)]
+    price = lambda d, p, i, v: (days[d], p, i, v)
+    pricing = spark.createDataFrame([
+        price(0, "a", "x", 1.0), price(0, "a", "y", 2.0), price(0, "b", "z", 3.0),
+        price(1, "a", "y", 2.0), price(1, "a", "x", 1.0), price(1, "b", "z", 3.0),
+        price(2, "a", "x", 1.0), price(2, "a", "y", 9.0), price(2, "b", "z", 3.0), price(2, "c", "n", None),
+        price(3, "a", "x", 1.0), price(3, "a", "y", 9.0), price(3, "c", "n", None),
+    ], "date date, provider_id string, pricing_id string, input_price double")
+    names = [(d, p, "B2" if (p, d) == ("b", days[2]) else p) for d in days for p in "abc" if p != "b" or d != days[3]]
+    providers = spark.createDataFrame([n for n in names if n[1] != "c" or n[0] >= days[2]], "date date, provider_id string, name string")
+    prints = writers.document_prints(pricing, ["pricing_id", "input_price"], providers, ["provider_id", "name"])
+    got = {(r["date"], r["provider_id"]): r["change"] for r in rows(writers.provider_changes(prints))}
+    assert got == {
+        (days[0], "a"): "added", (days[0], "b"): "added", (days[1], "a"): "same", (days[1], "b"): "same",
+        (days[2], "a"): "changed", (days[2], "b"): "changed", (days[2], "c"): "added",
+        (days[3], "a"): "same", (days[3], "b"): "removed", (days[3], "c"): "same"}
+    assert [r["changed"] for r in rows(writers.snapshots_to_write(prints).orderBy("date"))] == [True, False, True, True]
+
+
+def test_incidents_move_between_days(spark, tmp_path, rows):
+    kind, path = "run_id string, status string, finished_at string", str(tmp_path / "i")
+    held = lambda: sorted((r["run_id"], r["status"], r["day"]) for r in rows(spark.read.schema(kind + ", day string").json(path)))
+    df = spark.createDataFrame([("a", "failed", "2026-01-01T10"), ("b", "success", "2026-01-01T11"), ("c", "escalated", "2026-01-02T10"), ("a", "degraded", "2026-01-01T09")], kind)
+    for _ in range(2):
+        writers.incidents_by_day(df, path)
+    assert held() == [("a", "failed", "2026-01-01"), ("c", "escalated", "2026-01-02")]
+    writers.incidents_by_day(df.filter("run_id = 'b'").withColumn("status", F.lit("degraded")), path)
+    assert ("b", "degraded", "2026-01-01") in held()
+    # Run again on another day: c moves, a ends well and leaves; no day keeps the old rows.
+    later = spark.createDataFrame([("c", "failed", "2026-01-04T10"), ("a", "success", "2026-01-03T10")], kind)
+    for _ in range(2):
+        writers.incidents_by_day(later, path)
+    assert held() == [("b", "degraded", "2026-01-01"), ("c", "failed", "2026-01-04")]
     assert [r["run_id"] for r in rows(writers.latest_incident(df))] == ["c"] and rows(writers.latest_incident(df.limit(0))) == []
-    assert sorted(p.name for p in (tmp_path / "i").iterdir() if p.is_dir()) == ["day=2026-01-01", "day=2026-01-02"]
+
+
+def test_latest_version_of_a_day(spark, rows):
     v = spark.createDataFrame([("v1", dt.datetime(2026, 1, 1, 9)), ("v2", dt.datetime(2026, 1, 1, 23)), ("v3", dt.datetime(2026, 1, 2, 1))], "id string, at timestamp")
     assert sorted(r["id"] for r in rows(writers.latest_per_day(v, "at", ["id"], ["id"]))) == ["v2", "v3"]
 
