@@ -31,9 +31,10 @@ from .vectors import as_matrix, components, pack, unpack, usable
 PARTS = 4
 ENTRIES = 256
 ROUNDS = 4
-#: Coefficients added before the first entries are dropped, and rows handled at once.
-FIRST = 4
-ROWS = 1024
+#: Coefficients added before the first entries are dropped, then at a time; rows handled at once.
+FIRST = 12
+REST = 4
+ROWS = 256
 #: Labels of which no more than this are joined by broadcast.
 BROADCAST_LABELS = 100_000
 
@@ -68,20 +69,29 @@ def nearest_entries(parts: np.ndarray, entries: np.ndarray) -> tuple[np.ndarray,
     e = walsh(entries)
     n = e.shape[1]
     index, error = np.zeros(len(parts), np.int64), np.zeros(len(parts), np.int64)
+    if not len(parts):
+        return index, error
+    t_all = walsh(parts)
+    # 32 bits hold every sum of squares of ordinary vectors; 64 bits hold all.
+    widest = int(np.abs(t_all).max()) + int(np.abs(e).max())
+    kind = np.int32 if n * widest * widest < 1 << 31 else np.int64
+    t_all, e = t_all.astype(kind), e.astype(kind)
+    by_sequency = np.ascontiguousarray(e.T)
+    head = min(FIRST, n)
     for lo in range(0, len(parts), ROWS):
-        t = walsh(parts[lo:lo + ROWS])
-        head = min(FIRST, n)
-        part_sum = np.zeros((len(t), len(e)), np.int64)
+        t = t_all[lo:lo + ROWS]
+        part_sum, step = np.zeros((len(t), len(e)), kind), np.empty((len(t), len(e)), kind)
         for s in range(head):
-            part_sum += np.square(t[:, s, None] - e[None, :, s])
-        bound = np.square(t - e[part_sum.argmin(axis=1)]).sum(axis=1)
-        row, entry = np.nonzero(part_sum <= bound[:, None])
-        total = part_sum[row, entry]
-        done = head
+            np.subtract(t[:, s, None], by_sequency[s], out=step)
+            np.multiply(step, step, out=step)
+            part_sum += step
+        bound = np.square(t - e[part_sum.argmin(axis=1)]).sum(axis=1, dtype=kind)
+        kept = np.flatnonzero(part_sum <= bound[:, None])
+        row, entry, total, done = kept // len(e), kept % len(e), part_sum.ravel()[kept], head
         while done < n:
-            stop = min(n, 2 * done)
-            total = total + np.square(t[row, done:stop] - e[entry, done:stop]).sum(axis=1)
-            stay = total <= bound[row]
+            stop = min(n, done + REST)
+            total = total + np.square(t[row, done:stop] - e[entry, done:stop]).sum(axis=1, dtype=kind)
+            stay = np.flatnonzero(total <= bound[row])
             row, entry, total, done = row[stay], entry[stay], total[stay], stop
         # Rows are in order, the entries of a row too; every row has one at least.
         start = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
