@@ -1,11 +1,13 @@
 """Streaming jobs over the tables; each equals its batch form.
 
-The two jobs that report a day once it is over run twice on one checkpoint: over
-the table, and over a closing row, which ends the last day.
+The jobs that report a day once it is over are fed in two parts on one checkpoint: all
+days but the last, which are then closed, and the last day, which is closed in turn.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from ..session import work_path
@@ -26,18 +28,44 @@ def run(spark, name, start):
     return target
 
 
-#: Event time of the closing row, after any row of the tables.
-CLOSING = "9000-01-01 00:00:00"
+ON_TIME = dt.timedelta(0)
 
 
-def run_closed(spark, name, rows, job):
-    """Run a windowed job over ``rows`` to the end of its last day."""
-    target, state, folder = (work_path(spark, f"{name}{x}") for x in ("", "-state", "-closing"))
-    whole = job(jobs.closable(rows, folder))
-    jobs.finish(jobs.to_table(whole, target, state))
-    jobs.close(rows.sparkSession, folder, rows.schema, "ts", CLOSING)
-    jobs.finish(jobs.to_table(whole, target, state))
-    return target
+class DailyRun:
+    """A table fed to a stream day by day: split into rows in time and late ones, and closed."""
+
+    def __init__(self, spark, name, schema):
+        self.session = jobs.streaming_session(spark)
+        self.schema = schema
+        parts = ("in", "closing", "on-time", "late", "split-state", "out", "out-state")
+        self.at = {p: work_path(spark, f"{name}-{p}") for p in parts}
+        self.session.createDataFrame([], schema).write.parquet(self.at["in"])
+        self.rows = jobs.closable(jobs.read_files(self.session, self.at["in"], schema), self.at["closing"])
+
+    def feed(self, rows, close=None):
+        """Put rows into the stream, and end the day ``close``."""
+        rows.write.mode("append").parquet(self.at["in"])
+        if close is not None:
+            jobs.close_day(self.session, self.at["closing"], self.schema, "ts", close, ON_TIME)
+        jobs.finish(jobs.split_late(self.rows, "ts", ON_TIME, self.at["on-time"], self.at["late"], self.at["split-state"]))
+
+    def work(self, job):
+        rows = jobs.read_on_time(self.session, self.at["on-time"], self.rows.schema)
+        jobs.finish(jobs.to_table(job(rows), self.at["out"], self.at["out-state"]))
+
+    def late(self):
+        return jobs.read_late(self.session, self.at["late"], self.rows.schema)
+
+
+def run_by_day(spark, name, rows, job):
+    """All days but the last, closed; then the last day on the same checkpoint, closed."""
+    run = DailyRun(spark, name, rows.schema)
+    day = jobs.utc_day(F.col("ts"))
+    last = rows.agg(F.max(day)).first()[0]
+    for part, close in ((rows.filter(day < last), last - dt.timedelta(days=1)), (rows.filter(day == last), last)):
+        run.feed(part, close)
+        run.work(job)
+    return run.at["out"]
 
 
 @query("stream_insert_if_absent", """
@@ -79,21 +107,41 @@ def stream_upsert(spark, d):
 @query("stream_daily_resample", """
   SELECT user_id, ts::DATE AS date, sum(round(value * 100)::BIGINT)::BIGINT AS tokens FROM events GROUP BY ALL""")
 def stream_daily_resample(spark, d):
-    rows = stream(spark, d, "events").select(
+    rows = load(spark, d, "events").select(
         "user_id", jobs.event_time(F.col("ts")).alias("ts"), F.round(F.col("value") * 100).cast("long").alias("t")
     )
-    path = run_closed(spark, "s-daily", rows, lambda r: jobs.daily_sums(r, "user_id", "ts", "t", "tokens", "0 seconds"))
+    path = run_by_day(spark, "s-daily", rows, lambda r: jobs.daily_sums(r, "user_id", "ts", "t", "tokens", "0 seconds"))
     return spark.read.parquet(path)
 
 
+def alert_rows(spark, d):
+    return load(spark, d, "events").select(
+        F.concat_ws("-", F.col("user_id").cast("string"), "event_type").alias("pricing_id"),
+        jobs.event_time(F.col("ts")).alias("ts"), F.col("event_id").alias("ord"), "value",
+    )
+
+
 @query("stream_price_alerts", f"""
   WITH {OBS}, l AS (SELECT *, lag(value) OVER w AS from_value, lag(date) OVER w AS prev_date FROM obs
       WINDOW w AS (PARTITION BY pricing_id ORDER BY date))
   SELECT pricing_id, prev_date, date, from_value, value AS to_value FROM l WHERE from_value <> value""")
 def stream_price_alerts(spark, d):
-    rows = stream(spark, d, "events").select(
-        F.concat_ws("-", F.col("user_id").cast("string"), "event_type").alias("pricing_id"),
-        jobs.event_time(F.col("ts")).alias("ts"), F.col("event_id").alias("ord"), "value",
-    )
-    path = run_closed(spark, "s-alerts", rows, lambda r: jobs.price_alerts(r, "0 seconds"))
+    path = run_by_day(spark, "s-alerts", alert_rows(spark, d), lambda r: jobs.price_alerts(r, "0 seconds"))
     return spark.read.schema(jobs.ALERTS).parquet(path)
+
+
+@query("stream_late_rows", """
+  SELECT ts::DATE AS date, count(*) FILTER (event_type <> 'error' OR ts::DATE = (SELECT max(ts::DATE) FROM events)) AS on_time,
+    count(*) FILTER (event_type = 'error' AND ts::DATE < (SELECT max(ts::DATE) FROM events)) AS late FROM events GROUP BY 1""")
+def stream_late_rows(spark, d):
+    """Failures arrive when all days but the last are closed: late, except for those of the last day."""
+    rows = alert_rows(spark, d)
+    failed = F.col("pricing_id").endswith("-error")
+    run = DailyRun(spark, "s-late", rows.schema)
+    last = rows.agg(F.max(jobs.utc_day(F.col("ts")))).first()[0]
+    run.feed(rows.filter(~failed), last - dt.timedelta(days=1))
+    run.feed(rows.filter(failed))
+    whole = run.session.read.schema(run.rows.schema).parquet(f"{run.at['on-time']}/batch-*").filter(~F.col(jobs.CLOSING))
+    both = whole.withColumn("late", F.lit(False)).unionByName(run.late().withColumn("late", F.lit(True)))
+    return both.groupBy(jobs.utc_day(F.col("ts")).alias("date")).agg(
+        F.count_if(~F.col("late")).alias("on_time"), F.count_if("late").alias("late"))

@@ -8,6 +8,7 @@ after a lost driver does no harm.
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 from collections.abc import Iterator, Sequence
 
@@ -126,24 +127,89 @@ def upsert_days(
     return _start(stream, merge, checkpoint)
 
 
+#: True in the rows that only move the event time on.
+CLOSING = "__closing"
+WATERMARKS = "batch long, newest timestamp"
+
+
 def closable(stream: DataFrame, folder: str) -> DataFrame:
-    """``stream`` together with the closing rows of a folder (see ``close``)."""
+    """``stream`` together with the closing rows of a folder (see ``close_day``)."""
+    rows = stream.withColumn(CLOSING, F.lit(False))
     session = stream.sparkSession
-    session.createDataFrame([], stream.schema).write.mode("append").parquet(folder)
-    return stream.unionByName(session.readStream.schema(stream.schema).parquet(folder))
+    session.createDataFrame([], rows.schema).write.mode("append").parquet(folder)
+    return rows.unionByName(session.readStream.schema(rows.schema).parquet(folder))
+
+
+def close_day(spark: SparkSession, folder: str, schema: T.StructType, time: str, day: dt.date, delay: dt.timedelta) -> None:
+    """End ``day`` for the jobs over ``closable`` rows: put a row into ``folder`` that has
+    only an event time, the midnight after it plus the watermark's ``delay``.
+
+    A job that is started again on its checkpoint then sees its watermark reach that
+    midnight and reports the day, and the stream goes on: rows of the next day are in
+    time. The closing row itself is left out of every result.
+    """
+    at = dt.datetime.combine(day, dt.time(), dt.UTC) + dt.timedelta(days=1) + delay
+    blank = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema if f.name not in (time, CLOSING)]
+    row = spark.range(1).select(
+        F.timestamp_micros(F.lit(int(at.timestamp() * 1_000_000))).alias(time), F.lit(True).alias(CLOSING), *blank)
+    row.select(*[f.name for f in schema if f.name != CLOSING], CLOSING).write.mode("append").parquet(folder)
 
 
-def close(spark: SparkSession, folder: str, schema: T.StructType, time: str, at: str) -> None:
-    """Put a row into ``folder`` that has nothing but the event time ``at``.
+def _watermarked(stream: DataFrame, time: str, delay: str) -> DataFrame:
+    """``stream`` with a watermark, its closing rows gone.
 
-    A job over ``closable`` rows that is started again on its checkpoint then sees
-    its watermark pass all earlier days and reports them; the day of the closing
-    row itself stays open, so the row shows in no result. ``at`` must lie at least
-    a day and the watermark's delay after the last row.
+    The filter names the event time, so it stays above the watermark, which has to see
+    the closing rows.
     """
-    blank = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema if f.name != time]
-    row = spark.range(1).select(F.lit(at).cast(schema[time].dataType).alias(time), *blank)
-    row.select(*schema.names).write.mode("append").parquet(folder)
+    marked = stream.withWatermark(time, delay)
+    if CLOSING not in stream.columns:
+        return marked
+    return marked.filter(F.when(F.col(time).isNotNull(), ~F.col(CLOSING)).otherwise(F.lit(True))).drop(CLOSING)
+
+
+def _done(spark: SparkSession, path: str) -> bool:
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
+
+
+def split_late(stream: DataFrame, time: str, delay: dt.timedelta, on_time: str, late: str, checkpoint: str) -> StreamingQuery:
+    """Rows of days still open go to ``on_time``, rows of closed days to ``late``.
+
+    A day is closed for a batch when its end is not after the newest event time of all
+    batches before, less ``delay``: the rule of the engine's watermark. Jobs downstream
+    read ``on_time`` (see ``read_on_time``) and so drop nothing; what came too late can
+    be counted and loaded by other means. The newest time of every batch is kept beside
+    the checkpoint. A batch is written once: run again, it finds its folder complete.
+    """
+    marks = f"{checkpoint.rstrip('/')}-watermark"
+
+    def merge(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        known = writers.table_or_empty(spark, marks, WATERMARKS).filter(F.col("batch") < number)
+        newest = known.agg(F.unix_micros(F.max("newest"))).first()[0]
+        rows = checkpointed(batch, "split-batch")
+        closed = F.lit(False)
+        if newest is not None:
+            mark = newest - delay // dt.timedelta(microseconds=1)
+            ends = (F.floor(F.unix_micros(time) / (86_400 * 1_000_000)) + 1) * (86_400 * 1_000_000)
+            closed = F.coalesce(ends <= mark, F.lit(False))
+        for path, part in ((late, rows.filter(closed)), (on_time, rows.filter(~closed))):
+            folder = f"{path}/batch-{number:012d}"
+            if not _done(spark, folder):
+                part.write.mode("overwrite").parquet(folder)
+        rows.agg(F.lit(number).cast("long").alias("batch"), F.max(time).alias("newest")).write.mode("append").parquet(marks)
+
+    return _start(stream, merge, checkpoint)
+
+
+def read_on_time(spark: SparkSession, on_time: str, schema: T.StructType) -> DataFrame:
+    """The stream that ``split_late`` left in time, batches in their order."""
+    return spark.readStream.schema(schema).parquet(f"{on_time}/batch-*")
+
+
+def read_late(spark: SparkSession, late: str, schema: T.StructType) -> DataFrame:
+    """The rows that came after their day was closed."""
+    return writers.table_or_empty(spark, f"{late}/batch-*", schema).filter(~F.col(CLOSING) if CLOSING in schema.names else F.lit(True))
 
 
 def late_rows(query: StreamingQuery) -> int:
@@ -166,7 +232,7 @@ def utc_day(c: Column) -> Column:
 def daily_sums(stream: DataFrame, key: str, time: str, value: str, out: str, delay: str) -> DataFrame:
     """Sum per key and day, emitted once the watermark has passed the day."""
     return (
-        stream.withWatermark(time, delay)
+        _watermarked(stream, time, delay)
         .groupBy(key, F.window(time, "1 day"))
         .agg(F.sum(value).alias(out))
         .select(key, utc_day(F.col("window.start")).alias("date"), out)
@@ -223,7 +289,7 @@ def price_alerts(stream: DataFrame, delay: str) -> DataFrame:
     the RocksDB state store, which ``streaming_session`` sets.
     """
     daily = (
-        stream.withWatermark("ts", delay)
+        _watermarked(stream, "ts", delay)
         .groupBy("pricing_id", F.window("ts", "1 day"))
         .agg(F.max(F.struct("ts", "ord", "value")).alias("last"))
         .select(

@@ -290,17 +290,39 @@ def test_a_day_in_two_batches_keeps_both_parts(spark, tmp_path, rows):
     assert [r["k"] for r in rows(spark.read.parquet(out))] == ["d"]
 
 
-def test_a_closed_stream_reports_its_last_day(spark, tmp_path, rows):
-    stream = events(spark, tmp_path / "in", [("a", "2026-01-01T01:00", 0, 1.0), ("a", "2026-01-02T01:00", 1, 2.0)])
-    folder, target, ck = (str(tmp_path / n) for n in ("closing", "out", "ck"))
-    whole = jobs.price_alerts(jobs.closable(stream, folder), "0 seconds")
-    jobs.finish(jobs.to_table(whole, target, ck))
-    assert spark.read.schema(jobs.ALERTS).parquet(target).count() == 0
-    jobs.close(stream.sparkSession, folder, stream.schema, "ts", "2030-01-01 00:00:00")
-    query = jobs.to_table(whole, target, ck)
-    jobs.finish(query)
-    assert [(r["from_value"], r["to_value"]) for r in rows(spark.read.schema(jobs.ALERTS).parquet(target))] == [(1.0, 2.0)]
-    assert jobs.late_rows(query) == 0
+def test_a_stream_goes_on_after_a_day_is_closed(spark, tmp_path, rows):
+    """Days are reported when closed, the next day joins on the same checkpoint, late rows go aside."""
+    session = jobs.streaming_session(spark)
+    kind = "pricing_id string, ts timestamp, ord int, value double"
+    schema = session.createDataFrame([], kind).schema
+    at = {n: str(tmp_path / n) for n in ("in", "closing", "ontime", "late", "split", "out", "state")}
+    session.createDataFrame([], kind).write.parquet(at["in"])
+    whole = jobs.closable(jobs.read_files(session, at["in"], schema), at["closing"])
+    hour = dt.timedelta(hours=1)
+
+    def step(*data, close=None):
+        made = [(p, dt.datetime.fromisoformat(t), o, v) for p, t, o, v in data]
+        session.createDataFrame(made, kind).coalesce(1).write.mode("append").parquet(at["in"])
+        if close:
+            jobs.close_day(session, at["closing"], schema, "ts", dt.date.fromisoformat(close), hour)
+        jobs.finish(jobs.split_late(whole, "ts", hour, at["ontime"], at["late"], at["split"]))
+        on_time = jobs.read_on_time(session, at["ontime"], whole.schema)
+        query = jobs.to_table(jobs.price_alerts(on_time, "1 hour"), at["out"], at["state"])
+        jobs.finish(query)
+        assert jobs.late_rows(query) == 0
+        out = rows(spark.read.schema(jobs.ALERTS).parquet(at["out"]))
+        return sorted((r["pricing_id"], str(r["date"]), r["from_value"], r["to_value"]) for r in out)
+
+    assert step(("a", "2026-01-01T01:00", 0, 1.0), ("a", "2026-01-02T23:59", 1, 2.0), ("b", "2026-01-02T05:00", 2, 5.0)) == []
+    first = [("a", "2026-01-02", 1.0, 2.0)]
+    assert step(close="2026-01-02") == first
+    # The next day begins at once; a row of a closed day, however new, is put aside.
+    assert step(("a", "2026-01-03T00:00", 3, 3.0), ("a", "2026-01-02T23:59", 4, 9.0), ("b", "2026-01-03T01:00", 5, 5.0)) == first
+    assert [(r["pricing_id"], r["value"]) for r in rows(jobs.read_late(session, at["late"], whole.schema))] == [("a", 9.0)]
+    # A row of the open day that is behind others of it is in time.
+    assert step(("b", "2026-01-03T00:10", 6, 4.0), ("b", "2026-01-03T02:00", 7, 6.0), close="2026-01-03") == [
+        *first, ("a", "2026-01-03", 2.0, 3.0), ("b", "2026-01-03", 5.0, 6.0)]
+    assert len(rows(jobs.read_late(session, at["late"], whole.schema))) == 1
 
 
 def test_alerts_keep_state_between_batches_and_drop_late_days(spark, tmp_path, rows):
