@@ -11,7 +11,7 @@ from ..functions import measures as ms
 from ..functions import text as tx
 from ..schemas import PRICE_COLUMNS, SERIES_PRICES, TRACKED_FIELDS
 from ..session import checkpointed
-from .ordered import ROWS_PER_CHUNK, carry_last, global_value, last_wins
+from .ordered import ROWS_PER_CHUNK, carry_last, global_value, last_wins, positions
 from .tiers import any_column_equals
 
 # Units that make a row token-priced.
@@ -91,11 +91,11 @@ def change_events(
 
 
 def newest_first(events: DataFrame) -> DataFrame:
-    """Change events by date, newest first, then provider, model, name, id and field."""
+    """Change events by date, newest first, then provider, model, name, id and field, with
+    their ``position``."""
     blank = F.lit("")
     names = [F.coalesce(c, blank) for c in ("provider_id", "model_id", "display_name")]
-    order = [F.col("date").desc(), *names, F.col("pricing_id"), F.col("field")]
-    return events.orderBy(*order)
+    return positions(events, [F.col("date").desc(), *names, F.col("pricing_id"), F.col("field")])
 
 
 def changed_ids(series: DataFrame, field: str) -> DataFrame:
@@ -174,9 +174,9 @@ def lifecycle(series: DataFrame, schemas: DataFrame, order: Sequence[str] = ("da
 
 
 def by_model(models: DataFrame) -> DataFrame:
-    """Models in the order of their provider, model and id; empty names first."""
+    """Models with their ``position`` by provider, model and id; empty names first."""
     blank = F.lit("")
-    return models.orderBy(F.coalesce("provider_id", blank), F.coalesce("model_id", blank), "pricing_id")
+    return positions(models, [F.coalesce("provider_id", blank), F.coalesce("model_id", blank), F.col("pricing_id")])
 
 
 def index_summary(series: DataFrame, schemas: DataFrame) -> DataFrame:

@@ -244,6 +244,33 @@ def _one_per_key(df, keys, order, pick):
     return df.groupBy(*keys).agg(best).select(*keys, "__row.*").select(*df.columns)
 
 
+def positions(df: DataFrame, order: Sequence[Column], out: str = "position") -> DataFrame:
+    """Rows with their place (from 0) in a total order, without a window over all of them.
+
+    Rows are range-partitioned, sorted and written with a number that counts inside
+    their partition; what lies before a partition is the sum of the sizes of those
+    before it. Sizes are one row per partition, so the driver adds them up.
+    """
+    bits = 33
+    number = _unused(df, "number")
+    rows = checkpointed(df.orderBy(*order).withColumn(number, F.monotonically_increasing_id()), "sorted")
+    part = F.shiftright(number, bits)
+    sizes = sorted(map(tuple, rows.groupBy(part.alias("p")).count().collect()))
+    before, starts = 0, []
+    for p, n in sizes:
+        starts.append((p, before))
+        before += n
+    starts = df.sparkSession.createDataFrame(starts, "__p long, __before long")
+    place = F.col("__before") + F.col(number).bitwiseAND(F.lit((1 << bits) - 1))
+    return rows.join(F.broadcast(starts), part == F.col("__p")).select(*df.columns, place.alias(out))
+
+
+def _unused(df: DataFrame, base: str) -> str:
+    while base in df.columns:
+        base += "_"
+    return base
+
+
 def global_value(df: DataFrame, expr: Column) -> Column:
     """A one-row aggregate of ``df`` as a scalar subquery, in place of a cross join."""
     return df.select(expr).scalar()

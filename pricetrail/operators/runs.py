@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from ..functions import measures as ms
 from ..functions.text import words
-from .ordered import ROWS_PER_CHUNK, exact_quantiles
+from ..session import checkpointed
+from .ordered import CHUNK, HOT, ROWS_PER_CHUNK, _join_offsets, exact_quantiles, with_chunks
 
 # Tie order of stored runs, defaults of older rows, upsert keys.
 GROUP = ("date", "provider_id", "tier", "task_id")
@@ -22,6 +23,8 @@ WRAPPER_KEY = ("run_date", "provider_id", "tier", "turn")
 LAST_TURN = 10
 LONG_TASK = "D"
 CHAT_TASK = "E"
+#: Turns of one conversation whose text is joined in one row.
+TURNS_PER_CHUNK = 1000
 
 
 def run_date(df: DataFrame) -> Column:
@@ -218,34 +221,42 @@ def upsert(
     return existing.join(marks, same, "left_anti").unionByName(new, allowMissingColumns=True)
 
 
-def transcript_prefixes(turns: DataFrame, max_exchanges: int | None = None) -> DataFrame:
+def transcript_prefixes(
+    turns: DataFrame, max_exchanges: int | None = None, turns_per_chunk: int = TURNS_PER_CHUNK
+) -> DataFrame:
     """Size and text of the first n exchanges of each conversation.
 
-    All exchanges, or as many as ``max_exchanges`` asks for. The text of a
-    conversation is put together once; its prefixes are cut from it by offsets.
+    All exchanges, or as many as ``max_exchanges`` asks for. A conversation of more
+    than ``turns_per_chunk`` turns is cut into chunks of turns; text is joined inside
+    a chunk, and a table with one row per chunk carries the text before it. So no
+    task gathers the turns of a conversation, and an exchange holds no more than its
+    own prefix.
     """
     head = turns if max_exchanges is None else turns.filter(F.col("turn") < 2 * max_exchanges)
-    line = F.concat(F.upper("role"), F.lit(": "), F.col("text"))
-    held = head.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct(
-        "turn", F.coalesce(F.char_length("text"), F.lit(0)).cast("long").alias("chars"), line.alias("line")))).alias("turns"))
-    start = F.struct(
-        F.lit(0).cast("long").alias("chars"), F.lit(0).alias("at"),
-        F.array().cast("array<struct<turn:bigint,chars:bigint,at:int>>").alias("ends"))
-
-    def step(acc, t):
-        chars = acc["chars"] + t["chars"]
-        gap = F.when(acc["at"] > 0, 2).otherwise(0)
-        at = F.when(t["line"].isNull(), acc["at"]).otherwise(acc["at"] + gap + F.char_length(t["line"]))
-        end = F.struct(t["turn"].cast("long").alias("turn"), chars.alias("chars"), at.alias("at"))
-        return F.struct(chars.alias("chars"), at.alias("at"), F.concat(acc["ends"], F.array(end)).alias("ends"))
-
-    ends = F.filter(F.aggregate("turns", start, step, lambda acc: acc["ends"]), lambda e: e["turn"] % 2 == 1)
-    whole = F.array_join(F.transform("turns", lambda t: t["line"]), "\n\n")
-    return held.select("conv_id", whole.alias("whole"), F.explode(ends).alias("e")).select(
+    rows = head.select(
+        "conv_id", "turn", F.coalesce(F.char_length("text"), F.lit(0)).cast("long").alias("chars"),
+        F.concat(F.upper("role"), F.lit(": "), F.col("text")).alias("line"))
+    cut = checkpointed(with_chunks(rows, ["conv_id"], "turn", turns_per_chunk).drop(HOT), "turn_chunks")
+    inside = Window.partitionBy("conv_id", CHUNK).orderBy("turn", "chars", "line")
+    upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ends = cut.select(
+        "conv_id", CHUNK, "turn", F.sum("chars").over(upto).alias("chars"),
+        F.coalesce(F.sum(F.char_length("line") + 2).over(upto), F.lit(2)).alias("at"),
+    ).filter(F.col("turn") % 2 == 1)
+    lines = F.array_sort(F.collect_list(F.struct("turn", "chars", "line")))
+    chunks = cut.groupBy("conv_id", CHUNK).agg(
+        F.sum("chars").alias("__chars"),
+        F.nullif(F.array_join(F.transform(lines, lambda t: t["line"]), "\n\n"), F.lit("")).alias("__text"))
+    earlier = Window.partitionBy("conv_id").orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    carried = chunks.select(
+        "conv_id", CHUNK, "__text", F.coalesce(F.sum("__chars").over(earlier), F.lit(0)).alias("__before"),
+        F.nullif(F.array_join(F.collect_list("__text").over(earlier), "\n\n"), F.lit("")).alias("__text_before"))
+    own = F.nullif(F.substring("__text", F.lit(1), (F.col("at") - 2).cast("int")), F.lit(""))
+    return _join_offsets(ends, carried, ["conv_id"]).select(
         "conv_id",
-        F.floor((F.col("e.turn") + 1) / 2).cast("int").alias("exchanges"),
-        F.col("e.chars").alias("prefix_chars"),
-        F.substring("whole", F.lit(1), F.col("e.at")).alias("prefix_text"),
+        F.floor((F.col("turn") + 1) / 2).cast("int").alias("exchanges"),
+        (F.col("__before") + F.col("chars")).alias("prefix_chars"),
+        F.concat_ws("\n\n", "__text_before", own).alias("prefix_text"),
     )
 
 

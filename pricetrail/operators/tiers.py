@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import measures as ms
 from ..functions import text as tx
 from ..schemas import PRICE_DECIMAL, PRICE_FIELDS
-from .ordered import first_wins, last_wins
+from .ordered import first_wins, last_wins, positions
 
 # Sort keys of component and tier rows, and staging names.
 COMPONENT_SORT = (
@@ -54,6 +54,11 @@ def sort_rows(df: DataFrame, names: Sequence[str]) -> DataFrame:
     return df.orderBy(*sort_keys(names))
 
 
+def sorted_positions(df: DataFrame, names: Sequence[str], ties: Sequence[str] = ("pricing_id",), out: str = "position") -> DataFrame:
+    """Rows with their place in the sort by ``names``; equal ones by ``ties``."""
+    return positions(df, [*sort_keys(names), *[F.col(t) for t in ties]], out)
+
+
 def component_rows(df: DataFrame, strict_ids: bool = False) -> DataFrame:
     """Fill the defaults of a component row and give it its id."""
     defaults = {

@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ordered import ROWS_PER_CHUNK, first_wins, running_sum
+from ..session import checkpointed
+from .ordered import ROWS_PER_CHUNK, first_wins, global_value, running_sum
 
 # Window lengths, lags and percentiles of the forecasts.
 LAGS = (1, 2, 3, 7)
@@ -180,15 +181,52 @@ def exp_smoothing(
     )
 
 
-def lag_regression(features: DataFrame, key: str, value: str, days: int = 7, lags: Sequence[int] = LAGS):
-    """Fit one boosted-tree model on all series and predict the held-out days."""
+def encoded_key(split: DataFrame, key: str, value: str, out: str = "level") -> DataFrame:
+    """Add the key as a number: the mean of its training days.
+
+    Keys are too many for a column each; a key without a training day gets the mean of
+    all training days.
+    """
+    train = split.filter(~F.col("is_holdout"))
+    means = train.groupBy(F.col(key).alias("__k")).agg(F.avg(value).alias(out))
+    rows = split.join(means, F.col(key).eqNullSafe(F.col("__k")), "left").drop("__k")
+    return rows.withColumn(out, F.coalesce(out, global_value(train, F.avg(value)), F.lit(0.0)))
+
+
+def lag_regression(
+    daily: DataFrame, key: str, value: str, days: int = HOLDOUT_DAYS, lags: Sequence[int] = LAGS,
+    trees: int = 20, seed: int = 7,
+) -> DataFrame:
+    """The held-out days of every series, predicted by one model of all series.
+
+    Boosted trees over the lags and the encoded key are fitted by Spark on the training
+    days of all keys at once, so a short series borrows from the others. Lags reach into
+    the held-out days, as each day is predicted from the days before it. Rows without a
+    value of every lag are left out; with no training row there are no predictions.
+    """
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import GBTRegressor
 
-    rows = VectorAssembler(inputCols=[f"lag_{n}" for n in lags], outputCol="features").transform(
-        holdout_split(features, key, days)
-    )
-    model = GBTRegressor(featuresCol="features", labelCol=value, predictionCol="predicted", maxIter=20, seed=7).fit(
-        rows.filter(~F.col("is_holdout"))
-    )
+    split = encoded_key(holdout_split(daily, key, days), key, value)
+    rows = lag_features(split, key, value, lags)
+    # Written, as every round of boosting reads it again.
+    rows = checkpointed(
+        VectorAssembler(inputCols=["level", *[f"lag_{n}" for n in lags]], outputCol="features").transform(rows), "lags")
+    train = rows.filter(~F.col("is_holdout"))
+    if train.isEmpty():
+        return rows.withColumn("predicted", F.lit(0.0)).drop("features").limit(0)
+    model = GBTRegressor(
+        featuresCol="features", labelCol=value, predictionCol="predicted", maxIter=trees, seed=seed).fit(train)
     return model.transform(rows.filter("is_holdout")).drop("features")
+
+
+def backtest_lags(daily: DataFrame, key: str, value: str, days: int = HOLDOUT_DAYS, lags: Sequence[int] = LAGS) -> DataFrame:
+    """Per key: mean error of the lag model and of the last-value forecast on the same days."""
+    predicted = lag_regression(daily, key, value, days, lags).select(key, "date", value, F.col("predicted").alias("__model"))
+    naive = naive_forecast(daily, key, value, days).select(F.col(key).alias("__k"), F.col("date").alias("__d"), F.col("predicted").alias("__naive"))
+    both = predicted.join(naive, F.col(key).eqNullSafe(F.col("__k")) & (F.col("date") == F.col("__d")))
+    return both.groupBy(key).agg(
+        F.count(F.lit(1)).alias("days"),
+        F.avg(F.abs(F.col(value) - F.col("__model"))).alias("model_mae"),
+        F.avg(F.abs(F.col(value) - F.col("__naive"))).alias("naive_mae"),
+    )

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
@@ -36,13 +35,12 @@ def change_events(spark, d):
 def events_newest_first(spark, d):
     """Places come from the order of the sorted rows, so a wrong order shows."""
     keep = ["provider_id", "model_id", "display_name"]
-    events = h.newest_first(h.change_events(series(spark, d), ["input_price"], keep))
-    rows = checkpointed(events.withColumn("at", F.monotonically_increasing_id()), "sorted_events")
-    days = rows.groupBy("date").agg(F.min("at").alias("first"))
-    days = days.withColumn("day_place", F.row_number().over(Window.orderBy("first")).cast("long"))
-    place = F.row_number().over(Window.partitionBy("date").orderBy("at")).cast("long")
+    rows = checkpointed(h.newest_first(h.change_events(series(spark, d), ["input_price"], keep)), "sorted_events")
+    # One row per day.
+    days = ordered.positions(rows.groupBy("date").agg(F.min("position").alias("first")), [F.col("first")], "day_place")
     return rows.join(days, "date").select(
-        "pricing_id", "provider_id", "model_id", "date", "from_value", "to_value", "day_place", place.alias("place"))
+        "pricing_id", "provider_id", "model_id", "date", "from_value", "to_value",
+        (F.col("day_place") + 1).alias("day_place"), (F.col("position") - F.col("first") + 1).alias("place"))
 
 
 @query("change_events_wide", f"""
@@ -93,7 +91,8 @@ def models(spark, d):
     CASE WHEN NOT currently_present THEN last_seen END AS disappeared_after,
     currently_present::BIGINT AS currently_present, currently_active::BIGINT AS currently_active,
     name_marks_deprecation::BIGINT AS name_marks_deprecation, latest_input, latest_output,
-    latest_cached_input, 'USD' AS currency, 'standard_api' AS category FROM models""")
+    latest_cached_input, 'USD' AS currency, 'standard_api' AS category,
+    row_number() OVER (ORDER BY provider_id, model_id, pricing_id) - 1 AS position FROM models""")
 def lifecycle(spark, d):
     out = h.by_model(models(spark, d)).drop("record_start")
     flags = ("currently_present", "currently_active", "name_marks_deprecation")

@@ -197,12 +197,42 @@ def avg_by_key(spark, d):
     )
 
 
-@query("sort_nulls_first", """
-  SELECT p_brand AS provider_id, p_name AS display_name, nullif(p_type, 'SMALL') AS service_tier, p_partkey
-  FROM part ORDER BY provider_id, lower(display_name), coalesce(service_tier, ''), p_partkey""")
-def sort_nulls_first(spark, d):
-    rows = load(spark, d, "part").select(
-        F.col("p_brand").alias("provider_id"), F.col("p_name").alias("display_name"),
-        F.nullif(F.col("p_type"), F.lit("SMALL")).alias("service_tier"), "p_partkey",
+# A part as a price row: some attributes are missing, some names differ by case only.
+SORTED = """rows AS (SELECT p_partkey, p_brand AS provider_id, CASE WHEN p_partkey % 3 = 0 THEN upper(p_type) ELSE p_type END AS display_name,
+    nullif(p_type, 'SMALL') AS service_tier, CASE p_size % 4 WHEN 0 THEN NULL WHEN 1 THEN '<=200k' ELSE '>200k' END AS context_window,
+    CASE p_size % 3 WHEN 0 THEN NULL WHEN 1 THEN 'text' ELSE 'audio' END AS modality,
+    CASE p_size % 5 WHEN 0 THEN NULL WHEN 1 THEN '5m' ELSE '1h' END AS billing_variant,
+    CASE p_size % 7 WHEN 0 THEN 'output' WHEN 1 THEN NULL ELSE 'input' END AS component,
+    CASE p_size % 2 WHEN 0 THEN 'per_1M_tokens' ELSE 'per_image' END AS unit FROM part)"""
+
+
+def sortable(spark, d):
+    size = F.col("p_size")
+    return load(spark, d, "part").select(
+        "p_partkey", F.col("p_brand").alias("provider_id"),
+        F.when(F.col("p_partkey") % 3 == 0, F.upper("p_type")).otherwise(F.col("p_type")).alias("display_name"),
+        F.nullif(F.col("p_type"), F.lit("SMALL")).alias("service_tier"),
+        F.when(size % 4 == 1, "<=200k").when(size % 4 > 1, ">200k").alias("context_window"),
+        F.when(size % 3 == 1, "text").when(size % 3 == 2, "audio").alias("modality"),
+        F.when(size % 5 == 1, "5m").when(size % 5 > 1, "1h").alias("billing_variant"),
+        F.when(size % 7 == 0, "output").when(size % 7 > 1, "input").alias("component"),
+        F.when(size % 2 == 0, "per_1M_tokens").otherwise("per_image").alias("unit"),
     )
-    return rows.orderBy(*tiers.sort_keys(["provider_id", "display_name", "service_tier"]), "p_partkey")
+
+
+def sql_order(names):
+    return ", ".join(f"coalesce({'lower(display_name)' if n == 'display_name' else n}, '')" for n in names)
+
+
+@query("sort_nulls_first", f"""
+  WITH {SORTED} SELECT *, row_number() OVER (ORDER BY {sql_order(tiers.TIER_SORT)}, p_partkey) - 1 AS position FROM rows""")
+def sort_nulls_first(spark, d):
+    """Tier rows by all six keys; their places show the order."""
+    return tiers.sorted_positions(sortable(spark, d), tiers.TIER_SORT, ["p_partkey"])
+
+
+@query("sort_components", f"""
+  WITH {SORTED} SELECT *, row_number() OVER (ORDER BY {sql_order(tiers.COMPONENT_SORT)}, p_partkey) - 1 AS position FROM rows""")
+def sort_components(spark, d):
+    """Component rows by all eight keys."""
+    return tiers.sorted_positions(sortable(spark, d), tiers.COMPONENT_SORT, ["p_partkey"])

@@ -64,6 +64,23 @@ def lag_features(spark, d):
     return u.lag_features(daily(spark, d), "user_id", "tokens")
 
 
+@query("lag_regression")
+def lag_regression(spark, d):
+    """Error of the lag model and of the last-value forecast for every user."""
+    return u.backtest_lags(daily(spark, d), "user_id", "tokens")
+
+
+@query("lag_backtest", f"""
+  WITH {DAILY}, s AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY date DESC) AS from_end FROM daily),
+  l AS (SELECT *, lag(tokens, 7) OVER (PARTITION BY user_id ORDER BY date) AS lag_7 FROM s),
+  n AS (SELECT a.user_id, a.tokens, b.tokens AS naive FROM l a JOIN s b ON a.user_id = b.user_id AND b.from_end = 4
+    WHERE a.from_end <= 3 AND a.lag_7 IS NOT NULL)
+  SELECT user_id, count(*) AS days, avg(abs(tokens - naive)) AS naive_mae FROM n GROUP BY 1""")
+def lag_backtest(spark, d):
+    """The days and the naive error that the lag model is held against."""
+    return u.backtest_lags(daily(spark, d), "user_id", "tokens").drop("model_mae")
+
+
 @query("holdout_split", f"WITH {SPLIT} SELECT user_id, date, tokens, (from_end <= 3)::BIGINT AS is_holdout FROM split")
 def holdout_split(spark, d):
     return u.holdout_split(daily(spark, d), "user_id").select(

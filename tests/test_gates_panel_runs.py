@@ -258,6 +258,26 @@ def test_transcripts(spark, rows):
     assert (size["chars"], size["bytes"], size["words"]) == (300 + 23, 600 + 23, 24)
 
 
+def test_long_transcripts_are_cut_into_chunks(spark, rows):
+    """One conversation holds a third of all turns; lines may be null, ids too."""
+    data = [(1, i, "user" if i % 2 == 0 else "assistant", None if i % 11 == 3 else f"t{i}") for i in range(200)]
+    data += [(c, i, None if (c, i) == (7, 0) else "user", f"{c}-{i}") for c in range(2, 60) for i in range(6)]
+    data += [(None, i, "user", f"n{i}") for i in range(50)]
+    turns = spark.createDataFrame(data, "conv_id int, turn int, role string, text string").repartition(7)
+    want = {}
+    for c in {r[0] for r in data}:
+        lines, chars = [], 0
+        for _, i, role, text in sorted((r for r in data if r[0] == c), key=lambda r: r[1]):
+            chars += len(text or "")
+            if role is not None and text is not None:
+                lines.append(f"{role.upper()}: {text}")
+            if i % 2 == 1:
+                want[(c, (i + 1) // 2)] = (chars, "\n\n".join(lines))
+    for size in (7, 1000):
+        got = {(r["conv_id"], r["exchanges"]): (r["prefix_chars"], r["prefix_text"]) for r in rows(runs.transcript_prefixes(turns, turns_per_chunk=size))}
+        assert got == want
+
+
 def test_alternation(spark, rows):
     good = [(1, i, "user" if i % 2 == 0 else "assistant", 15 if i % 2 == 0 else 50) for i in range(20)]
     bad = [(2, 0, "assistant", 50), (2, 1, "user", 5), (2, 3, "assistant", 50)]
@@ -281,11 +301,20 @@ def test_forecasts_by_hand(spark, rows):
     assert [r["lag_7"] for r in rows(usage.lag_features(daily, "k", "v").orderBy("date"))] == [10, 20]
 
 
-def test_lag_regression_runs(spark, rows):
-    daily = spark.range(40).select(
-        F.lit("u").alias("k"), F.date_add(F.lit("2024-01-01").cast("date"), F.col("id").cast("int")).alias("date"), (F.col("id") % 7 * 10).cast("double").alias("v"))
-    out = rows(usage.lag_regression(usage.lag_features(daily, "k", "v"), "k", "v"))
-    assert len(out) == 7 and all(abs(r["v"] - r["predicted"]) < 15 for r in out)
+def test_lag_regression_beats_the_last_value(spark, rows):
+    """Two users of different level share one model; a week's pattern is learned from the lags."""
+    day = F.col("id").cast("int")
+    daily = spark.range(70).select(
+        F.explode(F.array(F.lit("low"), F.lit("high"), F.lit(None).cast("string"))).alias("k"),
+        F.date_add(F.lit("2024-01-01").cast("date"), day).alias("date"),
+        ((day % 7) * 10).cast("double").alias("v")).withColumn("v", F.when(F.col("k") == "high", F.col("v") + 500).otherwise(F.col("v")))
+    out = rows(usage.lag_regression(daily, "k", "v", days=5))
+    assert len(out) == 15 and all(abs(r["v"] - r["predicted"]) < 15 for r in out)
+    errors = rows(usage.backtest_lags(daily, "k", "v", days=5))
+    assert len(errors) == 3 and all(r["days"] == 5 and r["model_mae"] < r["naive_mae"] / 2 for r in errors)
+    assert rows(usage.lag_regression(daily.limit(0), "k", "v")) == []
+    levels = {r["k"]: r["level"] for r in rows(usage.encoded_key(usage.holdout_split(daily, "k", 5), "k", "v"))}
+    assert levels["high"] - levels["low"] == pytest.approx(500) and levels[None] == levels["low"]
 
 
 def test_cycle_position(spark, rows):

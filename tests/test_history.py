@@ -214,5 +214,5 @@ def test_events_and_models_in_order(spark, rows):
     day = [dt.date(2026, 1, d) for d in (1, 2)]
     events = spark.createDataFrame(
         [(day[0], "a", "m", "x", "1", "f"), (day[1], "b", "m", "x", "2", "f"), (day[1], None, "z", "x", "4", "f"), (day[1], "b", "l", "x", "3", "f")], kind)
-    assert [r["pricing_id"] for r in rows(h.newest_first(events))] == ["4", "3", "2", "1"]
-    assert [r["pricing_id"] for r in rows(h.by_model(events))] == ["4", "1", "3", "2"]
+    assert [r["pricing_id"] for r in rows(h.newest_first(events).orderBy("position"))] == ["4", "3", "2", "1"]
+    assert [r["pricing_id"] for r in rows(h.by_model(events).orderBy("position"))] == ["4", "1", "3", "2"]

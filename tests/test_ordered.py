@@ -121,3 +121,16 @@ def test_results_do_not_depend_on_the_session_zone(spark):
             assert all(r.s == r.id * (r.id + 1) // 2 for r in got)
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_positions_follow_a_total_order(spark, rows):
+    import random
+
+    values = [(random.Random(i).randrange(50), i) for i in range(3000)]
+    df = spark.createDataFrame(values, "v int, number int").repartition(9)
+    out = rows(o.positions(df, [F.col("v").desc(), F.col("number")]))
+    assert [(r["v"], r["number"]) for r in sorted(out, key=lambda r: r["position"])] == sorted(values, key=lambda x: (-x[0], x[1]))
+    assert sorted(r["position"] for r in out) == list(range(3000))
+    plan = o.positions(df, [F.col("v")])._jdf.queryExecution().toString()
+    assert "Window" not in plan
+    assert rows(o.positions(df.limit(0), [F.col("v")])) == []
