@@ -1,11 +1,10 @@
 """Price rows out of page tables: shape rules as Column expressions.
 
-``html_blocks`` gives table rows and the text before them. A *shape rule* says
-which tables it reads (by their header row) and which cells of a row carry
-which price. All rules of a provider are branches of one projection, so they
-cost one pass and one ``posexplode``, and no shuffle beyond the one by page.
-Windows run within one page, and a page arrives as one input row, so their
-partitions are as small as a page.
+``page_tables`` gives every table as nested cells with the texts that name it. A
+*shape rule* says which tables it reads (by their header row) and which cells of a row
+carry which price. What a row takes from the rows above it is carried along the nested
+cells by array functions, so from the page to its prices nothing is shuffled. All rules
+of a provider are branches of one projection: one pass and one ``posexplode``.
 """
 
 from __future__ import annotations
@@ -19,7 +18,7 @@ from pyspark.sql import functions as F
 from ..functions import measures as ms
 from ..functions import nested
 from ..functions import text as tx
-from ..sources.html import html_blocks
+from ..sources.html import page_tables
 from .tiers import component_rows
 
 # Section labels, header rows and model families of the pages.
@@ -61,89 +60,107 @@ CATALOG_UNIT = "1k tokens"
 
 
 
-def in_page():
-    return Window.partitionBy("page_id")
-
+# The texts before a table that say what it lists.
+WATCHED = {
+    "group_text": tuple(VERTEX_GROUPS),
+    "vertex_tier_text": VERTEX_TIERS,
+    "category_text": tuple(OPENAI_CATEGORIES),
+    "openai_tier_text": OPENAI_TIERS,
+}
 
-def in_table():
-    return Window.partitionBy("page_id", "table_ord")
 
+def prev_heading(blocks: DataFrame, tags: Sequence[str] = SECTION_HEADINGS) -> DataFrame:
+    """Nearest heading before each block, in document order."""
+    upto = Window.partitionBy("page_id").orderBy("block_ord", F.coalesce("row_ord", F.lit(-1))).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    mine = F.when((F.col("kind") == "heading") & F.col("tag").isin(*tags), F.col("text"))
+    return blocks.withColumn("heading", F.last(mine, ignorenulls=True).over(upto))
 
-def page_upto():
-    return in_page().orderBy("block_ord", F.coalesce("row_ord", F.lit(-1))).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
 
+def carried(values: Column) -> Column:
+    """An array of texts with every null replaced by the last text before it.
 
-def rows_upto():
-    return in_table().orderBy("row_ord").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    Each text is repeated up to the next one, so the cost is that of the array.
+    """
+    none = F.lit(None).cast("string")
+    size = F.size(values)
+    known = F.filter(F.transform(values, lambda v, i: F.struct(i.alias("i"), v.alias("v"))), lambda k: k["v"].isNotNull())
+    ends = F.when(F.size(known) > 0, F.concat(
+        F.transform(F.slice(known, F.lit(2), F.greatest(F.size(known) - 1, F.lit(0))), lambda k: k["i"]), F.array(size)))
+    spans = F.zip_with(known, F.coalesce(ends, F.array().cast("array<int>")), lambda k, end: F.array_repeat(k["v"], end - k["i"]))
+    return F.concat(F.array_repeat(none, F.coalesce(F.try_element_at(known, F.lit(1))["i"], size)), F.flatten(spans))
 
 
-def rows_before():
-    return in_table().orderBy("row_ord").rowsBetween(Window.unboundedPreceding, -1)
+def before(values: Column) -> Column:
+    """An array moved on by one place: at each row the value of the row before."""
+    return F.concat(F.array(F.lit(None).cast("string")), F.slice(values, F.lit(1), F.greatest(F.size(values) - 1, F.lit(0))))
 
 
-def whole_table():
-    return in_table().orderBy("row_ord").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+def fill_down(tables: DataFrame) -> DataFrame:
+    """Add ``filled``: rows exactly one cell short of the header begin with the last first cell.
 
+    Only rows below the header count. Until a full row has set it, the cell to repeat
+    is the first one seen; an empty first cell sets nothing.
+    """
+    def first(cells: Column) -> Column:
+        return F.nullif(F.try_element_at(cells, F.lit(1)), F.lit(""))
 
-def last_known(c: Column, over) -> Column:
-    return F.last(c, ignorenulls=True).over(over)
+    short = lambda cells: F.size(cells) == F.size("head") - 1
+    marked = tables.withColumns({
+        "__full": before(carried(F.transform("grid", lambda c, i: F.when((i >= 1) & ~short(c), first(c))))),
+        "__seen": F.transform("grid", lambda c, i: F.when(i >= 1, first(c))),
+    }).withColumn("__first", F.try_element_at(
+        F.filter(F.transform("__seen", lambda v, i: F.struct(i.alias("i"), v.alias("v"))), lambda k: k["v"].isNotNull()), F.lit(1)))
 
+    def filled(cells: Column, i: Column) -> Column:
+        earliest = F.when(F.col("__first.i") < i, F.col("__first.v"))
+        carry = F.coalesce(F.try_element_at("__full", i + 1), earliest)
+        return F.when((i >= 1) & short(cells) & carry.isNotNull(), F.concat(F.array(carry), cells)).otherwise(cells)
 
-def prev_heading(blocks: DataFrame, tags: Sequence[str] = SECTION_HEADINGS) -> DataFrame:
-    """Nearest heading before each block, in document order."""
-    mine = F.when((F.col("kind") == "heading") & F.col("tag").isin(*tags), F.col("text"))
-    return blocks.withColumn("heading", last_known(mine, page_upto()))
+    return marked.withColumn("filled", F.transform("grid", filled)).drop("__full", "__seen", "__first")
 
 
-def prev_label(options: Sequence[str]) -> Column:
-    """Nearest text before a block that equals one of ``options``."""
-    return last_known(F.when(F.col("text").isin(*options), F.col("text")), page_upto())
+def parsed_pages(pages: DataFrame) -> DataFrame:
+    return page_tables(pages, SECTION_HEADINGS, WATCHED)
 
 
-def fill_down(cells: Column, width: Column, counted: Column) -> Column:
-    """Cells with the last first cell repeated on rows exactly one cell short.
+def lowered(row: Column) -> Column:
+    return F.transform(row, lambda c: F.lower(c))
 
-    ``counted`` marks the rows below the header. Until a full row has set it,
-    the value to repeat is the first one seen; an empty first cell sets nothing.
-    """
-    first = F.when(counted, F.nullif(F.try_element_at(cells, F.lit(1)), F.lit("")))
-    short = F.size(cells) == width - 1
-    full = last_known(F.when(~short, first), rows_before())
-    earliest = F.first(first, ignorenulls=True).over(rows_before())
-    carried = F.coalesce(full, earliest)
-    return F.when(counted & short & carried.isNotNull(), F.concat(F.array(carried), cells)).otherwise(cells)
 
+def tables_of(parsed: DataFrame, **of_page: Column) -> DataFrame:
+    """One row per table: what names it, its header rows, ``grid`` and ``filled`` cells.
 
-def table_rows(pages: DataFrame) -> DataFrame:
-    """Table rows with their header rows and the labels before their table.
-
-    One parse and one shuffle by page; every window here and in the rules shares
-    that partitioning.
+    ``of_page`` are facts about all tables of a page.
     """
-    marked = prev_heading(html_blocks(pages)).withColumns({
-        "group_text": prev_label(list(VERTEX_GROUPS)),
-        "vertex_tier_text": prev_label(VERTEX_TIERS),
-        "category_text": prev_label(list(OPENAI_CATEGORIES)),
-        "openai_tier_text": prev_label(OPENAI_TIERS),
-    })
-    rows = marked.filter(F.col("kind") == "row")
-    rows = rows.withColumns({
-        "names": F.nth_value("cells", 1).over(whole_table()),
-        "second": F.nth_value("cells", 2).over(whole_table()),
-        "n_rows": F.count(F.lit(1)).over(in_table()),
-    })
-    lower = lambda c: F.lower(c)
-    rows = rows.withColumns({
-        "head": F.transform("names", lower),
-        "head2": F.coalesce(F.transform("second", lower), F.array().cast("array<string>")),
-    })
-    width, below = F.size("head"), F.col("row_ord") >= 1
-    return rows.withColumn("filled", fill_down(F.col("cells"), width, below))
+    facts = parsed.withColumns(of_page) if of_page else parsed
+    tables = facts.select("page_id", *of_page, F.posexplode("tables").alias("table_ord", "t"))
+    tables = tables.select(
+        "page_id", "table_ord", *of_page, F.col("t.heading").alias("heading"),
+        *[F.try_element_at("t.labels", F.lit(n)).alias(n) for n in WATCHED],
+        F.col("t.grid").alias("grid"), F.col("t.grid")[0].alias("names"),
+        F.try_element_at("t.grid", F.lit(2)).alias("second"), F.size("t.grid").alias("n_rows"))
+    return fill_down(tables.withColumns({
+        "head": lowered(F.col("names")),
+        "head2": F.coalesce(lowered(F.col("second")), F.array().cast("array<string>")),
+    }))
+
+
+def rows_of(tables: DataFrame, **carry: Column) -> DataFrame:
+    """One row per table row, with ``row_ord``, ``cells`` and its ``filled`` cells.
+
+    ``carry`` are arrays with an entry per row of the table, each added under its name.
+    """
+    wide = tables.withColumns({f"__{n}": c for n, c in carry.items()}) if carry else tables
+    at = F.col("row_ord") + 1
+    keep = [c for c in tables.columns if c not in ("grid", "filled")]
+    rows = wide.select(*keep, "filled", *[f"__{n}" for n in carry], F.posexplode("grid").alias("row_ord", "cells"))
+    return rows.select(
+        *keep, "row_ord", "cells", F.try_element_at("filled", at).alias("filled"),
+        *[F.try_element_at(f"__{n}", at).alias(n) for n in carry])
 
 
-def cell(i: int | Column, of: str = "cells") -> Column:
+def cell(i: int | Column, of: str | Column = "cells") -> Column:
     """Cell by 0-based position; null past the end of the row."""
     return F.try_element_at(of, F.lit(i + 1) if isinstance(i, int) else i + 1)
 
@@ -219,7 +236,8 @@ def apply_rules(rows: DataFrame, provider: str, rules: Sequence[Rule]) -> DataFr
     )
 
 
-def claude_rules(rows: DataFrame) -> tuple[DataFrame, list[Rule]]:
+def claude_rules(parsed: DataFrame) -> tuple[DataFrame, list[Rule]]:
+    rows = rows_of(tables_of(parsed))
     joined = F.array_join("head", " ")
 
     def has(*words: str) -> Column:
@@ -240,7 +258,8 @@ def claude_rules(rows: DataFrame) -> tuple[DataFrame, list[Rule]]:
     )]
 
 
-def xai_rules(rows: DataFrame) -> tuple[DataFrame, list[Rule]]:
+def xai_rules(parsed: DataFrame) -> tuple[DataFrame, list[Rule]]:
+    rows = rows_of(tables_of(parsed))
     head = F.col("head")
     two_rows = (
         (F.col("n_rows") >= 3)
@@ -286,59 +305,51 @@ def xai_rules(rows: DataFrame) -> tuple[DataFrame, list[Rule]]:
     return rows, [wide, single]
 
 
-def deepseek_rules(rows: DataFrame) -> tuple[DataFrame, list[Rule]]:
-    """Models are columns: labelled rows are looked up over the whole table and
-    the entries of both models leave from its first row."""
-    fits = F.coalesce(
-        (F.col("n_rows") >= 3) & (F.size("head") >= 3) & (cell(0, "head") == "model")
-        & tx.starts_with_family(cell(1, "head"), "deepseek"),
-        F.lit(False),
-    )
-    label = F.lower(F.array_join(F.slice("cells", 1, 2), " "))
-    kind = F.when(fits & (F.col("row_ord") >= 1), (
-        F.when(label.contains("context length"), "context")
-        .when(label.contains("cache hit"), "cached_input")
-        .when(label.contains("cache miss"), "input")
-        .when(label.contains("output"), "output")
-    ))
-    # A priced row may carry a second label cell, which moves its values right.
-    moved = (kind == "cached_input") & (F.size("cells") > 2) & F.lower(cell(0)).contains("pricing")
-    values = F.slice("cells", F.when(F.coalesce(moved, F.lit(False)), 3).otherwise(2), 2)
-    rows = rows.withColumns({
-        "fits": fits,
-        "kind2": kind,
-        "v": values,
-        "first_fit": F.min(F.when(fits, F.col("table_ord"))).over(in_page()),
-    })
-
-    def found(k: str, i: int) -> Column:
-        has_value = (F.col("kind2") == k) & (F.size("v") > i)
-        return F.max_by(F.try_element_at("v", F.lit(i + 1)), F.when(has_value, F.col("row_ord"))).over(whole_table())
+def _transposed(names: Column, n_rows: Column) -> Column:
+    """Whether a table has models as columns: its header is MODEL and a known family."""
+    head = F.lower(F.try_element_at(names, F.lit(1)))
+    family = tx.starts_with_family(F.lower(F.try_element_at(names, F.lit(2))), "deepseek")
+    return F.coalesce((n_rows >= 3) & (F.size(names) >= 3) & (head == "model") & family, F.lit(False))
 
-    kinds = ("input", "cached_input", "output")
-    rows = rows.withColumns({f"{k}_{i}": found(k, i) for k in ("context", *kinds) for i in (0, 1)})
 
-    def owned(i: int) -> Column:
-        name = cell(i + 1, "names")
-        return tx.starts_with_family(name, "deepseek") | tx.starts_with_family(tx.slugify(name), "deepseek")
+def deepseek_rules(parsed: DataFrame) -> tuple[DataFrame, list[Rule]]:
+    """Models are columns, any number of them: the header cells become rows, and each
+    looks its values up in the labelled rows. Only the first such table of a page counts."""
+    fitting = F.transform("tables", lambda t: _transposed(t["grid"][0], F.size(t["grid"])))
+    tables = tables_of(parsed, first_fit=F.array_position(fitting, True) - 1)
 
-    at_first = F.col("fits") & (F.col("table_ord") == F.col("first_fit"))
-    rules = []
-    # Rows 0 and 1 always exist in a fitting table; each emits one model.
-    for i in (0, 1):
-        rules.append(Rule(
-            at_first & (F.col("row_ord") == i) & owned(i),
-            cell(i + 1, "names"),
-            [
-                price(k, F.col(f"{k}_{i}"), service_tier="standard", modality="text", category="text_api",
-                      context_window=F.col(f"context_{i}"))
-                for k in kinds
-            ],
+    def labelled(cells: Column, i: Column) -> Column:
+        label = F.lower(F.array_join(F.slice(cells, 1, 2), " "))
+        kind = F.when(i >= 1, (
+            F.when(label.contains("context length"), "context")
+            .when(label.contains("cache hit"), "cached_input")
+            .when(label.contains("cache miss"), "input")
+            .when(label.contains("output"), "output")
         ))
-    return rows, rules
+        # A priced row may carry a second label cell, which moves its values right.
+        moved = (kind == "cached_input") & (F.size(cells) > 2) & F.lower(cell(0, cells)).contains("pricing")
+        start = F.when(F.coalesce(moved, F.lit(False)), 3).otherwise(2)
+        return F.struct(kind.alias("kind"), F.slice(cells, start, F.greatest(F.size(cells), F.lit(1))).alias("v"))
 
+    tables = tables.filter(F.col("table_ord") == F.col("first_fit")).withColumn("labelled", F.transform("grid", labelled))
+    models = tables.select("page_id", "table_ord", "labelled", F.posexplode(F.slice("names", F.lit(2), F.size("names"))).alias("row_ord", "name"))
 
-def qwen_rules(rows: DataFrame) -> tuple[DataFrame, list[Rule]]:
+    def found(k: str) -> Column:
+        fits = F.filter("labelled", lambda r: (r["kind"] == k) & (F.size(r["v"]) > F.col("row_ord")))
+        return F.try_element_at(F.try_element_at(fits, F.lit(-1))["v"], F.col("row_ord") + 1)
+
+    kinds = ("input", "cached_input", "output")
+    name = F.col("name")
+    owned = tx.starts_with_family(name, "deepseek") | tx.starts_with_family(tx.slugify(name), "deepseek")
+    entries = [
+        price(k, found(k), service_tier="standard", modality="text", category="text_api", context_window=found("context"))
+        for k in kinds
+    ]
+    return models, [Rule(F.coalesce(owned, F.lit(False)), name, entries)]
+
+
+def qwen_rules(parsed: DataFrame) -> tuple[DataFrame, list[Rule]]:
+    rows = rows_of(tables_of(parsed))
     at = {
         "scope": column_with(lambda h: h.contains("deployment scope")),
         "input": column_with(lambda h: h.contains("input price")),
@@ -377,43 +388,59 @@ def qwen_rules(rows: DataFrame) -> tuple[DataFrame, list[Rule]]:
     return rows, [Rule(test, F.col("name"), [price(k, at_column(at[k]), **same) for k in ("input", "output")])]
 
 
-def vertex_rules(rows: DataFrame) -> tuple[DataFrame, list[Rule]]:
+def vertex_rules(parsed: DataFrame) -> tuple[DataFrame, list[Rule]]:
     """Three shapes: model/type tables of a model group, the four-column token
     table under its own heading, and embedding tables anywhere else."""
     groups = F.create_map(*[F.lit(x) for kv in VERTEX_GROUPS.items() for x in kv])
     group = F.coalesce("group_text", F.when(F.col("heading").isin(*VERTEX_GROUPS), F.col("heading")))
     tier_text = F.nullif(tx.slugify(F.col("vertex_tier_text")), F.lit(""))
-    below = F.col("row_ord") >= 1
-    first = F.coalesce(cell(0), F.lit(""))
-    gemini = F.lower(first).contains("gemini")
-    alone = F.size("cells") == 1
     region_at = column_with(lambda h: h == "region")
+
+    def first(cells: Column) -> Column:
+        return F.coalesce(F.try_element_at(cells, F.lit(1)), F.lit(""))
+
+    def gemini(cells: Column) -> Column:
+        return F.lower(first(cells)).contains("gemini")
+
+    def banner(cells: Column) -> Column:
+        return gemini(cells) & (F.size(cells) == 1)
+
+    def foreign(cells: Column) -> Column:
+        region = F.when(F.col("region_at").isNotNull(), cell(F.col("region_at"), cells))
+        return F.coalesce(F.lower(tx.norm(region)).contains("non-global"), F.lit(False))
+
+    tables = tables_of(parsed).filter(F.coalesce("heading", F.lit("")) != "Modality-based pricing").withColumn("region_at", region_at)
+    tables = tables.withColumns({
+        "models": carried(F.transform("grid", lambda c, i: F.when((i >= 1) & gemini(c), tx.norm(first(c))))),
+        "banners": carried(F.transform("grid", lambda c, i: F.when((i >= 1) & banner(c), tx.norm(first(c))))),
+        "filled_models": carried(F.transform("filled", lambda f, i: F.when((i >= 1) & (F.size(f) >= 4), F.nullif(tx.norm(first(f)), F.lit(""))))),
+    })
+
+    def label(cells: Column, i: Column) -> Column:
+        second = cell(1, cells)
+        typed = F.when((second != "") & tx.money(second).isNull(), tx.norm(second))
+        # Older tables keep the label in the first column.
+        legacy = F.when((first(cells) != "") & ~gemini(cells) & tx.money(first(cells)).isNull(), tx.norm(first(cells)))
+        counted = (i >= 1) & F.try_element_at("models", i + 1).isNotNull() & ~foreign(cells)
+        return F.when((i >= 1) & banner(cells), F.lit("")).when(counted, F.coalesce(typed, legacy))
+
+    rows = rows_of(
+        tables, model=F.col("models"), banner_model=F.col("banners"), filled_model=F.col("filled_models"),
+        label=carried(F.transform("grid", label)))
+    below = F.col("row_ord") >= 1
     embedding = F.size("filled") >= 4
-    rows = rows.filter(F.coalesce("heading", F.lit("")) != "Modality-based pricing").withColumns({
+    rows = rows.withColumns({
         "vertex_category": F.try_element_at(groups, group),
         "tier": F.coalesce(tx.tier_of_headers(F.col("head")), tier_text, F.lit("standard")),
         "is_group": F.coalesce(
             (cell(0, "head") == "model") & (cell(1, "head") == "type") & group.isNotNull(), F.lit(False)
         ),
         "is_token": F.coalesce(F.col("heading") == "Token-based pricing", F.lit(False)),
-        "banner": gemini & alone,
-        "model": last_known(F.when(below & gemini, tx.norm(first)), rows_upto()),
-        "banner_model": last_known(F.when(below & gemini & alone, tx.norm(first)), rows_upto()),
-        "filled_model": last_known(
-            F.when(below & embedding, F.nullif(tx.norm(cell(0, "filled")), F.lit(""))), rows_upto()
-        ),
-        "foreign": F.coalesce(F.lower(tx.norm(at_column(region_at))).contains("non-global"), F.lit(False)),
-        "region_at": region_at,
-    })
-    typed = F.when((cell(1) != "") & tx.money(cell(1)).isNull(), tx.norm(cell(1)))
-    # Older tables keep the label in the first column.
-    legacy = F.when((first != "") & ~gemini & tx.money(first).isNull(), tx.norm(first))
-    counted = below & F.col("model").isNotNull() & ~F.col("foreign")
-    own = F.when(below & F.col("banner"), F.lit("")).when(counted, F.coalesce(typed, legacy))
-    rows = rows.withColumn("label", last_known(own, rows_upto())).withColumns({
+        "banner": banner(F.col("cells")),
         "component": tx.component_of_label(F.col("label")),
         "label_modality": tx.infer_modality(F.col("label")),
     })
+    counted = below & F.col("model").isNotNull() & ~foreign(F.col("cells"))
     skipped = F.lit(False)
     for mark in VERTEX_SKIPPED_LABELS:
         skipped = skipped | F.lower("label").contains(mark)
@@ -481,8 +508,9 @@ def vertex_rules(rows: DataFrame) -> tuple[DataFrame, list[Rule]]:
     return rows, rules
 
 
-def openai_rules(rows: DataFrame) -> tuple[DataFrame, list[Rule]]:
+def openai_rules(parsed: DataFrame) -> tuple[DataFrame, list[Rule]]:
     """Six shapes told apart by their header rows."""
+    rows = rows_of(tables_of(parsed))
     names = F.create_map(*[F.lit(x) for kv in OPENAI_CATEGORIES.items() for x in kv])
     rows = rows.withColumns({
         "category": F.try_element_at(names, F.col("category_text")),
@@ -546,7 +574,7 @@ ARRIVAL = ("provider_ord", "page_id", "table_ord", "row_ord", "entry_ord")
 
 def provider_prices(pages: DataFrame, provider: str) -> DataFrame:
     """Component rows of one provider's pages."""
-    rows, rules = PROVIDER_RULES[provider](table_rows(pages))
+    rows, rules = PROVIDER_RULES[provider](parsed_pages(pages))
     found = apply_rules(rows, provider, rules)
     return found.filter(F.col("component").isin(*VERTEX_COMPONENTS)) if provider == "google" else found
 

@@ -6,7 +6,7 @@ page at a time. Everything after the blocks is DataFrame work.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping, Sequence
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -140,6 +140,7 @@ def page_blocks(html: str) -> list[tuple]:
 
 
 FLUSH_ROWS = 20_000
+PAGES_AT_ONCE = 256
 
 
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -165,3 +166,51 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 def html_blocks(pages: DataFrame) -> DataFrame:
     """Blocks of each page in document order; ``pages`` has page_id and html."""
     return pages.select(F.col("page_id").cast("long").alias("page_id"), "html").mapInArrow(_parse, BLOCKS)
+
+
+TABLES = "page_id bigint, tables array<struct<heading: string, labels: map<string, string>, grid: array<array<string>>>>"
+ARROW_TABLES = pa.schema([
+    ("page_id", pa.int64()),
+    ("tables", pa.list_(pa.struct([
+        ("heading", pa.string()), ("labels", pa.map_(pa.string(), pa.string())), ("grid", pa.list_(pa.list_(pa.string()))),
+    ]))),
+])
+
+
+def tables_of_blocks(blocks: list[tuple], headings: Sequence[str], watched: Mapping[str, Sequence[str]]) -> list[dict]:
+    """Tables of a page with the last heading and the last watched texts before each."""
+    heading, labels, tables, last = None, {}, [], None
+    for _, kind, tag, text, table, _, cells in blocks:
+        if kind == "row":
+            if table != last:
+                tables.append({"heading": heading, "labels": list(labels.items()), "grid": []})
+                last = table
+            tables[-1]["grid"].append(cells)
+            continue
+        if kind == "heading" and tag in headings:
+            heading = text
+        for name, options in watched.items():
+            if text in options:
+                labels[name] = text
+    return tables
+
+
+def page_tables(pages: DataFrame, headings: Sequence[str], watched: Mapping[str, Sequence[str]]) -> DataFrame:
+    """One row per page: its tables with the texts that name them.
+
+    ``watched`` lists texts by name; a table gets the last of each list before it. A
+    page's tables are no larger than the page, and whatever is asked of a table, or of
+    the tables of a page, needs no shuffle.
+    """
+    names = {k: frozenset(v) for k, v in watched.items()}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, texts = batch.column(0), batch.column(1)
+            for start in range(0, batch.num_rows, PAGES_AT_ONCE):
+                part = range(start, min(start + PAGES_AT_ONCE, batch.num_rows))
+                tables = [tables_of_blocks(page_blocks(texts[i].as_py()), headings, names) for i in part]
+                yield pa.RecordBatch.from_arrays(
+                    [ids.slice(start, len(tables)), pa.array(tables, ARROW_TABLES.field("tables").type)], schema=ARROW_TABLES)
+
+    return pages.select(F.col("page_id").cast("long").alias("page_id"), "html").mapInArrow(run, TABLES)
