@@ -260,3 +260,39 @@ def test_pages_to_tiers(spark, rows):
     found = dedupe_last_wins(extract.extract_prices(pages), extract.ARRIVAL)
     tiers = rows(component_pivot(found, extract.ARRIVAL))
     assert [(t["input_price"], t["output_price"], t["input_unit"]) for t in tiers] == [(3.0, 2.0, "per_1M_tokens")]
+
+
+def test_transposed_table_of_four_models(prices):
+    """Any number of columns; a model without a value has no price; a later table is not read."""
+    names = [f"deepseek-{k}" for k in "wxyz"]
+    shape = [["MODEL", *names], ["CONTEXT LENGTH", "1K", "2K", "3K", "4K"], ["PRICING (1)", "INPUT (CACHE HIT)", "$1", "$2", "$3", "$4"],
+             ["INPUT (CACHE MISS)", "$5", "$6", "$7", "$8"], ["OUTPUT", "$9", "$10", "$11"]]
+    out = prices("deepseek", table(["Other"], ["x"]) + table(*shape) + table(["MODEL", "deepseek-q", "deepseek-r"], ["INPUT (CACHE MISS)", "$1", "$1"], ["OUTPUT", "$1", "$1"]))
+    got = {(r["model_id"], r["component"]): (r["price"], r["context_window"]) for r in out}
+    assert len(out) == len(got) == 11
+    assert got[("deepseek-z", "input")] == (8.0, "4K") and got[("deepseek-z", "cached_input")] == (4.0, "4K")
+    assert ("deepseek-z", "output") not in got and got[("deepseek-y", "output")] == (11.0, "3K")
+
+
+def test_no_shuffle_from_pages_to_prices(spark):
+    pages = spark.createDataFrame([(1, "x", "<table></table>")], "page_id long, provider_id string, html string")
+    for provider in extract.PROVIDER_RULES:
+        plan = extract.extract_prices(pages, [provider])._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "Window" not in plan, provider
+
+
+def test_carried_values(spark):
+    from pyspark.sql import functions as F
+
+    cases = [[], [None], ["a"], [None, "a", None, None, "b", "", None], [None, None]]
+    df = spark.createDataFrame([(i, c) for i, c in enumerate(cases)], "i int, v array<string>")
+    got = {r["i"]: (r["c"], r["b"]) for r in df.select("i", extract.carried(F.col("v")).alias("c"), extract.before(F.col("v")).alias("b")).collect()}
+    assert got[0][0] == [] and got[1][0] == [None] and got[2][0] == ["a"] and got[4][0] == [None, None]
+    assert got[3] == ([None, "a", "a", "a", "b", "", ""], [None, None, "a", None, None, "b", ""])
+
+
+def test_a_table_of_many_rows_is_carried_in_one_pass(prices):
+    """Fill-down over 20,000 rows costs no more than the rows."""
+    body = [["Deep", "d0", "$1", "-", "$2"]] + [[f"d{i}", "$3", "$4", "$5"] for i in range(1, 20_000)]
+    out = prices("openai", "<h2>Specialized models</h2>" + table(["Category", "Model", "Input", "Cached input", "Output"], *body))
+    assert len(out) == 2 + 3 * 19_999 and {r["billing_variant"] for r in out} == {"deep"}
