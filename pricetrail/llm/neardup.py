@@ -1,33 +1,37 @@
-"""Near-duplicate documents by Order MinHash, verified by banded alignment.
+"""Near-duplicate documents by Order MinHash, verified by banded alignment of words.
+
+Two texts are near copies when at most a fifth of the words of the longer one have to be
+inserted, deleted or replaced to turn one into the other (edit similarity 0.8).
 
 Shingles are five consecutive words; the c-th occurrence of a shingle in a text is
 labelled c, so shingles of one text are distinct. For each of ``SKETCHES`` hash
 functions the ``MINIMA`` smallest labelled shingles, kept in text order, make one
-sketch. Two texts of similarity s share a sketch with probability about
-s ** MINIMA; minima are drawn without replacement, so it is less for short texts.
-At s = 0.8 a pair is missed with probability 1.4e-4 at most where the longer text
-has more than ``SHORT`` shingles, and 6e-5 for long texts.
-
-Texts of at most ``SHORT`` shingles also meet by single shingles, and no pair of
-them is missed: in one order of all shingles, the rarest first, two texts of
-similarity 0.8 share one of the first n // 5 + 1 of their n shingles, since each of
-them lacks at most n // 5 of its own in the other. These are buckets like the
+sketch. Texts that share a part j of all their labelled shingles share a sketch with
+probability about j ** MINIMA, and are missed with (1 - j ** MINIMA) ** SKETCHES: less
+than 0.1 % for j = 0.7 (a similarity of 0.96 if the edits are spread), 1 % for 0.6
+(0.94), 13 % for 0.5 (0.93) and more below. Edits that lie together leave more shingles.
+The chain of links joins most groups of copies all the same.
+
+Texts of at most ``SHORT`` shingles also meet by single shingles, so that of them no pair
+with j of 0.8 or more is missed: in one order of all shingles, the rarest first, two such
+texts share one of the first n // 5 + 1 of their n shingles. These are buckets like the
 sketches.
 
 0. Every row gets a number, written once; rows are linked by number, whatever their
    doc_id. Below, doc is that number.
 1. Equal word sequences are one text: the smallest number stands for all.
 2. In every bucket (texts with an equal sketch) all texts are aligned with the
-   smallest one; linked texts form components. A bucket of near copies so costs
-   one alignment a text, not one a pair.
+   smallest one; linked texts form components. Texts outside a bucket's largest
+   component are then aligned with ``PARTNERS`` of its texts. A bucket of near copies
+   so costs a few alignments a text, not one a pair.
 3. Buckets that still hold several components are compared in full, block by
    block: texts outside the bucket's largest component against all others. No
    pair inside one component is looked at again, and no cross pair is left out.
 
-Similarity is M / (n1 + n2 - M), where M is the length of the longest common chain
-of labelled shingles in order. A similarity of 0.8 allows (n1 + n2) / 9 unmatched
-shingles, so chains farther than that from the diagonal are left out: the band
-loses nothing.
+An alignment is decided by the words two texts have in common where it can be: too few
+of them rule it out, and a chain of them in order that leaves few enough words between
+its links proves it. Otherwise the edits are counted exactly, along the diagonals of the
+alignment that the limit lets a path reach.
 """
 
 from __future__ import annotations
@@ -47,12 +51,16 @@ from .components import components
 SHINGLE = 5
 SIMILARITY = 0.8
 SKETCHES = 32
-MINIMA = 6
+MINIMA = 4
 #: Texts of so many shingles at most are compared by single shingles as well.
 SHORT = 50
 #: Texts aligned with one leader in one slot; texts of a block in full comparison.
 SLOT_TEXTS = 2048
 BLOCK_TEXTS = 256
+#: Partners in a bucket's largest component that every other text of it is aligned with.
+PARTNERS = 6
+#: Longer texts are aligned along diagonals.
+BIT_ROWS = 4096
 #: Shingles handled at once.
 CHUNK = 1 << 15
 
@@ -66,27 +74,38 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def labelled_shingles(words: list[bytes]) -> np.ndarray:
-    """Hashes of the occurrence-labelled shingles in text order; a shorter text is one shingle."""
+def word_hashes(words: list[bytes]) -> np.ndarray:
     import xxhash
 
-    if not words:
-        return np.zeros(0, np.uint64)
     one = xxhash.xxh64_intdigest
-    ids = np.array([one(w) for w in words], dtype=np.uint64)
+    return np.array([one(w) for w in words], dtype=np.uint64)
+
+
+def labelled(h: np.ndarray) -> np.ndarray:
+    """Hashes that also tell the how-manieth of its kind each one is, so all differ."""
+    order = np.argsort(h, kind="stable")
+    same = h[order[1:]] == h[order[:-1]]
+    if not same.any():
+        return h
+    first = np.flatnonzero(np.concatenate([[True], ~same]))
+    label = np.arange(len(h)) - np.repeat(first, np.diff(np.append(first, len(h))))
+    again = label > 0
+    out = h.copy()
+    out[order[again]] = _mix(h[order[again]] + label[again].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    return out
+
+
+def labelled_shingles(ids: np.ndarray) -> np.ndarray:
+    """Hashes of the occurrence-labelled shingles of ``word_hashes`` in text order; a
+    shorter text is one shingle."""
+    if not len(ids):
+        return np.zeros(0, np.uint64)
     width = min(SHINGLE, len(ids))
     n = len(ids) - width + 1
     h = np.zeros(n, np.uint64)
     for i in range(width):
         h += ids[i:i + n] * _POWER[i]
-    h = _mix(h)
-    order = np.argsort(h, kind="stable")
-    same = h[order[1:]] == h[order[:-1]]
-    if same.any():
-        first = np.flatnonzero(np.concatenate([[True], ~same]))
-        label = np.arange(n) - np.repeat(first, np.diff(np.append(first, n)))
-        h[order] = _mix(h[order] + label.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-    return h
+    return labelled(_mix(h))
 
 
 def sketches(h: np.ndarray) -> np.ndarray:
@@ -104,41 +123,144 @@ def sketches(h: np.ndarray) -> np.ndarray:
     return out
 
 
-def chain_length(a: np.ndarray) -> int:
-    """Length of the longest increasing run of a sequence, not necessarily contiguous."""
+def longest_chain(a: np.ndarray) -> np.ndarray:
+    """Places of a longest increasing run of a sequence, not necessarily contiguous."""
     if len(a) < 2 or bool((a[1:] > a[:-1]).all()):
-        return len(a)
+        return np.arange(len(a))
     tails: list[int] = []
-    for x in a.tolist():
+    ends: list[int] = []
+    back: list[int] = []
+    for place, x in enumerate(a.tolist()):
         i = bisect_left(tails, x)
+        back.append(ends[i - 1] if i else -1)
         if i == len(tails):
             tails.append(x)
+            ends.append(place)
         else:
-            tails[i] = x
-    return len(tails)
+            tails[i], ends[i] = x, place
+    out, place = [], ends[-1]
+    while place >= 0:
+        out.append(place)
+        place = back[place]
+    return np.array(out[::-1])
+
+
+def edits_within(a: np.ndarray, b: np.ndarray, most: int) -> bool:
+    """Whether at most ``most`` inserted, deleted or replaced words turn ``a`` into ``b``.
+
+    Texts of ordinary length are aligned row by row, a row being one bit vector; longer
+    ones along the diagonals within ``most`` of the main one.
+    """
+    if abs(len(a) - len(b)) > most:
+        return False
+    if not len(a) or not len(b):
+        return max(len(a), len(b)) <= most
+    if max(len(a), len(b)) <= BIT_ROWS:
+        return _edits_by_rows(places_of(a), len(a), b, most)
+    return _edits_by_diagonals(a, b, most)
+
+
+def places_of(words: np.ndarray) -> dict[int, int]:
+    """The places of every word as set bits."""
+    at: dict[int, int] = {}
+    for i, w in enumerate(words.tolist()):
+        at[w] = at.get(w, 0) | 1 << i
+    return at
+
+
+def _edits_by_rows(at: dict[int, int], n: int, b: np.ndarray, most: int) -> bool:
+    """Differences of neighbouring cells, up in ``plus`` and down in ``minus``; it ends
+    when the last cell can't come down to the limit any more."""
+    full, top = (1 << n) - 1, 1 << (n - 1)
+    plus, minus, cell, left = full, 0, n, len(b)
+    for w in b.tolist():
+        left -= 1
+        same = at.get(w, 0)
+        down = same | minus
+        across = (((same & plus) + plus) ^ plus) | same
+        up = minus | (~(across | plus) & full)
+        back = plus & across
+        if up & top:
+            cell += 1
+        elif back & top:
+            cell -= 1
+        if cell - left > most:
+            return False
+        up = ((up << 1) | 1) & full
+        back = (back << 1) & full
+        plus = back | (~(down | up) & full)
+        minus = up & down
+    return cell <= most
+
+
+def _edits_by_diagonals(a: np.ndarray, b: np.ndarray, most: int) -> bool:
+    """For 0, 1, ... edits, every diagonal keeps the farthest place it can be followed to."""
+    n, m = len(a), len(b)
+    diagonal = np.arange(-most, most + 1)
+    end = most + m - n
+    far = np.full(2 * most + 3, -2, np.int64)
+    lead = np.minimum(n, m - diagonal)
+    for edits in range(most + 1):
+        if edits:
+            here = np.maximum(np.maximum(far[1:-1] + 1, far[2:] + 1), far[:-2])
+            here[(np.abs(diagonal) > edits) | (here + diagonal < 0)] = -2
+            here = np.minimum(here, lead)
+        else:
+            here = np.where(diagonal == 0, 0, -2)
+        going = np.flatnonzero((here >= 0) & (here < lead))
+        while len(going):
+            i = here[going]
+            going = going[a[i] == b[i + diagonal[going]]]
+            here[going] += 1
+            going = going[here[going] < lead[going]]
+        if here[end] >= n:
+            return True
+        far[1:-1] = here
+    return False
 
 
 class Sequence:
-    """The labelled shingles of a text, ready for alignment."""
-
-    def __init__(self, h: np.ndarray):
-        self.h = h
-        self.order = np.argsort(h, kind="stable")
-        self.sorted = h[self.order]
-
-    def similarity(self, other: np.ndarray) -> float:
-        """M / (n1 + n2 - M) along the band, or 0 if that can't reach the threshold."""
-        n1, n2 = len(self.h), len(other)
-        if not n1 or not n2 or min(n1, n2) < SIMILARITY * max(n1, n2):
-            return 0.0
-        at = np.minimum(np.searchsorted(self.sorted, other), n1 - 1)
-        there = np.flatnonzero(self.sorted[at] == other)
-        m = len(there)
-        if m < SIMILARITY * (n1 + n2 - m):
-            return 0.0
+    """The words of a text (as 32-bit hashes), ready for alignment."""
+
+    def __init__(self, words: np.ndarray):
+        self.words = words
+        marks = labelled(words.astype(np.uint64))
+        self.order = np.argsort(marks, kind="stable")
+        self.sorted = marks[self.order]
+        self.places: dict[int, int] | None = None
+
+    def similar(self, other: np.ndarray, marks: np.ndarray | None = None) -> bool:
+        """Whether the edit similarity to the words ``other`` is 0.8 or more; ``marks``
+        are its labelled words where they are known."""
+        n1, n2 = len(self.words), len(other)
+        longer = max(n1, n2)
+        most = allowed(longer)
+        if not n1 or not n2 or abs(n1 - n2) > most:
+            return False
+        if marks is None:
+            marks = labelled(other.astype(np.uint64))
+        at = np.minimum(np.searchsorted(self.sorted, marks), n1 - 1)
+        there = np.flatnonzero(self.sorted[at] == marks)
+        # An edit loses one common word at most.
+        if len(there) < longer - most:
+            return False
         here = self.order[at[there]]
-        m = chain_length(here[np.abs(here - there) <= (n1 + n2) // 9 + 1])
-        return m / (n1 + n2 - m)
+        near = np.abs(here - there) <= most
+        here, there = here[near], there[near]
+        chain = longest_chain(here)
+        gaps = [np.diff(np.concatenate([[-1], x[chain], [n]])) - 1 for x, n in ((here, n1), (there, n2))]
+        if np.maximum(*gaps).sum() <= most:
+            return True
+        if longer > BIT_ROWS:
+            return edits_within(self.words, other, most)
+        if self.places is None:
+            self.places = places_of(self.words)
+        return _edits_by_rows(self.places, n1, other, most)
+
+
+def allowed(words: int) -> int:
+    """Edits that a pair may need whose longer text has so many words."""
+    return int(words * (1 - SIMILARITY) + 1e-9)
 
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -148,13 +270,14 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n, e1, e2, sigs, seqs, few = [], [], [], [], [], []
         for text in utf8(batch.column(1)):
             words = words_of(text)
-            h = labelled_shingles(words)
+            ids = word_hashes(words)
+            h = labelled_shingles(ids)
             digest = np.frombuffer(xxhash.xxh3_128_digest(b" ".join(words)), dtype="<i8")
             n.append(len(h))
             e1.append(int(digest[0]))
             e2.append(int(digest[1]))
             sigs.append(sketches(h).astype(np.int64) if len(h) else [])
-            seqs.append((h >> np.uint64(32)).astype(np.uint32).tobytes())
+            seqs.append((ids >> np.uint64(32)).astype(np.uint32).tobytes())
             few.append(h.astype(np.int64) if len(h) <= SHORT else [])
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(2), pa.array(n, pa.int64()), pa.array(e1, pa.int64()), pa.array(e2, pa.int64()),
@@ -176,7 +299,7 @@ def _align_with_leaders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Record
         for i in range(batch.num_rows):
             if a[i] == doc[i]:
                 leader, held = a[i], Sequence(_seq(seqs[i].as_py()))
-            elif leader == a[i] and held.similarity(_seq(seqs[i].as_py())) >= SIMILARITY:
+            elif leader == a[i] and held.similar(_seq(seqs[i].as_py())):
                 us.append(int(a[i]))
                 vs.append(int(doc[i]))
         if us:
@@ -184,7 +307,7 @@ def _align_with_leaders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Record
 
 
 def _shared_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
-    """How many shingles each left text shares with each right one."""
+    """How many labelled words each left text shares with each right one."""
     hashes = np.concatenate(left + right)
     owner = np.repeat(np.arange(len(left) + len(right)), [len(x) for x in left + right])
     values, column = np.unique(hashes, return_inverse=True)
@@ -214,17 +337,22 @@ def _compare_block(rows: list[tuple]) -> tuple[list[int], list[int]]:
             parent[x] = x = parent[parent[x]]
         return x
 
+    marks: list[np.ndarray | None] = [None] * len(rows)
     if len(rows) <= 4:
         pairs = [(i, j) for i in range(len(left)) for j in range(len(rows)) if rows[j][0] == 1 or j > i]
         rows = left + [r for r in rows if r[0] == 1]
     else:
         rows = left + [r for r in rows if r[0] == 1]
         size = np.array([len(r[3]) for r in rows], np.float32)
-        shared = _shared_counts([r[3] for r in left], [r[3] for r in rows])
-        good = shared >= SIMILARITY * (size[: len(left), None] + size[None, :] - shared) - 1e-3
+        marks = [labelled(r[3].astype(np.uint64)) for r in rows]
+        shared = _shared_counts(marks[: len(left)], marks)
+        good = shared >= SIMILARITY * np.maximum(size[: len(left), None], size[None, :]) - 1e-3
         side = np.array([r[0] for r in rows])
         good &= (side[None, :] == 1) | (np.arange(len(rows))[None, :] > np.arange(len(left))[:, None])
-        pairs = list(zip(*map(np.ndarray.tolist, np.nonzero(good))))
+        i, j = np.nonzero(good)
+        # The likeliest pairs of a text come first; most texts need one.
+        by = np.lexsort((-shared[i, j] / np.maximum(size[i], size[j]), i))
+        pairs = list(zip(i[by].tolist(), j[by].tolist()))
     us, vs, held = [], [], (None, None)
     for i, j in pairs:
         a, b = root(rows[i][2]), root(rows[j][2])
@@ -232,7 +360,7 @@ def _compare_block(rows: list[tuple]) -> tuple[list[int], list[int]]:
             continue
         if held[0] != i:
             held = (i, Sequence(rows[i][3]))
-        if held[1].similarity(rows[j][3]) >= SIMILARITY:
+        if held[1].similar(rows[j][3], marks[j]):
             parent[a] = b
             us.append(rows[i][1])
             vs.append(rows[j][1])
@@ -272,9 +400,9 @@ def _prefixes(reps: DataFrame) -> DataFrame:
     return own.select("doc", F.explode(sig).alias("sig"))
 
 
-def _leader_links(buckets: DataFrame, seqs: DataFrame) -> DataFrame:
-    """Links of step 2, from ``buckets`` (sig, doc, leader) and ``seqs`` (doc, seq)."""
-    pairs = checkpointed(buckets.filter("doc <> leader").select("leader", "doc").distinct(), "leader_pairs")
+def _leader_links(pairs: DataFrame, seqs: DataFrame) -> DataFrame:
+    """Links of step 2 between ``pairs`` (leader, doc), with ``seqs`` (doc, seq)."""
+    pairs = checkpointed(pairs.filter("doc <> leader").select("leader", "doc").distinct(), "leader_pairs")
     slots = checkpointed(
         pairs.groupBy("leader").agg(F.ceil(F.count("*") / SLOT_TEXTS).cast("int").alias("slots")), "leader_slots")
     n = F.coalesce("slots", F.lit(1))
@@ -287,13 +415,30 @@ def _leader_links(buckets: DataFrame, seqs: DataFrame) -> DataFrame:
     return rows.mapInArrow(_align_with_leaders, "u long, v long")
 
 
-def _block_links(buckets: DataFrame, seqs: DataFrame, parts: DataFrame) -> DataFrame:
-    """Links of step 3 between the components ``parts`` (node, component)."""
+def _in_parts(buckets: DataFrame, parts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Texts of buckets with their components ``parts`` (node, component), and what is
+    known of each bucket that holds several: its largest one and the sizes."""
     rows = buckets.select("sig", "doc").join(parts.select(F.col("node").alias("doc"), "component"), "doc", "left")
-    rows = rows.withColumn("component", F.coalesce("component", "doc"))
-    sizes = rows.groupBy("sig", "component").agg(F.count("*").alias("n"))
+    rows = checkpointed(rows.withColumn("component", F.coalesce("component", "doc")), "bucket_texts")
+    sizes = rows.groupBy("sig", "component").agg(
+        F.count("*").alias("n"),
+        F.array(*[F.min_by("doc", F.xxhash64("doc", "sig", F.lit(i))) for i in range(PARTNERS)]).alias("partners"))
     main = sizes.groupBy("sig").agg(
-        F.count("*").alias("parts"), F.sum("n").alias("n"), F.max(F.struct("n", "component")).alias("most")).filter("parts > 1")
+        F.count("*").alias("parts"), F.sum("n").alias("n"), F.max(F.struct("n", "component", "partners")).alias("most")).filter("parts > 1")
+    return rows, main
+
+
+def _partner_pairs(buckets: DataFrame, parts: DataFrame) -> DataFrame:
+    """(leader, doc): texts outside a bucket's largest component with some texts inside."""
+    rows, main = _in_parts(buckets, parts)
+    main = checkpointed(main.select("sig", "most"), "bucket_partners")
+    return rows.join(main, "sig").filter(F.col("component") != F.col("most.component")).select(
+        F.explode("most.partners").alias("leader"), "doc")
+
+
+def _block_links(buckets: DataFrame, seqs: DataFrame, parts: DataFrame) -> DataFrame:
+    """Links of step 3 between the components ``parts`` (node, component)."""
+    rows, main = _in_parts(buckets, parts)
     main = main.select(
         "sig", F.col("most.component").alias("main"),
         F.ceil((F.col("n") - F.col("most.n")) / BLOCK_TEXTS).cast("int").alias("n_rest"),
@@ -319,12 +464,13 @@ def _block_links(buckets: DataFrame, seqs: DataFrame, parts: DataFrame) -> DataF
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, class_id, n_shingles): one row per row of ``docs`` (doc_id, text).
 
-    A class is a connected component of the links of similarity 0.8 or more between
+    A class is a connected component of the links of edit similarity 0.8 or more between
     rows; its id is its smallest doc_id. Words are as in the other operators (A-Z
     lower-cased).
 
     Defined cases: null, empty and wordless texts have no shingle and are a class
-    each; a text of fewer than five words is one shingle; rows that repeat a doc_id
+    each; a text of fewer than five words is one shingle; a very long text is sketched
+    whole, in pieces; rows that repeat a doc_id
     or have none are in the class of their own text, so unlike classes may have an
     equal id; a class of rows without a doc_id has the id null; an empty table gives
     no rows. Other columns are not read.
@@ -354,9 +500,10 @@ def _classes(docs: DataFrame) -> DataFrame:
     buckets = checkpointed(sigs.join(checkpointed(shared, "bucket_leaders"), "sig"), "shared_buckets")
     seqs = checkpointed(
         reps.join(buckets.select("doc").distinct(), "doc", "left_semi").select("doc", "seq"), "sequences")
-    stars = checkpointed(_leader_links(buckets, seqs), "leader_links")
-    parts = components(stars)
-    more = _block_links(buckets, seqs, parts)
+    stars = checkpointed(_leader_links(buckets.select("leader", "doc"), seqs), "leader_links")
+    nearer = _leader_links(_partner_pairs(buckets, components(stars)), seqs)
+    stars = checkpointed(stars.union(nearer), "partner_links")
+    more = _block_links(buckets, seqs, components(stars))
     copies = member.filter("doc <> rep").select(F.col("rep").alias("u"), F.col("doc").alias("v"))
     links = checkpointed(stars.union(more), "links").union(copies)
     classes = components(links).withColumnRenamed("node", "doc")
