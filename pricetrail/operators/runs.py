@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import measures as ms
 from ..functions.text import words
 from ..session import checkpointed
-from .ordered import CHUNK, HOT, ROWS_PER_CHUNK, _join_offsets, exact_quantiles, with_chunks
+from .ordered import CHUNK, HOT, ROWS_PER_CHUNK, _big, _join_offsets, _match, exact_quantiles, with_chunks
 
 # Tie order of stored runs, defaults of older rows, upsert keys.
 GROUP = ("date", "provider_id", "tier", "task_id")
@@ -53,6 +53,32 @@ def usable_runs(runs: DataFrame, corpus: DataFrame, start: str | None = None) ->
     )
 
 
+MEASURES = (("in", "tokens_in"), ("out", "tokens_out"), ("usd", "usd_value_same_day"))
+FIRST_RUN = ("input_chars", "model_id", "api_model", "output_cap", "corpus_version", "output_policy_version")
+
+
+def _group_facts(order: Sequence[str]) -> list[Column]:
+    """What a group takes from its runs besides the medians."""
+    return [
+        F.min_by(F.struct(*FIRST_RUN), F.struct(*order)).alias("f"),
+        F.bool_or("output_censored").alias("flagged"),
+        F.max(F.when(F.col("output_censored").isNull(), F.col("tokens_out"))).alias("unflagged_out"),
+        F.count(F.lit(1)).alias("replicate_count"),
+    ]
+
+
+def _large_groups(runs: DataFrame, order: Sequence[str], group: list[str], rows_per_chunk: int) -> DataFrame:
+    """Medians and facts of groups too large for a buffer: ranks picked from value counts."""
+    measures = F.array(*[F.struct(F.lit(n).alias("field"), F.col(c).cast("double").alias("x")) for n, c in MEASURES])
+    long = runs.select(*group, F.inline(F.filter(measures, lambda m: m["x"].isNotNull())))
+    mid = exact_quantiles(long, [*group, "field"], "x", {"median": 0.5}, rows_per_chunk)
+    medians = mid.groupBy(*group).agg(*[F.max(F.when(F.col("field") == n, F.col("median"))).alias(f"median_{n}") for n, _ in MEASURES])
+    keyed = runs.groupBy(*[F.col(g).alias(f"__g_{g}") for g in group]).agg(*_group_facts(order))
+    return keyed.join(medians, _match(group, "__g_"), "left").select(
+        *[F.col(f"__g_{g}").alias(g) for g in group], *[f"median_{n}" for n, _ in MEASURES],
+        "f", "flagged", "unflagged_out", "replicate_count")
+
+
 def replicate_median(
     runs: DataFrame,
     order: Sequence[str] = STORED_ORDER,
@@ -61,45 +87,31 @@ def replicate_median(
 ) -> DataFrame:
     """Collapse replicates to medians, with attributes of the first run.
 
-    The three medians come from one pass over (group, field, value) counts;
-    no group is gathered, however many replicates it has.
+    Medians and attributes come from one aggregation. Groups of more than
+    ``rows_per_chunk`` runs, which a narrow count finds first, are kept out of it: their
+    medians are picked by rank from value counts, so no buffer holds such a group.
     """
     group = list(group)
-    measures = F.array(*[
-        F.struct(F.lit(n).alias("field"), F.col(c).cast("double").alias("x"))
-        for n, c in (("in", "tokens_in"), ("out", "tokens_out"), ("usd", "usd_value_same_day"))
-    ])
-    long = runs.select(*group, F.inline(F.filter(measures, lambda m: m["x"].isNotNull())))
-    mid = exact_quantiles(long, [*group, "field"], "x", {"median": 0.5}, rows_per_chunk)
-
-    def of(name: str, c: str) -> Column:
-        return F.max(F.when(F.col("field") == name, F.col("median"))).alias(c)
-
-    medians = mid.groupBy(*group).agg(of("in", "tokens_in"), of("out", "tokens_out"), of("usd", "usd"))
-    first = ["input_chars", "model_id", "api_model", "output_cap", "corpus_version", "output_policy_version"]
+    hot, most = _big(runs.select(*group), group, rows_per_chunk)
+    rows = runs.join(F.broadcast(hot), _match(group, "__g_"), "left_anti") if most else runs
+    merged = rows.groupBy(*group).agg(
+        *[F.percentile(F.col(c).cast("double"), F.lit(0.5)).alias(f"median_{n}") for n, c in MEASURES], *_group_facts(order))
+    if most:
+        large = runs.join(F.broadcast(hot), _match(group, "__g_"), "left_semi")
+        merged = merged.unionByName(_large_groups(large, order, group, rows_per_chunk))
     # A run without its own flag is held against the cap of the group's first run.
-    per_group = runs.groupBy(*group).agg(
-        F.min_by(F.struct(*first), F.struct(*order)).alias("f"),
-        F.bool_or("output_censored").alias("flagged"),
-        F.max(F.when(F.col("output_censored").isNull(), F.col("tokens_out"))).alias("unflagged_out"),
-        F.count(F.lit(1)).alias("replicate_count"),
-    )
     cap = F.nullif(F.col("f.output_cap"), F.lit(0))
-    keyed = per_group.withColumnsRenamed({g: f"__{g}" for g in group})
-    same = None
-    for g in group:
-        term = F.col(g).eqNullSafe(F.col(f"__{g}"))
-        same = term if same is None else same & term
-    return medians.join(keyed, same).select(
+    tokens_in, tokens_out = F.col("median_in"), F.col("median_out")
+    return merged.select(
         *group,
         F.col("f.model_id").alias("model_id"),
         F.col("f.api_model").alias("api_model"),
-        "tokens_in",
-        "tokens_out",
-        (F.col("tokens_in") + F.col("tokens_out")).alias("tokens_total"),
+        tokens_in.alias("tokens_in"),
+        tokens_out.alias("tokens_out"),
+        (tokens_in + tokens_out).alias("tokens_total"),
         F.col("f.input_chars").alias("input_chars"),
-        ms.density(F.col("tokens_in"), F.col("f.input_chars")).alias("tokens_in_per_1k_chars"),
-        "usd",
+        ms.density(tokens_in, F.col("f.input_chars")).alias("tokens_in_per_1k_chars"),
+        F.col("median_usd").alias("usd"),
         F.col("f.output_cap").alias("output_cap"),
         (F.coalesce("flagged", F.lit(False)) | ms.hit_cap(F.col("unflagged_out"), cap)).alias("output_censored"),
         "replicate_count",
@@ -154,7 +166,8 @@ def complete_group_mean(
 
 
 def complete_points(groups: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(complete groups, one-row count of the incomplete ones)."""
+    """(complete groups, one-row count of the incomplete ones), from one aggregation."""
+    groups = checkpointed(groups, "groups")
     return (
         groups.filter("complete").drop("complete"),
         groups.agg(F.count_if(~F.col("complete")).alias("incomplete")),

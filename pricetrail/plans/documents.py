@@ -37,6 +37,38 @@ def scan_snapshots(spark, d):
     )
 
 
+def document_files(spark, d):
+    """Each day's document as one indented file named after the day."""
+    rows = series(spark, d)
+    meta = writers.document_meta(F.lit("2024-02-01T00:00:00Z"))
+    providers = F.array(F.struct(*[F.lit(v).alias(n) for n, v in zip(PROVIDER.names, ("click", "Click", "x"))]))
+    docs = writers.build_documents(rows, meta, providers, "pricing_id", rows_per_part=10_000_000)
+    parts, folder = work_path(spark, "document-parts"), work_path(spark, "document-files")
+    text = F.to_json(F.struct("meta", "providers", "pricing"), {"pretty": "true"})
+    docs.select("date", text.alias("value")).repartition("date").write.partitionBy("date").text(parts)
+    return writers.named_by_day(spark, parts, folder)
+
+
+@query("scan_files", f"""
+  WITH {SERIES} SELECT date, '2.1.0' AS schema_version, count(*) AS n_rows, round(sum(input_price), 2) AS total FROM series GROUP BY 1""")
+def scan_files(spark, d):
+    """The history as it is kept: one document of many lines a file, dated by its name."""
+    docs = readers.good_documents(readers.read_documents(spark, document_files(spark, d)))
+    return readers.document_rows(docs).groupBy("date", "schema_version").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.round(F.sum("input_price"), 2).alias("total"))
+
+
+@query("live_document", f"""
+  WITH {SERIES} SELECT pricing_id, input_price, output_price FROM series WHERE date = (SELECT max(date) FROM series)""")
+def live_document(spark, d):
+    """Rows of the newest document alone, read by its own path."""
+    folder = document_files(spark, d)
+    newest = ordered.global_value(readers.read_documents(spark, folder), F.max("date"))
+    day = spark.range(1).select(newest.cast("string")).first()[0]
+    live = readers.read_live(spark, f"{folder}/{day}.json")
+    return live.select(F.inline("pricing")).select("pricing_id", "input_price", "output_price")
+
+
 @query("build_document", f"""
   WITH {SERIES} SELECT date, count(*) AS n_rows, count(DISTINCT pricing_id) AS n_ids, round(sum(output_price), 2) AS total FROM series GROUP BY 1""")
 def build_document(spark, d):

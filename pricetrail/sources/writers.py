@@ -221,6 +221,27 @@ def write_documents(docs: DataFrame, path: str) -> None:
     by_partition(docs.drop("doc_part"), "date").write.mode("append").partitionBy("date").json(path)
 
 
+def named_by_day(spark: SparkSession, parts: str, folder: str, suffix: str = ".json") -> str:
+    """Move the single file of each ``date=`` folder of ``parts`` to ``<folder>/<day><suffix>``.
+
+    Files are renamed, not copied; there are as many as the calendar has days. A folder
+    of several files can't be one document and raises.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    root = path(parts)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(path(folder))
+    for status in fs.listStatus(root):
+        name = status.getPath().getName()
+        if not name.startswith("date="):
+            continue
+        files = [f.getPath() for f in fs.listStatus(status.getPath()) if f.getPath().getName().startswith("part-")]
+        if len(files) != 1:
+            raise ValueError(f"{name} holds {len(files)} files")
+        fs.rename(files[0], path(f"{folder}/{name.removeprefix('date=')}{suffix}"))
+    return folder
+
+
 def _packed(columns: Sequence[str]) -> Column:
     return F.sha2(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}), 256)
 
