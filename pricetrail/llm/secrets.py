@@ -154,8 +154,8 @@ def listed(spans: Column) -> Column:
 
 def _sql() -> str:
     kinds = [("assign", ASSIGN, 2, MIN_ASSIGN), ("access", ACCESS, 0, MIN_ACCESS), ("hex", HEX, 0, MIN_HEX)]
-    # The SQL knows a key by its header and keeps added kinds of one owner only: it is
-    # equal where no table holds a key, nor a token of several owners.
+    # The SQL knows a key by its header, as its engine's patterns can't tell the body: it
+    # is equal where no table holds a key.
     kinds += [(k, PEM_BEGIN if k == "pem" else p, 0, 1) for k, p in ADDED]
     scans = "\n  UNION ALL ".join(
         f"SELECT doc_id, source, {i} AS ord, '{k}' AS kind, {least} AS least, regexp_extract_all(x, {q}) AS m, "
@@ -168,10 +168,10 @@ spans AS (SELECT doc_id, source, ord, kind, v[i] AS value, length(m[i]) AS n,
     (list_sum(list_transform(g[1:i], lambda z: length(z))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda z: length(z))), 0))::BIGINT AS s
   FROM (SELECT *, unnest(range(1, len(m) + 1)) AS i FROM scans) WHERE length(v[i]) >= least),
 owners AS (SELECT value, count(DISTINCT coalesce(source, '~')) AS n_owners FROM spans GROUP BY value),
-judged AS (SELECT s.*, CASE WHEN n_owners >= {EXAMPLE_OWNERS} THEN 'example'
+judged AS (SELECT s.*, n_owners, len(list_distinct(string_split(s.value, ''))) AS chars, CASE WHEN n_owners >= {EXAMPLE_OWNERS} THEN 'example'
     WHEN n_owners = 1 AND len(list_distinct(string_split(s.value, ''))) >= {LIVE_CHARS} THEN 'live' ELSE 'unsure' END AS verdict,
     kind || ':' || s || ':' || (s + n) AS told FROM spans s JOIN owners o ON s.value = o.value),
-kept AS (SELECT * FROM judged WHERE ord < {len(BASE_KINDS)} OR verdict = 'live'),
+kept AS (SELECT * FROM judged WHERE ord < {len(BASE_KINDS)} OR (n_owners < {EXAMPLE_OWNERS} AND chars >= {LIVE_CHARS})),
 sums AS (SELECT doc_id, count(*) FILTER (WHERE kind = 'assign') AS n_assign, count(*) FILTER (WHERE kind = 'access') AS n_access,
     count(*) FILTER (WHERE kind = 'hex') AS n_hex, string_agg(told, ',' ORDER BY s, ord) FILTER (WHERE ord < {len(BASE_KINDS)}) AS base,
     string_agg(told, ',' ORDER BY s, ord) AS spans, count(*) FILTER (WHERE verdict = 'live') AS n_live,
