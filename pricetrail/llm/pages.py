@@ -45,6 +45,10 @@ CHROME = frozenset(
     "sidebar signup social sponsor sponsored subscribe subscription toolbar widget alert complementary contentinfo "
     "dialog form topbar skip paywall outbrain taboola".split())
 HEADER = frozenset(["header", "head"])
+#: First words of a class that tells what a page has or lacks (no-sidebar, has-related),
+#: and last words of one that names a frame (content-sidebar-wrap).
+STATES = frozenset("no not non without with has have is hide hidden".split())
+FRAMES = frozenset("wrap wrapper container layout row grid inner outer area columns page".split())
 ARTICLE = frozenset("article post entry content story main text body".split())
 COMMENT_HEADING = re.compile(
     r"(?:\d+ )?(?:reader |user )?(?:comments?|leave a (?:reply|comment)|responses?|kommentare?|commentaires?|comentarios?)(?: ?\(\d+\))?:?", re.I)
@@ -91,6 +95,18 @@ def _attributes(raw: str) -> dict[str, str]:
     return {k.lower(): html.unescape(a or b or c) for k, a, b, c in _ATTR.findall(raw)} if raw else {}
 
 
+def _words(mark: str) -> list[str]:
+    return [w.lower() for w in _SPLIT.split(mark) if w]
+
+
+def _is_chrome(mark: list[str]) -> bool:
+    """Whether one class, id or role names what is no article text: it has such a word,
+    and neither only tells whether there is one nor frames it together with the article."""
+    if not CHROME.intersection(mark) or mark[0] in STATES:
+        return False
+    return not (mark[0] in ARTICLE and mark[-1] in FRAMES)
+
+
 def _left_out(tag: str, attrs: dict[str, str], parent: Node) -> bool:
     """Whether an element is no part of an article."""
     if tag in LEFT_OUT:
@@ -102,8 +118,9 @@ def _left_out(tag: str, attrs: dict[str, str], parent: Node) -> bool:
         return False
     if "hidden" in attrs or attrs.get("aria-hidden") == "true" or "display:none" in attrs.get("style", "").replace(" ", ""):
         return True
-    names = {w.lower() for k in ("class", "id", "role") for w in _SPLIT.split(attrs.get(k, "")) if w}
-    if names & CHROME:
+    marks = [_words(mark) for k in ("class", "id", "role") for mark in attrs.get(k, "").split()]
+    names = {w for mark in marks for w in mark}
+    if any(map(_is_chrome, marks)):
         # <article class="post nav-on"> and the like stay: one of several words.
         return not (tag in ("article", "main") and names & ARTICLE)
     return bool(names & HEADER) and not inside and not names & ARTICLE

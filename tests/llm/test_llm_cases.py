@@ -419,3 +419,13 @@ def test_em_tells_good_labelers_from_bad():
     share, rely, post = pii.reliabilities(patterns, 0.5)
     assert rely["regex"] > 0.9 and rely["gazetteer"] > 0.9 and rely["context"] < 0.65
     assert post[(1, 1, 0)] > 0.95 and post[(-1, -1, 0)] < 0.05 and 0.4 < share < 0.6
+
+
+@pytest.mark.parametrize("name", ["content no-sidebar", "content-sidebar-wrap", "page with-sidebar", "has-related post-body"])
+def test_layout_classes_keep_their_article(spark, name):
+    """A class that tells of a sidebar is no sidebar; a real one inside still goes."""
+    body = "".join(f"<p>Sentence {i} of the article, long enough to be its text.</p>" for i in range(6))
+    page = f'<body><div class="{name}"><div class="entry">{body}</div><div class="sidebar"><p>Buy now</p></div><div class="post-navigation"><p>Next</p></div></div></body>'
+    rows = spark.createDataFrame([(1, "http://a.example/x", page)], "page_id long, url string, html string")
+    (row,) = pages.extract_pages(rows).collect()
+    assert row["text"].split("\n") == [f"Sentence {i} of the article, long enough to be its text." for i in range(6)]
