@@ -247,11 +247,15 @@ class Sequence:
         here = self.order[at[there]]
         near = np.abs(here - there) <= most
         here, there = here[near], there[near]
-        chain = longest_chain(here)
-        gaps = [np.diff(np.concatenate([[-1], x[chain], [n]])) - 1 for x, n in ((here, n1), (there, n2))]
-        if np.maximum(*gaps).sum() <= most:
-            return True
-        if longer > BIT_ROWS:
+        short = longer <= BIT_ROWS
+        # A word more or less of a kind shifts the labels of all after it; short texts
+        # are then aligned outright, which costs less than looking for the chain.
+        if not short or bool((here[1:] > here[:-1]).all()):
+            chain = longest_chain(here)
+            gaps = [np.diff(np.concatenate([[-1], x[chain], [n]])) - 1 for x, n in ((here, n1), (there, n2))]
+            if np.maximum(*gaps).sum() <= most:
+                return True
+        if not short:
             return edits_within(self.words, other, most)
         if self.places is None:
             self.places = places_of(self.words)
@@ -428,6 +432,10 @@ def _in_parts(buckets: DataFrame, parts: DataFrame) -> tuple[DataFrame, DataFram
     return rows, main
 
 
+def _as_links(parts: DataFrame) -> DataFrame:
+    return parts.filter("node <> component").select(F.col("node").alias("u"), F.col("component").alias("v"))
+
+
 def _partner_pairs(buckets: DataFrame, parts: DataFrame) -> DataFrame:
     """(leader, doc): texts outside a bucket's largest component with some texts inside."""
     rows, main = _in_parts(buckets, parts)
@@ -500,12 +508,13 @@ def _classes(docs: DataFrame) -> DataFrame:
     buckets = checkpointed(sigs.join(checkpointed(shared, "bucket_leaders"), "sig"), "shared_buckets")
     seqs = checkpointed(
         reps.join(buckets.select("doc").distinct(), "doc", "left_semi").select("doc", "seq"), "sequences")
-    stars = checkpointed(_leader_links(buckets.select("leader", "doc"), seqs), "leader_links")
-    nearer = _leader_links(_partner_pairs(buckets, components(stars)), seqs)
-    stars = checkpointed(stars.union(nearer), "partner_links")
-    more = _block_links(buckets, seqs, components(stars))
+    # Each step goes on from the components of the one before, not from all its links.
+    parts = components(checkpointed(_leader_links(buckets.select("leader", "doc"), seqs), "leader_links"))
+    nearer = checkpointed(_leader_links(_partner_pairs(buckets, parts), seqs), "partner_links")
+    parts = components(_as_links(parts).union(nearer))
+    more = checkpointed(_block_links(buckets, seqs, parts), "block_links")
     copies = member.filter("doc <> rep").select(F.col("rep").alias("u"), F.col("doc").alias("v"))
-    links = checkpointed(stars.union(more), "links").union(copies)
+    links = _as_links(parts).union(more).union(copies)
     classes = components(links).withColumnRenamed("node", "doc")
     out = rows.select("doc", "doc_id", F.col("n").alias("n_shingles")).join(classes, "doc", "left")
     out = checkpointed(out, "row_components")
