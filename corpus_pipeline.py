@@ -3,6 +3,13 @@
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame that is written and
 read again before the next one. All but the last return the columns of documents.
 No SQL: the language model and the near copies can't be stated in it.
+
+Defined cases, for every stage: an empty table gives an empty one; columns other than
+those of documents are dropped, whatever their names; a null lang or source is a value
+of its own; rows without a doc_id, or that repeat one, are judged by their own text and
+stay rows of their own; equal texts tie by the smallest doc_id, rows without one last;
+very long texts are handled whole. Null texts, and those without a letter, end at the
+first stage; later stages given one keep it.
 """
 
 from __future__ import annotations

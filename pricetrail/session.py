@@ -44,7 +44,9 @@ def shared_root(spark: SparkSession) -> str:
     root = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getConf().get(CHECKPOINT_CONF)
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    # Executors of local-cluster are processes of their own.
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder shared by all executors")
     app = spark.sparkContext.applicationId
     if app not in _local_roots:
