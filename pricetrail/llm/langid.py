@@ -2,12 +2,13 @@
 
 Training counts hashed n-grams of each language inside the tasks, Spark sums the
 sparse counts, and the log-probability matrix (buckets x languages, of fixed size
-but for the number of languages) is broadcast. Scoring turns each text into a sparse
-row of bucket counts and multiplies it with the matrix in numpy.
+but for the number of languages) is broadcast. Scoring turns the texts of a batch into
+one sparse matrix of bucket counts (text, bucket, n) and multiplies it with the
+log-probability matrix in numpy.
 """
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -26,8 +27,11 @@ MAX_LANGUAGES = 1000
 #: In the score, a text and the prior count as so many n-grams at most, so that the
 #: score of a long text stays a usable confidence. The language is that of all n-grams.
 EVIDENCE = 30
-#: Characters handled at once.
+#: Characters handled at once, in training and in scoring.
 CHUNK = 1 << 20
+GROUP = 1 << 17
+#: Cells of a product held at once.
+CELLS = 1 << 20
 
 UNKNOWN = "und"
 
@@ -43,23 +47,66 @@ def has_letter(raw: bytes) -> bool:
     return not raw.isascii() and any(map(str.isalpha, raw.decode("utf-8", "replace")))
 
 
+def _codes(raw: bytes) -> np.ndarray:
+    return np.frombuffer(raw.translate(_FOLD).decode("utf-8", "replace").encode("utf-32-le"), dtype=np.uint32)
+
+
+def _grams(codes: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """For each order, the buckets of the n-grams that begin at each character."""
+    key = np.zeros(len(codes), np.uint32)
+    for order in ORDERS[:len(codes)]:
+        n = len(codes) - order + 1
+        key = (key[:n] + codes[order - 1:]) * _MUL[order - 1]
+        key ^= key >> np.uint32(15)
+        yield order, (key * _MUL[0]) >> np.uint32(32 - BUCKET_BITS)
+
+
 def gram_counts(raw: bytes) -> np.ndarray:
     """Counts of the hashed character n-grams of a whole text."""
-    codes = np.frombuffer(raw.translate(_FOLD).decode("utf-8", "replace").encode("utf-32-le"), dtype=np.uint32)
+    codes = _codes(raw)
     counts = np.zeros(BUCKETS, np.int64)
     for lo in range(0, len(codes), CHUNK):
-        part = codes[lo:lo + CHUNK + ORDERS[-1] - 1]
-        key = np.zeros(len(part), np.uint32)
-        for order in ORDERS:
-            n = min(CHUNK, len(part) - order + 1)
-            if n <= 0:
-                break
-            key = (key[:n] + part[order - 1:order - 1 + n]) * _MUL[order - 1]
-            key ^= key >> np.uint32(15)
-            counts += np.bincount((key * _MUL[0]) >> np.uint32(32 - BUCKET_BITS), minlength=BUCKETS)
+        for _, buckets in _grams(codes[lo:lo + CHUNK + ORDERS[-1] - 1]):
+            counts += np.bincount(buckets[:CHUNK], minlength=BUCKETS)
     return counts
 
 
+def sparse_counts(texts: Sequence[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """The n-gram counts of a batch as sparse rows (text, bucket, n), sorted, in parts.
+
+    A part holds about ``GROUP`` characters: many short texts, or a piece of a long
+    one, which then has rows in several parts.
+    """
+    pieces: list[tuple[int, np.ndarray]] = []
+    held = 0
+    for at, raw in enumerate(texts):
+        codes = _codes(raw)
+        for lo in range(0, len(codes), GROUP):
+            part = codes[lo:lo + GROUP + ORDERS[-1] - 1]
+            if pieces and held + len(part) > GROUP:
+                yield _sparse(pieces)
+                pieces, held = [], 0
+            pieces.append((at, part))
+            held += len(part)
+    if pieces:
+        yield _sparse(pieces)
+
+
+def _sparse(pieces: list[tuple[int, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    texts = np.array([at for at, _ in pieces])
+    sizes = np.array([len(part) for _, part in pieces])
+    piece = np.repeat(np.arange(len(pieces), dtype=np.int64), sizes)
+    # What follows a piece of a long text is read for its last n-grams only.
+    begins = np.arange(len(piece)) - np.repeat(np.cumsum(sizes) - sizes, sizes) < GROUP
+    cells = []
+    for order, buckets in _grams(np.concatenate([part for _, part in pieces])):
+        n = len(buckets)
+        inside = (piece[:n] == piece[order - 1:]) & begins[:n]
+        cells.append((piece[:n][inside] << BUCKET_BITS) | buckets[inside])
+    cell, n = np.unique(np.concatenate(cells), return_counts=True)
+    return texts[cell >> BUCKET_BITS], cell & (BUCKETS - 1), n
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     sums: dict[str, np.ndarray] = {}
     for batch in batches:
@@ -81,18 +128,29 @@ class LanguageModel:
     def __init__(self, languages: list[str], prior: np.ndarray, logp: np.ndarray):
         self.languages, self.prior, self.logp = languages, prior, logp
 
-    def predict(self, raw: bytes | None) -> tuple[str, float, float]:
-        """The language of a text, its score and its posterior."""
-        if raw is None or not self.languages or not has_letter(raw):
-            return UNKNOWN, 0.0, 0.0
-        counts = gram_counts(raw)
-        at = np.flatnonzero(counts)
-        n = counts[at]
-        loglik = n @ self.logp[at].astype(np.float64) + self.prior
-        best = int(loglik.argmax())
-        below = loglik - loglik[best]
-        share = lambda x: float(1 / np.exp(x).sum())
-        return self.languages[best], share(below * min(1.0, EVIDENCE / n.sum())), share(below)
+    def predict(self, texts: Sequence[bytes | None]) -> list[tuple[str, float, float]]:
+        """The language of each text of a batch, its score and its posterior."""
+        out = [(UNKNOWN, 0.0, 0.0)] * len(texts)
+        known = [i for i, raw in enumerate(texts) if self.languages and raw is not None and has_letter(raw)]
+        if not known:
+            return out
+        loglik = np.tile(self.prior, (len(known), 1))
+        grams = np.zeros(len(known))
+        step = max(1, CELLS // len(self.languages))
+        for text, bucket, n in sparse_counts([texts[i] for i in known]):
+            for lo in range(0, len(n), step):
+                row, count = text[lo:lo + step], n[lo:lo + step]
+                product = self.logp[bucket[lo:lo + step]] * count[:, None].astype(np.float64)
+                first = np.flatnonzero(np.diff(row, prepend=-1))
+                loglik[row[first]] += np.add.reduceat(product, first, axis=0)
+                grams[row[first]] += np.add.reduceat(count, first)
+        best = loglik.argmax(axis=1)
+        below = loglik - loglik.max(axis=1, keepdims=True)
+        scaled = below * np.minimum(1.0, EVIDENCE / grams)[:, None]
+        score, posterior = (1 / np.exp(x).sum(axis=1) for x in (scaled, below))
+        for at, i in enumerate(known):
+            out[i] = self.languages[best[at]], float(score[at]), float(posterior[at])
+        return out
 
 
 def train(docs: DataFrame) -> LanguageModel:
@@ -128,7 +186,7 @@ def language(docs: DataFrame, model: LanguageModel) -> Column:
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         own = shared.value
         for texts in batches:
-            rows = [own.predict(None if t is None else t.encode("utf-8", "replace")) for t in texts]
+            rows = own.predict([None if t is None else t.encode("utf-8", "replace") for t in texts])
             yield pd.DataFrame(rows, columns=["lang_pred", "score", "posterior"])
 
     # A filter on the result must not have it computed a second time below.

@@ -210,7 +210,7 @@ def test_long_text_of_a_rare_language(spark):
     names = [f"l{i}" for i in range(8)]
     near = np.tile(np.log(np.full(langid.BUCKETS, 1 / langid.BUCKETS)), (8, 1)).T.copy()
     near[:, 3] += 0.02
-    lang, score, posterior = langid.LanguageModel(names, np.log(np.full(8, 1 / 8)), near).predict(b"some words " * 500)
+    lang, score, posterior = langid.LanguageModel(names, np.log(np.full(8, 1 / 8)), near).predict([b"some words " * 500])[0]
     assert lang == "l3" and score < 0.5 < posterior
 
 
@@ -227,6 +227,21 @@ def test_language_pieces_are_whole():
     assert whole.sum() == sum(40_000 - n + 1 for n in (1, 2, 3)) and isinstance(whole, np.ndarray)
 
 
+def test_language_batch_is_sparse_counts(monkeypatch):
+    """The sparse matrix of a batch holds the counts of every text, whatever its pieces."""
+    import numpy as np
+
+    texts = [b"", b"a", "d\u00e9f".encode(), b"ab " * 400, b"x1y", "\u4f60\u597d".encode() * 300, b"ab " * 400]
+    for group in (1, 5, 1 << 17):
+        monkeypatch.setattr(langid, "GROUP", group)
+        got = np.zeros((len(texts), langid.BUCKETS), np.int64)
+        for text, bucket, n in langid.sparse_counts(texts):
+            assert (np.diff(text) >= 0).all()
+            np.add.at(got, (text, bucket), n)
+        assert (got == np.array([langid.gram_counts(t) for t in texts])).all()
+    assert langid.LanguageModel([], np.zeros(0), np.zeros((langid.BUCKETS, 0))).predict([b"abc", None]) == [("und", 0.0, 0.0)] * 2
+
+
 def test_lines(spark):
     rows = docs(
         spark, ["A long enough line\nshort\nA long enough line", " a LONG enough line \nshort\nother text here", None, "", "x\n\n", "a long enough line"],
@@ -352,10 +367,39 @@ def test_mix_meets_targets(spark):
     assert len(units) == len(set(units))
     again = mixing.mix(rows, block_words=100, block_rows=20).collect()
     assert {r["doc_id"]: sorted(map(tuple, r["draws"])) for r in again} == {r["doc_id"]: sorted(map(tuple, r["draws"])) for r in out}
+    # The shards' units are those of the tree: as many as its quotas say, each taken once.
+    dealt = {(r["source"], d["epoch"], d["shard"]) for r in out for d in r["draws"]}
+    assert {s for _, _, s in dealt} == set(range(mixing.SHARDS))
     shards = mixing.shuffled_shards(mixed)
     assert shards.agg(F.sum("words")).first()[0] == sum(r["taken"] for r in out)
 
 
+def test_mix_without_ids(spark):
+    """Rows without an id, or that repeat one, are spread over the blocks by their text."""
+    texts = [" ".join(["w"] * (1 + i % 40)) + f" t{i}" for i in range(300)] + ["", None, "   "]
+    rows = docs(spark, texts).withColumn("doc_id", F.when(F.col("doc_id") % 2 == 1, F.lit(7)).cast("long"))
+    out = mixing.mix(rows, block_words=200, block_rows=20).withColumn("taken", mixing.taken("draws")).collect()
+    assert len(out) == len(texts)
+    assert len({d["shard"] for r in out for d in r["draws"]}) > 4
+    for source in {r["source"] for r in out}:
+        own = [r for r in out if r["source"] == source]
+        assert sum(r["taken"] for r in own) == round(own[0]["target"])
+    assert all(r["draws"] == [] for r in out if r["size"] == 0)
+
+
+def test_tree_is_hypergeometric(spark):
+    """Over many seeds a shard's share of a source has the mean and variance of the law."""
+    rows = spark.createDataFrame([(0, 12), (1, 36)], "source_no long, n long")
+    n = []
+    for seed in range(12):
+        got = mixing.split_tree(rows, 4, seed).filter("source_no = 0").collect()
+        own = {r["shard"]: r["n"] for r in got}
+        n += [own.get(s, 0) for s in range(4)]
+        assert sum(own.values()) == 12
+    # Mean 3; variance 12 * 1/4 * 3/4 * 36/47 = 1.7.
+    assert sum(n) == 36 * 4 and 0.9 < sum((x - 3) ** 2 for x in n) / len(n) < 2.9
+
+
 PAGE = """<html><body><header class="site"><h1>Site</h1></header><div id="cookie-notice">Cookies</div><div class="wrap p{n}">
 <ul class="menu"><li><a href=x>Home</a></ul><div class="post-content"><h1>Title &amp; more</h1><p>First <b>bold</b>text.
 <p>Second &lt;para&gt;&nbsp;here<br>line two<ul><li>one<li>two</ul><div class="ad-box">BUY</div><form>Mail</form>

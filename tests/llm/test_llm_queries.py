@@ -113,6 +113,41 @@ def test_languages_held_out(spark):
     assert all(0 <= r["score"] <= 1 for r in rows)
 
 
+def test_languages_equal_plain_bayes(spark):
+    """Every document of a small table against naive Bayes by plain counting."""
+    import math
+    from collections import Counter
+
+    def grams(text):
+        out = Counter()
+        text = "".join(c if ord(c) >= 128 else c.lower() if c.isalpha() else " " for c in text)
+        for order in (1, 2, 3):
+            for i in range(len(text) - order + 1):
+                key = 0
+                for c, mul in zip(text[i:i + order], (0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35)):
+                    key = (key + ord(c)) * mul % 2**32
+                    key ^= key >> 15
+                out[key * 0x9E3779B1 % 2**32 >> 17] += 1
+        return out
+
+    rows = {r["doc_id"]: r for r in run(spark, "op4_language_id")}
+    docs = spark.read.parquet(f"{SF}/documents.parquet").collect()
+    counts = {d["doc_id"]: grams(d["text"]) for d in docs}
+    sums, n_docs = {}, Counter()
+    for d in docs:
+        if d["lang"] is not None and not rows[d["doc_id"]]["held_out"]:
+            sums.setdefault(d["lang"], Counter()).update(counts[d["doc_id"]])
+            n_docs[d["lang"]] += 1
+    total = {x: c.total() + 0.5 * 2**15 for x, c in sums.items()}
+    for i, own in counts.items():
+        fit = {x: math.log(n_docs[x] / n_docs.total()) + sum(
+            n * math.log((c[b] + 0.5) / total[x]) for b, n in own.items()) for x, c in sums.items()}
+        best = max(sorted(fit), key=fit.get)
+        scale = min(1, 30 / own.total())
+        assert rows[i]["lang_pred"] == best
+        assert rows[i]["score"] == pytest.approx(1 / sum(math.exp((v - fit[best]) * scale) for v in fit.values()), abs=1e-4)
+
+
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 
 
