@@ -8,10 +8,16 @@ from pyspark.sql import functions as F
 from ..session import checkpointed
 
 
+def _written(ends: DataFrame) -> DataFrame:
+    """The smallest v of every u, as a table: a join with it can split the rows of a hub,
+    one with the aggregate itself could not."""
+    return checkpointed(ends.groupBy("u").agg(F.min("v").alias("low")), "minima")
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     """Neighbours above a node are tied to the smallest neighbour of the node."""
     both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    low = both.groupBy("u").agg(F.min("v").alias("low")).withColumn("low", F.least("u", "low"))
+    low = _written(both).withColumn("low", F.least("u", "low"))
     tied = both.join(low, "u").filter("v > u")
     return tied.select(F.col("v").alias("u"), F.col("low").alias("v"))
 
@@ -19,7 +25,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
 def _small_star(edges: DataFrame) -> DataFrame:
     """A node and its neighbours below are tied to the smallest of these."""
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    low = down.groupBy("u").agg(F.min("v").alias("low"))
+    low = _written(down)
     tied = down.join(low, "u").select(F.col("v").alias("u"), F.col("low").alias("v"))
     return tied.union(low.select("u", F.col("low").alias("v")))
 
