@@ -7,26 +7,31 @@ occurrence. The FM-index of the shard is searched backward for all phrases at on
 through wavelet-tree ranks; occurrences are located by sampled suffix positions and
 merged to spans per document.
 
-Documents are never shuffled. The phrases travel to the tasks in blocks of a
-bounded number of words; one pass over the documents serves all blocks, with an
-index of the shard for each.
+The phrases travel to the tasks in blocks of a bounded number of words. Documents
+are never shuffled. With one block, one pass over them gives the result; with more,
+each block has a pass of its own that writes the spans it finds, and its phrases are
+let go before the next block is read, so driver and tasks hold one block at a time.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import reduce
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import query, small_batches, table, utf8, words_of
+from ..session import checkpointed
+from .common import WORD, ascii_lower, query, small_batches, table, utf8, words_of
 from .fmindex import FMIndex
 
 WINDOW = 10
-#: Words of phrases in one block, words of text that one index covers.
-BLOCK_WORDS = 4_000_000
+#: Words of phrases in one block (at most 0.6 KB each in a task), words of text that one
+#: index covers.
+BLOCK_WORDS = 1_000_000
 SHARD_WORDS = 4_000_000
 
 
@@ -129,7 +134,7 @@ def _searcher(shared, width: int, keep_text: bool):
                     pa.array([r[1] for r in rows], pa.list_(pa.string())),
                 ]
                 at += batch.num_rows
-                names = [*batch.schema.names, *(f"{x}{batch.num_columns}" for x in ("n_words", "spans", "items"))]
+                names = [*batch.schema.names, "n_words", "spans", "items"]
                 yield pa.RecordBatch.from_arrays([*batch.columns, *extra], names=names)
 
         for batch in batches:
@@ -137,7 +142,7 @@ def _searcher(shared, width: int, keep_text: bool):
                 found = words_of(text)
                 docs.append(np.array([get(w, zero) for w in found], np.int32))
                 words += len(found)
-            # Without a next block the text has been read; it is not held for the shard.
+            # The text has been read; it is held for the shard only where it is asked for.
             text = batch.column(1) if keep_text else pa.nulls(batch.num_rows, pa.string())
             held.append(batch.set_column(1, batch.schema.names[1], text))
             if words >= SHARD_WORDS:
@@ -150,7 +155,10 @@ def _searcher(shared, width: int, keep_text: bool):
 
 
 def item_blocks(items: DataFrame, block_words: int = BLOCK_WORDS) -> Iterator[list[tuple[str | None, bytes]]]:
-    """The items in blocks of about ``block_words`` words, streamed to the driver."""
+    """The items in blocks of about ``block_words`` words, streamed through the driver.
+
+    The next block is read when it is asked for.
+    """
     block, words, full = [], 0, False
     for row in items.select(F.col("item_id").cast("string"), F.col("text").cast("string")).toLocalIterator():
         text = row[1]
@@ -188,31 +196,45 @@ def contamination(docs: DataFrame, items: DataFrame, width: int = WINDOW, keep:
     schema = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, text string"
     if others:
         schema += f", kept {rows.schema['kept'].dataType.simpleString()}"
-    blocks = list(item_blocks(items))
-    at = [len(rows.columns) + 3 * n for n in range(len(blocks))]
-    for n, block in zip(at, blocks):
-        schema += f", n_words{n} long, spans{n} array<struct<start:long,end:long>>, items{n} array<string>"
+    found = "n_words long, spans array<struct<start:long,end:long>>, items array<string>"
+    blocks = item_blocks(items)
+    block, second = next(blocks), next(blocks, None)
+    if second is None:
         shared = docs.sparkSession.sparkContext.broadcast(block)
-        rows = rows.mapInArrow(_searcher(shared, width, "text" in keep or n < at[-1]), schema)
-    spans, found = (F.concat(*[F.col(f"{x}{n}") for n in at]) for x in ("spans", "items"))
-    if len(blocks) > 1:
-        spans, found = _union(F.array_sort(spans)), F.array_sort(F.array_distinct(found))
+        rows = rows.mapInArrow(_searcher(shared, width, "text" in keep), f"{schema}, {found}")
+    else:
+        rows = _in_blocks(rows, chain([block, second], blocks), width, found)
     return rows.select(
-        "doc_id", F.col(f"n_words{at[0]}").alias("n_words"), spans.alias("spans"), found.alias("items"),
+        "doc_id", "n_words", "spans", "items",
         *[F.col("text") if c == "text" else F.col("kept")[c].alias(c) for c in keep])
 
 
-def _union(spans: Column) -> Column:
-    """Spans in order as disjoint spans."""
-    last = lambda acc: F.element_at(acc, -1)
-    return F.aggregate(
-        spans, F.slice(spans, 1, 1),
-        lambda acc, s: F.when(
-            s["start"] <= last(acc)["end"],
-            F.concat(
-                F.slice(acc, F.lit(1), F.size(acc) - 1),
-                F.array(F.struct(last(acc)["start"].alias("start"), F.greatest(last(acc)["end"], s["end"]).alias("end")))),
-        ).otherwise(F.concat(acc, F.array(s))))
+def _in_blocks(rows: DataFrame, blocks: Iterator[list], width: int, found: str) -> DataFrame:
+    """``rows`` with n_words, spans and items, by one pass for each block of phrases."""
+    rows = checkpointed(rows.withColumn("row", F.monotonically_increasing_id()), "decontam_rows")
+    hits = []
+    for block in blocks:
+        shared = rows.sparkSession.sparkContext.broadcast(block)
+        own = rows.select("row", "text").mapInArrow(_searcher(shared, width, False), f"row long, text string, {found}")
+        hits.append(checkpointed(own.filter(F.size("spans") > 0).select("row", "spans", "items"), "decontam_hits"))
+        shared.destroy()
+    hits = reduce(DataFrame.union, hits)
+    items = hits.select("row", F.explode("items").alias("item")).groupBy("row").agg(
+        F.array_sort(F.collect_set("item")).alias("items"))
+    # The spans of one document, so the window holds no more than a text.
+    in_order = Window.partitionBy("row").orderBy("start", "end")
+    spans = hits.select("row", F.explode("spans").alias("s")).select("row", "s.start", "s.end")
+    reach = F.max("end").over(in_order.rowsBetween(Window.unboundedPreceding, -1))
+    spans = spans.withColumn("apart", F.coalesce(F.col("start") > reach, F.lit(True)).cast("long"))
+    spans = spans.withColumn("span", F.sum("apart").over(in_order.rowsBetween(Window.unboundedPreceding, 0)))
+    spans = spans.groupBy("row", "span").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+    spans = spans.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("spans"))
+    out = rows.join(spans, "row", "left").join(items, "row", "left")
+    return out.withColumns({
+        "n_words": F.coalesce(F.regexp_count(ascii_lower(F.col("text")), F.lit(WORD)), F.lit(0)).cast("long"),
+        "spans": F.coalesce("spans", F.array().cast("array<struct<start:bigint,end:bigint>>")),
+        "items": F.coalesce("items", F.array().cast("array<string>")),
+    })
 
 
 def n_hit(spans: Column | str) -> Column:
