@@ -17,8 +17,10 @@ from .base import OBS, load, query
 
 
 def stream(spark, d, name):
+    """A table as a stream, be it one file or a folder of part files."""
     session = jobs.streaming_session(spark)
-    return jobs.read_files(session, d, load(spark, d, name).schema, f"{name}.parquet")
+    # A stream takes a single file only by a pattern.
+    return jobs.read_files(session, f"{d}/{{{name}.parquet}}", load(spark, d, name).schema)
 
 
 def run(spark, name, start):
@@ -75,7 +77,8 @@ def stream_insert_if_absent(spark, d):
         writers.content_hash(F.col("text")).alias("content_sha256"), "doc_id", F.col("text").alias("payload")
     )
     path = run(spark, "s-absent", lambda t, c: jobs.ingest_once(docs, t, "doc_id", c))
-    return spark.read.parquet(path).select("content_sha256", "doc_id")
+    # A table without rows writes nothing.
+    return writers.table_or_empty(spark, path, docs.schema).select("content_sha256", "doc_id")
 
 
 @query("stream_replace_day", f"WITH {OBS} SELECT pricing_id, date, value FROM obs")
@@ -85,7 +88,7 @@ def stream_replace_day(spark, d):
         F.to_date("ts").alias("date"), "ts", "event_id", "value",
     )
     path = run(spark, "s-days", lambda t, c: jobs.replace_days(rows, t, ["pricing_id", "date"], ["ts", "event_id"], c))
-    return spark.read.parquet(path).select("pricing_id", "date", "value")
+    return writers.table_or_empty(spark, path, rows.schema).select("pricing_id", "date", "value")
 
 
 @query("stream_upsert", f"WITH {OBS} SELECT pricing_id, date, value + 1 AS value FROM obs")
@@ -101,7 +104,7 @@ def stream_upsert(spark, d):
         jobs.finish(jobs.upsert_days(
             batch, target, ["pricing_id", "date"], ["ts", "event_id"], work_path(spark, "s-upsert-state")
         ))
-    return spark.read.parquet(target).select("pricing_id", "date", "value")
+    return writers.table_or_empty(spark, target, rows.schema).select("pricing_id", "date", "value")
 
 
 @query("stream_daily_resample", """

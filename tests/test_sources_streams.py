@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pricetrail import schemas
+from pricetrail.plans import QUERIES
 from pricetrail.session import shared_root, work_path
 from plans import files_read, scans
 from pricetrail.sources import datasets, readers, store, writers
@@ -343,3 +344,22 @@ def test_bounded_ingest_drops_copies_in_the_watermark(spark, tmp_path, rows):
     hashed = stream.withColumn("content_sha256", F.sha2("pricing_id", 256))
     jobs.finish(jobs.to_table(jobs.ingest_once_bounded(hashed, "ts", "1 hour"), str(tmp_path / "out"), str(tmp_path / "ck")))
     assert sorted(r["pricing_id"] for r in rows(spark.read.parquet(str(tmp_path / "out")))) == ["a", "b"]
+
+
+@pytest.mark.parametrize("name", ["stream_insert_if_absent", "stream_replace_day", "stream_upsert"])
+def test_streams_read_tables_of_one_file_and_of_part_files(spark, tmp_path, name):
+    at = dt.datetime(2026, 1, 1)
+    documents = spark.createDataFrame([(i, "ab"[i % 2]) for i in range(8)], "doc_id long, text string")
+    events = spark.createDataFrame(
+        [(i, at + dt.timedelta(hours=i), i % 2, "view", float(i)) for i in range(8)],
+        "event_id long, ts timestamp, user_id long, event_type string, value double").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    found = {}
+    for kind, files in (("one", 1), ("parts", 3), ("empty", 1)):
+        for table, df in (("documents", documents), ("events", events)):
+            path = tmp_path / kind / f"{table}.parquet"
+            (df.filter("false") if kind == "empty" else df.repartition(files)).write.parquet(str(path if kind != "one" else f"{path}-parts"))
+            if kind == "one":
+                (part,) = (tmp_path / kind / f"{table}.parquet-parts").glob("part-*.parquet")
+                part.rename(path)
+        found[kind] = sorted(map(tuple, QUERIES[name](spark, str(tmp_path / kind)).collect()))
+    assert len(found["one"]) == 2 and found["parts"] == found["one"] and found["empty"] == []
