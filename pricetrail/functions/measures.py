@@ -31,6 +31,17 @@ def density(tokens: Column, chars: Column) -> Column:
     return F.round(tokens / (F.nullif(chars.cast("double"), F.lit(0.0)) / 1000), DENSITY_DIGITS)
 
 
+def percent(part: Column, whole: Column, digits: int = 1) -> Column:
+    """Percentage at ``digits`` decimals; null when ``whole`` is zero.
+
+    It is taken as a number of 15 decimals, as a cast of the double to DECIMAL(38, 15)
+    has them, and halves go away from zero. What is too large for that has no decimals.
+    """
+    share = part / F.nullif(whole, F.lit(0.0)) * 100
+    scaled = (share * F.lit(1e15)).try_cast("decimal(38,0)")
+    return F.coalesce(F.round(F.round(scaled, digits - 15).cast("double") / F.lit(1e15), digits), F.round(share, digits))
+
+
 def usd_value(tokens_in: Column, tokens_out: Column, in_price: Column, out_price: Column) -> Column:
     return tokens_in / F.lit(1e6) * in_price + tokens_out / F.lit(1e6) * out_price
 

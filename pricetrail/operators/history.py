@@ -86,7 +86,7 @@ def change_events(
         "from_value",
         "to_value",
         delta.alias("delta"),
-        F.round(delta / F.nullif(F.col("from_value"), F.lit(0.0)) * 100, 1).alias("pct"),
+        ms.percent(delta, F.col("from_value")).alias("pct"),
     )
 
 

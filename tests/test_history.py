@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pricetrail import schemas
+from pricetrail.functions import measures as ms
 from pricetrail.operators import history as h
 from pricetrail.operators import tiers
 
@@ -216,3 +217,19 @@ def test_events_and_models_in_order(spark, rows):
         [(day[0], "a", "m", "x", "1", "f"), (day[1], "b", "m", "x", "2", "f"), (day[1], None, "z", "x", "4", "f"), (day[1], "b", "l", "x", "3", "f")], kind)
     assert [r["pricing_id"] for r in rows(h.newest_first(events).orderBy("position"))] == ["4", "3", "2", "1"]
     assert [r["pricing_id"] for r in rows(h.by_model(events).orderBy("position"))] == ["4", "1", "3", "2"]
+
+
+def test_percent_is_rounded_as_a_number_of_fifteen_decimals(spark, rows):
+    import duckdb
+
+    # 52.33 of 20 is the double next to 261.65, a little under it; the rest are halves, tiny and huge shares.
+    pairs = [(20.0, 72.33), (4.0, 5.01), (8.0, 7.99), (16.0, 3.3), (0.0, 1.0), (3.0, 3.0), (2000.0, 2001.0), (1e-20, 5.0), (7.0, 1e15)]
+    pairs += [(a / 100, b / 100) for a in (1600, 2000, 4000, 8000) for b in range(1, 9000, 7)]
+    found = spark.createDataFrame(pairs, "a double, b double").select("a", "b", ms.percent(F.col("b") - F.col("a"), F.col("a")).alias("pct"))
+    con = duckdb.connect()
+    want = con.execute(
+        "SELECT round(((b - a) / nullif(a, 0) * 100)::DECIMAL(38, 15), 1)::DOUBLE FROM (SELECT unnest(?) AS a, unnest(?) AS b)",
+        [[a for a, _ in pairs], [b for _, b in pairs]]).fetchall()
+    assert [r["pct"] for r in rows(found)] == [w for w, in want] and rows(found)[0]["pct"] == 261.6
+    # Beyond the range of that type.
+    assert rows(spark.createDataFrame([(1e-9, 1e30)], "a double, b double").select(ms.percent(F.col("b"), F.col("a")).alias("p"))) == [{"p": 1e41}]
