@@ -51,22 +51,22 @@ class DailyRun:
             jobs.close_day(self.session, self.at["closing"], self.schema, "ts", close, ON_TIME)
         jobs.finish(jobs.split_late(self.rows, "ts", ON_TIME, self.at["on-time"], self.at["late"], self.at["split-state"]))
 
-    def work(self, job):
+    def work(self, job, sink=jobs.to_table):
         rows = jobs.read_on_time(self.session, self.at["on-time"], self.rows.schema)
-        jobs.finish(jobs.to_table(job(rows), self.at["out"], self.at["out-state"]))
+        jobs.finish(sink(job(rows), self.at["out"], self.at["out-state"]))
 
     def late(self):
         return jobs.read_late(self.session, self.at["late"], self.rows.schema)
 
 
-def run_by_day(spark, name, rows, job):
+def run_by_day(spark, name, rows, job, sink=jobs.to_table):
     """All days but the last, closed; then the last day on the same checkpoint, closed."""
     run = DailyRun(spark, name, rows.schema)
     day = jobs.utc_day(F.col("ts"))
     last = rows.agg(F.max(day)).first()[0]
     for part, close in ((rows.filter(day < last), last - dt.timedelta(days=1)), (rows.filter(day == last), last)):
         run.feed(part, close)
-        run.work(job)
+        run.work(job, sink)
     return run.at["out"]
 
 
@@ -129,8 +129,8 @@ def alert_rows(spark, d):
       WINDOW w AS (PARTITION BY pricing_id ORDER BY date))
   SELECT pricing_id, prev_date, date, from_value, value AS to_value FROM l WHERE from_value <> value""")
 def stream_price_alerts(spark, d):
-    path = run_by_day(spark, "s-alerts", alert_rows(spark, d), lambda r: jobs.price_alerts(r, "0 seconds"))
-    return spark.read.schema(jobs.ALERTS).parquet(path)
+    path = run_by_day(spark, "s-alerts", alert_rows(spark, d), lambda r: jobs.daily_last(r, "0 seconds"), jobs.write_moves)
+    return jobs.read_moves(spark, path)
 
 
 @query("stream_late_rows", """

@@ -13,7 +13,7 @@ import uuid
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
@@ -280,15 +280,9 @@ class LastValue(StatefulProcessor):
         pass
 
 
-def price_alerts(stream: DataFrame, delay: str) -> DataFrame:
-    """Price moves against the last state of each id.
-
-    ``stream`` has pricing_id, ts, ord and value. Raw rows are first reduced to
-    the last value per id and day, map-side, so the stateful step sees at most
-    one row per id and closed day even for an id with most of the rows. Needs
-    the RocksDB state store, which ``streaming_session`` sets.
-    """
-    daily = (
+def daily_last(stream: DataFrame, delay: str) -> DataFrame:
+    """The last value per id and closed day; ``stream`` has pricing_id, ts, ord and value."""
+    return (
         _watermarked(stream, "ts", delay)
         .groupBy("pricing_id", F.window("ts", "1 day"))
         .agg(F.max(F.struct("ts", "ord", "value")).alias("last"))
@@ -298,7 +292,72 @@ def price_alerts(stream: DataFrame, delay: str) -> DataFrame:
             F.col("last.value").alias("value"),
         )
     )
-    return daily.groupBy("pricing_id").transformWithStateInPandas(
+
+
+def _batches(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the complete ``batch=`` folders."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [f.getPath().getName() for f in fs.listStatus(root)] if fs.exists(root) else []
+    return sorted(int(n.removeprefix("batch=")) for n in names if n.startswith("batch=") and _done(spark, f"{path}/{n}"))
+
+
+HELD = "pricing_id string, date date, value double"
+
+
+def write_moves(daily: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
+    """Price moves of ``daily_last`` rows against the last value of each id, as a table.
+
+    For any number of ids: a batch meets the values held in one shuffle by id. What an id
+    held last lies beside the checkpoint, a folder per batch; a closed day brings most ids,
+    so writing it anew costs what the batch does. A day not after the one held is ignored.
+    A batch run again starts from the folder before its own and overwrites its moves.
+    """
+    held_at = f"{checkpoint.rstrip('/')}-held"
+
+    def merge(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        new = checkpointed(batch.filter(F.col("value").isNotNull()).select("pricing_id", "date", "value"), "moves-batch")
+        if new.isEmpty():
+            return
+        before = [n for n in _batches(spark, held_at) if n < number]
+        old = spark.read.schema(HELD).parquet(f"{held_at}/batch={before[-1]}") if before else spark.createDataFrame([], HELD)
+        points = old.withColumn("held", F.lit(True)).unionByName(new.withColumn("held", F.lit(False)))
+        # At most one id's days.
+        of_id = Window.partitionBy("pricing_id")
+        known = points.withColumn("since", F.max(F.when(F.col("held"), F.col("date"))).over(of_id))
+        fresh = known.filter(F.col("held") | F.col("since").isNull() | (F.col("date") > F.col("since")))
+        upto = of_id.orderBy("date")
+        moves = fresh.select(
+            "pricing_id", F.lag("date").over(upto).alias("prev_date"), "date",
+            F.lag("value").over(upto).alias("from_value"), F.col("value").alias("to_value"),
+        ).filter(F.col("from_value") != F.col("to_value"))
+        moves.write.mode("overwrite").parquet(f"{target}/batch={number}")
+        last = points.groupBy("pricing_id").agg(F.max(F.struct("date", "held", "value")).alias("last"))
+        last.select("pricing_id", "last.date", "last.value").write.mode("overwrite").parquet(f"{held_at}/batch={number}")
+        fs = spark._jvm.org.apache.hadoop.fs
+        for n in before[:-1]:
+            gone = fs.Path(f"{held_at}/batch={n}")
+            gone.getFileSystem(spark._jsc.hadoopConfiguration()).delete(gone, True)
+
+    return _start(daily, merge, checkpoint)
+
+
+def read_moves(spark: SparkSession, target: str) -> DataFrame:
+    return writers.table_or_empty(spark, f"{target}/batch=*", ALERTS)
+
+
+def price_alerts(stream: DataFrame, delay: str) -> DataFrame:
+    """Price moves against the last state of each id, as a stream to go on with.
+
+    Python is called once per id and batch; ``write_moves`` does the same for many ids.
+
+    ``stream`` has pricing_id, ts, ord and value. Raw rows are first reduced to
+    the last value per id and day, map-side, so the stateful step sees at most
+    one row per id and closed day even for an id with most of the rows. Needs
+    the RocksDB state store, which ``streaming_session`` sets.
+    """
+    return daily_last(stream, delay).groupBy("pricing_id").transformWithStateInPandas(
         LastValue(), outputStructType=ALERTS, outputMode="append", timeMode="None"
     )
 

@@ -363,3 +363,37 @@ def test_streams_read_tables_of_one_file_and_of_part_files(spark, tmp_path, name
                 part.rename(path)
         found[kind] = sorted(map(tuple, QUERIES[name](spark, str(tmp_path / kind)).collect()))
     assert len(found["one"]) == 2 and found["parts"] == found["one"] and found["empty"] == []
+
+
+def test_moves_meet_the_values_held_and_can_be_written_again(spark, tmp_path, rows):
+    target, ck = str(tmp_path / "out"), tmp_path / "ck"
+    kind = "pricing_id string, date date, value double"
+
+    def step(*data):
+        made = [(p, dt.date.fromisoformat(d), v) for p, d, v in data]
+        spark.createDataFrame(made, kind).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        run()
+        return read()
+
+    def run():
+        stream = jobs.read_files(jobs.streaming_session(spark), str(tmp_path / "in"), spark.createDataFrame([], kind).schema)
+        jobs.finish(jobs.write_moves(stream, target, str(ck)))
+
+    def read():
+        out = rows(jobs.read_moves(spark, target))
+        return sorted((r["pricing_id"], str(r["prev_date"]), str(r["date"]), r["from_value"], r["to_value"]) for r in out)
+
+    assert step(("a", "2026-01-01", 1.0)) == []
+    first = [("a", "2026-01-02", "2026-01-03", 1.0, 2.0)]
+    assert step(("a", "2026-01-02", 1.0), ("a", "2026-01-03", 2.0), ("b", "2026-01-03", 5.0), ("c", "2026-01-03", None)) == first
+    # Days not after the one held are ignored, and ids that a batch lacks are kept.
+    assert step(("a", "2026-01-03", 9.0), ("a", "2026-01-02", 8.0), ("c", "2026-01-04", 1.0)) == first
+    both = [*first, ("a", "2026-01-03", "2026-01-05", 2.0, 4.0), ("b", "2026-01-03", "2026-01-06", 5.0, 6.0)]
+    assert step(("a", "2026-01-05", 4.0), ("b", "2026-01-06", 6.0), ("c", "2026-01-06", 1.0)) == both
+    assert len(list((tmp_path / "ck-held").glob("batch=*"))) == 2
+    # A batch whose end was not recorded is run again.
+    for name in ("3", ".3.crc"):
+        (ck / "commits" / name).unlink(missing_ok=True)
+    run()
+    assert read() == both
+    assert step(("a", "2026-01-07", 4.0), ("b", "2026-01-07", 7.0)) == [*both, ("b", "2026-01-06", "2026-01-07", 6.0, 7.0)]
