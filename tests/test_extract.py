@@ -4,6 +4,8 @@ import json
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from pricetrail.operators import extract
 from pricetrail.operators.tiers import component_pivot, dedupe_last_wins
 from pricetrail.sources.html import page_blocks
@@ -296,3 +298,46 @@ def test_a_table_of_many_rows_is_carried_in_one_pass(prices):
     body = [["Deep", "d0", "$1", "-", "$2"]] + [[f"d{i}", "$3", "$4", "$5"] for i in range(1, 20_000)]
     out = prices("openai", "<h2>Specialized models</h2>" + table(["Category", "Model", "Input", "Cached input", "Output"], *body))
     assert len(out) == 2 + 3 * 19_999 and {r["billing_variant"] for r in out} == {"deep"}
+
+
+def test_plain_tags_are_read_as_the_library_reads_them(monkeypatch):
+    import random
+    from html.parser import HTMLParser
+
+    from pricetrail.sources import html as h
+
+    class Slow(h.PageBlocks):
+        parse_starttag, parse_endtag = HTMLParser.parse_starttag, HTMLParser.parse_endtag
+
+    def slow(text):
+        parser = Slow()
+        parser.feed(text)
+        parser.close()
+        return list(parser.blocks())
+
+    parts = [
+        *"<p> </p> <table> </table> <tr> </tr> <td> </td> </TD> <br> <br/> <h2> </h2> <b> </b> <title> </title> <script> </script>".split(),
+        *"<style> </style> <template> </template> <p/> <textarea> </textarea> < b </ <1 & é &#65; &lt;x&gt; <a b=\" <iframe> </iframe> <svg/>".split(),
+        "<div class='a'>", '<a href="x" id="y">', '<td a="<b>">', "<td\n>", "</p x>", "<!-- <p> -->", "<?pi?>", "<![CDATA[x]]>", "a  &amp; b", "text", "\n", '<td b="c"\td="e">',
+    ]
+    draw = random.Random(3)
+    for _ in range(4000):
+        text = "".join(draw.choice(parts) for _ in range(draw.randint(1, 25)))
+        assert h.page_blocks(text) == slow(text), text
+
+    # Plain pages are read in runs, not tag by tag.
+    calls = []
+    read = HTMLParser.parse_starttag
+    monkeypatch.setattr(HTMLParser, "parse_starttag", lambda self, i: calls.append(i) or read(self, i))
+    page = '<html><body class="c"><table>' + "<tr><td>x</td><td>1</td></tr>" * 50 + "</table></body></html>"
+    assert len(h.page_blocks(page)) == 150 and calls == []
+
+
+def test_tasks_of_page_queries_do_not_grow_with_the_table(spark):
+    from pricetrail.plans import pages
+
+    cores = spark.sparkContext.defaultParallelism
+    few, many = (pages.spread(spark.range(n).withColumnRenamed("id", "p_partkey")) for n in (10, 30 * pages.PAGES_PER_TASK))
+    assert few.rdd.getNumPartitions() == cores and many.rdd.getNumPartitions() == 30
+    sizes = [r["count"] for r in many.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 30 * pages.PAGES_PER_TASK and max(sizes) < 1.1 * pages.PAGES_PER_TASK
