@@ -45,10 +45,20 @@ def dollars(c):
     return F.concat(F.lit("$"), c.cast("decimal(12,2)").cast("string"))
 
 
+# About half a minute of work for a task.
+PAGES_PER_TASK = 10_000
+
+
+def spread(parts):
+    """Narrow rows in as many partitions as the pages made of them need to be parsed:
+    one for each core at least, and no more than ``PAGES_PER_TASK`` rows in each."""
+    cores = parts.sparkSession.sparkContext.defaultParallelism
+    return parts.repartition(max(cores, -(-parts.count() // PAGES_PER_TASK)), "p_partkey")
+
+
 def part_pages(spark, d, provider, before, *rows):
     """One page per part with a price table of the given rows."""
-    # Rows are spread while they are narrow; the pages made of them are costly to parse.
-    parts = load(spark, d, "part").repartition(spark.sparkContext.defaultParallelism, "p_partkey")
+    parts = spread(load(spark, d, "part"))
     html = F.concat(F.lit("<html><body>" + before + "<table>"), *rows, F.lit("</table></body></html>"))
     return parts.select(
         F.col("p_partkey").alias("page_id"), F.lit(provider).alias("provider_id"), html.alias("html")
